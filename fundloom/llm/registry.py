@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.llm import near_duplicates
+from fundloom.llm import encoding, leakage, near_duplicates, survivors
 from fundloom.sources.tables import table
 
 
@@ -20,8 +20,34 @@ def p2_groups(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, root, "grant_record", "atlas_id", "title", "abstract"))
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    """Where the surviving name and homepage of each shared ROR id come from."""
+    return survivors.survivors(table(spark, root, "organization")).select("ror_id", "name_from", "homepage_from")
+
+
+def p7_records(spark: SparkSession, root: str) -> DataFrame:
+    """The whole surviving record of each shared ROR id."""
+    s = survivors.survivors(table(spark, root, "organization"))
+    return s.select("ror_id", "name", "homepage", "address.city", "address.region", "address.country_code", "address_from", "geo.lat", "geo.lon", "geo_from", "keys")
+
+
+def p8_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Token ids of every document."""
+    return encoding.token_ids(table(spark, root, "documents", "doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold passages of evaluation items."""
+    return leakage.leaks(table(spark, root, "documents", "doc_id", "text"), table(spark, root, "eval_item", "item_id", "text"))
+
+
+def p9_cleaned(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with a leak, without the leaked words."""
+    return leakage.cleaned(table(spark, root, "documents", "doc_id", "text"), table(spark, root, "eval_item", "item_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_groups)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
 
 
 ORACLES = {
@@ -31,6 +57,15 @@ ORACLES = {
       n AS (SELECT atlas_id, count(*) AS n FROM s GROUP BY 1),
       c AS (SELECT a.atlas_id AS x, b.atlas_id AS y, count(*) AS c FROM s a JOIN s b ON a.t = b.t AND a.atlas_id < b.atlas_id GROUP BY 1, 2)
       SELECT x AS grant_a, y AS grant_b FROM c JOIN n a ON a.atlas_id = x JOIN n b ON b.atlas_id = y WHERE c >= 0.5 * (a.n + b.n - c)""",
+    "p7_found": r"""WITH o AS (SELECT regexp_extract(lower(trim(ror_id)), '(?:^|/)(0[0-9a-z]{6}[0-9]{2})/?$', 1) AS r, * FROM organization)
+      SELECT r AS ror_id,
+        coalesce(arg_max(atlas_id, (as_of::timestamptz, atlas_id)) FILTER (WHERE regexp_matches(name, '[a-zA-Z]') AND lower(trim(name)) NOT IN ('n/a', 'unknown', '(not stated)', 'tbd', 'none')), '') AS name_from,
+        coalesce(arg_max(atlas_id, (as_of::timestamptz, atlas_id)) FILTER (WHERE homepage LIKE '%.%'), '') AS homepage_from
+      FROM o WHERE r <> '' GROUP BY 1 HAVING count(DISTINCT atlas_id) >= 2""",
+    "p9_found": r"""WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents WHERE text IS NOT NULL),
+      i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item),
+      g AS (SELECT DISTINCT item_id, ' ' || array_to_string(w[k : k + least(12, len(w)) - 1], ' ') || ' ' AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - least(12, len(w)) + 2)) AS k FROM i WHERE len(w) > 0))
+      SELECT DISTINCT doc_id, item_id FROM g JOIN d ON contains(t, g)""",
 }
 
 
