@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.llm import encoding, leakage, near_duplicates, survivors
+from fundloom.llm import encoding, entities, leakage, near_duplicates, survivors
 from fundloom.sources.tables import table
 
 
@@ -20,6 +20,11 @@ def p2_groups(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates.near_duplicate_groups(table(spark, root, "grant_record", "atlas_id", "title", "abstract"))
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Records that spell one institution, person or recipient in different ways."""
+    return entities.variants(table(spark, root, "organization"), table(spark, root, "person"), table(spark, root, "sample_rows"))
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     """Where the surviving name and homepage of each shared ROR id come from."""
     return survivors.survivors(table(spark, root, "organization")).select("ror_id", "name_from", "homepage_from")
@@ -47,7 +52,7 @@ def p9_cleaned(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
 
 
 ORACLES = {
