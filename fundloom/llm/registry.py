@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.llm import encoding, entities, leakage, near_duplicates, survivors
+from fundloom.llm import encoding, entities, leakage, matching, near_duplicates, survivors
 from fundloom.sources.tables import table
 
 
@@ -25,6 +25,16 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return entities.variants(table(spark, root, "organization"), table(spark, root, "person"), table(spark, root, "sample_rows"))
 
 
+def p6_matches(spark: SparkSession, root: str) -> DataFrame:
+    """Register entries of institutions and people with a confidence."""
+    return matching.matches(*(table(spark, root, t) for t in ("organization", "person", "registry_org", "registry_person")))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    """Register entries of institutions and people."""
+    return p6_matches(spark, root).select("kind", "atlas_id", "reg_id")
+
+
 def p7_found(spark: SparkSession, root: str) -> DataFrame:
     """Where the surviving name and homepage of each shared ROR id come from."""
     return survivors.survivors(table(spark, root, "organization")).select("ror_id", "name_from", "homepage_from")
@@ -52,7 +62,7 @@ def p9_cleaned(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
 
 
 ORACLES = {
