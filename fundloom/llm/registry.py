@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.llm import encoding, entities, leakage, matching, near_duplicates, survivors
+from fundloom.llm import encoding, entities, leakage, matching, near_duplicates, survivors, toxicity
 from fundloom.sources.tables import table
 
 
@@ -61,8 +61,23 @@ def p9_cleaned(spark: SparkSession, root: str) -> DataFrame:
     return leakage.cleaned(table(spark, root, "documents", "doc_id", "text"), table(spark, root, "eval_item", "item_id", "text"))
 
 
+def p10_scores(spark: SparkSession, root: str) -> DataFrame:
+    """A score for each document."""
+    return toxicity.scores(table(spark, root, "documents", "doc_id", "source", "text"), table(spark, root, "doc_label"))
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    """Documents with abusive, hateful or sexual content."""
+    return p10_scores(spark, root).where("flagged").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, root: str) -> DataFrame:
+    """Rates per source."""
+    return toxicity.rates(p10_scores(spark, root))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned, p10_found, p10_scores, p10_rates)}
 
 
 ORACLES = {
