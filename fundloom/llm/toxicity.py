@@ -118,12 +118,13 @@ def packed(texts: list[str], chunk: int = 2000) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
 
 
-def train(b: np.ndarray, start: np.ndarray, rows_in: np.ndarray, y: np.ndarray, weight: np.ndarray, epochs: int = 5, rate: float = 0.8, batch: int = 256, seed: int = 7) -> np.ndarray:
+def train(b: np.ndarray, start: np.ndarray, rows_in: np.ndarray, y: np.ndarray, weight: np.ndarray, passes: int = 100_000, rate: float = 0.8, batch: int = 256, seed: int = 7) -> np.ndarray:
     """Logit per bucket (offset last) of the model fitted to passages ``rows_in`` of packed buckets.
 
     Two softmax outputs differ by one direction in the embedding, so table and softmax are trained as such, with steps
-    scaled by past gradients, and multiplied out in the end.
+    scaled by past gradients, and multiplied out in the end. Five epochs, more where there are few passages.
     """
+    epochs = min(40, max(5, -(-passes // max(1, len(rows_in)))))
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     soft = rng.normal(0, 0.1, DIM).astype(np.float32)
