@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general
+from fundloom.plans import general, named
 
-MODULES = (general,)
+MODULES = (general, named)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
