@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, named
+from fundloom.plans import general, named, quality
 
-MODULES = (general, named)
+MODULES = (general, named, quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
