@@ -102,8 +102,6 @@ VIEWS = {
     "gw": "SELECT DISTINCT l_orderkey AS src_id, l_partkey AS dst_id FROM lineitem",
     "citation": "SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber AND a.l_partkey <> b.l_partkey",
     "climb": "SELECT t.atlas_id AS topic, f.name AS field, d.name AS dom FROM fields t LEFT JOIN fields f ON t.parent_atlas_id = f.atlas_id LEFT JOIN fields d ON f.parent_atlas_id = d.atlas_id WHERE t.level = 'topic'",
-    "profile": """SELECT e.user_id AS person, count(*) AS works, min(epoch(ts)::BIGINT // 86400) AS first_day, max(epoch(ts)::BIGINT // 86400) AS last_day, count(DISTINCT event_type) AS n_fields, sum((props::JSON ->> 'k')::BIGINT)::BIGINT AS citations, max((props::JSON ->> 'k')::BIGINT) AS max_citations,
-      count(*) FILTER (WHERE event_type = 'click') AS corresponding FROM events e GROUP BY 1""",
 }
 _NEEDS = {"climb": ("fields",)}
 

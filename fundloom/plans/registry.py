@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, named, quality
+from fundloom.plans import general, named, quality, studies
 
-MODULES = (general, named, quality)
+MODULES = (general, named, quality, studies)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
