@@ -143,28 +143,53 @@ def ppmi(counts: DataFrame) -> DataFrame:
     return x.select("a", "b", "n", F.log(F.col("n") * F.col("total") / (F.col("na") * F.col("nb"))).alias("ppmi")).where("ppmi > 0")
 
 
-def word_vectors(pairs: DataFrame, dim: int = 16) -> DataFrame:
-    """``(word, vector)``: truncated SVD of the PPMI matrix, columns scaled by the root of the singular value.
+def word_vectors(pairs: DataFrame, dim: int = 16, iterations: int = 6, seed: int = 0) -> DataFrame:
+    """``(word, vector)``: the leading eigenvectors of the symmetric PPMI matrix, scaled by the root of the eigenvalue.
 
-    Signs are fixed by the largest entry of each column. The Gram matrix lives on the driver, so this is for
-    vocabularies up to VOCAB words.
+    Block power iteration: the matrix stays distributed, each round multiplies it with a thin block (words by ``dim + 8``)
+    that is broadcast, and sums the products by word. Only that block is on the driver; it is bounded by VOCAB words.
     """
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
-
+    spark = pairs.sparkSession
     vocab = [r.a for r in pairs.select("a").distinct().orderBy("a").limit(VOCAB + 1).collect()]
     if len(vocab) > VOCAB:
         raise ValueError(f"more than {VOCAB} words; raise min_df")
-    at = pairs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocab)})
-    n = len(vocab)
-    rows = pairs.groupBy("a").agg(F.collect_list(F.struct("b", "ppmi")).alias("r")).rdd.map(lambda r: IndexedRow(at.value[r.a], Vectors.sparse(n, sorted((at.value[x.b], x.ppmi) for x in r.r if x.b in at.value))))
-    svd = IndexedRowMatrix(rows, n, n).computeSVD(min(dim, n), computeU=True)
-    root = np.sqrt(np.array(svd.s))
-    names = pairs.sparkSession.sparkContext.broadcast(vocab)
-    return svd.U.rows.map(lambda r: (names.value[r.index], [float(x) for x in r.vector.toArray() * root])).toDF("word string, vector array<double>")
+    if not vocab:
+        return spark.createDataFrame([], "word string, vector array<double>")
+    index = F.broadcast(spark.createDataFrame(list(enumerate(vocab)), "i int, w string"))
+    cells = cut(pairs.join(index.select(F.col("w").alias("a"), F.col("i")), "a").join(index.select(F.col("w").alias("b"), F.col("i").alias("j")), "b").select("i", "j", "ppmi"))
+    k = min(dim + 8, len(vocab))
+
+    def times(v: np.ndarray) -> np.ndarray:
+        block = spark.sparkContext.broadcast(v)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            out = np.zeros_like(block.value)
+            for b in batches:
+                np.add.at(out, b["i"].to_numpy(), b["ppmi"].to_numpy()[:, None] * block.value[b["j"].to_numpy()])
+            some = np.flatnonzero(np.abs(out).sum(1))
+            if len(some):
+                yield pd.DataFrame({"i": some.astype(np.int32), "y": list(out[some])})
+
+        part = cells.mapInPandas(run, "i int, y array<double>")
+        got = part.groupBy("i").agg(F.array(*[F.sum(F.col("y")[c]) for c in range(k)]).alias("y")).toPandas()
+        full = np.zeros_like(v)
+        full[got["i"].to_numpy()] = np.stack(got["y"].to_numpy())
+        block.unpersist()
+        return full
+
+    v = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(vocab), k)))[0]
+    for _ in range(iterations):
+        v = np.linalg.qr(times(v))[0]
+    small = v.T @ times(v)
+    value, turn = np.linalg.eigh((small + small.T) / 2)
+    best = np.argsort(-np.abs(value))[:dim]
+    out = (v @ turn[:, best]) * np.sqrt(np.abs(value[best]))
+    out *= np.sign(out[np.abs(out).argmax(0), np.arange(out.shape[1])])
+    return spark.createDataFrame([(w, [float(x) for x in row]) for w, row in zip(vocab, out, strict=True)], "word string, vector array<double>")
 
 
-VOCAB = 4000
+#: Most words whose thin block the driver holds.
+VOCAB = 100_000
 
 
 def metrics(ranked: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
