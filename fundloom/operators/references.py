@@ -55,7 +55,7 @@ def direct_orphans(links: DataFrame, targets: DataFrame, table: str) -> DataFram
         .agg(F.min("us").alias("us"))
     )
     first = targets.where("atlas_id is not null").groupBy(F.col("atlas_id").alias("dst_id")).agg(F.min(us).alias("first"), F.lit(True).alias("held"))
-    joined = skew_safe_join(once, first, "dst_id")
+    joined = skew_safe_join(once, first, "dst_id", keys_of=links.select(norm_key(F.col("dst_id")).alias("dst_id")))
     reason = F.when(F.col("held").isNull(), "missing").when(F.col("us") < F.col("first"), "early")
     return joined.select(F.lit(table).alias("table_name"), "period", "src_id", "dst_id", reason.alias("reason")).where("reason is not null")
 

@@ -65,14 +65,15 @@ def key_totals(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("rows"))
 
 
-def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.01) -> DataFrame:
+def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", share: float = 0.01, keys_of: DataFrame | None = None) -> DataFrame:
     """``left`` joined to ``right``, whose ``key`` is unique, when a few keys may hold most rows of ``left``.
 
     Keys with at least ``share`` of the rows of ``left`` are at most ``1/share``; the matching rows of ``right`` are
-    as few, so that part is broadcast. All other rows shuffle on a key that no longer is hot. ``left`` is read twice
-    more to find the hot keys, one column only. Null keys match nothing and stay where ``how`` keeps them.
+    as few, so that part is broadcast. All other rows shuffle on a key that no longer is hot. Hot keys are looked for in
+    the ``key`` column of ``keys_of``, the rows that ``left`` was made from where making it is dear; it is read two or
+    three times, one column only. Null keys match nothing and stay where ``how`` keeps them.
     """
-    hot = [r.key for r in heavy_keys(left, key, share).select("key").collect()]
+    hot = [r.key for r in heavy_keys(left if keys_of is None else keys_of, key, share).select("key").collect()]
     if not hot:
         return left.join(right, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
