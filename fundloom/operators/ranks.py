@@ -48,10 +48,11 @@ def lorenz(df: DataFrame, value: str, key: str, points: int = 20) -> DataFrame:
 
 
 def spearman(df: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    """``(n, spearman, pearson)``: ordinal ranks, ties in order of the key."""
+    """``(n, spearman, pearson)``: ordinal ranks, ties in order of the key. A constant column has no correlation (null)."""
+    corr = lambda x, y: F.round(F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)), 6)
     ra = global_order(df.select(key, a, b), F.asc(a), F.asc(key)).withColumnRenamed("rank", "ra")
     rb = global_order(ra, F.asc(b), F.asc(key)).withColumnRenamed("rank", "rb")
-    return rb.agg(F.count("*").alias("n"), F.round(F.corr("ra", "rb"), 6).alias("spearman"), F.round(F.corr(a, b), 6).alias("pearson"))
+    return rb.agg(F.count("*").alias("n"), corr("ra", "rb").alias("spearman"), corr(a, b).alias("pearson"))
 
 
 def drawn(seed: int, *key: Column, n: Column) -> Column:
