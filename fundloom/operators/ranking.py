@@ -192,6 +192,56 @@ def word_vectors(pairs: DataFrame, dim: int = 16, iterations: int = 6, seed: int
 VOCAB = 100_000
 
 
+def latent_vectors(weights: DataFrame, dim: int = 16, iterations: int = 4, seed: int = 0) -> DataFrame:
+    """``(doc_id, embedding)``: documents in the space of the leading ``dim`` singular directions of ``weights``
+    ``(doc_id, term, weight)``, scaled to length 1.
+
+    Block power iteration on the term side: one pass per round multiplies each document's row with a thin block (terms by
+    ``dim + 8``, bounded by the vocabulary of ``tfidf``) and back; partial products are summed by term.
+    """
+    spark = weights.sparkSession
+    terms = [r.term for r in weights.select("term").distinct().orderBy("term").limit(VOCAB + 1).collect()]
+    if len(terms) > VOCAB:
+        raise ValueError(f"more than {VOCAB} terms; lower max_features")
+    if not terms:
+        return spark.createDataFrame([], "doc_id long, embedding array<double>")
+    index = F.broadcast(spark.createDataFrame(list(enumerate(terms)), "i int, term string"))
+    docs = cut(weights.join(index, "term").groupBy("doc_id").agg(F.collect_list("i").alias("i"), F.collect_list("weight").alias("w")))
+    k = min(dim + 8, len(terms))
+
+    def round_trip(v: np.ndarray) -> np.ndarray:
+        block = spark.sparkContext.broadcast(v)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            out = np.zeros_like(block.value)
+            for b in batches:
+                for i, w in zip(b["i"], b["w"], strict=True):
+                    out[i] += np.asarray(w)[:, None] * (np.asarray(w) @ block.value[i])
+            some = np.flatnonzero(np.abs(out).sum(1))
+            if len(some):
+                yield pd.DataFrame({"i": some.astype(np.int32), "y": list(out[some])})
+
+        got = docs.select("i", "w").mapInPandas(run, "i int, y array<double>").groupBy("i").agg(F.array(*[F.sum(F.col("y")[c]) for c in range(k)]).alias("y")).toPandas()
+        full = np.zeros_like(v)
+        full[got["i"].to_numpy()] = np.stack(got["y"].to_numpy())
+        block.unpersist()
+        return full
+
+    v = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(terms), k)))[0]
+    for _ in range(iterations):
+        v = np.linalg.qr(round_trip(v))[0]
+    small = v.T @ round_trip(v)
+    value, turn = np.linalg.eigh((small + small.T) / 2)
+    base = spark.sparkContext.broadcast(v @ turn[:, np.argsort(-value)[:dim]])
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x = [np.asarray(w) @ base.value[i] for i, w in zip(b["i"], b["w"], strict=True)]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "embedding": [(y / max(np.linalg.norm(y), 1e-12)).tolist() for y in x]})
+
+    return docs.mapInPandas(project, "doc_id long, embedding array<double>")
+
+
 def metrics(ranked: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
     """``(query, ap, rr, recall_<k>)`` from ``(query, item, pos)`` and the relevant ``(query, item)``."""
     size = gold.groupBy("query").agg(F.count("*").alias("g"))

@@ -77,6 +77,12 @@ def tfidf_topk(s: SparkSession, d: str) -> DataFrame:
     return ranking.sparse_topk(ranking.tfidf(docs), docs.where("doc_id % 50 = 0"), 5).select("query", "pos", "score")
 
 
+def latent_topk(s: SparkSession, d: str) -> DataFrame:
+    """Nearest documents in the latent space of the TF-IDF matrix."""
+    v = ranking.latent_vectors(ranking.tfidf(_docs(s, d))).withColumnRenamed("doc_id", "vec_id")
+    return ranking.cosine_topk(v, v.where("vec_id % 50 = 0"), 5)
+
+
 def ppmi(s: SparkSession, d: str) -> DataFrame:
     return ranking.ppmi(ranking.cooccurrence(_docs(s, d))).select("a", "b", "n", F.round("ppmi", 5).alias("ppmi"))
 
@@ -224,7 +230,7 @@ def pi_coverage(s: SparkSession, d: str) -> DataFrame:
     return pi_resolve(s, d).groupBy(F.coalesce("method", "reason").alias("outcome")).agg(F.count("*").alias("people"))
 
 
-_ALL = (citation_edges, degrees, pagerank, uniformity, field_normalized_impact, coupling_topk, interdisciplinarity, tfidf_norms, tfidf_topk, ppmi, word_vectors, cosine_knn, retrieval_metrics, dense_sample, split_and_rank, paired_bootstrap, sign_test,
+_ALL = (citation_edges, degrees, pagerank, uniformity, field_normalized_impact, coupling_topk, interdisciplinarity, tfidf_norms, tfidf_topk, latent_topk, ppmi, word_vectors, cosine_knn, retrieval_metrics, dense_sample, split_and_rank, paired_bootstrap, sign_test,
         org_match_cascade, org_exact, org_match_methods, award_grant_links, grant_modal_recipient, grant_modal_field, pi_resolve, pi_coverage)
 QUERIES = {f.__name__: f for f in _ALL}
 

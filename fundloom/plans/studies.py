@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundloom.operators.ranks import bootstrap, concentration, lorenz, spearman
+from fundloom.operators.ranks import bootstrap, concentration, drawn, lorenz, spearman
 from fundloom.plans.graph import Graph, with_views
 from fundloom.plans.named import _FWF, _ids, _path, org_grant_counts
 from fundloom.sources.tables import table
@@ -164,6 +164,17 @@ def matched_ratio(s: SparkSession, d: str) -> DataFrame:
     return both[0].unionByName(both[1])
 
 
+def matched_bootstrap(s: SparkSession, d: str) -> DataFrame:
+    """Percentile interval of the matched ratio over 200 resamples of the strata (five-day eras)."""
+    f = F.col("person") % 2 == 0
+    x = _strata(s, d, 5).groupBy("field", "era").agg(F.avg(F.when(f, F.col("works"))).alias("mf"), F.avg(F.when(~f, F.col("works"))).alias("mu"), F.sum(f.cast("long")).alias("nf"), F.sum((~f).cast("long")).alias("nu")).where("nf > 0 and nu > 0")
+    rows = x.withColumn("i", F.row_number().over(Window.orderBy("field", "era")) - 1)  # one row per stratum
+    n = rows.count()
+    draws = rows.select(F.col("i").alias("j")).crossJoin(s.range(200).withColumnRenamed("id", "b")).withColumn("i", drawn(42, F.col("b"), F.col("j"), n=F.lit(n)))
+    r = draws.join(F.broadcast(rows.select("i", (F.col("nf") * F.col("mf")).alias("up"), (F.col("nf") * F.col("mu")).alias("down"))), "i").groupBy("b").agg((F.sum("up") / F.sum("down")).alias("r"))
+    return r.agg(F.round(F.percentile("r", 0.025), 6).alias("lo"), F.round(F.percentile("r", 0.975), 6).alias("hi"))
+
+
 def matched_by_stage(s: SparkSession, d: str) -> DataFrame:
     x = _segmented(s, d)
     f = F.col("person") % 2 == 0
@@ -190,7 +201,7 @@ def tranche(s: SparkSession, d: str) -> DataFrame:
     return r.select("field_id", "work_id", F.when(F.col("rn") <= 10, 1).when(F.col("rn") <= 30, 2).otherwise(3).alias("tranche"))
 
 
-_ALL = (gini_hhi_topshare, lorenz_curve, gini_bootstrap, funder_field_matrix, specialization, funder_cosine, stability, domain_by_year, family_mix, composition_shift, grants_per_org, multi_funder, profiles, h_index, modal_field, segments, profile_aggregates, resolution_bias, matched_ratio, matched_by_stage, stage_mix, stratified_sample, tranche)
+_ALL = (gini_hhi_topshare, lorenz_curve, gini_bootstrap, funder_field_matrix, specialization, funder_cosine, stability, domain_by_year, family_mix, composition_shift, grants_per_org, multi_funder, profiles, h_index, modal_field, segments, profile_aggregates, resolution_bias, matched_ratio, matched_bootstrap, matched_by_stage, stage_mix, stratified_sample, tranche)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _COUNTS = "SELECT o.atlas_id AS k, count(DISTINCT g.atlas_id) AS x FROM go JOIN grants g ON go.src_id = g.atlas_id JOIN org o ON go.dst_id = o.atlas_id WHERE substr(start_date, 1, 4) BETWEEN '1995' AND '2001' AND source IN ('nih', 'nsf', 'cordis') AND ror_id IS NOT NULL GROUP BY 1"
@@ -226,6 +237,7 @@ _SQL = {
     "profile_aggregates": f"SELECT seniority, activity, count(*) AS people, round(avg(works), 4) AS mean_works, median(citations) AS median_citations FROM ({_SEG}) GROUP BY 1, 2",
     "resolution_bias": f"WITH p AS ({_P}) SELECT 'all' AS population, count(*) AS people, round(avg(works), 4) AS mean, median(works) AS median, max(works) AS most FROM p UNION ALL SELECT 'funded', count(*), round(avg(works), 4), median(works), max(works) FROM p WHERE person % 2 = 0",
     "matched_ratio": f"{_mr(5)} UNION ALL {_mr(1)}",
+    "matched_bootstrap": f"WITH x AS (SELECT l[1] AS field, first_day // 5 AS era, avg(works) FILTER (WHERE p.person % 2 = 0) AS mf, avg(works) FILTER (WHERE p.person % 2 = 1) AS mu, count(*) FILTER (WHERE p.person % 2 = 0) AS nf, count(*) FILTER (WHERE p.person % 2 = 1) AS nu FROM ({_P}) p JOIN ({_MODE}) m ON p.person = m.person GROUP BY 1, 2 HAVING nf > 0 AND nu > 0), r AS (SELECT nf * mf AS up, nf * mu AS down, row_number() OVER (ORDER BY field, era) - 1 AS i, count(*) OVER () AS n FROM x), d AS (SELECT b, ('0x' || substr(md5('42:' || b || ':' || r.i), 1, 8))::UBIGINT % n AS i FROM r, range(200) t(b)), e AS (SELECT b, sum(up) / sum(down) AS q FROM d JOIN r USING (i) GROUP BY 1) SELECT round(quantile_cont(q, 0.025), 6) AS lo, round(quantile_cont(q, 0.975), 6) AS hi FROM e",
     "matched_by_stage": f"SELECT seniority, count(*) FILTER (WHERE person % 2 = 0) AS funded, round(avg(works) FILTER (WHERE person % 2 = 0), 4) AS funded_works, round(avg(works) FILTER (WHERE person % 2 = 1), 4) AS other_works FROM ({_SEG}) GROUP BY 1",
     "stage_mix": f"SELECT *, round(people / sum(people) OVER (PARTITION BY activity), 6) AS share FROM (SELECT activity, seniority, count(*) AS people FROM ({_SEG}) GROUP BY 1, 2)",
     "stratified_sample": "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('7:' || doc_id), doc_id) AS rn FROM documents) WHERE rn <= 40",

@@ -77,3 +77,13 @@ def test_word_vectors_rebuild_the_matrix(spark):
     d = spark.createDataFrame([(names[i], names[j], float(m[i, j])) for i in range(12) for j in range(12)], "a string, b string, ppmi double")
     v = {x.word: np.array(x.vector) for x in r.word_vectors(d, 3).collect()}
     assert np.allclose([[v[i] @ v[j] for j in names] for i in names], m, atol=1e-6)
+
+
+def test_latent_vectors_keep_angles(spark):
+    rng = np.random.default_rng(2)
+    m = rng.normal(size=(20, 3)) @ rng.normal(size=(3, 15))
+    d = spark.createDataFrame([(i, f"t{j:02}", float(m[i, j])) for i in range(20) for j in range(15)], "doc_id long, term string, weight double")
+    v = {x.doc_id: np.array(x.embedding) for x in r.latent_vectors(d, 3).collect()}
+    u = m / np.linalg.norm(m, axis=1, keepdims=True)
+    assert np.allclose([[v[i] @ v[j] for j in range(20)] for i in range(20)], u @ u.T, atol=1e-6)
+    assert rows(r.latent_vectors(d.limit(0))) == []
