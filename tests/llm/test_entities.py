@@ -129,3 +129,13 @@ def test_survivors(spark):
     assert {k: (r.name_from, r.homepage_from, r["keys"]) for k, r in got.items()} == {"0abcdef12": ("b", "a", 3), "0yyyyyy11": ("", "", 2)}
     assert got["0abcdef12"].address.city == "U" and got["0abcdef12"].geo_from == "c"  # the place fixes its coordinates
     assert survivors(spark.createDataFrame([], ORG)).count() == 0
+
+
+def test_countries_do_not_block(spark):
+    """Countries in a notation that isn't recognised contradict nothing, and ones that differ are evidence, not a block."""
+    reg = [(1, "Stubiduvi National Laboratory", None, "Tessin", "République française", None, None, 1900), (2, "Lorvik Research Centre", None, "Aarlund", "RSA", 5.0, 5.0, 1900), (3, "Margol Foundation", None, "Penby", "Sweden", 7.0, 7.0, 1900)]
+    orgs = [org("o1", "Stubiduvi Natl. Lab.", "Tessin", "FR"), org("o2", "Lorvik Research Ctr.", "Aarlund", "ZA", lat=5.0, lon=5.0), org("o3", "Margol Fdn", "Penby", "NO", lat=7.0, lon=7.0), org("o4", "Lorvik Research Centre", "Kelhus", "US", lat=50.0, lon=50.0)]
+    o, p = spark.createDataFrame(orgs, ORG), spark.createDataFrame([], PERSON)
+    ro = spark.createDataFrame(reg, "reg_id long, legal_name string, other_names string, town string, country string, lat double, lon double, founded long")
+    rp = spark.createDataFrame([], "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
+    assert [x[1:3] for x in rows(matching.matches(o, p, ro, rp))] == [("o1", 1), ("o2", 2), ("o3", 3)]
