@@ -139,3 +139,19 @@ def test_countries_do_not_block(spark):
     ro = spark.createDataFrame(reg, "reg_id long, legal_name string, other_names string, town string, country string, lat double, lon double, founded long")
     rp = spark.createDataFrame([], "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
     assert [x[1:3] for x in rows(matching.matches(o, p, ro, rp))] == [("o1", 1), ("o2", 2), ("o3", 3)]
+
+
+def test_small_edits_always_meet(spark):
+    """One edit in a short surname or stem never loses the register entry."""
+    rnd = random.Random(8)
+    stem = lambda n: "".join(rnd.choice("bcdfghjklmnpqrstvwxz" if i % 2 else "aeiou") for i in range(n))
+    surs, stems = sorted({stem(5) for _ in range(80)}), sorted({stem(6) for _ in range(80)})
+    people = [(f"p{i:03}", f"{s[:2]}y{s[3:]}, Ann{stem(6)}", None, None, f"0000-0000-0000-{i:04}", "") for i, s in enumerate(surs)]
+    regp = [(i, f"{s}, {people[i][1].split()[1]}", None, f"{i:04}", 2000) for i, s in enumerate(surs)]
+    orgs = [org(f"o{i:03}", f"{s[:2]}{s[3]}{s[2]}{s[4:]} Foundation", f"Town{i}", "CH", lat=float(i), lon=1.0) for i, s in enumerate(stems)]
+    reg = [(i, f"{s} Foundation", None, f"Town{i}", "Switzerland", float(i), 1.0, 1900) for i, s in enumerate(stems)]
+    o, p = spark.createDataFrame(orgs, ORG), spark.createDataFrame(people, PERSON)
+    ro = spark.createDataFrame(reg, "reg_id long, legal_name string, other_names string, town string, country string, lat double, lon double, founded long")
+    rp = spark.createDataFrame(regp, "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
+    got = rows(matching.matches(o, p, ro, rp))
+    assert [(k, int(a[1:])) for k, a, *_ in got] == [(k, r) for k, _, r, _ in got] and len(got) == len(surs) + len(stems)
