@@ -155,3 +155,15 @@ def test_small_edits_always_meet(spark):
     rp = spark.createDataFrame(regp, "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
     got = rows(matching.matches(o, p, ro, rp))
     assert [(k, int(a[1:])) for k, a, *_ in got] == [(k, r) for k, _, r, _ in got] and len(got) == len(surs) + len(stems)
+
+
+def test_names_of_common_words_meet(spark):
+    """A name all of whose words are common is compared by all of them."""
+    kinds, stems = ("Institute", "Foundation", "Biosciences Ltd"), ("Vamezila", "Lorvik", "Margol", "Pendra")
+    reg = [(10 * i + j, f"{s} {k}", None, f"{s[::-1]}ham", "Sweden", None, None, 1900) for i, s in enumerate(stems) for j, k in enumerate(kinds)]
+    orgs = [org(f"o{10 * i + j:02}", f"{s[:3] + s[4] + s[3] + s[5:] if i == 1 else s} {k}", f"{s[::-1]}ham", "SE") for i, s in enumerate(stems) for j, k in enumerate(("Inst.", "Stiftung", "Biosci"))]
+    o, p = spark.createDataFrame(orgs, ORG), spark.createDataFrame([], PERSON)
+    ro = spark.createDataFrame(reg, "reg_id long, legal_name string, other_names string, town string, country string, lat double, lon double, founded long")
+    rp = spark.createDataFrame([], "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
+    got = rows(matching.matches(o, p, ro, rp))
+    assert [int(a[1:]) for _, a, *_ in got] == [r for _, _, r, _ in got] and {a for _, a, *_ in got} >= {x[0] for x in orgs if not x[0].startswith("o1")}
