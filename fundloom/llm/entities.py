@@ -9,8 +9,8 @@
 4. Evidence decides: what contradicts (other id, host, country, place, given name, initial) outweighs what agrees.
 5. Links are closed to components; a component's members stand for one entity.
 
-A form that more than ``PAIRWISE`` profiles share isn't paired out: its profiles are grouped by form and evidence and
-linked to one of the group, which finds the same components without the pairs.
+A form that more than ``PAIRWISE`` profiles share is paired out in blocks of about so many, spread over tasks. All pairs
+are judged by the same rules, however many share a form; their number is quadratic in that.
 """
 
 from __future__ import annotations
@@ -91,13 +91,14 @@ def _profiles(rows: DataFrame, attributes: list[str]) -> tuple[DataFrame, DataFr
     return prof.drop("k"), member
 
 
-def _meet(form: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of profiles that share a form that is short of PAIRWISE, with the form; and the forms above that."""
+def _meet(form: DataFrame) -> DataFrame:
+    """All pairs of profiles that share a form, with the form."""
     size = form.groupBy("form").agg(F.count("*").alias("held")).where("held > 1")
-    kept = form.join(size, "form")
-    small = kept.where(F.col("held") <= PAIRWISE)
-    a, b = small.select("form", "held", F.col("pid").alias("a")), small.select("form", F.col("pid").alias("b"))
-    return a.join(b, "form").where("a < b"), kept.where(F.col("held") > PAIRWISE)
+    kept = form.join(size, "form").withColumn("blocks", F.ceil(F.col("held") / PAIRWISE)).withColumn("block", F.pmod(F.xxhash64("pid"), F.col("blocks")))
+    # Each profile goes to every pair of blocks that its own is part of; two of one block meet where it is paired with itself.
+    cell = kept.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    a, b = cell.select("form", "lo", "hi", F.col("pid").alias("a"), F.col("block").alias("i")), cell.select("form", "lo", "hi", F.col("pid").alias("b"), F.col("block").alias("j"))
+    return a.join(b, ["form", "lo", "hi"]).where("a < b and (i <> j or lo = hi)").select("form", "a", "b")
 
 
 def _sided(df: DataFrame, x: str, columns: list[str]) -> DataFrame:
@@ -120,7 +121,7 @@ def org_links(prof: DataFrame) -> DataFrame:
     """``(a, b)``: profiles that evidence links."""
     attributes = ["main", "city", "country", "ror", "host", "lat", "lon"]
     form = cut(prof.select("pid", F.explode("forms").alias("form")))
-    pairs, wide = _meet(form)
+    pairs = _meet(form)
     kind = F.substring("form", 1, 1)
     told = pairs.groupBy("a", "b").agg(F.max(F.when(kind == "c", 3).when(kind == "d", 2).when(kind == "a", 1).otherwise(0)).alias("name"))
     # Rarity of a canonical form: in how many places it is found, by country and altogether.
@@ -139,19 +140,7 @@ def org_links(prof: DataFrame) -> DataFrame:
     by_place = ~other_city & (((here | near_city) & (F.col("name") >= 2)) | ((here | _same("city")) & (F.col("name") == 1)))
     by_land = ~_both("city") & _same("country") & (F.col("name") >= 2) & few("towns", 1)
     by_name = ~_both("city") & ~_both("country") & (F.col("name") >= 2) & few("lands", 1) & few("most", 1)
-    links = p.where(~against & (known | by_place | by_land | by_name)).select("a", "b")
-    # Forms too wide to be paired out: one link per profile to the first that agrees in form and evidence.
-    spread = wide.select("pid", "form").join(prof.select("pid", *attributes), "pid")
-    stars = [spread.where(" and ".join(f"{c} is not null" for c in on)).withColumn("to", F.min("pid").over(_over("form", *on))) for on in (["ror"], ["host"], ["lat", "lon"], ["city", "country"])]
-    for s in stars:
-        links = links.unionByName(s.where("pid <> to").select(F.col("to").alias("a"), F.col("pid").alias("b")))
-    return links.distinct()
-
-
-def _over(*columns: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*columns)
+    return p.where(~against & (known | by_place | by_land | by_name)).select("a", "b").distinct()
 
 
 def person_links(prof: DataFrame) -> DataFrame:
@@ -163,7 +152,7 @@ def person_links(prof: DataFrame) -> DataFrame:
     plainly = form.where("form not like 'i:%'").select("pid", "form").withColumn("givens", F.lit(1).cast("long"))
     initial = form.join(heads.where("asked"), "form").select("pid", "form", "givens")
     forms = cut(plainly.unionByName(initial))
-    pairs, wide = _meet(forms.select("pid", "form"))
+    pairs = _meet(forms.select("pid", "form"))
     told = pairs.join(heads.select("form", "givens"), "form", "left").groupBy("a", "b").agg(F.max(F.col("form").like("o:%")).alias("id"), F.max(~F.col("form").like("i:%")).alias("full"), F.max(F.coalesce("givens", F.lit(1))).alias("givens"))
     p = told.join(_sided(prof, "a", attributes), "a").join(_sided(prof, "b", attributes), "b")
     near = lambda c: _same(c) | F.coalesce(F.levenshtein(f"{c}_a", f"{c}_b") <= 2, F.lit(False))
@@ -176,12 +165,7 @@ def person_links(prof: DataFrame) -> DataFrame:
     )
     torn = ends.groupBy("p", "po", "pm", "pa").agg(F.count_distinct("o").alias("os"), F.count_distinct("m").alias("ms"), F.count_distinct("g").alias("gs"))
     torn = torn.where("(po is null and os > 1) or (pm is null and po is null and ms > 1) or (pa and pm is null and po is null and gs > 1)").select("p")
-    good = ok.join(torn.withColumnRenamed("p", "a"), "a", "left_anti").join(torn.withColumnRenamed("p", "b"), "b", "left_anti").select("a", "b")
-    spread = wide.join(prof.select("pid", *attributes), "pid")
-    for on in (["orcid"], ["giv", "mid"]):
-        star = spread.where(" and ".join(f"{c} is not null" for c in on)).withColumn("to", F.min("pid").over(_over("form", *on)))
-        good = good.unionByName(star.where("pid <> to").select(F.col("to").alias("a"), F.col("pid").alias("b")))
-    return good.distinct()
+    return ok.join(torn.withColumnRenamed("p", "a"), "a", "left_anti").join(torn.withColumnRenamed("p", "b"), "b", "left_anti").select("a", "b").distinct()
 
 
 def _closed(member: DataFrame, links: DataFrame) -> DataFrame:

@@ -167,3 +167,17 @@ def test_names_of_common_words_meet(spark):
     rp = spark.createDataFrame([], "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
     got = rows(matching.matches(o, p, ro, rp))
     assert [int(a[1:]) for _, a, *_ in got] == [r for _, _, r, _ in got] and {a for _, a, *_ in got} >= {x[0] for x in orgs if not x[0].startswith("o1")}
+
+
+def test_components_do_not_depend_on_the_width_of_a_form(spark):
+    """Profiles without a second attribute, and typed cities, are linked above the block size as below it."""
+    from fundloom.llm import entities
+
+    o = spark.createDataFrame([(f"k{i:03}", "University of Lorvik", "Tessinburg" if i % 2 else "Tessinbrg", None, None, f"h{i}.example" if i < 2 else None, float(i) / 1000, 1.0) for i in range(230)], "id string, name string, city string, country string, ror string, host string, lat double, lon double")
+    p = spark.createDataFrame([(f"k{i:03}", "Novel, Alexander" + ("" if i else " B."), None, None, f"{i:016}" if i else None) for i in range(230)] + [(f"m{i}", "Alexander Novel", None, None, None) for i in range(2)], "id string, full_name string, first_name string, last_name string, orcid string")
+    wide = rows(org_entities(o)), rows(person_entities(p))
+    least, entities.PAIRWISE = entities.PAIRWISE, 1000
+    try:
+        assert wide == (rows(org_entities(o)), rows(person_entities(p))) and len({e for _, e in wide[0]}) < 3
+    finally:
+        entities.PAIRWISE = least
