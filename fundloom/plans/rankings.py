@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundloom.operators import ranking, resolve
-from fundloom.operators.ranks import concentration, drawn
+from fundloom.operators.ranks import concentration, drawn, global_order
 from fundloom.plans.graph import Graph, with_views
 from fundloom.plans.named import _ids
 from fundloom.sources.tables import table
@@ -129,11 +129,11 @@ def split_and_rank(s: SparkSession, d: str) -> DataFrame:
     """Rank of each held-out reference by popularity, the query itself and its visible references left out."""
     g = Graph(s, d)
     x = _split(s, d)
-    pop = g.citation.groupBy("dst").agg(F.count("*").alias("c"))
-    cand = x.select("src").distinct().crossJoin(F.broadcast(pop.orderBy(F.desc("c"), "dst").limit(500)))  # a report over the 500 most popular
-    cand = cand.where("src <> dst").join(x.where("not held").select("src", "dst"), ["src", "dst"], "left_anti")
-    r = cand.withColumn("pos", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("c"), "dst")))
-    return r.join(x.where("held").select("src", "dst"), ["src", "dst"]).select(F.col("src").alias("query"), F.col("dst").alias("item"), "pos")
+    # Its rank among all, less the query's own and visible references above it. A query's references are few.
+    pop = global_order(g.citation.groupBy("dst").agg(F.count("*").alias("c")), F.desc("c"), F.asc("dst")).select("dst", "rank")
+    own = x.select("src").distinct().select("src", F.col("src").alias("dst"), F.lit(False).alias("held"))
+    out = x.unionByName(own).join(pop, "dst").withColumn("above", F.sum((~F.col("held")).cast("long")).over(Window.partitionBy("src").orderBy("rank")))
+    return out.where("held").select(F.col("src").alias("query"), F.col("dst").alias("item"), (F.col("rank") - F.col("above")).alias("pos"))
 
 
 def paired_bootstrap(s: SparkSession, d: str) -> DataFrame:
