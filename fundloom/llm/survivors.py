@@ -70,11 +70,12 @@ def survivors(orgs: DataFrame) -> DataFrame:
         latest("name"), latest("homepage"), F.min("atlas_id").alias("least"), F.max("atlas_id").alias("most"), F.count_distinct("atlas_id").alias("ids"),
         F.max(F.when(F.col("address").isNotNull(), F.struct("us", F.when(F.col("address.region").isNotNull(), 1).otherwise(0).alias("full"), "atlas_id", F.col("address").alias("v")))).alias("address"), latest("geo"),
     )
-    group = branch.groupBy("ror_id").agg(F.max("name").alias("name"), F.max("homepage").alias("homepage"), F.min("least").alias("least"), F.max("most").alias("most"), F.max("geo.us").alias("top_geo"))
+    group = branch.groupBy("ror_id").agg(F.max("name").alias("name"), F.max("homepage").alias("homepage"), F.min("least").alias("least"), F.max("most").alias("most"), F.max("geo.us").alias("top_geo"), F.max(F.when(F.col("place").isNull(), F.col("geo"))).alias("loose"), F.max(F.col("place").isNotNull()).alias("placed"))
     group = group.where("least < most")
+    # Coordinates of rows without an address contradict none, so every branch has them; alone they are a choice of their own.
     # Trust of a complete choice: the days of its bundles added up, with no coordinates counting as an old instant.
     day = lambda c: F.coalesce(F.floor(F.col(c) / 86_400_000_000), F.lit(0))
-    scored = branch.where("place is not null").join(group.select("ror_id", "top_geo"), "ror_id").withColumn("trust", day("address.us") + day("geo.us")).withColumn("bound", day("address.us") + day("top_geo"))
+    scored = branch.join(group.select("ror_id", "top_geo", "loose", "placed"), "ror_id").where("place is not null or not placed").withColumn("geo", F.greatest("geo", "loose")).withColumn("trust", day("address.us") + day("geo.us")).withColumn("bound", day("address.us") + day("top_geo"))
     best = scored.groupBy("ror_id").agg(F.max("trust").alias("incumbent"))
     alive = scored.join(best, "ror_id").where("bound >= incumbent")
     chosen = alive.groupBy("ror_id").agg(F.max(F.struct("trust", F.struct("address.us", "address.full", "address.atlas_id").alias("t"), "address", "geo")).alias("c")).select("ror_id", "c.address", "c.geo")

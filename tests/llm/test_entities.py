@@ -181,3 +181,10 @@ def test_components_do_not_depend_on_the_width_of_a_form(spark):
         assert wide == (rows(org_entities(o)), rows(person_entities(p))) and len({e for _, e in wide[0]}) < 3
     finally:
         entities.PAIRWISE = least
+
+
+def test_coordinates_without_an_address_survive(spark):
+    """A row without an address contradicts none, so its coordinates may be chosen; a group may have no address at all."""
+    data = [org("a", "A", "T", "CH", "0abcdef12"), org("b", "B", ror="0abcdef12", lat=1.0, lon=2.0), org("c", "C", ror="0yyyyyy11", lat=3.0, lon=4.0), org("d", "D", ror="0yyyyyy11")]
+    got = {r.ror_id: (r.address_from, r.geo_from) for r in survivors(spark.createDataFrame(data, ORG)).collect()}
+    assert got == {"0abcdef12": ("a", "b"), "0yyyyyy11": ("", "c")}
