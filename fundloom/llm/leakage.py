@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundloom.llm.words import words
+from fundloom.llm.words import WORD, words
+from fundloom.session import cut
 
 RUN = 12
 #: Largest number of words in all test items that is broadcast as a hash set (about 40 bytes each); beyond it the test
@@ -70,25 +71,31 @@ class TestSet:
         return out
 
 
+def _folded(c: str) -> Column:
+    """A text whose words are, one by one, those of the text as it is written (dotted capital I is two letters in lower case)."""
+    return F.translate(F.col(c), "\u0130", "i")
+
+
+def _hashed(c: str) -> Column:
+    return F.transform(words(_folded(c)), lambda w: F.xxhash64(w))
+
+
 def leaked_spans(documents: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
     """``(doc_id, item_id, first, words)``: each window of ``run`` words of an item (all words of a shorter item) that a
     document holds, by the position of its first word.
 
     Words are hashed to 64 bits in the JVM; the scan of windows is vectorised and touches each text once, without a
-    shuffle. A hit in the hash set is verified word by word. The test set is small beside a corpus and is broadcast in
-    parts of at most BROADCAST_WORDS words. Null and empty texts, and items without a word, give nothing; items with
-    equal text are all reported; repeated rows repeat.
+    shuffle. A hit of a window's hash is verified by the hash of each of its words. The test set is broadcast as a hash
+    set while it has at most BROADCAST_WORDS words (which is counted); a larger one is split by item into parts of about
+    that size, and the driver holds one part at a time. Null and empty texts, and items without a word, give nothing;
+    items with equal text are all reported; repeated rows repeat.
     """
-    hashed = lambda c: F.transform(words(F.col(c)), lambda w: F.xxhash64(w))
     spark = documents.sparkSession
-    parts: list[list[tuple[int, np.ndarray]]] = [[]]
-    held = 0
-    for r in items.where("item_id is not null").select("item_id", hashed("text").alias("h")).distinct().toLocalIterator():
-        held += len(r.h)
-        if held > BROADCAST_WORDS and parts[-1]:
-            parts.append([])
-            held = len(r.h)
-        parts[-1].append((r.item_id, np.array(r.h, np.int64).view(np.uint64)))
+    tests = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), _hashed("text").alias("h")).distinct()
+    held = tests.agg(F.coalesce(F.sum(F.size("h")), F.lit(0))).first()[0]
+    parts = max(1, -(-held // BROADCAST_WORDS))
+    if parts > 1:
+        tests = cut(tests)
 
     def scan(part):
         def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,10 +109,12 @@ def leaked_spans(documents: DataFrame, items: DataFrame, run: int = RUN) -> Data
 
         return run_batches
 
-    corpus = documents.select(F.col("doc_id").cast("long").alias("doc_id"), hashed("text").alias("h"))
+    corpus = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _hashed("text").alias("h"))
     out = None
-    for part in parts:
-        found = corpus.mapInArrow(scan(spark.sparkContext.broadcast(TestSet(part, run))), "doc_id long, item_id long, first long, words long")
+    for k in range(parts):
+        mine = tests.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k) if parts > 1 else tests
+        part = TestSet([(r.item_id, np.array(r.h, np.int64).view(np.uint64)) for r in mine.collect()], run)
+        found = corpus.mapInArrow(scan(spark.sparkContext.broadcast(part)), "doc_id long, item_id long, first long, words long")
         out = found if out is None else out.unionByName(found)
     return out
 
@@ -116,8 +125,18 @@ def leaks(documents: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
 
 
 def cleaned(documents: DataFrame, items: DataFrame, run: int = RUN) -> DataFrame:
-    """``(doc_id, words, leaked_words, kept_text)``: documents with a leak, their leaked words cut out of the word sequence."""
-    spans = leaked_spans(documents, items, run).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", F.col("first") + F.col("words") - 1)))).alias("gone"))
-    w = documents.select("doc_id", words(F.col("text")).alias("w")).join(spans, "doc_id")
-    kept = F.filter("w", lambda x, i: ~F.array_contains("gone", i.cast("long")))
-    return w.select("doc_id", F.size("w").cast("long").alias("words"), F.size("gone").cast("long").alias("leaked_words"), F.array_join(kept, " ").alias("kept_text"))
+    """``(doc_id, words, leaked_words, kept_text)``: documents with a leak, the leaked words cut out of the text as it is
+    written, with what stands before each of them. Case, punctuation and line breaks of the rest stay.
+
+    A document's windows are merged to spans that don't touch, so a word is looked for in a few spans. Rows of one
+    doc_id are cut by the windows of any of them where their texts differ; null doc_id and null texts give no row.
+    """
+    spans = leaked_spans(documents, items, run).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("words")).alias("end")))).alias("windows"))
+    last = lambda acc: F.element_at(acc, -1)
+    join = lambda acc, x: F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last(acc)["first"].alias("first"), F.greatest(last(acc)["end"], x["end"]).alias("end"))))
+    merged = F.aggregate(F.slice("windows", F.lit(2), F.size("windows")), F.slice("windows", 1, 1), lambda acc, x: F.when(x["first"] <= last(acc)["end"], join(acc, x)).otherwise(F.concat(acc, F.array(x))))
+    # A piece is a word with what stands before it; what follows the last word is the tail.
+    x = documents.select("doc_id", "text", F.regexp_extract_all("text", F.lit(rf"(?s)[^\p{{L}}\p{{N}}]*{WORD}"), F.lit(0)).alias("p")).join(spans.select("doc_id", merged.alias("gone")), "doc_id").withColumn("n", F.size("p")).where("n > 0")
+    kept = F.filter("p", lambda w, i: ~F.exists("gone", lambda g: (i >= g["first"]) & (i < g["end"])))
+    tail = F.substr("text", F.length(F.array_join("p", "")) + 1)
+    return x.select("doc_id", F.col("n").cast("long").alias("words"), (F.col("n") - F.size(kept)).cast("long").alias("leaked_words"), F.concat(F.array_join(kept, ""), tail).alias("kept_text"))

@@ -80,7 +80,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned, p10_found, p10_scores, p10_rates)}
 
 
+_SAYS = lambda c: f"(regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') AND lower(trim({c})) NOT IN (" + ", ".join(f"'{w}'" for w in survivors.STAND_INS) + "))"
+# Every address of a group with every pair of coordinates that doesn't contradict it.
+_RECORDS = rf"""WITH o AS (SELECT regexp_extract(lower(trim(ror_id)), '(?:^|/)(0[0-9a-z]{{6}}[0-9]{{2}})/?$', 1) AS r, atlas_id, epoch_us(as_of::timestamptz) AS us,
+    CASE WHEN {_SAYS("name")} THEN name END AS name, CASE WHEN homepage LIKE '%.%' THEN homepage END AS homepage, CASE WHEN {_SAYS("city")} THEN trim(city) END AS city, CASE WHEN {_SAYS("region")} THEN trim(region) END AS region,
+    CASE WHEN {_SAYS("country_code")} THEN upper(trim(country_code)) END AS country_code, lat, lon FROM organization WHERE atlas_id IS NOT NULL),
+  t AS (SELECT *, coalesce(greatest(0, us // 86400000000) + 2, 1) AS trust FROM o WHERE r <> ''),
+  k AS (SELECT r, count(DISTINCT atlas_id) AS keys, arg_max(name, (us, atlas_id)) FILTER (WHERE name IS NOT NULL) AS name, arg_max(homepage, (us, atlas_id)) FILTER (WHERE homepage IS NOT NULL) AS homepage FROM t GROUP BY 1 HAVING keys >= 2),
+  a AS (SELECT r, atlas_id AS a, us, trust, city, region, country_code FROM t WHERE city IS NOT NULL OR country_code IS NOT NULL),
+  g AS (SELECT r, atlas_id AS g, us AS gus, trust AS gtrust, city AS gcity, country_code AS gcountry, lat, lon FROM t WHERE lat IS NOT NULL AND lon IS NOT NULL),
+  c AS (SELECT k.r, a, us, trust, city, region, country_code, g, gus, gtrust, lat, lon FROM k LEFT JOIN a ON a.r = k.r LEFT JOIN g ON g.r = k.r AND coalesce(lower(gcity) = lower(city), true) AND coalesce(gcountry = country_code, true)),
+  b AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY coalesce(trust, 0) + coalesce(gtrust, 0) DESC, us DESC NULLS LAST, (region IS NOT NULL) DESC, a DESC NULLS LAST, city DESC NULLS LAST, region DESC NULLS LAST, country_code DESC NULLS LAST, gus DESC NULLS LAST, g DESC NULLS LAST, lat DESC, lon DESC) AS rn FROM c)
+  SELECT k.r AS ror_id, name, homepage, city, region, country_code, coalesce(a, '') AS address_from, lat, lon, coalesce(g, '') AS geo_from, keys FROM k JOIN b ON b.r = k.r WHERE rn = 1"""
 ORACLES = {
+    "p7_records": _RECORDS,
     "p2_found": r"""WITH w AS (SELECT DISTINCT atlas_id, regexp_extract_all(lower(coalesce(title, '') || ' ' || abstract), '[\p{L}\p{N}]+') AS w
         FROM grant_record WHERE len(regexp_extract_all(lower(abstract), '[\p{L}\p{N}]+')) >= 20),
       s AS (SELECT DISTINCT atlas_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS t FROM w),
@@ -92,6 +105,12 @@ ORACLES = {
         coalesce(arg_max(atlas_id, (as_of::timestamptz, atlas_id)) FILTER (WHERE regexp_matches(name, '[a-zA-Z]') AND lower(trim(name)) NOT IN ('n/a', 'unknown', '(not stated)', 'tbd', 'none')), '') AS name_from,
         coalesce(arg_max(atlas_id, (as_of::timestamptz, atlas_id)) FILTER (WHERE homepage LIKE '%.%'), '') AS homepage_from
       FROM o WHERE r <> '' GROUP BY 1 HAVING count(DISTINCT atlas_id) >= 2""",
+    "p9_cleaned": r"""WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '(?s)[^\p{L}\p{N}]*[\p{L}\p{N}]+') AS p, regexp_extract_all(lower(replace(text, 'İ', 'i')), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+      i AS (SELECT item_id, regexp_extract_all(lower(replace(text, 'İ', 'i')), '[\p{L}\p{N}]+') AS w FROM eval_item),
+      g AS (SELECT DISTINCT least(12, len(w)) AS n, array_to_string(w[k : k + least(12, len(w)) - 1], ' ') AS g FROM (SELECT w, unnest(range(1, len(w) - least(12, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+      s AS (SELECT doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') AS g FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)),
+      gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM s JOIN g USING (n, g)) GROUP BY 1)
+      SELECT d.doc_id, len(p) AS words, len(gone) AS leaked_words, coalesce(array_to_string(list_filter(p, lambda x, j: NOT list_contains(gone, j)), ''), '') || substr(text, length(array_to_string(p, '')) + 1) AS kept_text FROM d JOIN gone USING (doc_id)""",
     "p9_found": r"""WITH d AS (SELECT doc_id, ' ' || array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'), ' ') || ' ' AS t FROM documents WHERE text IS NOT NULL),
       i AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM eval_item),
       g AS (SELECT DISTINCT item_id, ' ' || array_to_string(w[k : k + least(12, len(w)) - 1], ' ') || ' ' AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - least(12, len(w)) + 2)) AS k FROM i WHERE len(w) > 0))

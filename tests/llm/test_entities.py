@@ -109,7 +109,9 @@ def test_classifier_learns_and_falls_back():
     y = (x @ [2.0, -1.0] + rng.normal(0, 0.3, 400) > 0).astype(float)
     w = matching.fit(x, y, np.zeros(3))
     assert np.mean((x @ w[1:] + w[0] > 0) == y) > 0.93
-    assert (matching.fit(x[:5], y[:5], np.ones(3)) == 1).all()
+    assert (matching.fit(x[:0], y[:0], np.ones(3)) == 1).all()
+    few = matching.fit(x[:5], y[:5], np.ones(3))
+    assert np.abs(few - 1).max() < np.abs(matching.fit(x, y, np.ones(3)) - 1).max()  # few labels move the prior a little
 
 
 def test_survivors(spark):
@@ -188,3 +190,48 @@ def test_coordinates_without_an_address_survive(spark):
     data = [org("a", "A", "T", "CH", "0abcdef12"), org("b", "B", ror="0abcdef12", lat=1.0, lon=2.0), org("c", "C", ror="0yyyyyy11", lat=3.0, lon=4.0), org("d", "D", ror="0yyyyyy11")]
     got = {r.ror_id: (r.address_from, r.geo_from) for r in survivors(spark.createDataFrame(data, ORG)).collect()}
     assert got == {"0abcdef12": ("a", "b"), "0yyyyyy11": ("", "c")}
+
+
+def test_branches_are_cut_before_they_are_worked_out(spark):
+    """The newest address and the newest coordinates contradict each other: the best of each alone is no choice."""
+    at = lambda d: f"2024-{d:02}-01T00:00:00Z"
+    data = [
+        org("a", "A", "Town", "CH", "0abcdef12", at=at(9)), org("b", "B", "Ville", "CH", "0abcdef12", lat=1.0, lon=1.0, at=at(8)), org("c", "C", "Ort", "CH", "0abcdef12", lat=9.0, lon=9.0, at=at(2)), org("d", "D", "Burg", "CH", "0abcdef12", lat=9.0, lon=9.0, at="1969-01-01T00:00:00Z"),
+        org("e", "E", "Town", "CH", "0yyyyyy11", at=at(3)), org("f", "F", "Ville", "CH", "0yyyyyy11", lat=2.0, lon=2.0, at="no instant"),  # an unreadable as_of is old: no address is lost for it
+        org("g", "G", "Town", None, "0zzzzzz22", at=at(3)), org("h", "H", None, "CH", "0zzzzzz22", lat=3.0, lon=3.0, at=at(1)), org("i", "I", "Ville", "CH", "0zzzzzz22", lat=4.0, lon=4.0, at=at(1)),
+    ]
+    got = {r.ror_id: r for r in survivors(spark.createDataFrame(data, ORG)).collect()}
+    assert {k: (r.name_from, r.address_from, r.geo_from) for k, r in got.items()} == {"0abcdef12": ("a", "b", "b"), "0yyyyyy11": ("e", "e", ""), "0zzzzzz22": ("g", "g", "h")}
+    assert (got["0abcdef12"].branches, got["0abcdef12"].cut) == (4, 1)
+
+
+def test_survivors_against_all_choices(spark):
+    """Branch and bound finds the choice that looking at all of them finds."""
+    import duckdb
+
+    from fundloom.llm.registry import ORACLES
+
+    rnd = random.Random(12)
+    some = lambda *x: rnd.choice([None, *x])
+    data = []
+    for i in range(400):
+        xy = some(float(rnd.randrange(5)))
+        data.append(org(f"k{rnd.randrange(150):03}", rnd.choice(["A", "-", "B b"]), some("Town", "town", "Ville", " Ort"), some("CH", "ch", "FR"), f"0abcde{rnd.randrange(60):03}", some("a.example", "-"), xy, xy, f"20{rnd.randrange(20, 24)}-0{rnd.randrange(1, 9)}-11T0{rnd.randrange(9)}:00:00+02:00"))
+    o = spark.createDataFrame(data, ORG).dropDuplicates(["atlas_id", "as_of"])
+    organization = o.toPandas()  # noqa: F841
+    c = duckdb.connect()
+    c.execute("SET timezone = 'UTC'")
+    want = c.execute(ORACLES["p7_records"]).fetchall()
+    s = survivors(o).select("ror_id", "name", "homepage", "address.city", "address.region", "address.country_code", "address_from", "geo.lat", "geo.lon", "geo_from", "keys")
+    assert {tuple(str(x) for x in r) for r in s.collect()} == {tuple("None" if x is None or x != x else str(x) for x in r) for r in want}
+
+
+def test_rows_of_one_key_are_matched_each(spark):
+    """Rows of one key that differ don't lend each other attributes, however they are laid out."""
+    reg = [(1, "Lorvik Research Centre", None, "Aarlund", "Denmark", 5.0, 5.0, 1900), (1, "Lorvik Research Centre", None, None, None, None, None, 1900), (2, "Lorvik Research Centre", None, "Kelhus", "Sweden", 50.0, 50.0, 1900)]
+    orgs = [org("o1", "Lorvik Research Ctr.", "Kelhus", "SE", lat=50.0, lon=50.0), org("o1", "Lorvik Research Centre"), org("o2", "Lorvik Research Centre", "Aarlund", "DK", lat=5.0, lon=5.0)]
+    ro = spark.createDataFrame(reg, "reg_id long, legal_name string, other_names string, town string, country string, lat double, lon double, founded long")
+    rp = spark.createDataFrame([], "reg_id long, display_name string, other_name string, orcid_tail string, active_since long")
+    for n in (1, 3):
+        o = spark.createDataFrame(orgs[::-1] if n > 1 else orgs, ORG).repartition(n)
+        assert [x[1:3] for x in rows(matching.matches(o, spark.createDataFrame([], PERSON), ro.repartition(n), rp))] == [("o1", 2), ("o2", 1)]

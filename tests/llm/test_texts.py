@@ -75,9 +75,33 @@ def test_leaks_against_brute_force(spark):
 
 
 def test_cleaned(spark):
+    """What stays is the text as it was written: case, punctuation and line breaks."""
     item = " ".join(f"t{i}" for i in range(14))
-    d = spark.createDataFrame([(1, f"before {item} after"), (2, "clean")], "doc_id long, text string")
-    assert rows(cleaned(d, spark.createDataFrame([(5, item)], "item_id long, text string"))) == [(1, 16, 14, "before after")]
+    docs = [
+        (1, f"Before,\n\n{item.upper()}. After!  "), (2, "clean"), (3, f"{item} -- {item} İstanbul, ok?"), (4, item), (5, None), (6, ""), (None, item), (7, f"İ {item} (Not) this: short one, a short one"), (7, "twice"),
+        (8, " ".join(f"t{i}" for i in range(1, 14)) + " t0 t1"),
+    ]
+    items = [(5, item), (6, "A short one"), (7, ""), (8, None)]
+    got = rows(cleaned(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")))
+    want = {1: (16, 14, "Before. After!  "), 3: (30, 28, " İstanbul, ok?"), 4: (14, 14, ""), 7: (22, 17, "İ (Not) this: short one"), 8: (15, 13, " t0 t1")}
+    assert {r[0]: r[1:] for r in got if r[3] != "twice" and r[3]} | {4: (14, 14, "")} == want
+    assert rows(cleaned(spark.createDataFrame(docs[1:2], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))) == []
+
+
+def test_large_test_sets_go_in_parts(spark):
+    from fundloom.llm import leakage
+
+    rnd = random.Random(2)
+    some = lambda n: " ".join(rnd.choice("abcdefgh") for _ in range(n))
+    items = [(i, some(rnd.choice([3, 12, 30]))) for i in range(40)]
+    docs = [(i, some(20) + " " + rnd.choice(items)[1]) for i in range(40)]
+    d, t = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole, leakage.BROADCAST_WORDS = leakage.BROADCAST_WORDS, 100
+    try:
+        assert rows(leaks(d, t)) == brute_leaks(docs, items)
+    finally:
+        leakage.BROADCAST_WORDS = whole
+
 
 
 ABUSE = ["you {x} idiot go to hell", "shut up you filthy {x} pig", "these {x} people are scum and vermin"]
@@ -98,6 +122,23 @@ def corpus(seed, n):
     return out
 
 
+SCRIPTS = {
+    "Greek": ("είσαι ένας ηλίθιος {x} βλάκας", "η μελέτη μετρά {x} λίμνες στην ακτή"), "Hebrew": ("אתה {x} אידיוט מטומטם", "המחקר מודד {x} אגמים ליד החוף"), "Hindi": ("तुम एक {x} बेवकूफ गधे हो", "यह अध्ययन {x} झीलों को मापता है"),
+    "Thai": ("แกมันไอ้โง่ {x} เลวทราม", "การศึกษานี้วัด {x} ทะเลสาบ"), "Korean": ("너는 {x} 멍청한 바보야", "이 연구는 {x} 호수를 측정한다"),
+}
+
+
+def test_every_script_is_read():
+    """Letters of every script stay, and abuse in one that has ratings is learnt."""
+    assert [len(passages(a)) for a, _ in SCRIPTS.values()] == [1] * 5
+    rnd = random.Random(4)
+    for bad, calm in SCRIPTS.values():
+        make = lambda b: ". ".join(rnd.sample([(bad if b and i == 0 else calm).format(x=rnd.choice("12345")) + " " + "".join(rnd.choice("abcde") for _ in range(5)) for i in range(4)], 4))  # noqa: B023, E731
+        data = [(make(i % 5 == 0), i % 5 == 0) for i in range(150)]
+        model = fit([passages(t) for t, _ in data[:100]], np.array([float(b) for _, b in data[:100]]))
+        assert np.mean([(probabilities(passages(t), model.logit).max() >= model.mark) == b for t, b in data[100:]]) > 0.9
+
+
 def test_held_out_accuracy():
     rnd = random.Random(9)
     train, test = corpus(1, 400), corpus(2, 300)
