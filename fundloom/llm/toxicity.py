@@ -5,18 +5,20 @@ letter n-grams are hashed to rows of an embedding table, which is trained jointl
 misspelling shares most of its vectors with what it stands for. Ratings are of whole documents and err, so training
 repeats: passages of flagged documents start as positive, the next round keeps those the model of the last one believes.
 
-Ratings are joined and the fit happens on the driver, on at most TRAIN_DOCS rated documents drawn by hash. Scoring is one
-pass over the corpus without a shuffle; what is broadcast is one number per bucket.
+The fit reads at most TRAIN_DOCS rated documents drawn by hash; its folds run as tasks of their own, beside each other.
+``learn`` gives a ``Model`` that several scorings can share. Scoring is one pass over the corpus without a shuffle; what
+is broadcast is one number per bucket.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import regex as re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,8 @@ DIM = 16
 SIZES = (3, 4, 5, 6)
 LONGEST = 400
 SHORT = 28
-#: Threshold where too few documents are flagged to choose one.
-FEW_RATED = 0.25
+#: What the threshold is drawn towards, and how many flagged documents that counts as: one rule for any number of ratings.
+PRIOR_MARK, PRIOR_DOCS = 0.25, 5
 #: N-grams of no content that every passage has besides its own, so that a few words alone don't decide.
 EMPTY = 30
 
@@ -51,21 +53,35 @@ SOBER = (
 )
 
 
+# Marks that are written on letters of scripts which are read without them; other scripts' signs are letters of their own.
+_MARKS = re.compile(r"[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670\p{Cf}]+")
+_LEET_WORD = re.compile(r"[a-z0-9@$!]*[a-z][013457@$!]+[a-z][a-z0-9@$!]*")
+_SPACED = re.compile(r"(?<![a-z])(?:[a-z][ .\-_]){2,}[a-z](?![a-z])")
+_STRETCHED = re.compile(r"([a-z])\1{2,}")
+_OTHER, _OTHER_ASCII = re.compile(r"[^\p{L}\p{M}*]+"), re.compile(r"[^a-z*]+")
+
+
 def clean(text: str) -> str:
-    """Text as the model sees it: no accents or invisible marks, lower case, leet letters and spaced or stretched words undone."""
-    text = unicodedata.normalize("NFKD", text).lower().replace("ß", "ss")
-    text = "".join(c for c in text if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
-    text = re.sub(r"[a-z0-9@$!]*[a-z][013457@$!]+[a-z][a-z0-9@$!]*", lambda m: m[0].translate(_LEET), text)
-    text = re.sub(r"(?<![a-z])(?:[a-z][ .\-_]){2,}[a-z](?![a-z])", lambda m: re.sub(r"[ .\-_]", "", m[0]), text)
-    text = re.sub(r"([a-z])\1{2,}", r"\1\1", text)
-    return re.sub(r"[^a-z*Ѐ-ӿ؀-ۿ぀-鿿가-힯]+", " ", text).strip()
+    """Text as the model sees it: no accents or invisible marks, lower case, leet letters and spaced or stretched words
+    undone, letters of every script kept."""
+    text = text.lower()
+    plain = text.isascii()
+    if not plain:
+        text = unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFKD", text).replace("ß", "ss")))
+    text = _LEET_WORD.sub(lambda m: m[0].translate(_LEET), text)
+    text = _SPACED.sub(lambda m: re.sub(r"[ .\-_]", "", m[0]), text)
+    text = _STRETCHED.sub(r"\1\1", text)
+    return (_OTHER_ASCII if plain else _OTHER).sub(" ", text).strip()
+
+
+_ENDS = re.compile(r"(?<=[.!?。！？।؟])\s+|[\n\r\u2028\u2029]+")
 
 
 def passages(text: str | None) -> list[str]:
     """Cleaned sentences of a text, long ones in pieces that overlap by a quarter; none for empty and null text. A sentence
     of a few words only goes with the one before it, the first one with the next."""
     out: list[str] = []
-    for raw in re.split(r"(?<=[.!?。！？])\s+|[\n\r  ]+", text or ""):
+    for raw in _ENDS.split(text or ""):
         s = clean(raw)
         if out and (len(s) < SHORT or len(out) == 1 and len(out[0]) < SHORT) and len(out[-1]) + len(s) < LONGEST:
             out[-1] = f"{out[-1]} {s}".strip()
@@ -158,70 +174,99 @@ def train(b: np.ndarray, start: np.ndarray, rows_in: np.ndarray, y: np.ndarray,
     return np.append(table @ soft, bias).astype(np.float64)
 
 
-def fit(docs: list[list[str]], rating: np.ndarray, folds: int = 3) -> tuple[np.ndarray, float]:
-    """Model and threshold from documents as passages, with their mean rating. Split ratings take no part.
+class Model(NamedTuple):
+    """Logit per bucket (offset last), and the least score of a flagged document."""
+
+    logit: np.ndarray
+    mark: float
+
+
+class _Here(NamedTuple):
+    value: tuple[np.ndarray, np.ndarray]
+
+
+def _scored(b: np.ndarray, start: np.ndarray, logit: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(rows))
+    for at in range(0, len(rows), 2000):
+        part = rows[at : at + 2000]
+        size = start[part + 1] - start[part]
+        pick = np.repeat(start[part] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        z = np.bincount(np.repeat(np.arange(len(part)), size), weights=logit[:-1][b[pick]], minlength=len(part)) / (EMPTY + size) + logit[-1]
+        out[at : at + 2000] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    return out
+
+
+def _tasks(spark: SparkSession | None, work, n: int) -> list[np.ndarray]:
+    """``work(0)`` to ``work(n - 1)``, each in a task of its own; in this process without a session."""
+    if spark is None:
+        return [work(k) for k in range(n)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for k in batch["id"]:
+                yield pd.DataFrame({"k": [k], "x": [work(k).astype(np.float32).tobytes()]})
+
+    got = {r.k: np.frombuffer(r.x, np.float32).astype(np.float64) for r in spark.range(0, n, 1, n).mapInPandas(run, "k long, x binary").collect()}
+    return [got[k] for k in range(n)]
+
+
+def fit(docs: list[list[str]], rating: np.ndarray, folds: int = 3, spark: SparkSession | None = None) -> Model:
+    """The model of documents given as passages, with their mean rating. Split ratings take no part.
 
     Which passages of a flagged document are to blame is decided by models that haven't seen that document: what also
     stands in documents nobody flagged gets a low score from them, and so do all passages of one flagged by mistake.
-    The threshold has the best F1 over documents scored by a model of the other folds; it is FEW_RATED where fewer
-    than 30 documents are flagged.
+    The mark has the best F1 over documents scored by a model of the other folds, drawn towards PRIOR_MARK as if
+    PRIOR_DOCS flagged documents had asked for that; with no ratings it is PRIOR_MARK.
     """
     hot, sober = [clean(t) for t in SEEDS], [clean(t) for t in SOBER]
     texts, owner = [p for d in docs for p in d], np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    b, start = packed([*texts, *hot, *sober])
+    held = packed([*texts, *hot, *sober])
+    held = spark.sparkContext.broadcast(held) if spark else _Here(held)
     seeds = np.arange(len(texts), len(texts) + len(hot) + len(sober))
     seed_y = np.r_[np.ones(len(hot)), np.zeros(len(sober))]
+    flagged = rating[owner] > 0.5
+    use = np.abs(rating[owner] - 0.5) > 0.2
+    fold = np.arange(len(docs))[owner] % folds
 
     def learned(rows: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Positives weigh up to a tenth of all."""
+        b, start = held.value
         y = np.r_[y, seed_y]
         weight = np.where(y > 0, min(10.0, max(1.0, 0.1 / max(y.mean(), 1e-3))), 1.0)
         return train(b, start, np.r_[rows, seeds], y, weight)
 
-    def scored(logit: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(rows))
-        for at in range(0, len(rows), 2000):
-            part = rows[at : at + 2000]
-            size = start[part + 1] - start[part]
-            pick = np.repeat(start[part] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            z = np.bincount(np.repeat(np.arange(len(part)), size), weights=logit[:-1][b[pick]], minlength=len(part)) / (EMPTY + size) + logit[-1]
-            out[at : at + 2000] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        return out
+    def crossed(y: np.ndarray, keep: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Scores of all passages, each by a model of the other folds; with ``whole`` also the model of all that is kept."""
 
-    flagged = rating[owner] > 0.5
-    use = np.abs(rating[owner] - 0.5) > 0.2
-    fold = np.arange(len(docs))[owner] % folds
+        def work(k: int) -> np.ndarray:
+            inside = np.flatnonzero(keep & (fold != k))
+            logit = learned(inside, y[inside])
+            return logit if k == folds else _scored(*held.value, logit, np.flatnonzero(fold == k))
 
-    def crossed(y: np.ndarray, keep: np.ndarray) -> np.ndarray:
+        parts = _tasks(spark, work, folds + whole)
         p = np.zeros(len(texts))
         for k in range(folds):
-            inside = np.flatnonzero(keep & (fold != k))
-            p[fold == k] = scored(learned(inside, y[inside]), np.flatnonzero(fold == k))
-        return p
-
-    y, keep = np.zeros(len(texts)), use & ~flagged
-    if flagged.any():
-        p = crossed(flagged.astype(float), use)
-        calm = p[use & ~flagged]
-        mark = max(0.2, float(np.quantile(calm, 0.995))) if len(calm) else 0.5
-        y = (flagged & (p >= mark)).astype(float)
-        # Passages of calm documents that look worse than nearly all others are as likely overlooked as calm.
-        keep = use & ((y > 0) | (~flagged & (p < max(0.8, mark))))
-    rows = np.flatnonzero(keep)
-    logit = learned(rows, y[rows])
-    if (rating > 0.7).sum() < 30:
-        return logit, FEW_RATED
+            p[fold == k] = parts[k]
+        return p, parts[folds] if whole else None
+
+    p, _ = crossed(flagged.astype(float), use, False)
+    calm = p[use & ~flagged]
+    mark = max(0.2, float(np.quantile(calm, 0.995))) if len(calm) else 0.5
+    y = (flagged & (p >= mark)).astype(float)
+    # Passages of calm documents that look worse than nearly all others are as likely overlooked as calm.
+    p, logit = crossed(y, use & ((y > 0) | (~flagged & (p < max(0.8, mark)))), True)
     top = np.zeros(len(docs))
-    np.maximum.at(top, owner, crossed(y, keep))
+    np.maximum.at(top, owner, p)
     sure = np.abs(rating - 0.5) > 0.2
     s, t = top[sure], rating[sure] > 0.5
     marks = np.arange(0.1, 0.97, 0.02)
     f1 = np.array([2 * (t & (s >= m)).sum() / max(1, t.sum() + (s >= m).sum()) for m in marks])
-    return logit, float(np.median(marks[f1 >= f1.max() - 0.005]))
+    best = float(np.median(marks[f1 >= f1.max() - 0.005]))
+    return Model(logit, float((t.sum() * best + PRIOR_DOCS * PRIOR_MARK) / (t.sum() + PRIOR_DOCS)))
 
 
-def learn(documents: DataFrame, ratings: DataFrame) -> tuple[np.ndarray, float]:
-    """Model and threshold from rated documents; ratings of missing documents and null ratings count for nothing."""
+def learn(documents: DataFrame, ratings: DataFrame) -> Model:
+    """The model of rated documents; ratings of missing documents and null ratings count for nothing."""
     mean = ratings.where("doc_id is not null and flagged is not null").groupBy("doc_id").agg(F.avg(F.col("flagged").cast("double")).alias("rating"))
     drawn = documents.select("doc_id", "text").join(mean, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
     docs, rating, chars = [], [], 0
@@ -231,13 +276,14 @@ def learn(documents: DataFrame, ratings: DataFrame) -> tuple[np.ndarray, float]:
         chars += sum(map(len, docs[-1]))
         if chars > TRAIN_CHARS:
             break
-    return fit(docs, np.array(rating))
+    return fit(docs, np.array(rating), spark=documents.sparkSession)
 
 
-def scores(documents: DataFrame, ratings: DataFrame) -> DataFrame:
+def scores(documents: DataFrame, ratings: DataFrame, model: Model | None = None) -> DataFrame:
     """``(doc_id, source, score, flagged)``: the probability of a document's worst passage, and whether it reaches the
-    threshold. Null, empty and blank texts score 0. Rows are kept as they come, null doc_id and repeated rows included."""
-    logit, least = learn(documents, ratings)
+    model's mark. Null, empty and blank texts score 0. Rows are kept as they come, null doc_id and repeated rows included.
+    Without a ``model`` one is learnt from the ratings."""
+    logit, least = model or learn(documents, ratings)
     spark: SparkSession = documents.sparkSession
     model = spark.sparkContext.broadcast(logit.astype(np.float32))
 
