@@ -16,4 +16,4 @@ def words(text: Column) -> Column:
 def shingles(w: Column, k: int) -> Column:
     """Distinct 64-bit hashes of the sequences of ``k`` consecutive words, sorted; empty for fewer words."""
     rows = F.transform(F.sequence(F.lit(1), F.size(w) - F.lit(k - 1)), lambda i: F.xxhash64(*[F.element_at(w, (i + j).cast("int")) for j in range(k)]))
-    return F.when(F.size(w) >= k, F.array_sort(F.array_distinct(rows))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(w) >= k, F.sort_array(F.array_distinct(rows))).otherwise(F.array().cast("array<bigint>"))
