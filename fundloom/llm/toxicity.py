@@ -12,13 +12,14 @@ is broadcast is one number per bucket.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-import regex as re
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ SIZES = (3, 4, 5, 6)
 LONGEST = 400
 SHORT = 28
 #: What the threshold is drawn towards, and how many flagged documents that counts as: one rule for any number of ratings.
-PRIOR_MARK, PRIOR_DOCS = 0.25, 5
+PRIOR_MARK, PRIOR_DOCS = 0.25, 20
 #: N-grams of no content that every passage has besides its own, so that a few words alone don't decide.
 EMPTY = 30
 
@@ -54,35 +55,33 @@ SOBER = (
 
 
 # Marks that are written on letters of scripts which are read without them; other scripts' signs are letters of their own.
-_MARKS = re.compile(r"[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670\p{Cf}]+")
+_MARKS = regex.compile(r"[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0670\p{Cf}]+")
 _LEET_WORD = re.compile(r"[a-z0-9@$!]*[a-z][013457@$!]+[a-z][a-z0-9@$!]*")
 _SPACED = re.compile(r"(?<![a-z])(?:[a-z][ .\-_]){2,}[a-z](?![a-z])")
 _STRETCHED = re.compile(r"([a-z])\1{2,}")
-_OTHER, _OTHER_ASCII = re.compile(r"[^\p{L}\p{M}*]+"), re.compile(r"[^a-z*]+")
+_OTHER, _OTHER_ASCII = regex.compile(r"[^\p{L}\p{M}*\n]+"), re.compile(r"[^a-z*\n]+")
+_ENDS = re.compile(r"(?<=[.!?。！？।؟])\s+|[\n\r\u2028\u2029]+")
 
 
 def clean(text: str) -> str:
-    """Text as the model sees it: no accents or invisible marks, lower case, leet letters and spaced or stretched words
-    undone, letters of every script kept."""
+    """Text as the model sees it, a line per sentence: no accents or invisible marks, lower case, leet letters and spaced
+    or stretched words undone, letters of every script kept."""
     text = text.lower()
     plain = text.isascii()
     if not plain:
         text = unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFKD", text).replace("ß", "ss")))
     text = _LEET_WORD.sub(lambda m: m[0].translate(_LEET), text)
     text = _SPACED.sub(lambda m: re.sub(r"[ .\-_]", "", m[0]), text)
-    text = _STRETCHED.sub(r"\1\1", text)
-    return (_OTHER_ASCII if plain else _OTHER).sub(" ", text).strip()
-
-
-_ENDS = re.compile(r"(?<=[.!?。！？।؟])\s+|[\n\r\u2028\u2029]+")
+    text = _ENDS.sub("\n", _STRETCHED.sub(r"\1\1", text))
+    return (_OTHER_ASCII if plain else _OTHER).sub(" ", text)
 
 
 def passages(text: str | None) -> list[str]:
     """Cleaned sentences of a text, long ones in pieces that overlap by a quarter; none for empty and null text. A sentence
     of a few words only goes with the one before it, the first one with the next."""
     out: list[str] = []
-    for raw in _ENDS.split(text or ""):
-        s = clean(raw)
+    for s in clean(text or "").split("\n"):
+        s = s.strip()
         if out and (len(s) < SHORT or len(out) == 1 and len(out[0]) < SHORT) and len(out[-1]) + len(s) < LONGEST:
             out[-1] = f"{out[-1]} {s}".strip()
             continue
@@ -218,7 +217,7 @@ def fit(docs: list[list[str]], rating: np.ndarray, folds: int = 3, spark: SparkS
     The mark has the best F1 over documents scored by a model of the other folds, drawn towards PRIOR_MARK as if
     PRIOR_DOCS flagged documents had asked for that; with no ratings it is PRIOR_MARK.
     """
-    hot, sober = [clean(t) for t in SEEDS], [clean(t) for t in SOBER]
+    hot, sober = [clean(t).strip() for t in SEEDS], [clean(t).strip() for t in SOBER]
     texts, owner = [p for d in docs for p in d], np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     held = packed([*texts, *hot, *sober])
     held = spark.sparkContext.broadcast(held) if spark else _Here(held)
