@@ -21,8 +21,10 @@ def millis_date(c: Column) -> Column:
 
 def term(c: Column) -> Column:
     """``struct(start, end)`` of "from Y" or "from Y to Y": first day of the first and last day of the last year."""
-    y = lambda i: F.nullif(F.regexp_extract(F.lower(F.coalesce(c, F.lit(""))), r"from\s+(\d{4})(?:\s+to\s+(\d{4}))?", i), F.lit(""))
-    return F.struct(F.concat(y(1), F.lit("-01-01")).alias("start"), F.concat(y(2), F.lit("-12-31")).alias("end"))
+    text = F.lower(F.coalesce(c, F.lit("")))
+    year = lambda word: F.nullif(F.regexp_extract(text, rf"\b{word}\s+([0-9]{{4}})", 1), F.lit(""))
+    start = year("from")
+    return F.struct(F.concat(start, F.lit("-01-01")).alias("start"), F.when(start.isNotNull(), F.concat(year("to"), F.lit("-12-31"))).alias("end"))
 
 
 def month_span(month: Column, months: Column) -> Column:
@@ -43,7 +45,8 @@ def year_start(c: Column) -> Column:
 
 
 def status_by_end(end: Column, today: str) -> Column:
-    return F.when(end.isNull(), None).when(end >= today, "active").otherwise("completed")
+    """Active until the end date, completed after it, unknown without one."""
+    return F.when(end.isNull(), "unknown").when(end >= today, "active").otherwise("completed")
 
 
 def status_word(c: Column) -> Column:
@@ -51,9 +54,10 @@ def status_word(c: Column) -> Column:
     return F.when(w.isin("SIGNED", "ONGOING"), "active").when(w.isin("CLOSED", "TERMINATED"), "completed").otherwise(F.nullif(F.lower(w), F.lit("")))
 
 
-def month_windows(first: str, last: str) -> str:
-    """SQL of a one-column table of months from ``last`` back to ``first``."""
-    return f"SELECT date_format(m, 'yyyy-MM-dd') AS month FROM (SELECT explode(sequence(date'{first}', date'{last}', interval 1 month)) AS m) ORDER BY m DESC"
+def month_windows(first: Column, last: Column) -> Column:
+    """Array of ``struct(start, end)``, the first and last day of each month that ``first`` to ``last`` touch, newest first."""
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("interval 1 month"))
+    return F.transform(F.reverse(months), lambda m: F.struct(F.date_format(m, "yyyy-MM-dd").alias("start"), F.date_format(F.last_day(m), "yyyy-MM-dd").alias("end")))
 
 
 def positive(c: Column) -> Column:

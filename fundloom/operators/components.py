@@ -12,7 +12,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """``(node, component)`` for every node with an edge; the component is its smallest node.
 
     Each round is two grouped minima (combined map-side) and two joins back, and the number of edges never grows. The
-    loop ends when a round changes nothing. Self loops, repeated edges and nulls are ignored.
+    loop ends when a round changes nothing; RuntimeError if that takes more than ``max_rounds``. Self loops, repeated edges and nulls are ignored.
     """
     x, y = F.col(a), F.col(b)
     e = cut(edges.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.greatest(x, y).alias("u"), F.least(x, y).alias("v")).distinct())
@@ -28,6 +28,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
         before, mark = mark, _mark(e)
         if before == mark:
             break
+    else:
+        raise RuntimeError(f"components aren't settled after {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 

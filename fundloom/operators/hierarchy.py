@@ -5,17 +5,24 @@
 2. Circle nodes are cut loose from their parents, which leaves a forest. Its Euler tour has an entry and an exit
    element per node and a successor for each; the tour is ranked by pointer doubling (parallel list ranking).
 3. Position and running weight of entry and exit give depth, root, subtree size and ancestor tests.
+4. Paths, ancestors and descendants come from the entry-exit intervals: a sweep over sorted entries keeps the intervals
+   that are open, which are the ancestors. A tree is swept in blocks of entries, each of which is given the intervals
+   that are open where it begins, so a tree that holds most nodes is many tasks.
 
 Joins in the list ranking are one to one (a successor is named by one element only), so a node with a third of all
-children is no hot key there. Its children are chained through salted buckets.
+children is no hot key there. Its children are chained through salted buckets, and it is looked up by broadcast where
+children ask for their parent. Leaves leave before the peel joins anything; a parent that many inner nodes share is left
+to the adaptive join there.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundloom.functions.instants import micros
+from fundloom.operators.skew import skew_safe_join
 from fundloom.session import cut
 
 SALTS = 256
@@ -30,7 +37,7 @@ def current_parents(field: DataFrame) -> DataFrame:
     latest = F.struct(F.coalesce(micros(F.col("as_of")), F.lit(-(2**62))), F.coalesce(F.col("parent_atlas_id"), F.lit("")))
     one = field.where("atlas_id is not null").select(F.col("atlas_id").alias("v"), latest.alias("x")).groupBy("v").agg(F.max("x").alias("x")).select("v", F.col("x.col2").alias("p"))
     one = cut(one)
-    named = one.where("p <> ''").join(one.select(F.col("v").alias("p"), F.col("v").alias("parent")), "p", "left").select("v", "parent")
+    named = skew_safe_join(one.where("p <> ''"), one.select(F.col("v").alias("p"), F.col("v").alias("parent")), "p").select("v", "parent")
     return named.unionByName(one.where("p = ''").select("v", F.lit(None).cast("string").alias("parent")))
 
 
@@ -105,12 +112,12 @@ def rank_tour(tour: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def hierarchy(field: DataFrame) -> DataFrame:
-    """Every node of ``field`` once: ``(atlas_id, parent, root_atlas_id, depth, entry, exit, below, circular)``.
+    """Every node of ``field`` once: ``(atlas_id, parent, root_atlas_id, depth, entry, exit, tree, below, circular)``.
 
     A field whose parent is null, empty or not in the table is a root of depth 0. A field that never reaches a root is
     circular: depth -1, root the smallest id of the circle it lies on or runs into. Within one tree ``a`` is an ancestor
-    of ``b`` exactly when ``a.entry < b.entry and b.exit < a.exit``; trees are told apart by (tour root =) root_atlas_id
-    where nothing is circular. ``below`` counts the fields below, along the circle for circular ones only the tree that
+    of ``b`` exactly when ``a.entry < b.entry and b.exit < a.exit``; ``tree`` is the root of a node's tour, a node on the
+    circle for circular ones. ``below`` counts the fields below, along the circle for circular ones only the tree that
     hangs on them. Empty input gives no rows; further columns of ``field`` are ignored.
     """
     parents = cut(current_parents(field))
@@ -123,28 +130,48 @@ def hierarchy(field: DataFrame) -> DataFrame:
     depth = F.when(F.col("least").isNull(), -F.col("weight")).otherwise(F.lit(-1).cast("long"))
     return at.join(end, "v").join(parents, "v").select(
         F.col("v").alias("atlas_id"), "parent", F.coalesce("least", "root").alias("root_atlas_id"), depth.alias("depth"),
-        (-F.col("enter_dist")).alias("entry"), (-F.col("exit_dist")).alias("exit"),
+        (-F.col("enter_dist")).alias("entry"), (-F.col("exit_dist")).alias("exit"), F.col("root").alias("tree"),
         ((F.col("enter_dist") - F.col("exit_dist") - 1) / 2).cast("long").alias("below"), F.col("least").isNotNull().alias("circular"),
     )
 
 
-def paths(field: DataFrame) -> DataFrame:
-    """``(atlas_id, path)``: ids from the root (or from the circle's node that was met first) down to the node itself.
-
-    Pointer doubling on parents: after ``k`` rounds a path holds the last ``2**k`` steps. A path is as long as the node
-    is deep, so the result is as large as the sum of depths and no larger.
+def _sweep(rows: pd.DataFrame) -> pd.DataFrame:
+    """Paths of a block's own nodes; ``own`` is false for the intervals that are open where the block begins."""
+    rows = rows.sort_values(["tree", "entry"], kind="stable")
+    ids, found = [], []
+    now, names, ends = None, [], []
+    for tree, node, entry, end, own in zip(rows["tree"], rows["atlas_id"], rows["entry"], rows["exit"], rows["own"], strict=True):
+        if tree != now:
+            now, names, ends = tree, [], []
+        while ends and ends[-1] < entry:
+            ends.pop()
+            names.pop()
+        ends.append(end)
+        names.append(node)
+        if own:
+            ids.append(node)
+            found.append(list(names))
+    return pd.DataFrame({"atlas_id": pd.Series(ids, dtype=object), "path": pd.Series(found, dtype=object)})
+
+
+def paths(nodes: DataFrame, block: int = 50_000) -> DataFrame:
+    """``(atlas_id, path)`` of a ``hierarchy``: ids from the root (or from the circle's node that was met first) down to
+    the node itself.
+
+    A task sweeps ``block`` positions of a tour, or several small trees, and holds one path at a time beside its result.
+    Paths are as long as nodes are deep, so the result is as large as the sum of depths.
     """
-    parents = cut(current_parents(field))
-    on = circle_nodes(parents).select("v", F.lit(True).alias("circle"))
-    state = cut(parents.join(on, "v", "left").select("v", F.when(F.col("circle").isNull(), F.col("parent")).alias("u"), F.array("v").alias("path")))
-    while not state.where("u is not null").isEmpty():
-        up = state.select(F.col("v").alias("u"), F.col("u").alias("u2"), F.col("path").alias("up"))
-        moved = state.where("u is not null").join(up, "u").select("v", F.col("u2").alias("u"), F.concat("up", "path").alias("path"))
-        state = cut(state.where("u is null").unionByName(moved))
-    return state.select(F.col("v").alias("atlas_id"), "path")
-
-
-def closure(field: DataFrame) -> DataFrame:
-    """``(ancestor, descendant, distance)`` for every field and all fields below it."""
-    p = paths(field)
+    some = max(1, 2 * nodes.count() // block)
+    at = lambda c: F.floor(c / block)
+    x = nodes.select("tree", "atlas_id", "entry", "exit")
+    own = x.withColumn("b", at(F.col("entry"))).withColumn("own", F.lit(True))
+    first, last = at(F.col("entry")) + 1, at(F.col("exit") - 1)
+    over = x.where(first <= last).withColumn("b", F.explode(F.sequence(first, last))).withColumn("own", F.lit(False))
+    bucket = F.pmod(F.xxhash64("tree"), F.lit(some))
+    return own.unionByName(over).groupBy(bucket.alias("k"), "b").applyInPandas(lambda rows: _sweep(rows), "atlas_id string, path array<string>")
+
+
+def closure(nodes: DataFrame) -> DataFrame:
+    """``(ancestor, descendant, distance)`` of a ``hierarchy``: every field and all fields below it."""
+    p = paths(nodes)
     return p.select(F.col("atlas_id").alias("descendant"), F.size("path").alias("n"), F.posexplode("path").alias("i", "ancestor")).where("i < n - 1").select("ancestor", "descendant", (F.col("n") - 1 - F.col("i")).cast("long").alias("distance"))

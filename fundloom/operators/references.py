@@ -60,36 +60,42 @@ def direct_orphans(links: DataFrame, targets: DataFrame, table: str) -> DataFram
     return joined.select(F.lit(table).alias("table_name"), "period", "src_id", "dst_id", reason.alias("reason")).where("reason is not null")
 
 
-def cascade(tables: dict[str, DataFrame], links: tuple[Link, ...] = LINKS, max_rounds: int = 32) -> DataFrame:
+def cascade(tables: dict[str, DataFrame], links: tuple[Link, ...] = LINKS, targets: dict[str, str] = TARGETS, levels: int | None = None, max_rounds: int = 32) -> DataFrame:
     """Direct and inherited orphans of all link tables: ``(table_name, period, src_id, dst_id, kind, reason, level)``.
 
-    ``tables`` holds the link tables and the target tables by name. Level 0 are the direct orphans. A record that is
-    missing makes every link that starts from it an inherited orphan; a target all of whose links are orphans is
-    orphaned in turn, and its own links follow on the next level. Each round is one semi-join of the links with the
-    keys found last, until no new key is found (or ``max_rounds``). Rounds are as many as the foreign-key graph is
-    deep, and each is cut from its lineage.
+    ``tables`` holds the link tables and the target tables by name; ``targets`` says which table holds an entity. Level 0
+    are the direct orphans. A record that is missing makes every link that starts from it an inherited orphan; a target
+    all of whose links are orphans is orphaned in turn, and its own links follow on the next level. Each round is one
+    semi-join of the links with the keys found last, until no new key is found, or through ``levels``. Rounds are as many
+    as the foreign-key graph is deep (circles end, since a key is found once), and each is cut from its lineage;
+    RuntimeError if they are more than ``max_rounds``. A record from which a large share of all links start is no hot
+    key: such keys are looked up by broadcast.
     """
-    direct = {x.table: cut(direct_orphans(tables[x.table], tables[TARGETS[x.dst]], x.table)) for x in links}
+    direct = {x.table: direct_orphans(tables[x.table], tables[targets[x.dst]], x.table) for x in links}
+    if levels != 0:
+        direct = {t: cut(d) for t, d in direct.items()}
     found = [d.select("table_name", "period", "src_id", "dst_id", F.lit("direct").alias("kind"), "reason", F.lit(0).alias("level")) for d in direct.values()]
-    plain = {x.table: tables[x.table].select(norm_key(F.col("src_id")).alias("src_key"), "src_id", norm_key(F.col("dst_id")).alias("dst_id"), month(micros(F.col("as_of"))).alias("period")).where("src_key is not null and dst_id is not null").distinct() for x in links}
-    frontier = {e: _union([direct[x.table].where("reason = 'missing'").select(F.col("dst_id").alias("key")) for x in links if x.dst == e]) for e in {x.dst for x in links}}
-    frontier = {e: cut(f.distinct()) for e, f in frontier.items()}
+    if levels == 0:
+        return _union(found)
+    plain = {x.table: cut(tables[x.table].select(norm_key(F.col("src_id")).alias("src_key"), "src_id", norm_key(F.col("dst_id")).alias("dst_id"), month(micros(F.col("as_of"))).alias("period")).where("src_key is not null and dst_id is not null").distinct()) for x in links if any(y.dst == x.src for y in links)}
+    within = lambda x, keys, how: skew_safe_join(plain[x.table], keys.withColumnRenamed("key", "src_key"), "src_key", how)
+    ends = {x.table: norm_key(F.col("dst_id")).alias("key") for x in links}
+    frontier = {e: cut(_union([direct[x.table].where("reason = 'missing'").select(F.col("dst_id").alias("key")) for x in links if x.dst == e]).distinct()) for e in {x.dst for x in links}}
     seen = dict(frontier)
-    for level in range(1, max_rounds + 1):
-        hit: dict[str, DataFrame] = {}
-        for x in links:
-            if x.src in frontier:
-                hit[x.table] = cut(plain[x.table].join(frontier[x.src].withColumnRenamed("key", "src_key"), "src_key", "left_semi"))
-                found.append(hit[x.table].select(F.lit(x.table).alias("table_name"), "period", "src_id", "dst_id", F.lit("inherited").alias("kind"), F.lit("parent").alias("reason"), F.lit(level).alias("level")))
+    level = 0
+    while frontier and level != levels:
+        level += 1
+        if level > max_rounds:
+            raise RuntimeError(f"orphans aren't settled after {max_rounds} rounds")
+        hit = {x.table: cut(within(x, frontier[x.src], "left_semi")) for x in links if x.src in frontier}
+        found += [h.select(F.lit(t).alias("table_name"), "period", "src_id", "dst_id", F.lit("inherited").alias("kind"), F.lit("parent").alias("reason"), F.lit(level).alias("level")) for t, h in hit.items()]
         after: dict[str, DataFrame] = {}
         for e in {x.dst for x in links if x.table in hit and any(y.src == x.dst for y in links)}:
             into = [x for x in links if x.dst == e]
             lost = _union([hit[x.table].select(F.col("dst_id").alias("key")) for x in into if x.table in hit]).distinct()
-            alive = _union([plain[x.table].join(seen[x.src].withColumnRenamed("key", "src_key"), "src_key", "left_anti").select(F.col("dst_id").alias("key")) if x.src in seen else plain[x.table].select(F.col("dst_id").alias("key")) for x in into])
+            alive = _union([within(x, seen[x.src], "left_anti").select(F.col("dst_id").alias("key")) if x.src in seen else tables[x.table].select(ends[x.table]) for x in into]).where("key is not null").distinct()
             after[e] = cut(lost.join(alive, "key", "left_anti").join(seen[e], "key", "left_anti"))
         frontier = {e: f for e, f in after.items() if not f.isEmpty()}
-        if not frontier:
-            break
         seen |= {e: cut(seen[e].unionByName(f)) for e, f in frontier.items()}
     return _union(found)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundloom.session import cut
@@ -69,7 +69,7 @@ def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left
     """``left`` joined to ``right``, whose ``key`` is unique, when a few keys may hold most rows of ``left``.
 
     Keys with at least ``share`` of the rows of ``left`` are at most ``1/share``; the matching rows of ``right`` are
-    as few, so that part is broadcast. All other rows shuffle on a key that no longer is hot. Hot keys are looked for in
+    as few, so that part is broadcast. ``how`` may be a semi or anti join too (``right`` then needs no unique key). All other rows shuffle on a key that no longer is hot. Hot keys are looked for in
     the ``key`` column of ``keys_of``, the rows that ``left`` was made from where making it is dear; it is read two or
     three times, one column only. Null keys match nothing and stay where ``how`` keeps them.
     """
@@ -80,13 +80,20 @@ def skew_safe_join(left: DataFrame, right: DataFrame, key: str, how: str = "left
     return left.where(is_hot).join(F.broadcast(right.where(is_hot)), key, how).unionByName(left.where(~is_hot).join(right.where(~is_hot), key, how))
 
 
+def _folded(x: Column) -> Column:
+    """A logarithm that grows with ``x`` over all doubles: 0 at zero, about 1 to 1457 in size from the least to infinity."""
+    return F.when(x == 0, 0.0).otherwise(F.signum(x) * (F.least(F.log(F.abs(x)), F.lit(711.0)) + 746))
+
+
 def grouped_quantiles(df: DataFrame, key: str, value: str, qs: Sequence[float], small: int = 100_000, buckets: int = 256) -> DataFrame:
     """Exact quantiles per key: ``(key, q, n, value)``, ``value`` being the element of rank ``max(1, ceil(q * n))``.
 
-    Keys of at most ``small`` rows are ranked by a window. A larger key is resolved by selection: its values are
-    counted in ``buckets`` equal steps between its least and greatest value, the bucket that holds the wanted rank is
-    kept with its own least and greatest value, and so on until that bucket holds a single value. Each round moves
-    counts only. The open intervals are at most ``len(qs) * rows / small``; they are broadcast while they are few
+    Keys of at most ``small`` rows are ranked by a window, which is cheaper and gives the same values; a task's share is
+    bounded by ``small``. A larger key is resolved by selection: its values are counted in ``buckets`` equal steps
+    between its least and greatest value, the bucket that holds the wanted rank is kept with its own least and greatest
+    value, and so on until that bucket holds a single value. Steps are equal in the logarithm (folded at zero, infinities
+    at its ends) while the values lie more than a factor of e apart, so that far outliers cost no rounds; ten rounds
+    settle any doubles. Each round moves counts only. The open intervals are at most ``len(qs) * rows / small``; they are broadcast while they are few
     (checked) and joined on a salted key beyond.
 
     Null keys, null values and NaN take no part. Ties count with their multiplicity. Empty input gives no rows.
@@ -118,7 +125,10 @@ def grouped_quantiles(df: DataFrame, key: str, value: str, qs: Sequence[float],
         else:
             salts = 64
             met = rows.withColumn("s", F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(salts))).join(targets.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long")), ["key", "s"]).drop("s")
-        step = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))
+        v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+        wide = _folded(hi) - _folded(lo) > 1
+        part = F.when(wide, (_folded(v) - _folded(lo)) / (_folded(hi) - _folded(lo))).otherwise((v - lo) / (hi - lo))
+        step = F.least(F.floor(part * buckets), F.lit(buckets - 1))
         counts = (
             met.where("v between lo and hi")
             .groupBy("key", "q", "n", "rank", step.alias("b"))

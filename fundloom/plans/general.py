@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from fundloom.functions.instants import micros
 from fundloom.operators import hierarchy as h
-from fundloom.operators.references import LINKS, cascade, direct_orphans
+from fundloom.operators.references import LINKS, cascade
 from fundloom.operators.references import TARGETS as HELD_IN
 from fundloom.operators.skew import grouped_quantiles, heavy_keys, key_totals
+from fundloom.session import cut
 from fundloom.sources.tables import table
 
 SKEWED = ("funder_grant", "grant_work")
@@ -44,9 +45,7 @@ def _graph(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
     """Distinct links to a target that is missing or came later: level 0 of the cascade."""
-    g = _graph(spark, root)
-    parts = [direct_orphans(g[x.table], g[HELD_IN[x.dst]], x.table) for x in LINKS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("table_name", "period", "src_id", "dst_id")
+    return cascade(_graph(spark, root), levels=0).select("table_name", "period", "src_id", "dst_id")
 
 
 def p3_cascade(spark: SparkSession, root: str) -> DataFrame:
@@ -61,14 +60,13 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 
 def p4_tree(spark: SparkSession, root: str) -> DataFrame:
     """Path, depth, root and number of fields below for each field."""
-    f = table(spark, root, "field")
-    t = h.hierarchy(f).join(h.paths(f), "atlas_id")
-    return t.select("atlas_id", F.array_join("path", "/").alias("path"), "depth", "root_atlas_id", "below")
+    t = cut(h.hierarchy(table(spark, root, "field")))
+    return t.join(h.paths(t), "atlas_id").select("atlas_id", F.array_join("path", "/").alias("path"), "depth", "root_atlas_id", "below")
 
 
 def p4_below(spark: SparkSession, root: str) -> DataFrame:
     """Each field with each field below it."""
-    return h.closure(table(spark, root, "field"))
+    return h.closure(cut(h.hierarchy(table(spark, root, "field"))))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_totals, p1_quantiles, p3_found, p3_cascade, p4_found, p4_tree, p4_below)}
@@ -99,6 +97,11 @@ ORACLES = {
         for t in SKEWED
     ),
     "p3_found": _ORPHANS,
+    "p3_cascade": f"""WITH d AS ({_ORPHANS.replace("DISTINCT ", "DISTINCT (t.atlas_id IS NULL) AS missing, ")}),
+      l AS (SELECT DISTINCT 'grant_org' AS table_name, strftime(as_of::timestamptz AT TIME ZONE 'UTC', '%Y-%m') AS period, src_id, lower(trim(dst_id)) AS dst_id FROM grant_org WHERE trim(dst_id) <> ''
+        UNION ALL SELECT DISTINCT 'grant_work', strftime(as_of::timestamptz AT TIME ZONE 'UTC', '%Y-%m'), src_id, lower(trim(dst_id)) FROM grant_work WHERE trim(dst_id) <> '')
+      SELECT table_name, period, 'direct' AS kind, CASE WHEN missing THEN 'missing' ELSE 'early' END AS reason, 0 AS level, count(*) AS links FROM d GROUP BY ALL
+      UNION ALL SELECT table_name, period, 'inherited', 'parent', 1, count(*) FROM l WHERE lower(trim(src_id)) IN (SELECT dst_id FROM d WHERE table_name = 'funder_grant' AND missing) GROUP BY ALL""",
     "p4_found": f"""{_TREE}, ring AS (SELECT v, p FROM par WHERE v NOT IN (SELECT v FROM down)),
       up AS (SELECT v, p AS u FROM ring UNION SELECT u.v, r.p FROM up u JOIN ring r ON u.u = r.v)
       SELECT v AS atlas_id, root AS root_atlas_id, depth FROM down

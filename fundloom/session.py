@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,12 @@ def get_session(app: str = "fundloom", master: str | None = None, **conf: str) -
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and forget its lineage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary one is made. Files are reliable copies, so a lost executor costs no recomputation.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset and everything runs on
+    this machine (tests) a temporary one is made. Files are reliable copies, so a lost executor costs no recomputation.
     """
     sc = df.sparkSession.sparkContext
     if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="fundloom-checkpoint-"))
     return df.checkpoint(eager=True)

@@ -41,14 +41,33 @@ def test_intervals_paths_and_closure(spark):
     assert up == {"a": set(), "b": {"a"}, "c": {"a"}, "d": {"a", "b"}, "e": {"a", "b", "d"}}
     assert {k: h[k].below for k in tree} == {"a": 4, "b": 2, "c": 0, "d": 1, "e": 0}
     assert (h["z"].root_atlas_id, h["z"].depth, h["s"].root_atlas_id, h["s"].depth) == ("x", -1, "s", -1)
-    assert dict(rows(paths(frame(spark, parent))))["e"] == ["a", "b", "d", "e"]
-    assert {r[:2] for r in rows(closure(frame(spark, parent)))} == {("a", "b"), ("a", "c"), ("a", "d"), ("a", "e"), ("b", "d"), ("b", "e"), ("d", "e"), ("x", "z")}
+    assert dict(rows(paths(hierarchy(frame(spark, parent)))))["e"] == ["a", "b", "d", "e"]
+    assert {r[:2] for r in rows(closure(hierarchy(frame(spark, parent))))} == {("a", "b"), ("a", "c"), ("a", "d"), ("a", "e"), ("b", "d"), ("b", "e"), ("d", "e"), ("x", "z")}
+
+
+def test_paths_by_blocks(spark):
+    """Trees that span many blocks, and many that share one, give the paths that walking up gives."""
+    rnd = random.Random(6)
+    parent = {f"f{i:03}": f"f{rnd.randrange(max(0, i - 6), i):03}" if i else None for i in range(120)} | {f"s{i:03}": "f000" if i < 60 else None for i in range(80)} | {f"c{i}": f"c{(i + 1) % 3}" for i in range(3)} | {"d0": "c1", "d1": "d0"}
+    nodes = hierarchy(frame(spark, parent)).cache()
+
+    def up(k):
+        out, x = [k], k
+        while x[0] != "c" and parent[x] is not None:
+            x = parent[x]
+            out.append(x)
+        return out[::-1]
+
+    for block in (7, 50_000):
+        assert dict(rows(paths(nodes, block))) == {k: up(k) for k in parent}
+    want = {(a, k, len(up(k)) - 1 - i) for k in parent for i, a in enumerate(up(k)[:-1])}
+    assert set(rows(closure(nodes), "ancestor", "descendant", "distance")) == want
 
 
 def test_latest_row_counts_and_edges(spark):
     f = frame(spark, {"a": None}, [("b", "a", "2024-01-01T10:00:00+05:30"), ("b", None, "2024-01-01T04:00:00Z"), ("c", "b", None), (None, "a", None)])
     assert {a: d for a, d in rows(hierarchy(f), "atlas_id", "depth")} == {"a": 0, "b": 1, "c": 2}
-    assert rows(hierarchy(f.limit(0))) == [] and rows(closure(f.limit(0))) == []
+    assert rows(hierarchy(f.limit(0))) == [] and rows(closure(hierarchy(f.limit(0)))) == []
 
 
 def test_star(spark):

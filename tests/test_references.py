@@ -1,6 +1,7 @@
+import pytest
 from conftest import rows
 
-from fundloom.operators.references import cascade, direct_orphans
+from fundloom.operators.references import Link, cascade, direct_orphans
 
 LINK = "src_id string, dst_id string, as_of string, atlas_id string"  # a clashing column that must not matter
 
@@ -32,3 +33,25 @@ def test_cascade(spark):
     }
     got = rows(cascade(tables), "table_name", "src_id", "dst_id", "kind", "level")
     assert got == [("funder_grant", "f", "grant:9", "direct", 0), ("grant_org", "grant:9", "org:1", "inherited", 1), ("grant_work", "grant:1", "work:7", "direct", 0), ("grant_work", "grant:9", "work:1", "inherited", 1)]
+
+
+def test_cascade_through_three_levels(spark):
+    """funder, grant, work, field: what hangs on a missing funder only is orphaned level by level; what another grant
+    also names lives on. A hot source and links in a circle change nothing."""
+    at = "2024-05-01T00:00:00Z"
+    link = lambda *p: spark.createDataFrame([(a, b, at) for a, b in p], "src_id string, dst_id string, as_of string")
+    ent = lambda *k: spark.createDataFrame([(x, "2020-01-01T00:00:00Z") for x in k], "atlas_id string, as_of string")
+    graph = (Link("programme_funder", "programme", "funder"), Link("funder_grant", "funder", "grant"), Link("grant_work", "grant", "work"), Link("work_field", "work", "field"), Link("field_work", "field", "work"))
+    held_in = {"funder": "funder_record", "grant": "grant_record", "work": "work_record", "field": "field"}
+    tables = {
+        "programme_funder": link(("p", "f9"), ("p", "f1")), "funder_grant": link(("F9 ", "g1"), ("f9", "g2"), ("f1", "g2")), "grant_work": link(*[("g1", f"w{i}") for i in range(300)], ("g2", "w1")), "work_field": link(("w0", "x0"), ("w1", "x1")), "field_work": link(("x0", "w0")),
+        "funder_record": ent("f1"), "grant_record": ent("g1", "g2"), "work_record": ent(*[f"w{i}" for i in range(300)]), "field": ent("x0", "x1"),
+    }
+    counts = lambda df: {(r[0], r[1], r[2]): r[3] for r in df.groupBy("table_name", "kind", "level").count().collect()}
+    upper = {("programme_funder", "direct", 0): 1, ("funder_grant", "inherited", 1): 2, ("grant_work", "inherited", 2): 300}
+    assert counts(cascade(tables, graph, held_in)) == upper
+    # w0 is also named by a field's link, which isn't an orphan, so it lives on; without that table it doesn't.
+    assert counts(cascade(tables, graph[:4], held_in)) == upper | {("work_field", "inherited", 3): 1}
+    assert {r.level for r in cascade(tables, graph, held_in, levels=1).select("level").distinct().collect()} == {0, 1}
+    with pytest.raises(RuntimeError):
+        cascade(tables, graph[:4], held_in, max_rounds=2)

@@ -38,6 +38,18 @@ def test_quantiles_against_sorting(spark):
                 assert got[k, q] == (len(x), x[max(1, math.ceil(q * len(x))) - 1])
 
 
+def test_quantiles_of_extreme_values(spark):
+    """Infinities, denormals, neighbours and values of all magnitudes are settled in a few rounds."""
+    inf, rnd = math.inf, random.Random(7)
+    sets = {
+        "inf": [float(i) for i in range(20)] + [inf], "both": [-inf, inf, 1.0, -1.0] * 5, "denormal": [5e-324 * i for i in range(-10, 11)], "next": [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0)] * 7,
+        "wide": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-320, 308) for _ in range(60)], "top": [1.7e308, -1.7e308, 0.0, -0.0, inf, 1.7976931348623157e308] * 4,
+    }
+    qs = (0.0, 0.1, 0.5, 0.95, 1.0)
+    got = {(k, q): v for k, q, _, v in rows(grouped_quantiles(spark.createDataFrame([(k, v) for k, x in sets.items() for v in x], "k string, v double"), "k", "v", qs, small=5, buckets=4))}
+    assert got == {(k, q): sorted(x)[max(1, math.ceil(q * len(x))) - 1] for k, x in sets.items() for q in qs}
+
+
 def test_quantiles_of_nothing(spark):
     assert rows(grouped_quantiles(spark.createDataFrame([], "k string, v double"), "k", "v", (0.5,))) == []
 
