@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,19 +59,37 @@ def spearman(df: DataFrame, a: str, b: str, key: str) -> DataFrame:
 
 def drawn(seed: int, *key: Column, n: Column) -> Column:
     """A draw from 0..n-1 that any SQL engine can repeat: leading 32 bits of an MD5, modulo n."""
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in key])), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(h, n)
+    return F.pmod(_bits(seed, *key), n)
+
+
+def _bits(seed: int, *key: Column) -> Column:
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in key])), 1, 8), 16, 10).cast("bigint")
+
+
+#: Of 2**32 equal draws, those from here on have a Poisson count (of mean 1) of more than 0, 1, 2 ...
+POISSON = tuple(int(2**32 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))) for k in range(11))
 
 
-def bootstrap(df: DataFrame, value: str, draws: int, seed: int) -> DataFrame:
-    """``(b, mean, n)``: means of ``draws`` resamples with replacement of the numbered rows ``(i, value)``, i from 0.
+def resampled(df: DataFrame, key: Column, draws: int, seed: int) -> DataFrame:
+    """``df`` once per draw ``b`` it takes part in, with ``w``, how often: the Poisson bootstrap.
 
-    Each resample is a table of drawn numbers joined to the rows; it is meant for per-entity statistics, whose number is
-    that of entities, not of records.
+    A row's weight depends on seed, draw and key only, so resampling needs no numbering, no join and no cross product:
+    rows are exploded where they are, and sums per draw are combined map-side. Rows of equal key share their weights.
     """
-    n = df.count()
-    idx = df.sparkSession.range(draws).withColumnRenamed("id", "b").join(df.select("i").withColumnRenamed("i", "j"), how="cross") if n <= 10_000 else None
-    if idx is None:
-        raise ValueError("bootstrap is for at most 10,000 entities")
-    picked = idx.withColumn("i", drawn(seed, F.col("b"), F.col("j"), n=F.lit(n)))
-    return picked.join(F.broadcast(df.select("i", value)), "i").groupBy("b").agg(F.avg(value).alias("mean"), F.count("*").alias("n"))
+    u = df.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long")))).withColumn("u", _bits(seed, F.col("b"), key))
+    return u.withColumn("w", sum(((F.col("u") >= t).cast("long") for t in POISSON), F.lit(0).cast("long"))).where("w > 0").drop("u")
+
+
+def resampled_sql(rows: str, key: str, draws: int, seed: int) -> str:
+    """The rows of ``resampled`` in SQL."""
+    weight = " + ".join(f"(u >= {t})::BIGINT" for t in POISSON)
+    return f"(SELECT * FROM (SELECT *, {weight} AS w FROM (SELECT *, ('0x' || substr(md5('{seed}:' || b || ':' || ({key})), 1, 8))::UBIGINT AS u FROM {rows}, range({draws}) t(b))) WHERE w > 0)"
+
+
+def gini_draws(df: DataFrame, value: str, key: str, draws: int, seed: int) -> DataFrame:
+    """``(b, gini)`` of each resample of ``df``. Weights are summed by value first: a draw is as many rows as there are
+    different values, whatever the number of entities. Draws of nothing or of zeros drop out."""
+    x = resampled(df.select(F.col(key).alias("k"), F.col(value).cast("double").alias("x")).where("x is not null"), F.col("k"), draws, seed).groupBy("b", "x").agg(F.sum("w").alias("w"))
+    upto = F.sum("w").over(Window.partitionBy("b").orderBy("x").rowsBetween(Window.unboundedPreceding, -1))
+    y = x.withColumn("before", F.coalesce(upto, F.lit(0))).groupBy("b").agg(F.sum("w").alias("n"), F.sum(F.col("x") * F.col("w")).alias("s"), F.sum(F.col("x") * F.col("w") * (2 * F.col("before") + F.col("w"))).alias("t"))
+    return y.select("b", F.try_divide(F.col("t") - F.col("n") * F.col("s"), F.col("n") * F.col("s")).alias("gini")).where("gini is not null")

@@ -6,11 +6,14 @@ total order. Sums over a path that fans out are taken before it does.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundloom.plans.graph import Graph, with_views
 
+LEVELS = ("domain", "field", "subfield", "topic")
 MAX_LIMIT, DEFAULT_LIMIT, MIN_YEAR, MAX_YEAR, MAX_TERM = 200, 25, 1900, 2100, 120
 
 
@@ -41,20 +44,30 @@ def _named(df: DataFrame, entity: DataFrame, key: str, *columns: str) -> DataFra
     return df.join(entity.select(F.col("atlas_id").alias(key), *columns), key)
 
 
+#: What ``stats`` counts, by result column: attribute of the graph, and view in SQL.
+COUNTED = {
+    "funders": ("funder", "funder"), "grants": ("grant", "grants"), "organizations": ("organization", "org"), "persons": ("person", "persons"), "works": ("work", "work"), "fields": ("field", "fields"),
+    "funder_grant_edges": ("funder_grant", "fg"), "grant_org_edges": ("grant_org", "go"), "grant_person_edges": ("grant_person", "grant_person"), "grant_work_edges": ("grant_work", "gw"), "person_org_edges": ("person_org", "person_org"), "work_field_edges": ("work_field", "work_field"),
+}
+
+
 def stats(g: Graph) -> DataFrame:
-    parts = {"funders": g.funder, "grants": g.grant, "organizations": g.organization, "works": g.work, "fields": g.field, "funder_grant_edges": g.funder_grant, "grant_org_edges": g.grant_org, "grant_work_edges": g.grant_work, "work_field_edges": g.work_field}
-    out = g.grant.agg(F.round(F.sum("amount_usd"), 2).alias("usd_funded"))
-    for name, df in parts.items():
-        out = out.crossJoin(df.agg(F.count("*").alias(name)))  # one row each
-    return out
+    """One row of totals: each table gives one row, and these few are turned into columns."""
+    usd = g.grant.agg(F.lit("usd_funded").alias("k"), F.round(F.sum("amount_usd"), 2).alias("n"))
+    rows = reduce(DataFrame.unionByName, [getattr(g, t).agg(F.lit(k).alias("k"), F.count("*").cast("double").alias("n")) for k, (t, _) in COUNTED.items()], usd)
+    of = lambda k: F.max(F.when(F.col("k") == k, F.col("n")))
+    return rows.agg(*[of(k).cast("long").alias(k) for k in COUNTED], of("usd_funded").alias("usd_funded"))
 
 
 def funders(g: Graph, limit: int = DEFAULT_LIMIT) -> DataFrame:
     n = _ids(g.funder_grant, "atlas_id", "grant_id").groupBy("atlas_id").agg(F.count_distinct("grant_id").alias("grants"))
-    return g.funder.join(n, "atlas_id", "left").withColumn("grants", F.coalesce("grants", F.lit(0))).orderBy(F.desc("grants"), "atlas_id").limit(clamp_limit(limit))
+    f = g.funder.select("atlas_id", "name", "short_name", "country_code", "funder_type", "ror_id", "homepage")
+    return f.join(n, "atlas_id", "left").withColumn("grants", F.coalesce("grants", F.lit(0))).orderBy(F.desc("grants"), "atlas_id").limit(clamp_limit(limit))
 
 
 def funder_portfolio(g: Graph, funder_id: int = 1, level: str = "topic", limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """A funder's works by field of one level; an unknown level counts as ``topic``."""
+    level = level if level in LEVELS else "topic"
     mine = _ids(g.funder_grant, "funder_id", "grant_id").where(F.col("funder_id") == funder_id)
     p = mine.join(_ids(g.grant_work, "grant_id", "work_id"), "grant_id").join(_ids(g.work_field, "work_id", "field_id"), "work_id")
     a = p.groupBy("field_id").agg(F.count_distinct("work_id").alias("works"), F.count_distinct("grant_id").alias("grants"))
@@ -70,7 +83,8 @@ def field_top_funders(g: Graph, field_id: str = "bBrand#12", limit: int = DEFAUL
 
 def field_top_works(g: Graph, field_id: str = "bBrand#12", limit: int = DEFAULT_LIMIT) -> DataFrame:
     w = _ids(g.work_field, "atlas_id", "field_id").where(F.col("field_id") == field_id).select("atlas_id")
-    return g.work.join(w, "atlas_id", "left_semi").orderBy(F.desc("cited_by_count"), "atlas_id").limit(clamp_limit(limit))
+    work = g.work.select("atlas_id", "title", "doi", "openalex_id", "publication_year", "type", "cited_by_count", "is_oa")
+    return work.join(w, "atlas_id", "left_semi").orderBy(F.desc("cited_by_count"), "atlas_id").limit(clamp_limit(limit))
 
 
 def org_summary(g: Graph, ror: str = "https://ror.org/000000001") -> DataFrame:
@@ -79,31 +93,33 @@ def org_summary(g: Graph, ror: str = "https://ror.org/000000001") -> DataFrame:
     usd = g.grant.select(F.col("atlas_id").alias("grant_id"), "amount_usd").join(mine, "grant_id").groupBy("org_id").agg(F.count_distinct("grant_id").alias("grants"), F.round(F.sum("amount_usd"), 2).alias("usd_funded"))
     works = _ids(g.grant_work, "grant_id", "work_id").join(mine, "grant_id").groupBy("org_id").agg(F.count_distinct("work_id").alias("works"))
     out = o.withColumnRenamed("atlas_id", "org_id").join(usd, "org_id", "left").join(works, "org_id", "left")
-    return out.select(F.col("org_id").alias("atlas_id"), "name", "ror_id", "country_code", "org_type", F.coalesce("grants", F.lit(0)).alias("grants"), "usd_funded", F.coalesce("works", F.lit(0)).alias("works"))
+    return out.select(F.col("org_id").alias("atlas_id"), "name", "ror_id", "country_code", "city", "org_type", "homepage", F.coalesce("grants", F.lit(0)).alias("grants"), "usd_funded", F.coalesce("works", F.lit(0)).alias("works"))
 
 
 def search(g: Graph, term: str = "00", kind: str = "all", limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Three searches, each cut to the limit, concatenated and cut again. % and _ in the term are wildcards."""
-    like = F.lower("name").like(f"%{clean_term(term).lower()}%")
+    """Three searches, each cut to the limit, concatenated and cut again. % and _ in the term are wildcards. Shorter names
+    come first, among fields those of the level ``field`` before others. A blank term finds nothing; an unknown kind
+    counts as ``all``."""
+    wanted = clean_term(term).lower()
+    like = F.lower("name").like(f"%{wanted}%") if wanted else F.lit(False)
     n = clamp_limit(limit)
     none = F.lit(None).cast("string")
+    first = F.lit(0)
     parts = {
-        "funder": g.funder.where(like).select(F.lit(1).alias("rank"), F.lit("funder").alias("kind"), F.col("atlas_id").cast("string").alias("id"), "name", F.col("funder_type").alias("detail"), "country_code"),
-        "field": g.field.where(like).select(F.lit(2).alias("rank"), F.lit("field").alias("kind"), F.col("atlas_id").alias("id"), "name", F.col("level").alias("detail"), none.alias("country_code")),
-        "org": g.organization.where(like & F.col("ror_id").isNotNull()).select(F.lit(3).alias("rank"), F.lit("org").alias("kind"), F.col("ror_id").alias("id"), "name", F.col("org_type").alias("detail"), "country_code"),
+        "funder": g.funder.where(like).select(F.lit(1).alias("rank"), first.alias("late"), F.lit("funder").alias("kind"), F.col("atlas_id").cast("string").alias("id"), "name", F.col("funder_type").alias("detail"), "country_code"),
+        "field": g.field.where(like).select(F.lit(2).alias("rank"), (F.col("level") != "field").cast("int").alias("late"), F.lit("field").alias("kind"), F.col("atlas_id").alias("id"), "name", F.col("level").alias("detail"), none.alias("country_code")),
+        "org": g.organization.where(like & F.col("ror_id").isNotNull()).select(F.lit(3).alias("rank"), first.alias("late"), F.lit("org").alias("kind"), F.col("ror_id").alias("id"), "name", F.col("org_type").alias("detail"), "country_code"),
     }
-    picked = [p.orderBy(F.length("name"), "name", "id").limit(n) for k, p in parts.items() if kind not in parts or k == kind]
-    out = picked[0]
-    for p in picked[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("rank", F.length("name"), "name", "id").limit(n).drop("rank")
+    order = ["late", F.length("name"), "name", "id"]
+    picked = [p.orderBy(*order).limit(n) for k, p in parts.items() if kind not in parts or k == kind]
+    return reduce(DataFrame.unionByName, picked).orderBy("rank", *order).limit(n).drop("rank", "late")
 
 
 def top_funders_by_output(g: Graph, topic: str = "brand#1", year_from: int = 1996, year_to: int = 1998, limit: int = 15) -> DataFrame:
     a, b = clamp_years(year_from, year_to)
     f = g.field.where(F.lower("name").like(f"%{clean_term(topic).lower()}%")).select(F.col("atlas_id").alias("field_id"))
     w = g.work.where(F.col("publication_year").between(a, b)).select(F.col("atlas_id").alias("work_id"))
-    p = _ids(g.work_field, "work_id", "field_id").join(F.broadcast(f), "field_id", "left_semi").join(w, "work_id", "left_semi").join(_ids(g.grant_work, "grant_id", "work_id"), "work_id").join(_ids(g.funder_grant, "funder_id", "grant_id"), "grant_id")
+    p = _ids(g.work_field, "work_id", "field_id").join(f, "field_id", "left_semi").join(w, "work_id", "left_semi").join(_ids(g.grant_work, "grant_id", "work_id"), "work_id").join(_ids(g.funder_grant, "funder_id", "grant_id"), "grant_id")
     n = p.groupBy("funder_id").agg(F.count_distinct("work_id").alias("works"), F.count_distinct("grant_id").alias("grants"))
     return _named(n, g.funder.withColumnRenamed("name", "funder"), "funder_id", "funder", "short_name", "country_code").orderBy(F.desc("works"), "funder_id").limit(clamp_limit(limit)).drop("funder_id")
 
@@ -116,21 +132,26 @@ def org_funding_vs_output(g: Graph, min_grants: int = 5, limit: int = DEFAULT_LI
     return out.orderBy(F.desc_nulls_last("usd"), "org_id").limit(clamp_limit(limit)).select("name", "country_code", "ror_id", "grants", F.round("usd", 2).alias("usd_funded"), "works", F.round(F.try_divide(F.col("works") * 1e6, F.nullif("usd", F.lit(0.0))), 3).alias("works_per_million_usd"))
 
 
-def _windows(g: Graph, by: str = "field_id") -> DataFrame:
+EARLY, LATE = (1995, 1995), (1996, 2001)
+
+
+def _windows(g: Graph, early: tuple[int, int] = EARLY, late: tuple[int, int] = LATE) -> DataFrame:
     """Distinct works of two windows per field, in one aggregation."""
     w = g.work.select(F.col("atlas_id").alias("work_id"), "publication_year")
     y = F.col("publication_year")
-    return _ids(g.work_field, "work_id", "field_id").join(w, "work_id").groupBy(by).agg(F.count_distinct(F.when(y.between(1995, 1995), F.col("work_id"))).alias("early"), F.count_distinct(F.when(y.between(1996, 2001), F.col("work_id"))).alias("late"), F.count_distinct("work_id").alias("total"))
+    of = lambda years: F.count_distinct(F.when(y.between(*clamp_years(*years)), F.col("work_id")))
+    return _ids(g.work_field, "work_id", "field_id").join(w, "work_id").groupBy("field_id").agg(of(early).alias("early"), of(late).alias("late"), F.count_distinct("work_id").alias("total"))
 
 
-def rising_fields(g: Graph, min_late: int = 1, limit: int = 20) -> DataFrame:
-    x = _named(_windows(g), g.field, "field_id", "name").where(F.col("late") >= min_late).withColumn("growth_ratio", F.round(F.try_divide("late", F.nullif("early", F.lit(0))), 3))
+def rising_fields(g: Graph, early: tuple[int, int] = EARLY, late: tuple[int, int] = LATE, min_late: int = 1, limit: int = 20) -> DataFrame:
+    x = _named(_windows(g, early, late), g.field, "field_id", "name").where(F.col("late") >= clamp_limit(min_late, 30)).withColumn("growth_ratio", F.round(F.try_divide("late", F.nullif("early", F.lit(0))), 3))
     return x.orderBy(F.desc_nulls_last("growth_ratio"), F.desc("late"), "name").limit(clamp_limit(limit)).select("name", "early", "late", "growth_ratio")
 
 
 def rising_falling(g: Graph, min_total: int = 2, limit: int = 12) -> DataFrame:
     x = _named(_windows(g), g.field, "field_id", "name").where(F.col("total") >= min_total).withColumn("growth_ratio", F.round(F.try_divide("late", F.nullif("early", F.lit(0))), 3))
     x = x.where("growth_ratio is not null")
+    limit = clamp_limit(limit)
     up = x.orderBy(F.desc("growth_ratio"), F.desc("total"), "name").limit(limit).withColumn("direction", F.lit("rising"))
     down = x.orderBy("growth_ratio", F.desc("total"), "name").limit(limit).withColumn("direction", F.lit("falling"))
     return up.unionByName(down).drop("field_id")
@@ -138,7 +159,7 @@ def rising_falling(g: Graph, min_total: int = 2, limit: int = 12) -> DataFrame:
 
 def cross_funder_orgs(g: Graph, limit: int = 20) -> DataFrame:
     e = _ids(g.grant_org, "grant_id", "org_id").join(_ids(g.funder_grant, "funder_id", "grant_id"), "grant_id")
-    s = e.join(F.broadcast(g.funder.select(F.col("atlas_id").alias("funder_id"), "short_name")), "funder_id")
+    s = e.join(g.funder.select(F.col("atlas_id").alias("funder_id"), "short_name"), "funder_id")
     a = s.groupBy("org_id").agg(F.count_distinct("funder_id").alias("funders"), F.array_join(F.array_sort(F.collect_set("short_name")), ", ").alias("funder_list"), F.count_distinct("grant_id").alias("grants"))
     return _named(a, g.organization, "org_id", "name", "country_code", "ror_id").orderBy(F.desc("funders"), F.desc("grants"), "org_id").limit(clamp_limit(limit)).drop("org_id")
 
@@ -163,18 +184,18 @@ def by_year(g: Graph) -> DataFrame:
 
 def top_funders_usd(g: Graph, limit: int = 20) -> DataFrame:
     a = _ids(g.funder_grant, "funder_id", "grant_id").join(g.grant.select(F.col("atlas_id").alias("grant_id"), "amount_usd"), "grant_id").groupBy("funder_id").agg(F.count("*").alias("grants"), F.round(F.sum("amount_usd"), 2).alias("usd"))
-    return _named(a, g.funder, "funder_id", "name").orderBy(F.desc_nulls_last("usd"), "funder_id").limit(limit).drop("funder_id")
+    return _named(a, g.funder, "funder_id", "name").orderBy(F.desc_nulls_last("usd"), "funder_id").limit(clamp_limit(limit)).drop("funder_id")
 
 
 def top_orgs_usd(g: Graph, limit: int = 25) -> DataFrame:
     a = _money(g, "0000", "9999").groupBy("org_id").agg(F.count("*").alias("grants"), F.round(F.sum("amount_usd"), 2).alias("usd"))
-    return _named(a, g.organization, "org_id", "name", "country_code").orderBy(F.desc_nulls_last("usd"), "org_id").limit(limit).drop("org_id")
+    return _named(a, g.organization, "org_id", "name", "country_code").orderBy(F.desc_nulls_last("usd"), "org_id").limit(clamp_limit(limit)).drop("org_id")
 
 
 def field_by_source(g: Graph) -> DataFrame:
     s = g.grant.select(F.col("atlas_id").alias("grant_id"), "source")
     p = _ids(g.grant_work, "grant_id", "work_id").join(s, "grant_id").select("source", "work_id").distinct().join(_ids(g.work_field, "work_id", "field_id"), "work_id")
-    return p.join(F.broadcast(g.climb.withColumnRenamed("topic", "field_id")), "field_id").groupBy("field", "source").agg(F.count_distinct("work_id").alias("works"))
+    return p.join(g.climb.withColumnRenamed("topic", "field_id"), "field_id").groupBy("field", "source").agg(F.count_distinct("work_id").alias("works"))
 
 
 def org_grant_counts(g: Graph) -> DataFrame:
@@ -196,12 +217,19 @@ def _work_funders(g: Graph) -> DataFrame:
 
 
 def cofunding_pairs(g: Graph, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Unordered pairs of funders by shared works. A work's funders are bounded by the number of funders."""
-    wf = _work_funders(g)
-    p = wf.withColumnRenamed("funder_id", "fa").join(wf.withColumnRenamed("funder_id", "fb"), "work_id").where("fa < fb").groupBy("fa", "fb").agg(F.count("*").alias("shared_works"))
-    p = p.orderBy(F.desc("shared_works"), "fa", "fb").limit(limit)
+    """Unordered pairs of funders by shared works.
+
+    Works with the same funders are one row: each work's funders become a sorted list (it holds a funder once, so it is no
+    longer than there are funders), lists are counted, and only distinct lists are paired out, inside their row, with
+    their count as weight. Pairs are summed map-side, so what is shuffled is bounded by the pairs of funders there are.
+    """
+    lists = _work_funders(g).groupBy("work_id").agg(F.sort_array(F.collect_list("funder_id")).alias("f")).where(F.size("f") > 1).groupBy("f").agg(F.count("*").alias("works"))
+    first = lists.select("works", "f", F.posexplode("f").alias("i", "fa"))
+    p = first.select("works", "fa", F.explode(F.slice("f", F.col("i") + 2, F.size("f"))).alias("fb")).groupBy("fa", "fb").agg(F.sum("works").alias("shared_works"))
+    p = p.orderBy(F.desc("shared_works"), "fa", "fb").limit(clamp_limit(limit))
     n = g.funder.select("atlas_id", "short_name")
-    return p.join(F.broadcast(n.select(F.col("atlas_id").alias("fa"), F.col("short_name").alias("funder_a"))), "fa").join(F.broadcast(n.select(F.col("atlas_id").alias("fb"), F.col("short_name").alias("funder_b"))), "fb").select("funder_a", "funder_b", "shared_works")
+    named = p.join(n.select(F.col("atlas_id").alias("fa"), F.col("short_name").alias("funder_a")), "fa").join(n.select(F.col("atlas_id").alias("fb"), F.col("short_name").alias("funder_b")), "fb")
+    return named.select("funder_a", "funder_b", "shared_works")
 
 
 def cofunding_distribution(g: Graph) -> DataFrame:
@@ -218,7 +246,7 @@ def output_rate(g: Graph, min_grants: int = 100) -> DataFrame:
 
 
 def domain_composition(g: Graph) -> DataFrame:
-    return _ids(g.work_field, "work_id", "topic").join(F.broadcast(g.climb), "topic").groupBy(F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
+    return _ids(g.work_field, "work_id", "topic").join(g.climb, "topic").groupBy(F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
 
 
 def topic_rollup(g: Graph) -> DataFrame:
@@ -235,26 +263,62 @@ def slim_funder_field(g: Graph) -> DataFrame:
     return _path(g).groupBy("funder_id", "field_id").agg(F.count_distinct("work_id").alias("works"), F.count_distinct("grant_id").alias("grants"))
 
 
-def slim_field_work(g: Graph, top: int = 5) -> DataFrame:
-    x = _ids(g.work_field, "work_id", "field_id").join(g.work.select(F.col("atlas_id").alias("work_id"), "title", "cited_by_count"), "work_id")
-    return x.withColumn("rn", F.row_number().over(Window.partitionBy("field_id").orderBy(F.desc("cited_by_count"), "work_id"))).where(F.col("rn") <= top)
+def slim_funder(g: Graph) -> DataFrame:
+    """All funders with their number of grants."""
+    n = _ids(g.funder_grant, "atlas_id", "grant_id").groupBy("atlas_id").agg(F.count_distinct("grant_id").alias("grants"))
+    return g.funder.join(n, "atlas_id", "left").withColumn("grants", F.coalesce("grants", F.lit(0)))
+
+
+def slim_field(g: Graph) -> DataFrame:
+    return g.field.select("atlas_id", "name", "level")
+
+
+def slim_work(g: Graph) -> DataFrame:
+    return g.work.select("atlas_id", "title", "doi", "openalex_id", "publication_year", "type", "cited_by_count", "is_oa")
+
+
+def slim_field_funder(g: Graph) -> DataFrame:
+    return _named(slim_funder_field(g), g.funder.withColumnRenamed("name", "funder"), "funder_id", "funder", "short_name", "country_code")
+
+
+def slim_field_work(g: Graph) -> DataFrame:
+    x = _ids(g.work_field, "work_id", "field_id").join(slim_work(g).withColumnRenamed("atlas_id", "work_id"), "work_id")
+    return x.where("cited_by_count is not null")
 
 
 def slim_org_summary(g: Graph) -> DataFrame:
+    """Grants, dollars and works of every institution with a ROR id; dollars are summed before works fan out."""
     e = _ids(g.grant_org, "grant_id", "org_id")
     usd = e.join(g.grant.select(F.col("atlas_id").alias("grant_id"), "amount_usd"), "grant_id").groupBy("org_id").agg(F.count_distinct("grant_id").alias("grants"), F.round(F.sum("amount_usd"), 2).alias("usd_funded"))
     works = e.join(_ids(g.grant_work, "grant_id", "work_id"), "grant_id").groupBy("org_id").agg(F.count_distinct("work_id").alias("works"))
-    return usd.join(works, "org_id", "left").withColumn("works", F.coalesce("works", F.lit(0)))
+    o = g.organization.where("ror_id is not null").withColumnRenamed("atlas_id", "org_id").select("org_id", "name", "ror_id", "country_code", "city", "org_type", "homepage")
+    return o.join(usd, "org_id", "left").join(works, "org_id", "left").withColumn("grants", F.coalesce("grants", F.lit(0))).withColumn("works", F.coalesce("works", F.lit(0)))
 
 
 def slim_cross_funder_orgs(g: Graph, limit: int = 500) -> DataFrame:
-    e = _ids(g.grant_org, "grant_id", "org_id").join(_ids(g.funder_grant, "funder_id", "grant_id"), "grant_id")
-    a = e.groupBy("org_id").agg(F.count_distinct("funder_id").alias("funders"), F.count_distinct("grant_id").alias("grants")).where("funders >= 2")
-    return a.orderBy(F.desc("funders"), F.desc("grants"), "org_id").limit(limit)
+    """At most 500 institutions with two funders or more: the report's own limit."""
+    e = _ids(g.grant_org, "grant_id", "org_id").join(_ids(g.funder_grant, "funder_id", "grant_id"), "grant_id").join(g.funder.select(F.col("atlas_id").alias("funder_id"), "short_name"), "funder_id")
+    a = e.groupBy("org_id").agg(F.count_distinct("funder_id").alias("funders"), F.array_join(F.array_sort(F.collect_set("short_name")), ", ").alias("funder_list"), F.count_distinct("grant_id").alias("grants")).where("funders >= 2")
+    o = g.organization.where("ror_id is not null")
+    return _named(a, o, "org_id", "name", "country_code", "ror_id").orderBy(F.desc("funders"), F.desc("grants"), "org_id").limit(min(500, limit)).drop("org_id")
+
+
+def slim_stats(g: Graph) -> DataFrame:
+    return stats(g)
+
+
+def slim_country(g: Graph) -> DataFrame:
+    return _named(_money(g, "0000", "9999"), g.organization.where("country_code is not null"), "org_id", "country_code").groupBy("country_code").agg(F.count_distinct("grant_id").alias("grants"), F.round(F.sum("amount_usd"), 2).alias("usd_funded"))
+
+
+def top_recipients(g: Graph, limit: int = 20) -> DataFrame:
+    """The README's sample: recipients by millions of dollars."""
+    a = _money(g, "0000", "9999").groupBy("org_id").agg(F.round(F.sum("amount_usd") / 1e6, 1).alias("total_M_usd"), F.count_distinct("grant_id").alias("grants"))
+    return _named(a, g.organization, "org_id", "name").orderBy(F.desc_nulls_last("total_M_usd"), "org_id").limit(clamp_limit(limit)).select("name", "total_M_usd", "grants")
 
 
 _ALL = (stats, funders, funder_portfolio, field_top_funders, field_top_works, org_summary, search, top_funders_by_output, org_funding_vs_output, rising_fields, rising_falling, cross_funder_orgs, funding_by_country, by_source, by_year, top_funders_usd, top_orgs_usd, field_by_source,
-        org_grant_counts, org_grant_dollars, country_funding, cofunding_pairs, cofunding_distribution, output_rate, domain_composition, topic_rollup, coverage_window, slim_funder_field, slim_field_work, slim_org_summary, slim_cross_funder_orgs)
+        org_grant_counts, org_grant_dollars, country_funding, cofunding_pairs, cofunding_distribution, output_rate, domain_composition, topic_rollup, coverage_window, slim_funder, slim_field, slim_work, slim_funder_field, slim_field_funder, slim_field_work, slim_org_summary, slim_cross_funder_orgs, slim_stats, slim_country, top_recipients)
 QUERIES = {f.__name__: (lambda spark, root, f=f: f(Graph(spark, root))) for f in _ALL}
 
 _FWF = "fg JOIN gw ON fg.dst_id = gw.src_id JOIN work_field wf ON gw.dst_id = wf.src_id"
@@ -265,16 +329,23 @@ _ORGW = "SELECT go.dst_id AS org_id, count(DISTINCT gw.dst_id) AS works FROM go
 _ORGU = "SELECT go.dst_id AS org_id, count(DISTINCT g.atlas_id) AS grants, sum(amount_usd) AS usd FROM go JOIN grants g ON go.src_id = g.atlas_id GROUP BY 1"
 _WF = "SELECT DISTINCT gw.dst_id AS work_id, fg.src_id AS funder_id FROM fg JOIN gw ON fg.dst_id = gw.src_id"
 _SQL = {
-    "stats": "SELECT " + ", ".join(f"(SELECT count(*) FROM {v}) AS {n}" for n, v in (("funders", "funder"), ("grants", "grants"), ("organizations", "org"), ("works", "work"), ("fields", "fields"), ("funder_grant_edges", "fg"), ("grant_org_edges", "go"), ("grant_work_edges", "gw"), ("work_field_edges", "work_field"))) + ", (SELECT round(sum(amount_usd), 2) FROM grants) AS usd_funded",
+    "stats": (_STATS := "SELECT " + ", ".join(f"(SELECT count(*) FROM {v}) AS {k}" for k, (_, v) in COUNTED.items()) + ", (SELECT round(sum(amount_usd), 2) FROM grants) AS usd_funded"),
+    "slim_stats": _STATS,
     "funders": "SELECT f.*, count(DISTINCT dst_id) AS grants FROM funder f LEFT JOIN fg ON f.atlas_id = src_id GROUP BY ALL ORDER BY grants DESC, atlas_id LIMIT 25",
+    "slim_funder": "SELECT f.*, count(DISTINCT dst_id) AS grants FROM funder f LEFT JOIN fg ON f.atlas_id = src_id GROUP BY ALL",
+    "slim_field": "SELECT atlas_id, name, level FROM fields",
+    "slim_work": "SELECT atlas_id, title, doi, openalex_id, publication_year, type, cited_by_count, is_oa FROM work",
+    "slim_field_funder": f"SELECT wf.dst_id AS field_id, u.atlas_id AS funder_id, u.name AS funder, u.short_name, u.country_code, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN funder u ON fg.src_id = u.atlas_id GROUP BY ALL",
+    "slim_country": "SELECT country_code, count(DISTINCT g.atlas_id) AS grants, round(sum(amount_usd), 2) AS usd_funded FROM go JOIN grants g ON go.src_id = g.atlas_id JOIN org o ON go.dst_id = o.atlas_id WHERE country_code IS NOT NULL GROUP BY 1",
+    "top_recipients": "SELECT name, total_M_usd, grants FROM (SELECT o.atlas_id, name, round(sum(amount_usd) / 1e6, 1) AS total_M_usd, count(DISTINCT g.atlas_id) AS grants FROM go JOIN grants g ON go.src_id = g.atlas_id JOIN org o ON go.dst_id = o.atlas_id GROUP BY ALL) ORDER BY total_M_usd DESC, atlas_id LIMIT 20",
     "funder_portfolio": f"SELECT f.atlas_id AS field_id, f.name AS field, f.level, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN fields f ON wf.dst_id = f.atlas_id WHERE fg.src_id = 1 AND f.level = 'topic' GROUP BY ALL ORDER BY works DESC, field_id LIMIT 25",
     "field_top_funders": f"SELECT u.atlas_id, u.name AS funder, u.short_name, u.country_code, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN funder u ON fg.src_id = u.atlas_id WHERE wf.dst_id = 'bBrand#12' GROUP BY ALL ORDER BY works DESC, atlas_id LIMIT 25",
-    "field_top_works": "SELECT w.* FROM work w JOIN work_field wf ON w.atlas_id = wf.src_id WHERE wf.dst_id = 'bBrand#12' ORDER BY cited_by_count DESC, atlas_id LIMIT 25",
-    "org_summary": f"SELECT o.atlas_id, name, ror_id, country_code, org_type, coalesce(grants, 0) AS grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works FROM org o LEFT JOIN ({_ORGU}) u ON u.org_id = o.atlas_id LEFT JOIN ({_ORGW}) w ON w.org_id = o.atlas_id WHERE ror_id = 'https://ror.org/000000001'",
+    "field_top_works": "SELECT w.atlas_id, title, doi, openalex_id, publication_year, type, cited_by_count, is_oa FROM work w JOIN work_field wf ON w.atlas_id = wf.src_id WHERE wf.dst_id = 'bBrand#12' ORDER BY cited_by_count DESC, atlas_id LIMIT 25",
+    "org_summary": f"SELECT o.atlas_id, name, ror_id, country_code, city, org_type, homepage, coalesce(grants, 0) AS grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works FROM org o LEFT JOIN ({_ORGU}) u ON u.org_id = o.atlas_id LEFT JOIN ({_ORGW}) w ON w.org_id = o.atlas_id WHERE ror_id = 'https://ror.org/000000001'",
     "search": """SELECT kind, id, name, detail, country_code FROM (
-      (SELECT 1 AS r, 'funder' AS kind, atlas_id::VARCHAR AS id, name, funder_type AS detail, country_code FROM funder WHERE lower(name) LIKE '%00%' ORDER BY length(name), name, id LIMIT 25) UNION ALL
-      (SELECT 2, 'field', atlas_id, name, level, NULL FROM fields WHERE lower(name) LIKE '%00%' ORDER BY length(name), name, atlas_id LIMIT 25) UNION ALL
-      (SELECT 3, 'org', ror_id, name, org_type, country_code FROM org WHERE lower(name) LIKE '%00%' AND ror_id IS NOT NULL ORDER BY length(name), name, ror_id LIMIT 25)) ORDER BY r, length(name), name, id LIMIT 25""",
+      (SELECT 1 AS r, 0 AS late, 'funder' AS kind, atlas_id::VARCHAR AS id, name, funder_type AS detail, country_code FROM funder WHERE lower(name) LIKE '%00%' ORDER BY length(name), name, id LIMIT 25) UNION ALL
+      (SELECT 2, (level <> 'field')::INT, 'field', atlas_id, name, level, NULL FROM fields WHERE lower(name) LIKE '%00%' ORDER BY level <> 'field', length(name), name, atlas_id LIMIT 25) UNION ALL
+      (SELECT 3, 0, 'org', ror_id, name, org_type, country_code FROM org WHERE lower(name) LIKE '%00%' AND ror_id IS NOT NULL ORDER BY length(name), name, ror_id LIMIT 25)) ORDER BY r, late, length(name), name, id LIMIT 25""",
     "top_funders_by_output": f"SELECT funder, short_name, country_code, works, grants FROM (SELECT u.atlas_id, u.name AS funder, u.short_name, u.country_code, count(DISTINCT w.atlas_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN work w ON w.atlas_id = wf.src_id JOIN fields f ON f.atlas_id = wf.dst_id JOIN funder u ON u.atlas_id = fg.src_id WHERE lower(f.name) LIKE '%brand#1%' AND publication_year BETWEEN 1996 AND 1998 GROUP BY ALL) ORDER BY works DESC, atlas_id LIMIT 15",
     "org_funding_vs_output": f"SELECT name, country_code, ror_id, grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works, round(coalesce(works, 0) * 1e6 / nullif(usd, 0), 3) AS works_per_million_usd FROM ({_ORGU}) u JOIN org o ON u.org_id = o.atlas_id LEFT JOIN ({_ORGW}) w ON w.org_id = u.org_id WHERE grants >= 5 ORDER BY usd DESC NULLS LAST, u.org_id LIMIT 25",
     "rising_fields": f"SELECT name, early, late, round(late / nullif(early, 0), 3) AS growth_ratio FROM ({_WIN}) WHERE late >= 1 ORDER BY growth_ratio DESC NULLS LAST, late DESC, name LIMIT 20",
@@ -296,8 +367,8 @@ _SQL = {
     "topic_rollup": "WITH RECURSIVE up AS (SELECT atlas_id AS topic, parent_atlas_id AS at FROM fields WHERE level = 'topic' UNION ALL SELECT topic, f.parent_atlas_id FROM up JOIN fields f ON f.atlas_id = up.at) SELECT topic, max(CASE WHEN level = 'field' THEN name END) AS field, max(CASE WHEN level = 'domain' THEN name END) AS dom FROM up JOIN fields f ON f.atlas_id = up.at GROUP BY 1",
     "coverage_window": f"SELECT *, round(ror_edges / edges, 6) AS ror_edge_share FROM (SELECT count(DISTINCT g.atlas_id) AS grants, count(DISTINCT o.atlas_id) AS orgs, count(DISTINCT o.atlas_id) FILTER (WHERE ror_id IS NOT NULL) AS ror_orgs, count(*) AS edges, count(ror_id) AS ror_edges {_M})",
     "slim_funder_field": f"SELECT fg.src_id AS funder_id, wf.dst_id AS field_id, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} GROUP BY 1, 2",
-    "slim_field_work": "SELECT * FROM (SELECT w.atlas_id AS work_id, wf.dst_id AS field_id, title, cited_by_count, row_number() OVER (PARTITION BY wf.dst_id ORDER BY cited_by_count DESC, w.atlas_id) AS rn FROM work_field wf JOIN work w ON w.atlas_id = wf.src_id) WHERE rn <= 5",
-    "slim_org_summary": f"SELECT u.org_id, grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works FROM ({_ORGU}) u LEFT JOIN ({_ORGW}) w ON u.org_id = w.org_id",
-    "slim_cross_funder_orgs": "SELECT go.dst_id AS org_id, count(DISTINCT fg.src_id) AS funders, count(DISTINCT go.src_id) AS grants FROM go JOIN fg ON go.src_id = fg.dst_id GROUP BY 1 HAVING funders >= 2 ORDER BY funders DESC, grants DESC, org_id LIMIT 500",
+    "slim_field_work": "SELECT wf.dst_id AS field_id, w.atlas_id AS work_id, title, doi, openalex_id, publication_year, type, cited_by_count, is_oa FROM work_field wf JOIN work w ON w.atlas_id = wf.src_id",
+    "slim_org_summary": f"SELECT o.atlas_id AS org_id, name, ror_id, country_code, city, org_type, homepage, coalesce(grants, 0) AS grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works FROM org o LEFT JOIN ({_ORGU}) u ON u.org_id = o.atlas_id LEFT JOIN ({_ORGW}) w ON o.atlas_id = w.org_id WHERE ror_id IS NOT NULL",
+    "slim_cross_funder_orgs": "SELECT name, country_code, ror_id, funders, funder_list, grants FROM (SELECT o.atlas_id, o.name, o.country_code, o.ror_id, count(DISTINCT fg.src_id) AS funders, array_to_string(list_sort(list(DISTINCT u.short_name)), ', ') AS funder_list, count(DISTINCT go.src_id) AS grants FROM go JOIN fg ON go.src_id = fg.dst_id JOIN funder u ON u.atlas_id = fg.src_id JOIN org o ON o.atlas_id = go.dst_id WHERE o.ror_id IS NOT NULL GROUP BY ALL HAVING funders >= 2) ORDER BY funders DESC, grants DESC, atlas_id LIMIT 500",
 }
 ORACLES = {k: with_views(v) for k, v in _SQL.items()}

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, named, quality, rankings, studies
+from fundloom.plans import general, named, people, quality, rankings, studies
 
-MODULES = (general, named, quality, studies, rankings)
+MODULES = (general, named, quality, studies, people, rankings)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,18 +1,15 @@
-"""Concentration, specialisation, careers: the study modules, and profiles of the people behind the event stream."""
+"""Concentration and specialisation: the studies of money and portfolios (``people`` has those of careers)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fundloom.operators.ranks import bootstrap, concentration, drawn, lorenz, spearman
+from fundloom.operators.ranks import concentration, gini_draws, lorenz, resampled, resampled_sql, spearman
 from fundloom.plans.graph import Graph, with_views
-from fundloom.plans.named import _FWF, _ids, _path, org_grant_counts
+from fundloom.plans.named import _FWF, EARLY, LATE, _ids, _path, org_grant_counts
 from fundloom.sources.tables import table
 
-EARLY, LATE = (1995, 1995), (1996, 2001)
-
-
 def gini_hhi_topshare(s: SparkSession, d: str) -> DataFrame:
     return concentration(org_grant_counts(Graph(s, d)), "grants", "org_id")
 
@@ -21,27 +18,28 @@ def lorenz_curve(s: SparkSession, d: str) -> DataFrame:
     return lorenz(org_grant_counts(Graph(s, d)), "grants", "org_id")
 
 
-def gini_bootstrap(s: SparkSession, d: str) -> DataFrame:
-    """Percentile interval of the funders' mean number of grants, 200 draws."""
-    n = Graph(s, d).funder_grant.groupBy("src_id").agg(F.count("*").alias("x"))
-    rows = n.withColumn("i", F.row_number().over(Window.orderBy("src_id")) - 1)  # one row per funder
-    b = bootstrap(rows, "x", 200, 1234)
-    return b.agg(F.round(F.percentile("mean", 0.025), 6).alias("lo"), F.round(F.percentile("mean", 0.975), 6).alias("hi"))
+def gini_bootstrap(s: SparkSession, d: str, draws: int = 2000) -> DataFrame:
+    """Percentile interval of the Gini of institutions' grant counts."""
+    g = gini_draws(org_grant_counts(Graph(s, d)), "grants", "org_id", draws, 1234)
+    return g.agg(F.round(F.percentile("gini", 0.025), 6).alias("lo"), F.round(F.percentile("gini", 0.975), 6).alias("hi"))
 
 
 def funder_field_matrix(s: SparkSession, d: str) -> DataFrame:
     g = Graph(s, d)
-    return _path(g).select("funder_id", "work_id", "field_id").distinct().join(F.broadcast(g.climb.select(F.col("topic").alias("field_id"), "field")), "field_id").groupBy("funder_id", "field").agg(F.count_distinct("work_id").alias("works"))
+    return _path(g).select("funder_id", "work_id", "field_id").distinct().join(g.climb.select(F.col("topic").alias("field_id"), "field"), "field_id").groupBy("funder_id", "field").agg(F.count_distinct("work_id").alias("works"))
 
 
 def _shares(m: DataFrame) -> DataFrame:
     return m.withColumn("share", F.col("works") / F.sum("works").over(Window.partitionBy("funder_id")))
 
 
-def specialization(s: SparkSession, d: str) -> DataFrame:
+def specialization(s: SparkSession, d: str, least: int = 20) -> DataFrame:
+    """From generalists to specialists: HHI of a funder's fields and its first field, of funders with ``least`` works."""
     x = _shares(funder_field_matrix(s, d))
-    a = x.groupBy("funder_id").agg(F.sum("works").alias("works"), F.sum(F.col("share") * F.col("share")).alias("h"), F.max("share").alias("m"), F.count("*").alias("fields"), F.max_by("field", F.struct("works", F.col("field"))).alias("top"))
-    return a.select("funder_id", "works", F.round("h", 6).alias("hhi"), F.round("m", 6).alias("top_share"), "fields")
+    top = F.min_by(F.struct("field", "share"), F.struct(-F.col("works"), F.col("field")))
+    a = x.groupBy("funder_id").agg(F.sum("works").alias("works"), F.sum(F.col("share") * F.col("share")).alias("h"), top.alias("top"), F.count("*").alias("fields")).where(F.col("works") >= least)
+    named = a.join(Graph(s, d).funder.select(F.col("atlas_id").alias("funder_id"), "country_code"), "funder_id")
+    return named.select("funder_id", "country_code", "works", F.round("h", 6).alias("hhi"), F.col("top.field").alias("top_field"), F.round("top.share", 6).alias("top_share"), "fields")
 
 
 def funder_cosine(s: SparkSession, d: str) -> DataFrame:
@@ -53,36 +51,65 @@ def funder_cosine(s: SparkSession, d: str) -> DataFrame:
     return a.join(b, "field").where("a < b").groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("cosine"))
 
 
-def stability(s: SparkSession, d: str) -> DataFrame:
-    """Ordinal Spearman and Pearson of funders' works in two windows."""
+def cluster_cosine(s: SparkSession, d: str) -> DataFrame:
+    """Mean cosine between, and within, the types of funders."""
+    t = Graph(s, d).funder.select("atlas_id", "funder_type")
+    c = funder_cosine(s, d).join(t.select(F.col("atlas_id").alias("a"), F.col("funder_type").alias("x")), "a").join(t.select(F.col("atlas_id").alias("b"), F.col("funder_type").alias("y")), "b")
+    return c.groupBy(F.least("x", "y").alias("type_a"), F.greatest("x", "y").alias("type_b")).agg(F.count("*").alias("pairs"), F.round(F.avg("cosine"), 6).alias("mean_cosine"))
+
+
+def stability(s: SparkSession, d: str, least: int = 20) -> DataFrame:
+    """Whether funders' specialisation lasts: their HHI in two windows (``least`` works in each), ordinal Spearman,
+    Pearson, and how far it moves."""
     g = Graph(s, d)
     y = F.col("publication_year")
-    w = g.work.select(F.col("atlas_id").alias("work_id"), "publication_year")
-    x = _path(g).select("funder_id", "work_id").distinct().join(w, "work_id").groupBy("funder_id").agg(F.sum(y.between(*EARLY).cast("long")).cast("double").alias("early"), F.sum(y.between(*LATE).cast("long")).cast("double").alias("late"))
-    return spearman(x, "early", "late", "funder_id")
+    window = F.when(y.between(*EARLY), "early").when(y.between(*LATE), "late")
+    w = g.work.select(F.col("atlas_id").alias("work_id"), window.alias("window")).where("window is not null")
+    x = _path(g).select("funder_id", "work_id", "field_id").distinct().join(w, "work_id").join(g.climb.select(F.col("topic").alias("field_id"), "field"), "field_id")
+    n = x.groupBy("funder_id", "window", "field").agg(F.count_distinct("work_id").cast("double").alias("n"))
+    h = n.groupBy("funder_id", "window").agg(F.sum("n").alias("works"), (F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("hhi")).where(F.col("works") >= least)
+    both = h.groupBy("funder_id").agg(F.max(F.when(F.col("window") == "early", F.col("hhi"))).alias("early"), F.max(F.when(F.col("window") == "late", F.col("hhi"))).alias("late")).where("early is not null and late is not null")
+    moved = both.agg(F.round(F.avg(F.abs(F.col("late") - F.col("early"))), 6).alias("mean_delta"), F.round(F.max(F.abs(F.col("late") - F.col("early"))), 6).alias("max_delta"))
+    return spearman(both, "early", "late", "funder_id").crossJoin(moved)  # one row each
 
 
 def domain_by_year(s: SparkSession, d: str) -> DataFrame:
     g = Graph(s, d)
-    x = g.work.select(F.col("atlas_id").alias("work_id"), F.col("publication_year").alias("year")).where("year is not null").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(F.broadcast(g.climb), "topic")
+    x = g.work.select(F.col("atlas_id").alias("work_id"), F.col("publication_year").alias("year")).where("year is not null").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(g.climb, "topic")
     n = x.groupBy("year", F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
     return n.withColumn("share", F.round(F.col("works") / F.sum("works").over(Window.partitionBy("year")), 6))
 
 
 def family_mix(s: SparkSession, d: str) -> DataFrame:
+    """Each type of funder's works by domain, and the domain's share."""
     g = Graph(s, d)
-    x = _path(g).select("funder_id", "field_id", "work_id").distinct().join(F.broadcast(g.funder.select(F.col("atlas_id").alias("funder_id"), "funder_type")), "funder_id").join(F.broadcast(g.climb.withColumnRenamed("topic", "field_id")), "field_id")
-    return x.groupBy("funder_type", F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
+    x = _path(g).select("funder_id", "field_id", "work_id").distinct().join(g.funder.select(F.col("atlas_id").alias("funder_id"), "funder_type"), "funder_id").join(g.climb.withColumnRenamed("topic", "field_id"), "field_id")
+    n = x.groupBy("funder_type", F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
+    return n.withColumn("share", F.round(F.col("works") / F.sum("works").over(Window.partitionBy("funder_type")), 6))
 
 
-def composition_shift(s: SparkSession, d: str) -> DataFrame:
-    """Percentage points by which each domain's share changed between the windows."""
+def source_series(s: SparkSession, d: str, source: str = "nsf") -> DataFrame:
+    """Domain shares by year within the works of one source's grants."""
+    g = Graph(s, d)
+    grants = g.grant.where(F.col("source") == source).select(F.col("atlas_id").alias("grant_id"))
+    works = _ids(g.grant_work, "grant_id", "work_id").join(grants, "grant_id", "left_semi").select("work_id").distinct()
+    x = works.join(g.work.select(F.col("atlas_id").alias("work_id"), F.col("publication_year").alias("year")).where("year is not null"), "work_id").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(g.climb, "topic")
+    n = x.groupBy("year", F.col("dom").alias("domain")).agg(F.count_distinct("work_id").alias("works"))
+    return n.withColumn("share", F.round(F.col("works") / F.sum("works").over(Window.partitionBy("year")), 6))
+
+
+def composition_shift(s: SparkSession, d: str, draws: int = 200) -> DataFrame:
+    """Percentage points by which each domain's share changed between the windows, with a percentile interval over
+    resampled works. Works are counted by domain and window in each draw, so draws are small."""
     g = Graph(s, d)
     y = F.col("publication_year")
-    x = g.work.select(F.col("atlas_id").alias("work_id"), "publication_year").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(F.broadcast(g.climb), "topic")
-    n = x.groupBy(F.col("dom").alias("domain")).agg(F.sum(y.between(*EARLY).cast("long")).alias("e"), F.sum(y.between(*LATE).cast("long")).alias("l"))
-    w = Window.partitionBy()  # one row per domain
-    return n.select("domain", F.round(100 * (F.try_divide("l", F.sum("l").over(w)) - F.try_divide("e", F.sum("e").over(w))), 4).alias("shift_pp"))
+    x = g.work.select(F.col("atlas_id").alias("work_id"), y.between(*EARLY).alias("e"), y.between(*LATE).alias("l")).where("e or l").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(g.climb.select("topic", F.col("dom").alias("domain")), "topic")
+    both = x.select("work_id", "domain", "e", "l", F.lit(-1).cast("long").alias("b"), F.lit(1).cast("long").alias("w")).unionByName(resampled(x.select("work_id", "domain", "e", "l"), F.col("work_id"), draws, 7))
+    n = both.groupBy("b", "domain").agg(F.sum(F.when(F.col("e"), F.col("w")).otherwise(0)).alias("e"), F.sum(F.when(F.col("l"), F.col("w")).otherwise(0)).alias("l"))
+    w = Window.partitionBy("b")  # a row per domain
+    moved = n.select("b", "domain", (100 * (F.try_divide("l", F.sum("l").over(w)) - F.try_divide("e", F.sum("e").over(w)))).alias("pp"))
+    drawn = F.when(F.col("b") >= 0, F.col("pp"))
+    return moved.groupBy("domain").agg(F.round(F.max(F.when(F.col("b") < 0, F.col("pp"))), 4).alias("shift_pp"), F.round(F.percentile(drawn, 0.025), 4).alias("lo"), F.round(F.percentile(drawn, 0.975), 4).alias("hi"))
 
 
 def grants_per_org(s: SparkSession, d: str) -> DataFrame:
@@ -95,97 +122,6 @@ def multi_funder(s: SparkSession, d: str) -> DataFrame:
     return n.agg(F.count("*").alias("grants"), F.sum((F.col("funders") > 1).cast("long")).alias("multi"), F.round(F.avg((F.col("funders") > 1).cast("double")), 6).alias("share"), F.median("funders").alias("median"), F.max("funders").alias("most"))
 
 
-# People ---------------------------------------------------------------------------------------------------------------
-
-
-def _authored(s: SparkSession, d: str) -> DataFrame:
-    e = table(s, d, "events", "user_id", "event_type", "ts", "props")
-    return e.select(F.col("user_id").alias("person"), "event_type", F.unix_date(F.col("ts").cast("date")).cast("long").alias("day"), F.from_json("props", "k bigint")["k"].alias("k"))
-
-
-def profiles(s: SparkSession, d: str) -> DataFrame:
-    """One row per person, in one aggregation."""
-    return _authored(s, d).groupBy("person").agg(F.count("*").alias("works"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count_distinct("event_type").alias("n_fields"), F.sum("k").alias("citations"), F.max("k").alias("max_citations"), F.sum((F.col("event_type") == "click").cast("long")).alias("corresponding"))
-
-
-def h_index(s: SparkSession, d: str) -> DataFrame:
-    """Largest h with h works cited h times or more, from counts per citation number: a prolific person is few rows."""
-    c = _authored(s, d).where("k is not null").groupBy("person", "k").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy("person").orderBy(F.desc("k")))
-    return c.withColumn("n", upto).groupBy("person").agg(F.max(F.least("k", "n")).alias("h_index"))
-
-
-def modal_field(s: SparkSession, d: str) -> DataFrame:
-    """Most frequent field per person and the three most frequent ones, ties by name."""
-    c = _authored(s, d).groupBy("person", "event_type").agg(F.count("*").alias("c"))
-    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("n"), "event_type"))), 1, 3)
-    return c.groupBy("person").agg(F.array_join(F.transform(top, lambda x: x["event_type"]), ";").alias("top"), F.max("c").alias("most")).select("person", F.split("top", ";")[0].alias("field"), "top", "most")
-
-
-def _segmented(s: SparkSession, d: str) -> DataFrame:
-    p = profiles(s, d).join(h_index(s, d), "person")
-    span = F.col("last_day") - F.col("first_day") + 1
-    stage = F.when(F.col("citations") >= 5000, "eminent").when((span >= 25) & (F.col("h_index") >= 40), "established").when((span <= 28) & (F.col("max_citations") >= 90), "rising-star").otherwise("early/unknown")
-    return p.withColumn("seniority", stage).withColumn("activity", F.when(F.col("corresponding") >= 15, "active-pi").otherwise("active"))
-
-
-def segments(s: SparkSession, d: str) -> DataFrame:
-    x = _segmented(s, d)
-    return x.select("person", "seniority", "activity", F.concat_ws("/", "seniority", "activity").alias("segment"), ((F.col("activity") == "active-pi") | F.col("seniority").isin("eminent")).alias("high_value"))
-
-
-def profile_aggregates(s: SparkSession, d: str) -> DataFrame:
-    return _segmented(s, d).groupBy("seniority", "activity").agg(F.count("*").alias("people"), F.round(F.avg("works"), 4).alias("mean_works"), F.median("citations").cast("double").alias("median_citations"))
-
-
-def resolution_bias(s: SparkSession, d: str) -> DataFrame:
-    """Moments of all people and of those with an even id ("funded")."""
-    p = profiles(s, d)
-    part = lambda df, name: df.agg(F.lit(name).alias("population"), F.count("*").alias("people"), F.round(F.avg("works"), 4).alias("mean"), F.median("works").alias("median"), F.max("works").alias("most"))
-    return part(p, "all").unionByName(part(p.where("person % 2 = 0"), "funded"))
-
-
-def _strata(s: SparkSession, d: str, era: int) -> DataFrame:
-    p = profiles(s, d).join(modal_field(s, d).select("person", "field"), "person")
-    return p.withColumn("era", F.floor(F.col("first_day") / era) * era)
-
-
-def _matched(x: DataFrame, *keys: str) -> DataFrame:
-    """Funded to unfunded ratio of mean works over strata that hold both, weighted by the funded."""
-    f = F.col("person") % 2 == 0
-    a = x.groupBy(*keys).agg(F.avg(F.when(f, F.col("works"))).alias("mf"), F.avg(F.when(~f, F.col("works"))).alias("mu"), F.sum(f.cast("long")).alias("nf"), F.sum((~f).cast("long")).alias("nu"))
-    a = a.where("nf > 0 and nu > 0")
-    return a.agg(F.count("*").alias("strata"), F.round(F.try_divide(F.sum(F.col("nf") * F.col("mf")), F.sum(F.col("nf") * F.col("mu"))), 6).alias("ratio"))
-
-
-def matched_ratio(s: SparkSession, d: str) -> DataFrame:
-    """With five-day eras, and with exact days of entry."""
-    both = [_matched(_strata(s, d, era), "field", "era").select(F.lit(era).alias("bin"), "*") for era in (5, 1)]
-    return both[0].unionByName(both[1])
-
-
-def matched_bootstrap(s: SparkSession, d: str) -> DataFrame:
-    """Percentile interval of the matched ratio over 200 resamples of the strata (five-day eras)."""
-    f = F.col("person") % 2 == 0
-    x = _strata(s, d, 5).groupBy("field", "era").agg(F.avg(F.when(f, F.col("works"))).alias("mf"), F.avg(F.when(~f, F.col("works"))).alias("mu"), F.sum(f.cast("long")).alias("nf"), F.sum((~f).cast("long")).alias("nu")).where("nf > 0 and nu > 0")
-    rows = x.withColumn("i", F.row_number().over(Window.orderBy("field", "era")) - 1)  # one row per stratum
-    n = rows.count()
-    draws = rows.select(F.col("i").alias("j")).crossJoin(s.range(200).withColumnRenamed("id", "b")).withColumn("i", drawn(42, F.col("b"), F.col("j"), n=F.lit(n)))
-    r = draws.join(F.broadcast(rows.select("i", (F.col("nf") * F.col("mf")).alias("up"), (F.col("nf") * F.col("mu")).alias("down"))), "i").groupBy("b").agg((F.sum("up") / F.sum("down")).alias("r"))
-    return r.agg(F.round(F.percentile("r", 0.025), 6).alias("lo"), F.round(F.percentile("r", 0.975), 6).alias("hi"))
-
-
-def matched_by_stage(s: SparkSession, d: str) -> DataFrame:
-    x = _segmented(s, d)
-    f = F.col("person") % 2 == 0
-    return x.groupBy("seniority").agg(F.sum(f.cast("long")).alias("funded"), F.round(F.avg(F.when(f, F.col("works"))), 4).alias("funded_works"), F.round(F.avg(F.when(~f, F.col("works"))), 4).alias("other_works"))
-
-
-def stage_mix(s: SparkSession, d: str) -> DataFrame:
-    n = _segmented(s, d).groupBy("activity", "seniority").agg(F.count("*").alias("people"))
-    return n.withColumn("share", F.round(F.col("people") / F.sum("people").over(Window.partitionBy("activity")), 6))
-
-
 def stratified_sample(s: SparkSession, d: str) -> DataFrame:
     """Forty documents per source, drawn by hash: a sampling operator."""
     x = table(s, d, "documents", "doc_id", "source")
@@ -201,45 +137,39 @@ def tranche(s: SparkSession, d: str) -> DataFrame:
     return r.select("field_id", "work_id", F.when(F.col("rn") <= 10, 1).when(F.col("rn") <= 30, 2).otherwise(3).alias("tranche"))
 
 
-_ALL = (gini_hhi_topshare, lorenz_curve, gini_bootstrap, funder_field_matrix, specialization, funder_cosine, stability, domain_by_year, family_mix, composition_shift, grants_per_org, multi_funder, profiles, h_index, modal_field, segments, profile_aggregates, resolution_bias, matched_ratio, matched_bootstrap, matched_by_stage, stage_mix, stratified_sample, tranche)
+_ALL = (
+    gini_hhi_topshare, lorenz_curve, gini_bootstrap, funder_field_matrix, specialization, funder_cosine, cluster_cosine, stability, domain_by_year, family_mix, source_series, composition_shift, grants_per_org, multi_funder,
+    stratified_sample, tranche,
+)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _COUNTS = "SELECT o.atlas_id AS k, count(DISTINCT g.atlas_id) AS x FROM go JOIN grants g ON go.src_id = g.atlas_id JOIN org o ON go.dst_id = o.atlas_id WHERE substr(start_date, 1, 4) BETWEEN '1995' AND '2001' AND source IN ('nih', 'nsf', 'cordis') AND ror_id IS NOT NULL GROUP BY 1"
 _MATRIX = f"SELECT fg.src_id AS funder_id, c.field, count(DISTINCT gw.dst_id) AS works FROM {_FWF} JOIN climb c ON c.topic = wf.dst_id GROUP BY 1, 2"
-_A = "SELECT user_id AS person, event_type, (ts::DATE - DATE '1970-01-01')::BIGINT AS day, (props::JSON ->> 'k')::BIGINT AS k FROM events"
-_P = f"SELECT person, count(*) AS works, min(day) AS first_day, max(day) AS last_day, count(DISTINCT event_type) AS n_fields, sum(k)::BIGINT AS citations, max(k) AS max_citations, count(*) FILTER (WHERE event_type = 'click') AS corresponding FROM ({_A}) GROUP BY 1"
-_H = f"SELECT person, max(least(k, n)) AS h_index FROM (SELECT person, k, row_number() OVER (PARTITION BY person ORDER BY k DESC) AS n FROM ({_A})) GROUP BY 1"
-_SEG = f"SELECT p.*, h_index, CASE WHEN citations >= 5000 THEN 'eminent' WHEN last_day - first_day + 1 >= 25 AND h_index >= 40 THEN 'established' WHEN last_day - first_day + 1 <= 28 AND max_citations >= 90 THEN 'rising-star' ELSE 'early/unknown' END AS seniority, CASE WHEN corresponding >= 15 THEN 'active-pi' ELSE 'active' END AS activity FROM ({_P}) p JOIN ({_H}) h ON p.person = h.person"
-_MODE = f"SELECT person, list(event_type ORDER BY c DESC, event_type) AS l, max(c) AS most FROM (SELECT person, event_type, count(*) AS c FROM ({_A}) GROUP BY 1, 2) GROUP BY 1"
-
-
-def _mr(era: int) -> str:
-    return f"SELECT {era} AS bin, count(*) AS strata, round(sum(nf * mf) / sum(nf * mu), 6) AS ratio FROM (SELECT l[1] AS field, first_day // {era} AS era, avg(works) FILTER (WHERE p.person % 2 = 0) AS mf, avg(works) FILTER (WHERE p.person % 2 = 1) AS mu, count(*) FILTER (WHERE p.person % 2 = 0) AS nf, count(*) FILTER (WHERE p.person % 2 = 1) AS nu FROM ({_P}) p JOIN ({_MODE}) m ON p.person = m.person GROUP BY 1, 2) WHERE nf > 0 AND nu > 0"
+_COSINE = f"WITH m AS ({_MATRIX}), n AS (SELECT funder_id, sqrt(sum(works * works)) AS n FROM m GROUP BY 1), cos AS (SELECT a.funder_id AS a, b.funder_id AS b, round(sum(a.works * b.works / (na.n * nb.n)), 6) AS cosine FROM m a JOIN m b ON a.field = b.field AND a.funder_id < b.funder_id JOIN n na ON na.funder_id = a.funder_id JOIN n nb ON nb.funder_id = b.funder_id GROUP BY 1, 2)"
+_SHIFT = "SELECT w.atlas_id AS id, dom, publication_year = 1995 AS e, publication_year BETWEEN 1996 AND 2001 AS l FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id JOIN climb c ON c.topic = wf.dst_id WHERE publication_year BETWEEN 1995 AND 2001"
 
 
 _SQL = {
     "gini_hhi_topshare": f"WITH c AS ({_COUNTS}), r AS (SELECT x, row_number() OVER (ORDER BY x, k) AS i, count(*) OVER () AS n FROM c) SELECT count(*) AS n, sum(x)::BIGINT AS total, round(sum((2 * i - n - 1) * x) / (sum(x) * max(n)), 6) AS gini, round(sum(x * x) / (sum(x)::DOUBLE * sum(x)), 8) AS hhi, " + ", ".join(f"round(sum(x) FILTER (WHERE i > n - greatest(1, ceil(n * {s}))) / sum(x), 6) AS top_{round(s * 100)}" for s in (0.01, 0.05, 0.10)) + " FROM r",
     "lorenz_curve": f"WITH c AS ({_COUNTS}), r AS (SELECT row_number() OVER w AS i, sum(x) OVER w AS upto, sum(x) OVER () AS total, count(*) OVER () AS n FROM c WINDOW w AS (ORDER BY x, k ROWS UNBOUNDED PRECEDING)) SELECT step, round(upto / total, 6) AS share FROM r, range(1, 21) t(step) WHERE i = floor(step * n / 20)",
-    "gini_bootstrap": "WITH c AS (SELECT src_id, count(*) AS x FROM fg GROUP BY 1), r AS (SELECT x, row_number() OVER (ORDER BY src_id) - 1 AS i, count(*) OVER () AS n FROM c), d AS (SELECT b, ('0x' || substr(md5('1234:' || b || ':' || r.i), 1, 8))::UBIGINT % n AS i FROM r, range(200) t(b)), m AS (SELECT b, avg(x) AS mean FROM d JOIN r USING (i) GROUP BY 1) SELECT round(quantile_cont(mean, 0.025), 6) AS lo, round(quantile_cont(mean, 0.975), 6) AS hi FROM m",
+    "gini_bootstrap": f"""WITH v AS (SELECT b, x, sum(w)::BIGINT AS w FROM {resampled_sql(f"({_COUNTS})", "k", 2000, 1234)} GROUP BY 1, 2),
+      c AS (SELECT b, x, w, coalesce(sum(w) OVER (PARTITION BY b ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM v), g AS (SELECT b, (sum(x * w * (2 * before + w)) - sum(w) * sum(x * w))::DOUBLE / (sum(w) * sum(x * w)) AS gini FROM c GROUP BY 1)
+      SELECT round(quantile_cont(gini, 0.025), 6) AS lo, round(quantile_cont(gini, 0.975), 6) AS hi FROM g""",
     "funder_field_matrix": _MATRIX,
-    "specialization": f"SELECT funder_id, sum(works)::BIGINT AS works, round(sum(share * share), 6) AS hhi, round(max(share), 6) AS top_share, count(*) AS fields FROM (SELECT *, works / sum(works) OVER (PARTITION BY funder_id) AS share FROM ({_MATRIX})) GROUP BY 1",
-    "funder_cosine": f"WITH m AS ({_MATRIX}), n AS (SELECT funder_id, sqrt(sum(works * works)) AS n FROM m GROUP BY 1) SELECT a.funder_id AS a, b.funder_id AS b, round(sum(a.works * b.works / (na.n * nb.n)), 6) AS cosine FROM m a JOIN m b ON a.field = b.field AND a.funder_id < b.funder_id JOIN n na ON na.funder_id = a.funder_id JOIN n nb ON nb.funder_id = b.funder_id GROUP BY 1, 2",
-    "stability": f"WITH x AS (SELECT funder_id, count(*) FILTER (WHERE publication_year = 1995)::DOUBLE AS e, count(*) FILTER (WHERE publication_year BETWEEN 1996 AND 2001)::DOUBLE AS l FROM (SELECT DISTINCT fg.src_id AS funder_id, gw.dst_id AS w FROM {_FWF}) JOIN work ON w = atlas_id GROUP BY 1), r AS (SELECT e, l, row_number() OVER (ORDER BY e, funder_id) AS re, row_number() OVER (ORDER BY l, funder_id) AS rl FROM x) SELECT count(*) AS n, round(corr(re, rl), 6) AS spearman, round(corr(e, l), 6) AS pearson FROM r",
+    "specialization": f"SELECT funder_id, country_code, works, hhi, top_field, top_share, fields FROM (SELECT funder_id, sum(works)::BIGINT AS works, round(sum(share * share), 6) AS hhi, first(field ORDER BY works DESC, field) AS top_field, round(max(share), 6) AS top_share, count(*) AS fields FROM (SELECT *, works / sum(works) OVER (PARTITION BY funder_id) AS share FROM ({_MATRIX})) GROUP BY 1) JOIN funder u ON u.atlas_id = funder_id WHERE works >= 20",
+    "funder_cosine": f"{_COSINE} SELECT * FROM cos",
+    "cluster_cosine": f"{_COSINE} SELECT least(x.funder_type, y.funder_type) AS type_a, greatest(x.funder_type, y.funder_type) AS type_b, count(*) AS pairs, round(avg(cosine), 6) AS mean_cosine FROM cos JOIN funder x ON x.atlas_id = a JOIN funder y ON y.atlas_id = b GROUP BY 1, 2",
+    "stability": f"""WITH n AS (SELECT fg.src_id AS funder_id, c.field, CASE WHEN publication_year = 1995 THEN 'e' ELSE 'l' END AS era, count(DISTINCT w.atlas_id) AS n FROM {_FWF} JOIN work w ON w.atlas_id = gw.dst_id JOIN climb c ON c.topic = wf.dst_id WHERE publication_year BETWEEN 1995 AND 2001 GROUP BY 1, 2, 3),
+      h AS (SELECT funder_id, era, sum(n * n)::DOUBLE / (sum(n) * sum(n)) AS hhi FROM n GROUP BY 1, 2 HAVING sum(n) >= 20), x AS (SELECT a.funder_id, a.hhi AS e, b.hhi AS l FROM h a JOIN h b ON a.funder_id = b.funder_id WHERE a.era = 'e' AND b.era = 'l'),
+      r AS (SELECT e, l, row_number() OVER (ORDER BY e, funder_id) AS re, row_number() OVER (ORDER BY l, funder_id) AS rl FROM x) SELECT count(*) AS n, round(corr(re, rl), 6) AS spearman, round(corr(e, l), 6) AS pearson, round(avg(abs(l - e)), 6) AS mean_delta, round(max(abs(l - e)), 6) AS max_delta FROM r""",
     "domain_by_year": "SELECT *, round(works / sum(works) OVER (PARTITION BY year), 6) AS share FROM (SELECT publication_year AS year, dom AS domain, count(DISTINCT w.atlas_id) AS works FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id JOIN climb c ON c.topic = wf.dst_id WHERE publication_year IS NOT NULL GROUP BY 1, 2)",
-    "family_mix": f"SELECT funder_type, dom AS domain, count(DISTINCT gw.dst_id) AS works FROM {_FWF} JOIN funder u ON u.atlas_id = fg.src_id JOIN climb c ON c.topic = wf.dst_id GROUP BY 1, 2",
-    "composition_shift": "SELECT domain, round(100 * (l / sum(l) OVER () - e / sum(e) OVER ()), 4) AS shift_pp FROM (SELECT dom AS domain, count(*) FILTER (WHERE publication_year = 1995) AS e, count(*) FILTER (WHERE publication_year BETWEEN 1996 AND 2001) AS l FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id JOIN climb c ON c.topic = wf.dst_id GROUP BY 1)",
+    "family_mix": f"SELECT *, round(works / sum(works) OVER (PARTITION BY funder_type), 6) AS share FROM (SELECT funder_type, dom AS domain, count(DISTINCT gw.dst_id) AS works FROM {_FWF} JOIN funder u ON u.atlas_id = fg.src_id JOIN climb c ON c.topic = wf.dst_id GROUP BY 1, 2)",
+    "source_series": "SELECT *, round(works / sum(works) OVER (PARTITION BY year), 6) AS share FROM (SELECT publication_year AS year, dom AS domain, count(DISTINCT w.atlas_id) AS works FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id JOIN climb c ON c.topic = wf.dst_id WHERE publication_year IS NOT NULL AND w.atlas_id IN (SELECT gw.dst_id FROM gw JOIN grants g ON g.atlas_id = gw.src_id WHERE source = 'nsf') GROUP BY 1, 2)",
+    "composition_shift": f"""WITH y AS ({_SHIFT}), n AS (SELECT b, dom, coalesce(sum(w) FILTER (WHERE e), 0) AS e, coalesce(sum(w) FILTER (WHERE l), 0) AS l FROM (SELECT -1 AS b, dom, e, l, 1 AS w FROM y UNION ALL SELECT b, dom, e, l, w FROM {resampled_sql("y", "id", 200, 7)}) GROUP BY 1, 2),
+      m AS (SELECT b, dom, 100 * (l / nullif(sum(l) OVER (PARTITION BY b), 0) - e / nullif(sum(e) OVER (PARTITION BY b), 0)) AS pp FROM n)
+      SELECT dom AS domain, round(max(pp) FILTER (WHERE b < 0), 4) AS shift_pp, round(quantile_cont(pp, 0.025) FILTER (WHERE b >= 0), 4) AS lo, round(quantile_cont(pp, 0.975) FILTER (WHERE b >= 0), 4) AS hi FROM m GROUP BY 1""",
     "grants_per_org": "SELECT grants, count(*) AS orgs FROM (SELECT dst_id, count(*) AS grants FROM go GROUP BY 1) GROUP BY 1",
     "multi_funder": "SELECT count(*) AS grants, count(*) FILTER (WHERE n > 1) AS multi, round(avg((n > 1)::INT), 6) AS share, median(n) AS median, max(n) AS most FROM (SELECT dst_id, count(*) AS n FROM fg GROUP BY 1)",
-    "profiles": _P,
-    "h_index": _H,
-    "modal_field": f"SELECT person, l[1] AS field, array_to_string(l[1:3], ';') AS top, most FROM ({_MODE})",
-    "segments": f"SELECT person, seniority, activity, seniority || '/' || activity AS segment, activity = 'active-pi' OR seniority = 'eminent' AS high_value FROM ({_SEG})",
-    "profile_aggregates": f"SELECT seniority, activity, count(*) AS people, round(avg(works), 4) AS mean_works, median(citations) AS median_citations FROM ({_SEG}) GROUP BY 1, 2",
-    "resolution_bias": f"WITH p AS ({_P}) SELECT 'all' AS population, count(*) AS people, round(avg(works), 4) AS mean, median(works) AS median, max(works) AS most FROM p UNION ALL SELECT 'funded', count(*), round(avg(works), 4), median(works), max(works) FROM p WHERE person % 2 = 0",
-    "matched_ratio": f"{_mr(5)} UNION ALL {_mr(1)}",
-    "matched_bootstrap": f"WITH x AS (SELECT l[1] AS field, first_day // 5 AS era, avg(works) FILTER (WHERE p.person % 2 = 0) AS mf, avg(works) FILTER (WHERE p.person % 2 = 1) AS mu, count(*) FILTER (WHERE p.person % 2 = 0) AS nf, count(*) FILTER (WHERE p.person % 2 = 1) AS nu FROM ({_P}) p JOIN ({_MODE}) m ON p.person = m.person GROUP BY 1, 2 HAVING nf > 0 AND nu > 0), r AS (SELECT nf * mf AS up, nf * mu AS down, row_number() OVER (ORDER BY field, era) - 1 AS i, count(*) OVER () AS n FROM x), d AS (SELECT b, ('0x' || substr(md5('42:' || b || ':' || r.i), 1, 8))::UBIGINT % n AS i FROM r, range(200) t(b)), e AS (SELECT b, sum(up) / sum(down) AS q FROM d JOIN r USING (i) GROUP BY 1) SELECT round(quantile_cont(q, 0.025), 6) AS lo, round(quantile_cont(q, 0.975), 6) AS hi FROM e",
-    "matched_by_stage": f"SELECT seniority, count(*) FILTER (WHERE person % 2 = 0) AS funded, round(avg(works) FILTER (WHERE person % 2 = 0), 4) AS funded_works, round(avg(works) FILTER (WHERE person % 2 = 1), 4) AS other_works FROM ({_SEG}) GROUP BY 1",
-    "stage_mix": f"SELECT *, round(people / sum(people) OVER (PARTITION BY activity), 6) AS share FROM (SELECT activity, seniority, count(*) AS people FROM ({_SEG}) GROUP BY 1, 2)",
     "stratified_sample": "SELECT doc_id, source FROM (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5('7:' || doc_id), doc_id) AS rn FROM documents) WHERE rn <= 40",
     "tranche": "SELECT field_id, work_id, CASE WHEN rn <= 10 THEN 1 WHEN rn <= 30 THEN 2 ELSE 3 END AS tranche FROM (SELECT wf.dst_id AS field_id, w.atlas_id AS work_id, row_number() OVER (PARTITION BY wf.dst_id ORDER BY cited_by_count DESC, w.atlas_id) AS rn FROM work_field wf JOIN work w ON w.atlas_id = wf.src_id) WHERE rn <= 100",
 }
