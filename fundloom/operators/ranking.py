@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,28 +17,35 @@ from fundloom.session import cut
 BLOCK_ROWS = 4096
 
 
-def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, iterations: int = 200, tol: float = 1e-10) -> DataFrame:
-    """``(node, rank)``; dangling mass is spread evenly, ranks add up to 1. Ends early when the L1 change is below ``tol``.
+def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, iterations: int = 200, tol: float = 1e-10, stride: int = 5) -> DataFrame:
+    """``(node, rank)``; dangling mass is spread evenly, ranks add up to 1. Ends when the L1 change over the last
+    ``stride`` iterations is below ``tol``, or after ``iterations``.
 
-    Edges with their share of the source's rank are partitioned by source once; an iteration is one join on that
-    partitioning and one sum by target, combined map-side. Each iteration is cut from its lineage.
+    An iteration is one join on the edges' own partitioning and one sum by target, combined map-side, to which every node
+    adds its base. The base holds the mass of dangling nodes as it was when the stride began: that is what it settles to,
+    and plans stay a chain. Lineage is cut every ``stride`` iterations.
     """
     n = nodes.count()
     if not n:
         return nodes.select("node", F.lit(0.0).alias("rank"))
     out = edges.groupBy("src").agg(F.count("*").alias("deg"))
-    links = cut(edges.join(out, "src").select("src", "dst", (1 / F.col("deg")).alias("w")).repartition("src"))
-    state = cut(nodes.join(out.withColumnRenamed("src", "node"), "node", "left").select("node", F.col("deg").isNull().alias("dangling"), F.lit(1.0 / n).alias("rank")))
-    for _ in range(iterations):
-        lost = state.where("dangling").agg(F.coalesce(F.sum("rank"), F.lit(0.0)).alias("lost"))
-        got = links.join(state.select(F.col("node").alias("src"), "rank"), "src").groupBy("dst").agg(F.sum(F.col("w") * F.col("rank")).alias("got"))
-        fresh = (1 - damping) / n + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / n)
-        moved = cut(state.join(got.withColumnRenamed("dst", "node"), "node", "left").crossJoin(F.broadcast(lost)).select("node", "dangling", fresh.alias("rank"), F.abs(fresh - F.col("rank")).alias("moved")))
-        state = moved.drop("moved")
-        if tol > 0 and moved.agg(F.sum("moved")).first()[0] < tol:
-            break
+    links = cut(edges.join(out, "src").select(F.col("src").alias("node"), "dst", (damping / F.col("deg")).alias("w")).repartition("node"))
+    known = cut(nodes.join(out.select(F.col("src").alias("node"), F.lit(False).alias("dangling")), "node", "left").select("node", F.coalesce("dangling", F.lit(True)).alias("dangling")))
+    state = known.select("node", F.lit(1.0 / n).alias("rank"))
+    lost, done, change = known.where("dangling").count() / n, 0, math.inf
+    while done < iterations and change >= tol:
+        before = state
+        base = known.select("node", F.lit((1 - damping + damping * lost) / n).alias("rank"))
+        for _ in range(min(stride, iterations - done)):
+            given = links.join(state, "node").select(F.col("dst").alias("node"), (F.col("w") * F.col("rank")).alias("rank"))
+            state = given.unionByName(base).groupBy("node").agg(F.sum("rank").alias("rank"))
+            done += 1
+        state = cut(state)
+        old = before.withColumnRenamed("rank", "old")
+        lost, change = state.join(old, "node").join(known, "node").agg(F.coalesce(F.sum(F.when(F.col("dangling"), F.col("rank"))) / F.sum("rank"), F.lit(0.0)), F.sum(F.abs(F.col("rank") - F.col("old")))).first()
+        change = change if tol > 0 else math.inf
     total = state.agg(F.sum("rank").alias("total"))
-    return state.crossJoin(F.broadcast(total)).select("node", (F.col("rank") / F.col("total")).alias("rank"))
+    return state.crossJoin(F.broadcast(total)).select("node", (F.col("rank") / F.col("total")).alias("rank"))  # one row
 
 
 def coupling(edges: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -74,26 +82,25 @@ def sparse_topk(weights: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame
     return _top(s, "query", k, F.desc("score"), F.asc("doc_id"))
 
 
-def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """``(query, vec_id, score, pos)``: nearest vectors of each query vector, itself left out.
+def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int | None = 10) -> DataFrame:
+    """``(query, vec_id, score, pos)``: nearest vectors of each query vector, itself left out; every one with ``k`` None.
 
-    The queries go round in blocks of BLOCK_ROWS; a task multiplies its batch with a block and keeps the k best per query,
-    so what is shuffled is k rows per query and batch. Null and zero vectors take no part.
+    The queries go round in blocks of about BLOCK_ROWS, told by the hash of their id; the driver holds one block at a
+    time. A task multiplies its batch with a block and keeps the k best per query, so what is shuffled is k rows per query
+    and batch. Null and zero vectors take no part; equal scores are ordered by id.
     """
     spark = vectors.sparkSession
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    ids, rows = [], []
-    for r in queries.where("embedding is not null").select("vec_id", "embedding").toLocalIterator():
-        ids.append(r.vec_id)
-        rows.append(np.array(r.embedding, np.float32))
-        if len(ids) == BLOCK_ROWS:
-            held.append((np.array(ids), np.stack(rows)))
-            ids, rows = [], []
-    if ids:
-        held.append((np.array(ids), np.stack(rows)))
+    asked = queries.where("embedding is not null").select("vec_id", "embedding")
+    count = asked.count()
+    blocks = max(1, -(-count // BLOCK_ROWS))
+    if not count:
+        return spark.createDataFrame([], "query long, vec_id long, score double, pos int")
     out = None
-    for qid, q in held:
-        block = spark.sparkContext.broadcast((qid, q.astype(np.float64)))
+    for b in range(blocks):
+        held = (asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b) if blocks > 1 else asked).collect()
+        if not held:
+            continue
+        block = spark.sparkContext.broadcast((np.array([r.vec_id for r in held]), np.array([r.embedding for r in held], np.float64)))
 
         def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
             qid, q = block.value
@@ -107,7 +114,7 @@ def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
                 ok = norm[:, 0] > 0
                 vid, s = b["vec_id"].to_numpy()[ok], q @ (x[ok] / norm[ok]).T
                 s[qid[:, None] == vid[None, :]] = -np.inf
-                m = min(k, s.shape[1])
+                m = s.shape[1] if k is None else min(k, s.shape[1])
                 if not m:
                     continue
                 # Equal scores at the border stay in: k best by score and id need them.
@@ -117,9 +124,10 @@ def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
 
         part = vectors.select("vec_id", "embedding").mapInPandas(run, "query long, vec_id long, score double")
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "query long, vec_id long, score double, pos int")
-    return _top(out.withColumn("score", F.round("score", 6)), "query", k, F.desc("score"), F.asc("vec_id"))
+    scored = out.withColumn("score", F.round("score", 6))
+    if k is None:
+        return scored.withColumn("pos", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.asc("vec_id"))))
+    return _top(scored, "query", k, F.desc("score"), F.asc("vec_id"))
 
 
 def cooccurrence(documents: DataFrame, window: int = 5, min_df: int = 5) -> DataFrame:
@@ -192,6 +200,15 @@ def word_vectors(pairs: DataFrame, dim: int = 16, iterations: int = 6, seed: int
 VOCAB = 100_000
 
 
+def document_vectors(documents: DataFrame, words: DataFrame) -> DataFrame:
+    """``(doc_id, embedding)``: the mean of the vectors of a document's words, repeats counted; documents without a known
+    word drop out. Words are counted per document first; vectors meet them by word and are summed map-side."""
+    w = documents.where("text is not null").select("doc_id", F.explode(tokenize(F.col("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("c"))
+    x = w.join(words, "word").select("doc_id", "c", F.posexplode("vector").alias("i", "v"))
+    y = x.groupBy("doc_id", "i").agg((F.sum(F.col("c") * F.col("v")) / F.sum("c")).alias("v"))
+    return y.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda z: z["v"]).alias("embedding"))
+
+
 def latent_vectors(weights: DataFrame, dim: int = 16, iterations: int = 4, seed: int = 0) -> DataFrame:
     """``(doc_id, embedding)``: documents in the space of the leading ``dim`` singular directions of ``weights``
     ``(doc_id, term, weight)``, scaled to length 1.
@@ -242,7 +259,7 @@ def latent_vectors(weights: DataFrame, dim: int = 16, iterations: int = 4, seed:
     return docs.mapInPandas(project, "doc_id long, embedding array<double>")
 
 
-def metrics(ranked: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (5, 10)) -> DataFrame:
+def metrics(ranked: DataFrame, gold: DataFrame, ks: tuple[int, ...] = (5, 10, 20, 50)) -> DataFrame:
     """``(query, ap, rr, recall_<k>)`` from ``(query, item, pos)`` and the relevant ``(query, item)``."""
     size = gold.groupBy("query").agg(F.count("*").alias("g"))
     hit = ranked.join(gold, ["query", "item"]).withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy("pos")))

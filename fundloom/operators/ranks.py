@@ -76,8 +76,10 @@ def resampled(df: DataFrame, key: Column, draws: int, seed: int) -> DataFrame:
     A row's weight depends on seed, draw and key only, so resampling needs no numbering, no join and no cross product:
     rows are exploded where they are, and sums per draw are combined map-side. Rows of equal key share their weights.
     """
-    u = df.withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long")))).withColumn("u", _bits(seed, F.col("b"), key))
-    return u.withColumn("w", sum(((F.col("u") >= t).cast("long") for t in POISSON), F.lit(0).cast("long"))).where("w > 0").drop("u")
+    draw = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(draws - 1).cast("long")))
+    # Hexadecimal digits of one length compare as the numbers they stand for.
+    u = df.withColumn("b", draw).withColumn("u", F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("b").cast("string"), key.cast("string"))), 1, 8)).where(F.col("u") >= f"{POISSON[0]:08x}")
+    return u.withColumn("w", sum(((F.col("u") >= f"{t:08x}").cast("long") for t in POISSON[1:]), F.lit(1).cast("long"))).drop("u")
 
 
 def resampled_sql(rows: str, key: str, draws: int, seed: int) -> str:

@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundloom.operators import ranking, resolve
-from fundloom.operators.ranks import concentration, drawn, global_order
+from fundloom.operators.ranks import concentration, global_order, resampled, resampled_sql
 from fundloom.plans.graph import Graph, with_views
 from fundloom.plans.named import _ids
+from fundloom.session import cut
 from fundloom.sources.tables import table
 
-ITERATIONS = 8
+#: Iterations of the SQL twin of PageRank, by which it has settled to more digits than are compared.
+ITERATIONS = 40
 
 
 def citation_edges(s: SparkSession, d: str) -> DataFrame:
@@ -29,19 +31,28 @@ def degrees(s: SparkSession, d: str) -> DataFrame:
 
 def _pagerank(s: SparkSession, d: str) -> DataFrame:
     g = Graph(s, d)
-    return ranking.pagerank(g.raw("part").select(F.col("p_partkey").alias("node")), g.citation, iterations=ITERATIONS, tol=0)
+    return ranking.pagerank(g.raw("part").select(F.col("p_partkey").alias("node")), cut(g.citation))
 
 
 def pagerank(s: SparkSession, d: str) -> DataFrame:
-    return _pagerank(s, d).select("node", F.round("rank", 9).alias("rank"))
+    """PageRank of every work, to a tolerance of 1e-10."""
+    return _pagerank(s, d).select("node", F.round("rank", 8).alias("rank"))
 
 
-def uniformity(s: SparkSession, d: str) -> DataFrame:
+def graph_counts(s: SparkSession, d: str) -> DataFrame:
+    """Raw references, repeats and self links included, against distinct edges within the corpus."""
     g = Graph(s, d)
-    n = degrees(s, d).select("node", F.col("in_degree").cast("double").alias("x"))
+    n = g.line.groupBy("l_orderkey").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("n_edges_total"))
+    return n.crossJoin(g.citation.agg(F.count("*").alias("n_edges_in_corpus"))).withColumn("coverage", F.round(F.try_divide("n_edges_in_corpus", "n_edges_total"), 6))  # one row each
+
+
+def uniformity(s: SparkSession, d: str) -> DataFrame:
+    """How far PageRank is from uniform: spread, Gini, first rank against a uniform one, mass of the first percent."""
+    n = cut(_pagerank(s, d).select("node", F.col("rank").alias("x")))
     c = concentration(n, "x", "node")
-    m = n.agg(F.min("x").alias("min"), F.max("x").alias("max"), F.round(F.avg("x"), 6).alias("mean"), F.round(F.stddev_pop("x"), 6).alias("std"), F.round(F.stddev_pop("x") / F.avg("x"), 6).alias("cv"))
-    return m.crossJoin(c.select("n", "gini", "top_1"))
+    r = lambda c: F.round(c, 8)
+    m = n.agg(r(F.min("x")).alias("min"), r(F.max("x")).alias("max"), r(F.avg("x")).alias("mean"), r(F.stddev_pop("x")).alias("std"), F.round(F.stddev_pop("x") / F.avg("x"), 6).alias("cv"), F.round(F.max("x") * F.count("*"), 5).alias("top1_over_uniform"))
+    return m.crossJoin(c.select("n", "gini", F.col("top_1").alias("top1pct_mass")))  # one row each
 
 
 def field_normalized_impact(s: SparkSession, d: str) -> DataFrame:
@@ -58,7 +69,7 @@ def coupling_topk(s: SparkSession, d: str) -> DataFrame:
 
 def interdisciplinarity(s: SparkSession, d: str) -> DataFrame:
     g = Graph(s, d)
-    f = _ids(g.work_field, "node", "topic").join(F.broadcast(g.climb), "topic").select("node", "dom")
+    f = _ids(g.work_field, "node", "topic").join(g.climb, "topic").select("node", "dom")
     x = g.citation.join(f.select(F.col("node").alias("src"), F.col("dom").alias("a")), "src").join(f.select(F.col("node").alias("dst"), F.col("dom").alias("b")), "dst")
     return x.groupBy(F.col("a").alias("domain")).agg(F.count("*").alias("refs"), F.round(F.avg((F.col("a") != F.col("b")).cast("double")), 6).alias("cross_share"))
 
@@ -88,9 +99,13 @@ def ppmi(s: SparkSession, d: str) -> DataFrame:
 
 
 def word_vectors(s: SparkSession, d: str) -> DataFrame:
-    """Word vectors of the words that at least one document in fifty holds."""
-    docs = _docs(s, d)
-    return ranking.word_vectors(ranking.ppmi(ranking.cooccurrence(docs, min_df=max(5, docs.count() // 50))))
+    """Word vectors of the words that at least five documents hold."""
+    return ranking.word_vectors(ranking.ppmi(ranking.cooccurrence(_docs(s, d))))
+
+
+def document_vectors(s: SparkSession, d: str) -> DataFrame:
+    """Each document as the mean of its words' vectors."""
+    return ranking.document_vectors(_docs(s, d), word_vectors(s, d))
 
 
 def _vectors(s: SparkSession, d: str) -> DataFrame:
@@ -102,13 +117,24 @@ def cosine_knn(s: SparkSession, d: str) -> DataFrame:
     return ranking.cosine_topk(v, v.where("vec_id % 50 = 0"), 10)
 
 
-def retrieval_metrics(s: SparkSession, d: str) -> DataFrame:
-    """Average precision, reciprocal rank and recall of the query vectors' label among their twenty neighbours."""
-    v = _vectors(s, d)
-    knn = ranking.cosine_topk(v, v.where("vec_id % 50 = 0"), 20).select("query", F.col("vec_id").alias("item"), "pos")
+def _metrics(v: DataFrame) -> DataFrame:
+    every = ranking.cosine_topk(v, v.where("vec_id % 50 = 0"), None).select("query", F.col("vec_id").alias("item"), "pos")
     lab = v.select("vec_id", "label")
     gold = lab.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query"), "label").join(lab.select(F.col("vec_id").alias("item"), "label"), "label").where("query <> item").select("query", "item")
-    return ranking.metrics(knn, gold)
+    return ranking.metrics(every, gold)
+
+
+def retrieval_metrics(s: SparkSession, d: str) -> DataFrame:
+    """Average precision, reciprocal rank and recall of the query vectors' label, over all other vectors ranked."""
+    return _metrics(_vectors(s, d))
+
+
+def evaluation(s: SparkSession, d: str, draws: int = 2000) -> DataFrame:
+    """Means of the metrics over all queries, and a percentile interval of the mean average precision."""
+    m = cut(retrieval_metrics(s, d))
+    maps = resampled(m, F.col("query"), draws, 3).groupBy("b").agg((F.sum(F.col("ap") * F.col("w")) / F.sum("w")).alias("map"))
+    mean = m.agg(F.count("*").alias("queries"), F.round(F.avg("ap"), 6).alias("map"), F.round(F.avg("rr"), 6).alias("mrr"), *[F.round(F.avg(f"recall_{k}"), 6).alias(f"recall_{k}") for k in (5, 10, 20, 50)])
+    return mean.crossJoin(maps.agg(F.round(F.percentile("map", 0.025), 6).alias("map_lo"), F.round(F.percentile("map", 0.975), 6).alias("map_hi")))  # one row each
 
 
 def dense_sample(s: SparkSession, d: str) -> DataFrame:
@@ -136,16 +162,14 @@ def split_and_rank(s: SparkSession, d: str) -> DataFrame:
     return out.where("held").select(F.col("src").alias("query"), F.col("dst").alias("item"), (F.col("rank") - F.col("above")).alias("pos"))
 
 
-def paired_bootstrap(s: SparkSession, d: str) -> DataFrame:
-    """How often the mean difference of two methods' average precision (20 against 5 neighbours) falls to zero or below in 200 resamples."""
+def paired_bootstrap(s: SparkSession, d: str, draws: int = 2000) -> DataFrame:
+    """Whether whole vectors rank better than their first sixteen coordinates: difference of mean average precision, and
+    how often it falls to zero or below over resampled queries."""
     v = _vectors(s, d)
-    q = v.where("vec_id % 50 = 0")
-    m = retrieval_metrics(s, d).select("query", (F.col("recall_10") - F.col("recall_5")).alias("diff"))
-    rows = m.withColumn("i", F.row_number().over(Window.orderBy("query")) - 1)  # one row per evaluation query
-    n = q.count()
-    idx = rows.select("i").withColumnRenamed("i", "j").crossJoin(s.range(200).withColumnRenamed("id", "b")).withColumn("i", drawn(0, F.col("b"), F.col("j"), n=F.lit(n)))
-    means = idx.join(F.broadcast(rows.select("i", "diff")), "i").groupBy("b").agg(F.avg("diff").alias("mean"))
-    return means.agg(F.round(F.avg((F.col("mean") <= 0).cast("double")), 4).alias("p"), F.round(F.avg("mean"), 6).alias("mean_diff"))
+    less = _metrics(v.withColumn("embedding", F.slice("embedding", 1, 16))).select("query", F.col("ap").alias("less"))
+    m = cut(_metrics(v).join(less, "query").select("query", (F.col("ap") - F.col("less")).alias("diff")))
+    means = resampled(m, F.col("query"), draws, 0).groupBy("b").agg((F.sum(F.col("diff") * F.col("w")) / F.sum("w")).alias("mean"))
+    return means.agg(F.round(F.avg((F.col("mean") <= 0).cast("double")), 6).alias("p")).crossJoin(m.agg(F.round(F.avg("diff"), 6).alias("delta_map")))  # one row each
 
 
 def sign_test(s: SparkSession, d: str) -> DataFrame:
@@ -214,7 +238,7 @@ def grant_modal_recipient(s: SparkSession, d: str) -> DataFrame:
 
 def grant_modal_field(s: SparkSession, d: str) -> DataFrame:
     g = Graph(s, d)
-    x = _ids(g.grant_work, "grant_id", "work_id").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(F.broadcast(g.climb), "topic")
+    x = _ids(g.grant_work, "grant_id", "work_id").join(_ids(g.work_field, "work_id", "topic"), "work_id").join(g.climb, "topic")
     return resolve.modal(x.select("grant_id", "field"), "grant_id", "field")
 
 
@@ -230,29 +254,39 @@ def pi_coverage(s: SparkSession, d: str) -> DataFrame:
     return pi_resolve(s, d).groupBy(F.coalesce("method", "reason").alias("outcome")).agg(F.count("*").alias("people"))
 
 
-_ALL = (citation_edges, degrees, pagerank, uniformity, field_normalized_impact, coupling_topk, interdisciplinarity, tfidf_norms, tfidf_topk, latent_topk, ppmi, word_vectors, cosine_knn, retrieval_metrics, dense_sample, split_and_rank, paired_bootstrap, sign_test,
+_ALL = (citation_edges, graph_counts, degrees, pagerank, uniformity, field_normalized_impact, coupling_topk, interdisciplinarity, tfidf_norms, tfidf_topk, latent_topk, ppmi, word_vectors, document_vectors, cosine_knn, retrieval_metrics, evaluation, dense_sample, split_and_rank, paired_bootstrap, sign_test,
         org_match_cascade, org_exact, org_match_methods, award_grant_links, grant_modal_recipient, grant_modal_field, pi_resolve, pi_coverage)
 QUERIES = {f.__name__: f for f in _ALL}
 
-_PR = "WITH n AS (SELECT p_partkey AS node FROM part), c AS (SELECT count(*) AS n FROM n), o AS (SELECT src, count(*) AS deg FROM citation GROUP BY 1), r0 AS (SELECT node, 1.0::DOUBLE / c.n AS rank FROM n, c)" + "".join(
-    f", r{i} AS MATERIALIZED (SELECT n.node, 0.15 / c.n + 0.85 * (coalesce(g.got, 0) + coalesce(l.lost, 0) / c.n) AS rank FROM n CROSS JOIN c CROSS JOIN (SELECT sum(rank) AS lost FROM r{i - 1} WHERE node NOT IN (SELECT src FROM o)) l LEFT JOIN (SELECT e.dst, sum(r.rank / o.deg) AS got FROM citation e JOIN r{i - 1} r ON r.node = e.src JOIN o ON o.src = e.src GROUP BY 1) g ON g.dst = n.node)"
+_PR = "WITH n AS (SELECT p_partkey AS node FROM part), c AS (SELECT count(*) AS n FROM n), e AS MATERIALIZED (SELECT src, dst, 0.85::DOUBLE / count(*) OVER (PARTITION BY src) AS w FROM citation), r0 AS (SELECT node, 1.0::DOUBLE / c.n AS rank FROM n, c)" + "".join(
+    f", r{i} AS MATERIALIZED (SELECT n.node, (0.15::DOUBLE + 0.85::DOUBLE * coalesce(lost, 0)) / c.n + coalesce(got, 0) AS rank FROM n CROSS JOIN c CROSS JOIN (SELECT sum(rank) AS lost FROM r{i - 1} WHERE node NOT IN (SELECT src FROM citation)) LEFT JOIN (SELECT e.dst, sum(r.rank * w) AS got FROM e JOIN r{i - 1} r ON r.node = e.src GROUP BY 1) g ON g.dst = n.node)"
     for i in range(1, ITERATIONS + 1)
-)
+) + f", pr AS (SELECT node, rank / sum(rank) OVER () AS rank FROM r{ITERATIONS})"
 _DEG = "SELECT p_partkey AS node, coalesce(o, 0) AS out_degree, coalesce(i, 0) AS in_degree FROM part LEFT JOIN (SELECT src, count(*) AS o FROM citation GROUP BY 1) ON src = p_partkey LEFT JOIN (SELECT dst, count(*) AS i FROM citation GROUP BY 1) ON dst = p_partkey"
 _TOK = r"regexp_extract_all(lower(text), '[a-z][a-z0-9\-]+')"
 _TFIDF = f"""t AS (SELECT doc_id, unnest({_TOK}) AS term FROM documents WHERE text IS NOT NULL), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
   v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 20000),
   x AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN v USING (term)), tfidf AS (SELECT x.doc_id, term, w / l.len AS weight FROM x JOIN (SELECT doc_id, sqrt(sum(w * w)) AS len FROM x GROUP BY 1) l ON l.doc_id = x.doc_id)"""
-_KNN = "SELECT * FROM (SELECT q.vec_id AS query, v.vec_id, q.label AS ql, v.label, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) DESC, v.vec_id) AS pos FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)"
-_METRICS = f"""h AS (SELECT query, pos, row_number() OVER (PARTITION BY query ORDER BY pos) AS nth FROM ({_KNN}) WHERE pos <= 20 AND ql = label),
-  gold AS (SELECT q.vec_id AS query, count(*) AS g FROM embeddings q JOIN embeddings v ON q.label = v.label AND q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1),
-  m AS (SELECT gold.query, round(coalesce(sum(nth / pos), 0) / g, 6) AS ap, round(coalesce(1 / min(pos), 0), 6) AS rr, round(count(*) FILTER (WHERE pos <= 5) / g, 6) AS recall_5, round(count(*) FILTER (WHERE pos <= 10) / g, 6) AS recall_10 FROM gold LEFT JOIN h ON h.query = gold.query GROUP BY gold.query, g)"""
+
+
+def _knn(vector: str = "embedding") -> str:
+    score = f"round(list_cosine_similarity(q.{vector}::DOUBLE[], v.{vector}::DOUBLE[]), 6)"
+    return f"SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS pos FROM (SELECT q.vec_id AS query, v.vec_id, q.label AS ql, v.label, {score} AS score FROM (SELECT *, embedding[1:16] AS less FROM embeddings) q JOIN (SELECT *, embedding[1:16] AS less FROM embeddings) v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)"
+
+
+def _metrics_sql(name: str, vector: str = "embedding") -> str:
+    """A CTE with the metrics of every query vector over all others."""
+    recalls = ", ".join(f"round(count(*) FILTER (WHERE pos <= {k}) / any_value(g), 6) AS recall_{k}" for k in (5, 10, 20, 50))
+    return f"{name} AS (SELECT query, round(sum(nth / pos) / any_value(g), 6) AS ap, round(1 / min(pos), 6) AS rr, {recalls} FROM (SELECT query, pos, row_number() OVER (PARTITION BY query ORDER BY pos) AS nth, count(*) OVER (PARTITION BY query) AS g FROM ({_knn(vector)}) WHERE ql = label) GROUP BY query)"
+
+
 _SPLIT = "x AS (SELECT src, dst, rn <= greatest(1, round_even(n * 0.3, 0)) AS held FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY md5('0:' || src || ':' || dst), dst) AS rn, count(*) OVER (PARTITION BY src) AS n FROM citation WHERE src % 50 = 0) WHERE n >= 5)"
 _SQL = {
     "citation_edges": "SELECT * FROM citation",
     "degrees": _DEG,
-    "pagerank": f"{_PR} SELECT node, round(rank / sum(rank) OVER (), 9) AS rank FROM r{ITERATIONS}",
-    "uniformity": f"WITH x AS (SELECT node, in_degree::DOUBLE AS x FROM ({_DEG})), r AS (SELECT x, row_number() OVER (ORDER BY x, node) AS i, count(*) OVER () AS n FROM x) SELECT min(x) AS min, max(x) AS max, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(stddev_pop(x) / avg(x), 6) AS cv, count(*) AS n, round(sum((2 * i - n - 1) * x) / (sum(x) * max(n)), 6) AS gini, round(sum(x) FILTER (WHERE i > n - greatest(1, ceil(n * 0.01))) / sum(x), 6) AS top_1 FROM r",
+    "graph_counts": "SELECT *, round(n_edges_in_corpus / n_edges_total, 6) AS coverage FROM (SELECT sum(n * (n - 1) // 2)::BIGINT AS n_edges_total FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)), (SELECT count(*) AS n_edges_in_corpus FROM citation)",
+    "pagerank": f"{_PR} SELECT node, round(rank, 8) AS rank FROM pr",
+    "uniformity": f"{_PR}, r AS (SELECT rank AS x, row_number() OVER (ORDER BY rank, node) AS i, count(*) OVER () AS n FROM pr) SELECT round(min(x), 8) AS min, round(max(x), 8) AS max, round(avg(x), 8) AS mean, round(stddev_pop(x), 8) AS std, round(stddev_pop(x) / avg(x), 6) AS cv, round(max(x) * count(*), 5) AS top1_over_uniform, count(*) AS n, round(sum((2 * i - n - 1) * x) / (sum(x) * max(n)), 6) AS gini, round(sum(x) FILTER (WHERE i > n - greatest(1, ceil(n * 0.01))) / sum(x), 6) AS top1pct_mass FROM r",
     "field_normalized_impact": "SELECT atlas_id, field_id, publication_year, round(CASE WHEN m > 0 THEN cited_by_count / m ELSE 0 END, 6) AS impact FROM (SELECT w.atlas_id, wf.dst_id AS field_id, publication_year, cited_by_count, avg(cited_by_count) OVER (PARTITION BY wf.dst_id, publication_year) AS m FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id)",
     "coupling_topk": "SELECT * FROM (SELECT query, node, shared, row_number() OVER (PARTITION BY query ORDER BY shared DESC, node) AS pos FROM (SELECT a.src AS query, b.src AS node, count(*) AS shared FROM citation a JOIN citation b ON a.dst = b.dst AND a.src <> b.src WHERE a.src % 50 = 0 GROUP BY 1, 2)) WHERE pos <= 5",
     "interdisciplinarity": "WITH f AS (SELECT src_id AS node, dom FROM work_field JOIN climb ON topic = dst_id) SELECT a.dom AS domain, count(*) AS refs, round(avg((a.dom <> b.dom)::INT), 6) AS cross_share FROM citation c JOIN f a ON a.node = c.src JOIN f b ON b.node = c.dst GROUP BY 1",
@@ -263,11 +297,14 @@ _SQL = {
       n AS (SELECT a, b, count(*) AS n FROM (SELECT a, b FROM p UNION ALL SELECT b, a FROM p) WHERE a <> b AND a IN (FROM k) AND b IN (FROM k) GROUP BY 1, 2),
       r AS (SELECT a, sum(n) AS s FROM n GROUP BY 1)
       SELECT n.a, n.b, n.n, round(ln(n.n * (SELECT sum(n) FROM n) / (x.s * y.s)), 5) AS ppmi FROM n JOIN r x ON x.a = n.a JOIN r y ON y.a = n.b WHERE ln(n.n * (SELECT sum(n) FROM n) / (x.s * y.s)) > 0""",
-    "cosine_knn": f"SELECT query, vec_id, score, pos FROM ({_KNN}) WHERE pos <= 10",
-    "retrieval_metrics": f"WITH {_METRICS} SELECT * FROM m",
+    "cosine_knn": f"SELECT query, vec_id, score, pos FROM ({_knn()}) WHERE pos <= 10",
+    "retrieval_metrics": f"WITH {_metrics_sql('m')} SELECT * FROM m",
+    "evaluation": f"WITH {_metrics_sql('m')}, maps AS (SELECT b, sum(ap * w) / sum(w) AS map FROM {resampled_sql('m', 'query', 2000, 3)} GROUP BY 1) SELECT * FROM (SELECT count(*) AS queries, round(avg(ap), 6) AS map, round(avg(rr), 6) AS mrr, " + ", ".join(f"round(avg(recall_{k}), 6) AS recall_{k}" for k in (5, 10, 20, 50)) + " FROM m), (SELECT round(quantile_cont(map, 0.025), 6) AS map_lo, round(quantile_cont(map, 0.975), 6) AS map_hi FROM maps)",
     "dense_sample": "SELECT dst AS node, count(*) AS in_degree FROM citation GROUP BY 1 ORDER BY in_degree DESC, node LIMIT 200",
-    "split_and_rank": f"WITH {_SPLIT}, pop AS (SELECT dst, count(*) AS c FROM citation GROUP BY 1 ORDER BY c DESC, dst LIMIT 500), r AS (SELECT q.src, pop.dst, row_number() OVER (PARTITION BY q.src ORDER BY c DESC, pop.dst) AS pos FROM (SELECT DISTINCT src FROM x) q JOIN pop ON q.src <> pop.dst WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.src = q.src AND x.dst = pop.dst AND NOT held)) SELECT r.src AS query, r.dst AS item, pos FROM r JOIN x ON x.src = r.src AND x.dst = r.dst AND held",
-    "paired_bootstrap": f"WITH {_METRICS}, r AS (SELECT recall_10 - recall_5 AS diff, row_number() OVER (ORDER BY query) - 1 AS i, count(*) OVER () AS n FROM m), d AS (SELECT b, ('0x' || substr(md5('0:' || b || ':' || r.i), 1, 8))::UBIGINT % n AS i FROM r, range(200) t(b)), e AS (SELECT b, avg(diff) AS mean FROM d JOIN r USING (i) GROUP BY 1) SELECT round(avg((mean <= 0)::INT), 4) AS p, round(avg(mean), 6) AS mean_diff FROM e",
+    "split_and_rank": f"WITH {_SPLIT}, pop AS (SELECT dst, count(*) AS c FROM citation GROUP BY 1), r AS (SELECT q.src, pop.dst, row_number() OVER (PARTITION BY q.src ORDER BY c DESC, pop.dst) AS pos FROM (SELECT DISTINCT src FROM x) q JOIN pop ON q.src <> pop.dst WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.src = q.src AND x.dst = pop.dst AND NOT held)) SELECT r.src AS query, r.dst AS item, pos FROM r JOIN x ON x.src = r.src AND x.dst = r.dst AND held",
+    "paired_bootstrap": f"WITH {_metrics_sql('m')}, {_metrics_sql('k', 'less')}, x AS (SELECT query, m.ap - k.ap AS diff FROM m JOIN k USING (query)), e AS (SELECT b, sum(diff * w) / sum(w) AS mean FROM {resampled_sql('x', 'query', 2000, 0)} GROUP BY 1) SELECT * FROM (SELECT round(avg((mean <= 0)::INT), 6) AS p FROM e), (SELECT round(avg(diff), 6) AS delta_map FROM x)",
+    "sign_test": """SELECT wins, n, round(least(1, 2 * (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2))) FROM range(0, 1 + least(wins, n - wins)) t(i))), 6) AS p FROM (SELECT count(*) FILTER (WHERE a > b) AS wins, count(*) AS n
+      FROM (SELECT wf.dst_id, avg(cited_by_count) FILTER (WHERE w.atlas_id % 2 = 0) AS a, avg(cited_by_count) FILTER (WHERE w.atlas_id % 2 = 1) AS b FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id GROUP BY 1) WHERE a <> b)""",
     "grant_modal_recipient": "SELECT src_id, dst_id, n FROM (SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY f DESC, n DESC, dst_id) AS rn FROM (SELECT src_id, dst_id, count(*) AS n, max(coalesce(role = 'recipient', false)) AS f FROM grant_org WHERE src_id IS NOT NULL AND dst_id IS NOT NULL GROUP BY 1, 2)) WHERE rn = 1",
     "grant_modal_field": "SELECT grant_id, field, n FROM (SELECT *, row_number() OVER (PARTITION BY grant_id ORDER BY n DESC, field) AS rn FROM (SELECT gw.src_id AS grant_id, field, count(*) AS n FROM gw JOIN work_field wf ON wf.src_id = gw.dst_id JOIN climb c ON c.topic = wf.dst_id GROUP BY 1, 2)) WHERE rn = 1",
 }
