@@ -130,7 +130,8 @@ def plausible_email(c: Column) -> Column:
     return F.coalesce(c.rlike(f"^{EMAIL}$"), F.lit(False))
 
 
-_TITLES = "dr prof professor mr mrs ms sir dame jr sr phd md ii iii iv".split()
+# Titles and degrees that aren't part of a name.
+TITLES = "dr prof professor mr mrs ms sir dame jr sr phd md ii iii iv".split()
 
 
 def name_parts(full: Column, first: Column, last: Column) -> Column:
@@ -140,7 +141,7 @@ def name_parts(full: Column, first: Column, last: Column) -> Column:
     drop out. More than one comma, or a name without a word, is refused.
     """
     norm = lambda c: F.btrim(F.regexp_replace(F.regexp_replace(F.lower(strip_accents(c)), r"[^a-z0-9, ]+", " "), " +", " "))
-    words = lambda c: F.filter(F.split(F.regexp_replace(c, ",", " "), " +"), lambda w: (w != "") & ~w.isin(_TITLES))
+    words = lambda c: F.filter(F.split(F.regexp_replace(c, ",", " "), " +"), lambda w: (w != "") & ~w.isin(TITLES))
     f, l, t = words(norm(first)), words(norm(last)), F.regexp_replace(norm(full), r", *(phd|md|jr|sr|ii|iii|iv)\b", "")
     parts = F.split(t, ",")
     sized = lambda a: F.coalesce(F.size(a), F.lit(0))

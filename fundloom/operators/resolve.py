@@ -52,6 +52,20 @@ def match_institutions(queries: DataFrame, index: DataFrame, min_fuzzy: float =
     return q.join(all_tiers, "qid").select("name", "country", "m.ror", "m.method", "m.score")
 
 
+def resolve_institutions(orgs: DataFrame, index: DataFrame, min_fuzzy: float = 0.85) -> DataFrame:
+    """``(name, country, given, ror, method, score)`` for each distinct (name, country, ror_id) of ``orgs``.
+
+    An institution that carries an id keeps it (``prematched``, 1.0), whatever its name; the others are matched by name,
+    and those that no tier resolves stay, with nulls.
+    """
+    o = orgs.select("name", "country", F.nullif(F.btrim("ror_id"), F.lit("")).alias("given")).distinct()
+    got = match_institutions(o.where("given is null"), index, min_fuzzy)
+    told = o.where("given is not null").select("name", "country", "given", F.col("given").alias("ror"), F.lit("prematched").alias("method"), F.lit(1.0).alias("score"))
+    on = [o["name"].eqNullSafe(got["name"]), o["country"].eqNullSafe(got["country"])]
+    rest = o.where("given is null").join(got, on, "left").select(o["name"], o["country"], "given", F.col("ror").cast("string").alias("ror"), "method", "score")
+    return told.unionByName(rest)
+
+
 def _fuzzy(q: DataFrame, named: DataFrame, least: float) -> DataFrame:
     """The last tier: ``(qid, ror, w)``. Weights are ``ln((n + 1) / (df + 1)) + 1`` within the country, over its names.
 

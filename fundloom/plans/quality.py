@@ -199,6 +199,32 @@ _ALL = (surrogate_keys, enforce_schema_grant, partition_years, normalize_names,
         canonical_orgs, edge_remap, manifest_summary, pk_unique, orphans, provenance, money_checks, ror_orcid_format, shared_ror, unfunded_grants, coverage_soft)
 QUERIES = {f.__name__: f for f in _ALL}
 
+_TITLE_LIST = ", ".join(f"'{w}'" for w in text.TITLES)
+
+
+def norm_sql(name: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(replace(lower(strip_accents(coalesce({name}, ''))), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
+
+
+def tokens_sql(norm: str) -> str:
+    stop = ", ".join(f"'{w}'" for w in text.STOPWORDS)
+    return f"list_sort(list_distinct(list_filter(string_split({norm}, ' '), lambda w: len(w) > 1 AND w NOT IN ({stop}))))"
+
+
+def _name_parts() -> str:
+    """The struct of ``text.name_parts`` in SQL, of full_name, first_name and last_name."""
+    norm = lambda c: f"trim(regexp_replace(regexp_replace(lower(strip_accents({c})), '[^a-z0-9, ]+', ' ', 'g'), ' +', ' ', 'g'))"
+    words = lambda e: f"list_filter(string_split_regex(replace({e}, ',', ' '), ' +'), lambda w: w <> '' AND w NOT IN ({_TITLE_LIST}))"
+    whole = f"regexp_replace({norm('full_name')}, ', *(phd|md|jr|sr|ii|iii|iv)\\b', '', 'g')"
+    parts = f"string_split({whole}, ',')"
+    side = lambda i: words(f"coalesce({parts}[{i}], '')")
+    last, first = words(norm("last_name")), words(norm("first_name"))
+    make = lambda sur, given: f"struct_pack(surname := {sur}, given := {given}, initial := substr(coalesce(({given})[1], ''), 1, 1))"
+    return f"""CASE WHEN len({last}) > 0 THEN {make(f"array_to_string({last}, ' ')", f"coalesce({first}, []::VARCHAR[])")} WHEN len({parts}) > 2 THEN NULL
+      WHEN len({parts}) = 2 AND len({side(1)}) > 0 THEN {make(f"array_to_string({side(1)}, ' ')", side(2))} WHEN len({words(whole)}) > 0 THEN {make(f"({words(whole)})[-1]", f"({words(whole)})[:-2]")} END"""
+
+
+NAME_PARTS = _name_parts()
 _NORM = "trim(regexp_replace(regexp_replace(replace(lower(strip_accents(coalesce(name, ''))), '&', ' and '), '[^a-z0-9 ]+', ' ', 'g'), ' +', ' ', 'g'))"
 _NSQL = f"SELECT DISTINCT name, {_NORM} AS norm FROM organization"
 _MAP = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in text.ABBREVIATIONS.items()) + "}"
@@ -221,6 +247,7 @@ ORACLES = {
     "expand_abbrev": f"SELECT DISTINCT norm, CASE WHEN norm LIKE '% %' THEN array_to_string(list_transform(string_split(norm, ' '), lambda w: coalesce({_MAP}[w], w)), ' ') ELSE norm END AS expanded FROM ({_NSQL})",
     "name_tokens": f"SELECT DISTINCT norm, array_to_string(list_sort(list_distinct(list_filter(string_split(norm, ' '), lambda w: len(w) > 1 AND w NOT IN ({_STOP})))), ' ') AS tokens FROM ({_NSQL})",
     "countries": "SELECT CASE upper(trim(country_code)) WHEN 'EL' THEN 'GR' WHEN 'UK' THEN 'GB' ELSE nullif(upper(trim(country_code)), '') END AS country, count(*) AS rows FROM organization GROUP BY 1",
+    "person_name_parts": f"SELECT DISTINCT full_name, n.surname AS surname, array_to_string(n.given, ' ') AS given, n.initial AS initial FROM (SELECT full_name, {NAME_PARTS} AS n FROM person)",
     "award_keys": r"""SELECT source_id, src, CASE src WHEN 'nih' THEN '5R01CA' || d || '0' || (n % 9) || ' NIH:CA' || d || ' NIH:R01CA' || d WHEN 'nsf' THEN d || ' DEB' || d || ' NSF:' || d WHEN 'ukri' THEN 'EP' || d || '1 UKRI:EP' || d || '1' ELSE regexp_replace(upper(source_id), '[^A-Z0-9]', '', 'g') END AS keys
       FROM (SELECT DISTINCT source_id, n, lpad(n::VARCHAR, 6, '0') AS d, ['nih', 'nsf', 'ukri', 'other'][n % 4 + 1] AS src FROM (SELECT source_id, regexp_extract(source_id, '(\d+)$', 1)::INT AS n FROM grant_record))""",
     "money_parse": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN round(o_totalprice, 2) END AS amount FROM orders",

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fundloom.functions import text
 from fundloom.operators import ranking, resolve
 from fundloom.operators.ranks import concentration, global_order, resampled, resampled_sql
 from fundloom.plans.graph import Graph, with_views
 from fundloom.plans.named import _ids
+from fundloom.plans.quality import NAME_PARTS, norm_sql, tokens_sql
 from fundloom.session import cut
 from fundloom.sources.tables import table
 
@@ -222,12 +224,21 @@ def org_match_methods(s: SparkSession, d: str) -> DataFrame:
     return org_match_cascade(s, d).groupBy("method").agg(F.count("*").alias("names"), F.round(F.avg("score"), 4).alias("mean_score"))
 
 
+def org_resolution(s: SparkSession, d: str) -> DataFrame:
+    """Every institution's id: its own, or the one that its name is matched to, or none."""
+    q = table(s, d, "organization", "name", "country_code", "ror_id").withColumnRenamed("country_code", "country")
+    return resolve.resolve_institutions(q, resolve.register_index(_register(s, d)))
+
+
 def award_grant_links(s: SparkSession, d: str) -> DataFrame:
-    """Works that name a grant's number, in one of several notations, linked to the grant."""
-    g = table(s, d, "grant_record", "atlas_id", "source_id").select("atlas_id", F.lit("ukri").alias("source"), "source_id").distinct()
-    w = table(s, d, "grant_work", "dst_id", "source_id").select(F.col("dst_id").alias("work_id"), F.lit("ukri").alias("source"), F.regexp_replace(F.lower("source_id"), "-l0*", " - 00000").alias("award"))
-    awards = table(s, d, "grant_record", "atlas_id", "source_id").select(F.concat(F.lit("w:"), "atlas_id").alias("work_id"), F.lit("ukri").alias("source"), F.lower(F.replace("source_id", F.lit("-"), F.lit(" / "))).alias("award")).unionByName(w)
-    return resolve.link_awards(awards, g)
+    """Works that name a grant's number in another notation than the grant's source, linked to the grant; four sources."""
+    g = table(s, d, "grant_record", "atlas_id", "source_id").distinct().withColumn("n", F.regexp_extract("source_id", r"(\d+)$", 1).cast("int")).withColumn("d", F.lpad(F.col("n").cast("string"), 6, "0"))
+    pick = lambda *x: F.element_at(F.array(*[c if isinstance(c, Column) else F.lit(c) for c in x]), F.col("n") % 4 + 1)
+    number = pick(F.concat(F.lit("5R01CA"), "d", F.lit("-0"), (F.col("n") % 9 + 1).cast("string")), F.concat(F.lit("DEB-"), "d"), F.concat(F.lit("EP/"), "d", F.lit("/1")), F.concat(F.lit("10"), "d"))
+    named = pick(F.concat(F.lit("R01 CA "), "d"), F.concat(F.lit("NSF grant "), "d"), F.concat(F.lit("ep "), "d", F.lit("-1")), F.concat(F.lit("Grant agreement No. 10"), "d"))
+    grants = g.select("atlas_id", pick("nih", "nsf", "ukri", "cordis").alias("source"), number.alias("source_id"))
+    awards = g.select(F.concat(F.lit("w:"), "atlas_id").alias("work_id"), pick("nih", "nsf", "ukri", "ec").alias("source"), named.alias("award"))
+    return resolve.link_awards(awards, grants)
 
 
 def grant_modal_recipient(s: SparkSession, d: str) -> DataFrame:
@@ -243,10 +254,13 @@ def grant_modal_field(s: SparkSession, d: str) -> DataFrame:
 
 
 def pi_resolve(s: SparkSession, d: str) -> DataFrame:
-    """Lead applicants of the award rows against the people's table, the source standing in for the organisation."""
-    known = table(s, d, "person").select(F.col("atlas_id").alias("person_id"), "full_name", "first_name", "last_name", "orcid", F.lit("any").alias("org"), F.lit(None).cast("string").alias("field"))
-    none = F.lit(None).cast("string")
-    asked = table(s, d, "sample_rows").select(F.col("Internal ID").alias("qid"), F.col("Lead Applicant").alias("full_name"), none.alias("first_name"), none.alias("last_name"), none.alias("orcid"), F.lit("any").alias("org"), none.alias("field")).distinct()
+    """People of the table against each other, as principal investigators against authors: the source stands in for the
+    organisation, the length of the name for the field; every fifth shows its ORCID."""
+    p = table(s, d, "person", "atlas_id", "full_name", "first_name", "last_name", "orcid", "source").distinct()
+    n = F.length("full_name")
+    field = lambda *x: F.element_at(F.array(*[F.lit(v).cast("string") for v in x]), F.coalesce(n % len(x), F.lit(0)) + 1)
+    known = p.select(F.col("atlas_id").alias("person_id"), "full_name", "first_name", "last_name", "orcid", F.col("source").alias("org"), field("bio", "chem", None).alias("field"))
+    asked = p.select(F.concat_ws("|", "atlas_id", "full_name", "first_name", "last_name", "orcid", "source").alias("qid"), "full_name", "first_name", "last_name", F.when(n % 5 == 0, F.col("orcid")).alias("orcid"), F.when(n % 7 > 0, F.col("source")).alias("org"), field(None, "bio", "chem", None, "other", None).alias("field"))
     return resolve.resolve_people(asked, known)
 
 
@@ -255,7 +269,7 @@ def pi_coverage(s: SparkSession, d: str) -> DataFrame:
 
 
 _ALL = (citation_edges, graph_counts, degrees, pagerank, uniformity, field_normalized_impact, coupling_topk, interdisciplinarity, tfidf_norms, tfidf_topk, latent_topk, ppmi, word_vectors, document_vectors, cosine_knn, retrieval_metrics, evaluation, dense_sample, split_and_rank, paired_bootstrap, sign_test,
-        org_match_cascade, org_exact, org_match_methods, award_grant_links, grant_modal_recipient, grant_modal_field, pi_resolve, pi_coverage)
+        org_match_cascade, org_exact, org_match_methods, org_resolution, award_grant_links, grant_modal_recipient, grant_modal_field, pi_resolve, pi_coverage)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _PR = "WITH n AS (SELECT p_partkey AS node FROM part), c AS (SELECT count(*) AS n FROM n), e AS MATERIALIZED (SELECT src, dst, 0.85::DOUBLE / count(*) OVER (PARTITION BY src) AS w FROM citation), r0 AS (SELECT node, 1.0::DOUBLE / c.n AS rank FROM n, c)" + "".join(
@@ -281,6 +295,44 @@ def _metrics_sql(name: str, vector: str = "embedding") -> str:
 
 
 _SPLIT = "x AS (SELECT src, dst, rn <= greatest(1, round_even(n * 0.3, 0)) AS held FROM (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY md5('0:' || src || ':' || dst), dst) AS rn, count(*) OVER (PARTITION BY src) AS n FROM citation WHERE src % 50 = 0) WHERE n >= 5)"
+_CODES = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in CODES.items()) + "}"
+_CC = "CASE upper(trim(country)) WHEN 'EL' THEN 'GR' WHEN 'UK' THEN 'GB' ELSE nullif(upper(trim(country)), '') END"
+_WORDS = lambda e: f"list_transform(string_split({e}, ' '), lambda w: coalesce(MAP {{{', '.join(f'{chr(39)}{a}{chr(39)}: {chr(39)}{b}{chr(39)}' for a, b in text.ABBREVIATIONS.items())}}}[w], w))"
+
+
+def _tier_sql(n: int, method: str, score: str, kind: str, key: str, need: bool = False) -> str:
+    """Candidates with an equal key, those of the country if there are any, the one of highest priority."""
+    there = "here" if need else "(here OR NOT any_here OR cc IS NULL)"
+    prio = "0" if need else "prio"
+    return f"""t{n} AS (SELECT qid, ror, '{method}' AS method, {score} AS score, {n} AS t FROM (SELECT *, count(*) OVER (PARTITION BY qid) AS tied FROM (SELECT *, max(prio) OVER (PARTITION BY qid) AS top FROM (SELECT *, bool_or(here) OVER (PARTITION BY qid) AS any_here
+      FROM (SELECT q.qid, q.cc, i.ror, max({prio}) AS prio, bool_or(coalesce(i.country = q.cc, false)) AS here FROM q JOIN idx i ON q.{key} = i.{"norm" if need else key} WHERE kind {kind} 'acronym' GROUP BY 1, 2, 3)) WHERE {there}) WHERE prio = top) WHERE tied = 1)"""
+
+
+_CASCADE = f"""reg AS (SELECT reg_id, legal_name AS name, 'display' AS kind, country FROM registry_org UNION ALL SELECT reg_id, name, CASE WHEN regexp_matches(name, '^[A-Z]{{2,8}}$') THEN 'acronym' ELSE 'alias' END, country FROM (SELECT reg_id, trim(unnest(string_split(other_names, ';'))) AS name, country FROM registry_org)),
+  idx AS (SELECT DISTINCT ror, kind, country, norm, CASE WHEN norm LIKE '% %' THEN array_to_string({_WORDS("norm")}, ' ') ELSE norm END AS expanded, {tokens_sql("norm")} AS tokens, CASE kind WHEN 'display' THEN 3 WHEN 'alias' THEN 1 ELSE 0 END AS prio, string_split(norm, ' ')[-1] IN ({", ".join(f"'{w}'" for w in text.UMBRELLA)}) AS umbrella
+    FROM (SELECT reg_id AS ror, kind, {_CODES}[upper(regexp_replace(country, '[\\s.]', '', 'g'))] AS country, {norm_sql("name")} AS norm FROM reg) WHERE norm <> ''),
+  q AS (SELECT *, row_number() OVER () AS qid, CASE WHEN norm LIKE '% %' THEN array_to_string({_WORDS("norm")}, ' ') ELSE norm END AS expanded, {tokens_sql("norm")} AS tokens, {_CC} AS cc FROM (SELECT DISTINCT name, country_code AS country, {norm_sql("name")} AS norm FROM organization WHERE true) WHERE norm <> ''),
+  {_tier_sql(1, "exact", "1.0::DOUBLE", "<>", "norm")}, {_tier_sql(2, "expanded", "0.99::DOUBLE", "<>", "expanded")}, {_tier_sql(3, "acronym", "0.97::DOUBLE", "=", "norm", True)},
+  nm AS (SELECT * FROM idx WHERE kind <> 'acronym' AND country IS NOT NULL), cn AS (SELECT country, count(*) AS n FROM nm GROUP BY 1), cd AS (SELECT country, w, count(*) AS df FROM (SELECT country, unnest(tokens) AS w FROM nm) GROUP BY 1, 2),
+  qw AS (SELECT qid, cc, a.w, ln((n + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT qid, cc, unnest(tokens) AS w FROM q WHERE len(tokens) >= 2 AND cc IS NOT NULL) a JOIN cn ON cn.country = cc LEFT JOIN cd ON cd.country = cc AND cd.w = a.w),
+  qk AS (SELECT qid, cc, sum(idf) AS total, first(w ORDER BY idf DESC, w) AS key FROM qw GROUP BY 1, 2),
+  ca AS (SELECT qk.qid, nm.ror, nm.tokens, nm.prio, nm.umbrella, q.tokens AS asked, round((SELECT sum(idf) FROM qw WHERE qw.qid = qk.qid AND list_contains(nm.tokens, qw.w)) / total, 6) AS w FROM qk JOIN q ON q.qid = qk.qid JOIN nm ON nm.country = qk.cc AND list_contains(nm.tokens, qk.key)),
+  cb AS (SELECT qid, ror, max(struct_pack(w := w, own := NOT umbrella, prio := prio, j := len(list_intersect(asked, tokens)) / len(list_distinct(list_concat(asked, tokens))))) AS k FROM ca GROUP BY 1, 2),
+  t4 AS (SELECT qid, ror, 'fuzzy' AS method, round(k.w, 4) AS score, 4 AS t FROM (SELECT *, row_number() OVER o AS rn, lead(k) OVER o AS nx FROM cb WINDOW o AS (PARTITION BY qid ORDER BY k DESC, ror)) WHERE rn = 1 AND k.w >= 0.85 AND NOT coalesce(k.w = nx.w AND k.own = nx.own, false)),
+  won AS (SELECT qid, first(ror ORDER BY t) AS ror, first(method ORDER BY t) AS method, first(score ORDER BY t) AS score FROM (FROM t1 UNION ALL FROM t2 UNION ALL FROM t3 UNION ALL FROM t4) GROUP BY 1), res AS (SELECT name, country, ror, method, score FROM q JOIN won USING (qid))"""
+_FIELD = lambda *x: "[" + ", ".join("NULL" if v is None else f"'{v}'" for v in x) + f"][coalesce(length(full_name) % {len(x)}, 0) + 1]"
+_FITS = "coalesce(g[1] = kg[1] OR (length(g[1]) = 1 OR length(kg[1]) = 1) AND substr(g[1], 1, 1) = substr(kg[1], 1, 1), false)"
+_PI = f"""p AS (SELECT DISTINCT atlas_id, full_name, first_name, last_name, orcid, source FROM person), pn AS (SELECT *, {NAME_PARTS} AS n FROM p),
+  k AS (SELECT atlas_id AS person_id, orcid, source AS org, {_FIELD("bio", "chem", None)} AS kf, n.surname AS sur, n.given AS kg FROM pn),
+  a AS (SELECT x.*, o.by_orcid FROM (SELECT concat_ws('|', atlas_id, full_name, first_name, last_name, orcid, source) AS qid, CASE WHEN length(full_name) % 5 = 0 THEN orcid END AS orcid, CASE WHEN length(full_name) % 7 > 0 THEN source END AS org, {_FIELD(None, "bio", "chem", None, "other", None)} AS field, n.surname AS sur, n.given AS g FROM pn) x
+    LEFT JOIN (SELECT orcid, min(person_id) AS by_orcid FROM k WHERE orcid IS NOT NULL GROUP BY 1) o ON o.orcid = x.orcid),
+  pr AS (SELECT qid, person_id, fits, fits AND (field IS NULL OR field = 'other' OR coalesce(kf = field, false)) AS ok, fits AND (field IS NULL OR field = 'other' OR coalesce(kf = field, false)) AND coalesce(length(g[1]) > 1 AND g[1] = kg[1], false) AS strong
+    FROM (SELECT a.qid, a.field, a.g, k.person_id, k.kf, k.kg, {_FITS} AS fits FROM a JOIN (SELECT DISTINCT person_id, org, kf, sur, kg FROM k WHERE sur IS NOT NULL AND org IS NOT NULL) k ON a.org = k.org AND a.sur = k.sur WHERE a.by_orcid IS NULL)),
+  su AS (SELECT qid, bool_or(fits) AS fits, count(DISTINCT person_id) FILTER (WHERE ok) AS oks, count(DISTINCT person_id) FILTER (WHERE strong) AS strongs, min(person_id) FILTER (WHERE ok) AS o1, min(person_id) FILTER (WHERE strong) AS s1 FROM pr GROUP BY 1),
+  f AS (SELECT a.*, su.* EXCLUDE (qid), coalesce(field <> 'other', false) AS told, CASE WHEN by_orcid IS NOT NULL THEN by_orcid WHEN oks = 1 THEN o1 WHEN oks > 1 AND strongs = 1 THEN s1 END AS person_id FROM a LEFT JOIN su ON su.qid = a.qid),
+  pi AS (SELECT qid, person_id, CASE WHEN by_orcid IS NOT NULL THEN 'orcid' WHEN person_id IS NOT NULL THEN CASE WHEN told THEN 'name+org+field' ELSE 'name+org' END END AS method,
+    CASE WHEN by_orcid IS NOT NULL THEN 1.0 WHEN person_id IS NOT NULL THEN CASE WHEN told THEN 0.97 ELSE 0.9 END END::DOUBLE AS score,
+    CASE WHEN person_id IS NOT NULL THEN NULL WHEN sur IS NULL THEN 'unparseable-name' WHEN fits IS NULL THEN 'no-org-overlap' WHEN NOT fits THEN 'no-name-overlap' WHEN told AND oks > 0 THEN 'ambiguous-field' WHEN told THEN 'field-conflict' ELSE 'ambiguous' END AS reason FROM f)"""
 _SQL = {
     "citation_edges": "SELECT * FROM citation",
     "degrees": _DEG,
@@ -305,6 +357,14 @@ _SQL = {
     "paired_bootstrap": f"WITH {_metrics_sql('m')}, {_metrics_sql('k', 'less')}, x AS (SELECT query, m.ap - k.ap AS diff FROM m JOIN k USING (query)), e AS (SELECT b, sum(diff * w) / sum(w) AS mean FROM {resampled_sql('x', 'query', 2000, 0)} GROUP BY 1) SELECT * FROM (SELECT round(avg((mean <= 0)::INT), 6) AS p FROM e), (SELECT round(avg(diff), 6) AS delta_map FROM x)",
     "sign_test": """SELECT wins, n, round(least(1, 2 * (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2))) FROM range(0, 1 + least(wins, n - wins)) t(i))), 6) AS p FROM (SELECT count(*) FILTER (WHERE a > b) AS wins, count(*) AS n
       FROM (SELECT wf.dst_id, avg(cited_by_count) FILTER (WHERE w.atlas_id % 2 = 0) AS a, avg(cited_by_count) FILTER (WHERE w.atlas_id % 2 = 1) AS b FROM work w JOIN work_field wf ON wf.src_id = w.atlas_id GROUP BY 1) WHERE a <> b)""",
+    "org_match_cascade": f"WITH {_CASCADE} SELECT * FROM res",
+    "org_exact": f"WITH {_CASCADE} SELECT name, country, ror FROM res WHERE method = 'exact'",
+    "org_match_methods": f"WITH {_CASCADE} SELECT method, count(*) AS names, round(avg(score), 4) AS mean_score FROM res GROUP BY 1",
+    "org_resolution": f"""WITH {_CASCADE}, o AS (SELECT DISTINCT name, country_code AS country, nullif(trim(ror_id), '') AS given FROM organization) SELECT name, country, given, given AS ror, 'prematched' AS method, 1.0::DOUBLE AS score FROM o WHERE given IS NOT NULL
+      UNION ALL SELECT o.name, o.country, given, ror::VARCHAR, method, score FROM o LEFT JOIN res ON res.name IS NOT DISTINCT FROM o.name AND res.country IS NOT DISTINCT FROM o.country WHERE given IS NULL""",
+    "award_grant_links": r"SELECT DISTINCT 'w:' || atlas_id AS work_id, max(atlas_id) OVER (PARTITION BY regexp_extract(source_id, '(\d+)$', 1)::INT) AS grant_id FROM grant_record",
+    "pi_resolve": f"WITH {_PI} SELECT * FROM pi",
+    "pi_coverage": f"WITH {_PI} SELECT coalesce(method, reason) AS outcome, count(*) AS people FROM pi GROUP BY 1",
     "grant_modal_recipient": "SELECT src_id, dst_id, n FROM (SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY f DESC, n DESC, dst_id) AS rn FROM (SELECT src_id, dst_id, count(*) AS n, max(coalesce(role = 'recipient', false)) AS f FROM grant_org WHERE src_id IS NOT NULL AND dst_id IS NOT NULL GROUP BY 1, 2)) WHERE rn = 1",
     "grant_modal_field": "SELECT grant_id, field, n FROM (SELECT *, row_number() OVER (PARTITION BY grant_id ORDER BY n DESC, field) AS rn FROM (SELECT gw.src_id AS grant_id, field, count(*) AS n FROM gw JOIN work_field wf ON wf.src_id = gw.dst_id JOIN climb c ON c.topic = wf.dst_id GROUP BY 1, 2)) WHERE rn = 1",
 }
