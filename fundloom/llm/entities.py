@@ -4,9 +4,11 @@
    telling word left out (so that one typo on either side still meets), acronyms; for people surname with given name,
    with initials, with nicknames resolved, in both orders where the order isn't told. A ROR id, host or ORCID is a form too.
 2. Records alike in all that counts are one profile, so copies cost nothing.
-3. Profiles that share a form meet. The rarer a form, the more it says: a form is held by so many places or given names,
-   and one that is held by several links nothing by itself.
-4. Evidence decides: what contradicts (other id, host, country, place, given name, initial) outweighs what agrees.
+3. Profiles that share a form meet and are scored by rarity: how surely the form is written (``WEIGHT``), divided by how
+   many it may stand for - places for institutions, given names behind initials for people. A form that only one can hold
+   scores in full; one that several hold says too little by itself.
+4. Evidence adds to the score (an id, a host, the very place), and what contradicts (other id, host, country, place, given
+   name, initial) rules a pair out. Pairs that reach ``LEAST`` are links.
 5. Links are closed to components; a component's members stand for one entity.
 
 A form that more than ``PAIRWISE`` profiles share is paired out in blocks of about so many, spread over tasks. All pairs
@@ -15,7 +17,7 @@ are judged by the same rules, however many share a form; their number is quadrat
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,10 @@ from fundloom.operators.components import components
 from fundloom.session import cut
 
 PAIRWISE = 200
+#: What a shared form is worth by its kind: canonical words, a letter left out, an acronym.
+WEIGHT = {"c": 1.0, "d": 0.95, "a": 0.5}
+#: Least score of a link. A kind with a letter left out reaches it if it can stand for one only.
+LEAST = 0.9
 
 _ORG = "id string, main string, forms array<string>, city string, country string, ror string, host string, lat double, lon double"
 _PERSON = "id string, forms array<string>, sur string, giv string, gi string, mid string, orcid string, alone boolean"
@@ -118,12 +124,12 @@ def _differ(c: str) -> Column:
 
 
 def org_links(prof: DataFrame) -> DataFrame:
-    """``(a, b)``: profiles that evidence links."""
+    """``(a, b, score)``: profiles that rarity and evidence link."""
     attributes = ["main", "city", "country", "ror", "host", "lat", "lon"]
     form = cut(prof.select("pid", F.explode("forms").alias("form")))
-    pairs = _meet(form)
     kind = F.substring("form", 1, 1)
-    told = pairs.groupBy("a", "b").agg(F.max(F.when(kind == "c", 3).when(kind == "d", 2).when(kind == "a", 1).otherwise(0)).alias("name"))
+    worth = F.coalesce(*[F.when(kind == k, w) for k, w in WEIGHT.items()], F.lit(0.0))
+    told = _meet(form).groupBy("a", "b").agg(F.max(worth).alias("worth"))
     # Rarity of a canonical form: in how many places it is found, by country and altogether.
     found = prof.where("main is not null").groupBy("main", "country").agg(F.count_distinct(F.soundex("city")).alias("towns"))
     lands = found.groupBy("main").agg(F.count("country").alias("lands"), F.max("towns").alias("most_towns"))
@@ -135,16 +141,19 @@ def org_links(prof: DataFrame) -> DataFrame:
     other_city = _both("city") & ~near_city
     known = _same("ror") | _same("host")
     here = F.coalesce(far <= 0.1, F.lit(False))
-    few = lambda c, n: F.coalesce(F.greatest(f"{c}_a", f"{c}_b") <= n, F.lit(True))
+    held = lambda c: F.greatest(F.lit(1), F.coalesce(f"{c}_a", F.lit(1)), F.coalesce(f"{c}_b", F.lit(1)))
+    named = F.col("worth") > WEIGHT["a"]
+    # How many institutions a form may stand for: towns of the country where that is known, of all countries where not.
+    several = F.when(_both("city"), F.lit(None)).when(_same("country"), held("towns")).when(~_both("country"), held("lands") * held("most"))
+    rarity = F.coalesce(F.when(named, F.col("worth") / several), F.lit(0.0))
     # An acronym alone is little: it needs the very place.
-    by_place = ~other_city & (((here | near_city) & (F.col("name") >= 2)) | ((here | _same("city")) & (F.col("name") == 1)))
-    by_land = ~_both("city") & _same("country") & (F.col("name") >= 2) & few("towns", 1)
-    by_name = ~_both("city") & ~_both("country") & (F.col("name") >= 2) & few("lands", 1) & few("most", 1)
-    return p.where(~against & (known | by_place | by_land | by_name)).select("a", "b").distinct()
+    place = ~other_city & ((named & (here | near_city)) | ((F.col("worth") == WEIGHT["a"]) & (here | _same("city"))))
+    score = rarity + known.cast("double") + F.when(place, F.col("worth") * 0.1 + 0.85).otherwise(0.0)
+    return p.where(~against).withColumn("score", score).where(F.col("score") >= LEAST).groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
 def person_links(prof: DataFrame) -> DataFrame:
-    """``(a, b)``: profiles that evidence links; a profile that agrees with several people links to none of them."""
+    """``(a, b, score)``: profiles that rarity and evidence link; a profile that agrees with several people links to none of them."""
     attributes = ["sur", "giv", "gi", "mid", "orcid", "alone"]
     form = cut(prof.select("pid", "alone", "giv", F.explode("forms").alias("form")))
     # Rarity of an initial form: how many given names are behind it. Only a name of initials is looked up by initials.
@@ -157,15 +166,18 @@ def person_links(prof: DataFrame) -> DataFrame:
     p = told.join(_sided(prof, "a", attributes), "a").join(_sided(prof, "b", attributes), "b")
     near = lambda c: _same(c) | F.coalesce(F.levenshtein(f"{c}_a", f"{c}_b") <= 2, F.lit(False))
     against = _differ("orcid") | _differ("mid") | (_both("giv") & ~near("giv")) | _differ("gi") & ~F.col("id") | ~near("sur")
-    initials = (F.col("alone_a") | F.col("alone_b")) & ((F.col("givens") <= 1) | (_same("mid") & _both("mid")))
-    ok = cut(p.where(~against & (F.col("id") | F.col("full") | initials)).select("a", "b", "orcid_a", "orcid_b", "mid_a", "mid_b", "giv_a", "giv_b", "alone_a", "alone_b"))
+    # A full name, or initials shared by so many given names, unless the middle initial tells which.
+    initials = F.when(F.col("alone_a") | F.col("alone_b"), F.when(_same("mid") & _both("mid"), F.lit(WEIGHT["d"])).otherwise(WEIGHT["d"] / F.greatest(F.lit(1), "givens")))
+    score = F.col("id").cast("double") + F.greatest(F.when(F.col("full"), F.lit(WEIGHT["c"])).otherwise(0.0), F.coalesce(initials, F.lit(0.0)))
+    p = p.withColumn("score", score)
+    ok = cut(p.where(~against & (F.col("score") >= LEAST)).select("a", "b", "score", "orcid_a", "orcid_b", "mid_a", "mid_b", "giv_a", "giv_b", "alone_a", "alone_b"))
     # A profile that says less than its partners, and whose partners contradict each other, could be any of them.
     ends = ok.select(F.col("a").alias("p"), F.col("orcid_a").alias("po"), F.col("mid_a").alias("pm"), F.col("orcid_b").alias("o"), F.col("mid_b").alias("m"), F.soundex("giv_b").alias("g"), F.col("alone_a").alias("pa")).unionByName(
         ok.select(F.col("b").alias("p"), F.col("orcid_b").alias("po"), F.col("mid_b").alias("pm"), F.col("orcid_a").alias("o"), F.col("mid_a").alias("m"), F.soundex("giv_a").alias("g"), F.col("alone_b").alias("pa"))
     )
     torn = ends.groupBy("p", "po", "pm", "pa").agg(F.count_distinct("o").alias("os"), F.count_distinct("m").alias("ms"), F.count_distinct("g").alias("gs"))
     torn = torn.where("(po is null and os > 1) or (pm is null and po is null and ms > 1) or (pa and pm is null and po is null and gs > 1)").select("p")
-    return ok.join(torn.withColumnRenamed("p", "a"), "a", "left_anti").join(torn.withColumnRenamed("p", "b"), "b", "left_anti").select("a", "b").distinct()
+    return ok.join(torn.withColumnRenamed("p", "a"), "a", "left_anti").join(torn.withColumnRenamed("p", "b"), "b", "left_anti").groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
 def _closed(member: DataFrame, links: DataFrame) -> DataFrame:
@@ -182,17 +194,36 @@ def _closed(member: DataFrame, links: DataFrame) -> DataFrame:
 def org_entities(orgs: DataFrame, with_ror: bool = True) -> DataFrame:
     """``(id, entity)`` for institutions ``(id, name, city, country, ror, host, lat, lon)``."""
     rows = org_rows(orgs if with_ror else orgs.withColumn("ror", F.lit(None).cast("string")))
-    prof, member = _profiles(rows, ["main", "city", "country", "ror", "host", "lat", "lon"])
+    prof, member = _profiles(rows, ORG_PROFILE)
     return _closed(member, org_links(prof))
 
 
 def person_entities(people: DataFrame, with_orcid: bool = True) -> DataFrame:
     """``(id, entity)`` for people ``(id, full_name, first_name, last_name, orcid)``."""
     rows = person_rows(people if with_orcid else people.withColumn("orcid", F.lit(None).cast("string")))
-    prof, member = _profiles(rows, ["sur", "giv", "gi", "mid", "orcid", "alone"])
+    prof, member = _profiles(rows, PERSON_PROFILE)
     return _closed(member, person_links(prof))
 
 
+def scored_links(rows: DataFrame, attributes: list[str], link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(key_a, key_b, score)``: the links themselves, between the least ids of their profiles, the smaller first; of
+    several profiles of the same ids the best score."""
+    prof, member = _profiles(rows, attributes)
+    low = member.groupBy("pid").agg(F.min("id").alias("id"))
+    named = link(prof).join(low.select(F.col("pid").alias("a"), F.col("id").alias("x")), "a").join(low.select(F.col("pid").alias("b"), F.col("id").alias("y")), "b").where("x <> y")
+    return named.groupBy(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).agg(F.round(F.max("score"), 6).alias("score"))
+
+
+ORG_PROFILE = ["main", "city", "country", "ror", "host", "lat", "lon"]
+PERSON_PROFILE = ["sur", "giv", "gi", "mid", "orcid", "alone"]
+
+
+def variant_scores(organization: DataFrame, person: DataFrame) -> DataFrame:
+    """``(kind, key_a, key_b, score)``: the direct links behind ``variants`` with their score; rows as for ``variants``."""
+    o = scored_links(org_rows(organizations(organization)), ORG_PROFILE, org_links).select(F.lit("organization").alias("kind"), "*")
+    return o.unionByName(scored_links(person_rows(people(person)), PERSON_PROFILE, person_links).select(F.lit("person").alias("kind"), "*"))
+
+
 def organizations(df: DataFrame) -> DataFrame:
     return df.where("atlas_id is not null").select(F.col("atlas_id").alias("id"), "name", "city", F.col("country_code").alias("country"), ror_key(F.col("ror_id")).alias("ror"), host(F.col("homepage")).alias("host"), "lat", "lon")
 

@@ -25,6 +25,11 @@ def p5_found(spark: SparkSession, root: str) -> DataFrame:
     return entities.variants(table(spark, root, "organization"), table(spark, root, "person"), table(spark, root, "sample_rows"))
 
 
+def p5_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Direct links between spellings, scored by rarity and evidence."""
+    return entities.variant_scores(table(spark, root, "organization"), table(spark, root, "person"))
+
+
 def p6_matches(spark: SparkSession, root: str) -> DataFrame:
     """Register entries of institutions and people with a confidence."""
     return matching.matches(*(table(spark, root, t) for t in ("organization", "person", "registry_org", "registry_person")))
@@ -77,7 +82,7 @@ def p10_rates(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned, p10_found, p10_scores, p10_rates)}
+    return {f.__name__: f for f in (p2_found, p2_groups, p5_found, p5_scores, p6_found, p6_matches, p7_found, p7_records, p8_ids, p9_found, p9_cleaned, p10_found, p10_scores, p10_rates)}
 
 
 _SAYS = lambda c: f"(regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') AND lower(trim({c})) NOT IN (" + ", ".join(f"'{w}'" for w in survivors.STAND_INS) + "))"
@@ -92,7 +97,15 @@ _RECORDS = rf"""WITH o AS (SELECT regexp_extract(lower(trim(ror_id)), '(?:^|/)(0
   c AS (SELECT k.r, a, us, trust, city, region, country_code, g, gus, gtrust, lat, lon FROM k LEFT JOIN a ON a.r = k.r LEFT JOIN g ON g.r = k.r AND coalesce(lower(gcity) = lower(city), true) AND coalesce(gcountry = country_code, true)),
   b AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY coalesce(trust, 0) + coalesce(gtrust, 0) DESC, us DESC NULLS LAST, (region IS NOT NULL) DESC, a DESC NULLS LAST, city DESC NULLS LAST, region DESC NULLS LAST, country_code DESC NULLS LAST, gus DESC NULLS LAST, g DESC NULLS LAST, lat DESC, lon DESC) AS rn FROM c)
   SELECT k.r AS ror_id, name, homepage, city, region, country_code, coalesce(a, '') AS address_from, lat, lon, coalesce(g, '') AS geo_from, keys FROM k JOIN b ON b.r = k.r WHERE rn = 1"""
+_PAIRS = r"""w AS (SELECT DISTINCT atlas_id, regexp_extract_all(lower(coalesce(title, '') || ' ' || abstract), '[\p{L}\p{N}]+') AS w
+        FROM grant_record WHERE atlas_id IS NOT NULL AND len(regexp_extract_all(lower(abstract), '[\p{L}\p{N}]+')) >= 20),
+      v AS (SELECT *, row_number() OVER () AS v FROM (SELECT DISTINCT atlas_id, list_sort(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS s FROM w)),
+      s AS (SELECT v, unnest(s) AS t FROM v), c AS (SELECT a.v AS x, b.v AS y, count(*) AS c FROM s a JOIN s b ON a.t = b.t GROUP BY 1, 2),
+      l AS (SELECT a.v AS v, a.atlas_id AS x, b.atlas_id AS y FROM c JOIN v a ON a.v = c.x JOIN v b ON b.v = c.y WHERE c >= 0.5 * (len(a.s) + len(b.s) - c))"""
 ORACLES = {
+    # A key with several texts counts the partners of the one that has most.
+    "p2_groups": f"""WITH RECURSIVE {_PAIRS}, u AS (SELECT DISTINCT x, y FROM l), up AS (SELECT x AS atlas_id, y AS z FROM u UNION SELECT up.atlas_id, u.y FROM up JOIN u ON u.x = up.z)
+      SELECT atlas_id, class_id, links FROM (SELECT atlas_id, min(z) AS class_id FROM up GROUP BY 1) JOIN (SELECT x AS atlas_id, max(n) - 1 AS links FROM (SELECT v, x, count(*) AS n FROM l GROUP BY 1, 2) GROUP BY 1) USING (atlas_id)""",
     "p7_records": _RECORDS,
     "p2_found": r"""WITH w AS (SELECT DISTINCT atlas_id, regexp_extract_all(lower(coalesce(title, '') || ' ' || abstract), '[\p{L}\p{N}]+') AS w
         FROM grant_record WHERE len(regexp_extract_all(lower(abstract), '[\p{L}\p{N}]+')) >= 20),
