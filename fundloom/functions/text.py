@@ -117,6 +117,15 @@ def inverted_abstract(c: Column) -> Column:
     return F.nullif(F.array_join(F.transform(F.array_sort(at), lambda x: x["w"]), " "), F.lit(""))
 
 
+def title_and_abstract(title: Column, abstract: Column) -> Column:
+    """The text that is ranked: title, a full stop, abstract; null where both are."""
+    return F.nullif(F.btrim(F.concat(F.coalesce(title, F.lit("")), F.lit(". "), F.coalesce(abstract, F.lit("")))), F.lit("."))
+
+
+def shortened(c: Column, most: int = 600) -> Column:
+    return F.substring(c, 1, most)
+
+
 def tokenize(c: Column) -> Column:
     """Words for ranking: a letter, then letters, digits or hyphens, in lower case."""
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"[a-z][a-z0-9\-]+"), F.lit(0))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundloom.functions import dates, keys, text
+from fundloom.functions import contacts, dates, keys, text
 from fundloom.operators import consolidate
+from fundloom.plans.graph import Graph, with_views
 from fundloom.sources.tables import table
 
 ENTITY_TABLES = {"grant": "grant_record", "organization": "organization", "person": "person", "work": "work_record", "field": "field"}
@@ -99,6 +102,34 @@ def tokens_by_lang(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents", "lang", "text").groupBy("lang").agg(F.sum(F.size(text.tokenize(F.col("text")))).cast("long").alias("tokens"))
 
 
+def emails(s: SparkSession, d: str) -> DataFrame:
+    """Addresses in the documents, and those that may be a person's, per source."""
+    x = table(s, d, "documents", "source", "text").select("source", F.explode(contacts.addresses(F.col("text"))).alias("email"))
+    return x.groupBy("source").agg(F.count("*").alias("addresses"), F.sum(contacts.acceptable(F.col("email")).cast("long")).alias("acceptable"), F.count_distinct(F.lower("email")).alias("different"))
+
+
+def contact_choice(s: SparkSession, d: str) -> DataFrame:
+    """Each user's contact, of hits that the event stream makes up: the type of event says which source, the value the mailbox."""
+    kinds = {"view": "orcid", "click": "europepmc", "purchase": "crossref", "error": "labpage", "signup": "rumour"}
+    source = F.element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), F.col("event_type"))
+    box = F.concat(F.element_at(F.array(*[F.lit(x) for x in ("info", "No-Reply", "ann", "bob")]), (F.col("event_id") % 4 + 1).cast("int")), (F.col("event_id") % 9).cast("string"), F.when(F.col("event_id") % 5 == 0, "@Example.com").otherwise("@uni.example."))
+    hits = table(s, d, "events", "event_id", "user_id", "event_type").select(F.col("user_id").alias("person"), F.when(F.col("user_id") % 2 == 0, "biomed-bio").otherwise("math").alias("field_slug"), box.alias("email"), source.alias("source"))
+    return contacts.best_contact(hits)
+
+
+def titled_text(s: SparkSession, d: str) -> DataFrame:
+    """Grants' texts as they are ranked, and their abstracts cut to what a sample shows."""
+    g = table(s, d, "grant_record", "atlas_id", "title", "abstract").distinct()
+    return g.select("atlas_id", text.title_and_abstract(F.col("title"), F.col("abstract")).alias("text"), text.shortened(F.col("abstract"), 200).alias("abstract")).distinct()
+
+
+def inverted_abstracts(s: SparkSession, d: str) -> DataFrame:
+    """Texts put back together from lists of positions by word; words that are JSON's own characters are left out."""
+    w = table(s, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(text.tokenize(F.col("text"))).alias("i", "w"))
+    listed = w.groupBy("doc_id", "w").agg(F.sort_array(F.collect_list("i")).alias("at")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("m"))
+    return listed.select("doc_id", text.inverted_abstract(F.to_json("m")).alias("text"))
+
+
 def dedup_entities(s: SparkSession, d: str) -> DataFrame:
     return consolidate.dedup_entities(table(s, d, "organization"))
 
@@ -133,23 +164,31 @@ def manifest_summary(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def _graph_ends(s: SparkSession, d: str) -> list[tuple[str, str, DataFrame, DataFrame]]:
+    """Edges and targets that only the query graph has: ``(edge, side, edge's keys, target)``."""
+    g = Graph(s, d)
+    return [
+        ("funder_grant", "src_id", g.funder_grant, g.funder), ("grant_person", "src_id", g.grant_person, g.grant), ("grant_person", "dst_id", g.grant_person, g.person), ("person_org", "src_id", g.person_org, g.person),
+        ("person_org", "dst_id", g.person_org, g.organization), ("work_field", "src_id", g.work_field, g.work), ("work_field", "dst_id", g.work_field, g.field),
+    ]
+
+
 def pk_unique(s: SparkSession, d: str) -> DataFrame:
-    out = None
-    for t in ENTITY_TABLES.values():
-        x = table(s, d, t, "atlas_id").groupBy("atlas_id").agg(F.count("*").alias("c")).agg(F.lit(t).alias("table_name"), F.sum((F.col("c") > 1).cast("long")).alias("violations"))
-        out = x if out is None else out.unionByName(x)
-    return out
+    """Keys that occur more than once, per entity; funders are those of the query graph."""
+    tables = {t: table(s, d, t, "atlas_id") for t in ENTITY_TABLES.values()} | {"funder": Graph(s, d).funder.select("atlas_id")}
+    out = [x.groupBy("atlas_id").agg(F.count("*").alias("c")).agg(F.lit(t).alias("table_name"), F.coalesce(F.sum((F.col("c") > 1).cast("long")), F.lit(0)).alias("violations")) for t, x in tables.items()]
+    return reduce(DataFrame.unionByName, out)
 
 
 def orphans(s: SparkSession, d: str) -> DataFrame:
-    """Edges without an endpoint, as a count per edge table and side."""
+    """Edges without an endpoint, as a count per edge table and side; a key that many edges name is one row."""
     ends = (("funder_grant", "dst_id", "grant_record"), ("grant_org", "src_id", "grant_record"), ("grant_org", "dst_id", "organization"), ("grant_work", "src_id", "grant_record"), ("grant_work", "dst_id", "work_record"))
-    out = None
-    for edge, side, target in ends:
-        e = table(s, d, edge, side).where(F.col(side).isNotNull()).groupBy(side).agg(F.count("*").alias("c"))  # keys once: a hot key is one row
-        x = e.join(table(s, d, target, "atlas_id").distinct().withColumnRenamed("atlas_id", side), side, "left_anti").agg(F.lit(edge).alias("edge"), F.lit(side).alias("side"), F.coalesce(F.sum("c"), F.lit(0)).alias("violations"))
-        out = x if out is None else out.unionByName(x)
-    return out
+    every = [(e, side, table(s, d, e, side), table(s, d, t, "atlas_id")) for e, side, t in ends] + _graph_ends(s, d)
+    out = []
+    for edge, side, e, target in every:
+        keyed = e.where(F.col(side).isNotNull()).groupBy(F.col(side).alias("atlas_id")).agg(F.count("*").alias("c"))
+        out.append(keyed.join(target.select("atlas_id").distinct(), "atlas_id", "left_anti").agg(F.lit(edge).alias("edge"), F.lit(side).alias("side"), F.coalesce(F.sum("c"), F.lit(0)).alias("violations")))
+    return reduce(DataFrame.unionByName, out)
 
 
 def provenance(s: SparkSession, d: str) -> DataFrame:
@@ -167,7 +206,7 @@ def _count(name: str, cond: F.Column) -> F.Column:
 def money_checks(s: SparkSession, d: str) -> DataFrame:
     usd, cur, fx = F.col("amount_usd"), F.col("currency"), F.col("fx_rate_to_usd")
     return table(s, d, "grant_record").agg(
-        _count("not_positive", usd <= 0), _count("amount_without_currency", F.col("amount_original").isNotNull() & cur.isNull()), _count("usd_rate_not_one", (cur == "USD") & (F.abs(fx - 1) > 1e-9)),
+        _count("not_positive", usd <= 0), _count("amount_without_currency", F.col("amount_original").isNotNull() & cur.isNull()), _count("currency_without_amount", F.col("amount_original").isNull() & cur.isNotNull()), _count("usd_rate_not_one", (cur == "USD") & (F.abs(fx - 1) > 1e-9)),
         _count("no_rate", usd.isNotNull() & fx.isNull()), _count("wrong_product", F.abs(usd - F.col("amount_original") * fx) > 1.0), _count("no_rate_date", usd.isNotNull() & F.col("fx_as_of").isNull()),
     )
 
@@ -195,7 +234,7 @@ def coverage_soft(s: SparkSession, d: str) -> DataFrame:
     return g.join(o, "source", "left").join(p, "source", "left")
 
 
-_ALL = (surrogate_keys, enforce_schema_grant, partition_years, normalize_names, expand_abbrev, name_tokens, countries, award_keys, person_name_parts, money_parse, date_parse, json_props, html_text, email_guard, tokens_by_lang, dedup_entities, dedup_edges, first_wins,
+_ALL = (surrogate_keys, enforce_schema_grant, partition_years, normalize_names, expand_abbrev, name_tokens, countries, award_keys, person_name_parts, money_parse, date_parse, json_props, html_text, email_guard, emails, contact_choice, titled_text, inverted_abstracts, tokens_by_lang, dedup_entities, dedup_edges, first_wins,
         canonical_orgs, edge_remap, manifest_summary, pk_unique, orphans, provenance, money_checks, ror_orcid_format, shared_ror, unfunded_grants, coverage_soft)
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -232,6 +271,8 @@ _STOP = ", ".join(f"'{w}'" for w in text.STOPWORDS)
 _RORX = "nullif(regexp_extract(lower(trim(ror_id)), '(?:^|/)(0[0-9a-z]{6}[0-9]{2})/?$', 1), '')"
 _CANON = f"SELECT DISTINCT o.atlas_id, coalesce(m.canonical_id, o.atlas_id) AS canonical_id, m.sources FROM organization o LEFT JOIN (SELECT k.atlas_id, min(struct_pack(i := c.canonical_id, s := c.sources)).i AS canonical_id, min(struct_pack(i := c.canonical_id, s := c.sources)).s AS sources FROM (SELECT DISTINCT atlas_id, {_RORX} AS ror FROM organization) k JOIN (SELECT {_RORX} AS ror, min(atlas_id) AS canonical_id, array_to_string(list_sort(list(DISTINCT source)), ',') AS sources FROM organization WHERE {_RORX} IS NOT NULL GROUP BY 1) c ON k.ror = c.ror GROUP BY 1) m ON o.atlas_id = m.atlas_id"
 _TABLES = (*ENTITY_TABLES.values(), *EDGE_TABLES)
+_PLACES = ", ".join(f"'{x}'" for x in contacts.PLACEHOLDERS)
+_NOBODY = "|".join(n.replace("-", "-?").replace(".", "\\.") for n in contacts.NOBODY)
 
 
 def _newest_sql(t: str, key: str, cols: list[str]) -> str:
@@ -262,10 +303,18 @@ ORACLES = {
     "canonical_orgs": _CANON,
     "edge_remap": f"SELECT src_id, dst_id, role, source, as_of FROM ({_newest_sql(f'(SELECT e.* REPLACE (coalesce(c.canonical_id, e.dst_id) AS dst_id) FROM grant_org e LEFT JOIN ({_CANON}) c ON e.dst_id = c.atlas_id)', 'src_id, dst_id, role, source', ['source_id', 'source_url', 'as_of'])})",
     "manifest_summary": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows, count(DISTINCT source) AS sources, max(as_of) AS last_as_of FROM {t}" for t in _TABLES),
-    "pk_unique": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS violations FROM (SELECT atlas_id FROM {t} GROUP BY 1 HAVING count(*) > 1)" for t in ENTITY_TABLES.values()),
-    "orphans": " UNION ALL ".join(f"SELECT '{e}' AS edge, '{c}' AS side, count(*) AS violations FROM {e} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT atlas_id FROM {t})" for e, c, t in (("funder_grant", "dst_id", "grant_record"), ("grant_org", "src_id", "grant_record"), ("grant_org", "dst_id", "organization"), ("grant_work", "src_id", "grant_record"), ("grant_work", "dst_id", "work_record"))),
+    "pk_unique": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS violations FROM (SELECT atlas_id FROM {t} GROUP BY 1 HAVING count(*) > 1)" for t in ENTITY_TABLES.values()) + " UNION ALL SELECT 'funder', count(*) FROM (SELECT s_suppkey FROM supplier GROUP BY 1 HAVING count(*) > 1)",
+    "orphans": with_views(" UNION ALL ".join(f"SELECT '{e}' AS edge, '{c}' AS side, count(*) AS violations FROM {v} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT atlas_id FROM {t})" for e, c, v, t in (
+        ("funder_grant", "dst_id", "funder_grant", "grant_record"), ("grant_org", "src_id", "grant_org", "grant_record"), ("grant_org", "dst_id", "grant_org", "organization"), ("grant_work", "src_id", "grant_work", "grant_record"), ("grant_work", "dst_id", "grant_work", "work_record"),
+        ("funder_grant", "src_id", "fg", "funder"), ("grant_person", "src_id", "grant_person", "grants"), ("grant_person", "dst_id", "grant_person", "persons"), ("person_org", "src_id", "person_org", "persons"), ("person_org", "dst_id", "person_org", "org"), ("work_field", "src_id", "work_field", "work"), ("work_field", "dst_id", "work_field", "fields"),
+    ))),
+    "emails": rf"SELECT source, count(*) AS addresses, count(*) FILTER (WHERE split_part(e, '@', 2) NOT IN ({_PLACES}) AND NOT regexp_matches(split_part(e, '@', 1), '{_NOBODY}') AND NOT regexp_matches(e, '\\.(gif|jpg|png|svg|webp)$')) AS acceptable, count(DISTINCT lower(email)) AS different FROM (SELECT *, regexp_replace(lower(trim(email)), '\\.+$', '') AS e FROM (SELECT source, unnest(regexp_extract_all(text, '{text.EMAIL}')) AS email FROM documents)) GROUP BY 1",
+    "contact_choice": rf"""WITH h AS (SELECT user_id AS person, CASE event_type WHEN 'view' THEN 'orcid' WHEN 'click' THEN 'europepmc' WHEN 'purchase' THEN 'crossref' WHEN 'error' THEN 'labpage' END AS source, user_id % 2 = 0 AS life, ['info', 'no-reply', 'ann', 'bob'][event_id % 4 + 1] || (event_id % 9) || CASE WHEN event_id % 5 = 0 THEN '@example.com' ELSE '@uni.example' END AS email FROM events)
+      SELECT person, first(email ORDER BY r, email) AS email, first(source ORDER BY r, email) AS source FROM (SELECT *, list_position(CASE WHEN life THEN ['europepmc', 'orcid', 'crossref', 'labpage'] ELSE ['orcid', 'europepmc', 'crossref', 'labpage'] END, source) AS r FROM h WHERE source IS NOT NULL AND email NOT LIKE '%example.com' AND (email LIKE 'ann%' OR email LIKE 'bob%')) GROUP BY 1""",
+    "titled_text": "SELECT DISTINCT atlas_id, nullif(trim(coalesce(title, '') || '. ' || coalesce(abstract, '')), '.') AS text, substr(abstract, 1, 200) AS abstract FROM grant_record",
+    "inverted_abstracts": r"SELECT doc_id, array_to_string(t, ' ') AS text FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z][a-z0-9\-]+') AS t FROM documents WHERE text IS NOT NULL) WHERE len(t) > 0",
     "provenance": " UNION ALL ".join(f"SELECT '{t}' AS table_name, " + ", ".join(f"count(*) FILTER (WHERE coalesce({c}, '') = '') AS {c}" for c in keys.PROVENANCE) + f" FROM {t}" for t in _TABLES),
-    "money_checks": "SELECT count(*) FILTER (WHERE amount_usd <= 0) AS not_positive, count(*) FILTER (WHERE amount_original IS NOT NULL AND currency IS NULL) AS amount_without_currency, count(*) FILTER (WHERE currency = 'USD' AND abs(fx_rate_to_usd - 1) > 1e-9) AS usd_rate_not_one, count(*) FILTER (WHERE amount_usd IS NOT NULL AND fx_rate_to_usd IS NULL) AS no_rate, count(*) FILTER (WHERE abs(amount_usd - amount_original * fx_rate_to_usd) > 1.0) AS wrong_product, count(*) FILTER (WHERE amount_usd IS NOT NULL AND fx_as_of IS NULL) AS no_rate_date FROM grant_record",
+    "money_checks": "SELECT count(*) FILTER (WHERE amount_usd <= 0) AS not_positive, count(*) FILTER (WHERE amount_original IS NOT NULL AND currency IS NULL) AS amount_without_currency, count(*) FILTER (WHERE amount_original IS NULL AND currency IS NOT NULL) AS currency_without_amount, count(*) FILTER (WHERE currency = 'USD' AND abs(fx_rate_to_usd - 1) > 1e-9) AS usd_rate_not_one, count(*) FILTER (WHERE amount_usd IS NOT NULL AND fx_rate_to_usd IS NULL) AS no_rate, count(*) FILTER (WHERE abs(amount_usd - amount_original * fx_rate_to_usd) > 1.0) AS wrong_product, count(*) FILTER (WHERE amount_usd IS NOT NULL AND fx_as_of IS NULL) AS no_rate_date FROM grant_record",
     "ror_orcid_format": rf"SELECT 'ror' AS id, count(ror_id) AS given, count(*) FILTER (WHERE NOT regexp_matches(ror_id, '{_ROR}')) AS malformed FROM organization UNION ALL SELECT 'orcid', count(orcid), count(*) FILTER (WHERE NOT regexp_matches(orcid, '{_ORCID}')) FROM person",
     "shared_ror": f"SELECT {_RORX} AS ror, count(DISTINCT atlas_id) AS keys FROM organization WHERE {_RORX} IS NOT NULL GROUP BY 1 HAVING keys > 1",
     "unfunded_grants": "SELECT DISTINCT atlas_id FROM grant_record WHERE atlas_id NOT IN (SELECT lower(trim(dst_id)) FROM funder_grant WHERE role = 'awarder' AND dst_id IS NOT NULL)",

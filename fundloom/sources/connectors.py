@@ -7,10 +7,15 @@ published tables: each is an independent projection, exploded and deduplicated o
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import json
+import zipfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fundloom.functions import dates, keys, text
 from fundloom.operators.consolidate import dedup_edges, dedup_entities
@@ -60,7 +65,9 @@ def records(df: DataFrame, source: str, **columns: Column) -> DataFrame:
 
 
 def graph_tables(rec: DataFrame, as_of: str, rates: dict[str, float] = RATES) -> dict[str, DataFrame]:
-    """Published tables of records. Money that isn't known, or whose currency has no rate, is null in all its columns."""
+    """Published tables of records. Money that isn't known, or whose currency has no rate, is null in all its columns. A
+    source that gives no status has that of the end date on the day of ``as_of``: unknown without one."""
+    rec = rec.withColumn("status", F.coalesce("status", dates.status_by_end(F.col("end_date"), as_of[:10])))
     prov = {"source": F.col("source"), "source_id": F.col("key"), "source_url": F.col("url"), "as_of": F.lit(as_of)}
     grant_id = keys.surrogate_key("grant", F.col("source"), F.col("key"))
     rate = F.try_element_at(F.create_map(*[F.lit(x) for kv in rates.items() for x in kv]), F.col("currency"))
@@ -100,7 +107,9 @@ def graph_tables(rec: DataFrame, as_of: str, rates: dict[str, float] = RATES) ->
 SCHEMAS = {
     "nsf": "response struct<award: array<struct<id: string, title: string, abstractText: string, awardeeName: string, awardeeCity: string, awardeeStateCode: string, awardeeCountryCode: string, pdPIName: string, piFirstName: string, piLastName: string, coPDPI: array<string>, startDate: string, expDate: string, estimatedTotalAmt: string, fundsObligatedAmt: string, fundProgramName: string, orgLongName2: string, orgLongName: string, divAbbr: string, dirAbbr: string>>>",
     "nih": "results array<struct<project_num: string, project_title: string, abstract_text: string, fiscal_year: int, award_amount: double, project_start_date: string, project_end_date: string, organization: struct<org_name: string, org_city: string, org_state: string, org_country: string>, principal_investigators: array<struct<profile_id: bigint, first_name: string, last_name: string, full_name: string, is_contact_pi: boolean>>, agency_ic_admin: struct<abbreviation: string, name: string>>>",
-    "ukri": "totalPages int, project array<struct<id: string, identifiers: struct<identifier: array<struct<value: string, type: string>>>, title: string, abstractText: string, grantCategory: string, leadFunder: string, start: bigint, `end`: bigint, researchTopics: struct<researchTopic: array<struct<id: string, text: string>>>, participantValues: struct<participant: array<struct<organisationName: string, role: string, projectCost: double, grantOffer: double>>>>>",
+    "ukri": "totalPages int, project array<struct<id: string, identifiers: struct<identifier: array<struct<value: string, type: string>>>, title: string, abstractText: string, grantCategory: string, leadFunder: string, start: bigint, `end`: bigint, researchTopics: struct<researchTopic: array<struct<id: string, text: string>>>, participantValues: struct<participant: array<struct<organisationName: string, role: string, projectCost: double, grantOffer: double>>>, links: struct<link: array<struct<rel: string, href: string>>>>>",
+    "ukri_person": "id string, firstName string, otherNames string, surname string, orcidId string",
+    "ukri_organisation": "id string, name string, addresses struct<address: array<struct<region: string>>>",
     "czi": "grants string",
     "openalex": "results array<struct<id: string, doi: string, title: string, display_name: string, publication_year: bigint, publication_date: string, type: string, cited_by_count: bigint, open_access: struct<is_oa: boolean>, abstract_inverted_index: string, primary_topic: struct<id: string, display_name: string, score: double, subfield: struct<id: string, display_name: string>, field: struct<id: string, display_name: string>, domain: struct<id: string, display_name: string>>, authorships: array<struct<author: struct<id: string, display_name: string, orcid: string>, is_corresponding: boolean, institutions: array<struct<id: string, display_name: string, ror: string, country_code: string, type: string>>>>, referenced_works: array<string>, awards: array<struct<id: string, funder_award_id: string, funder_id: string, funder_display_name: string>>>>",
     "ror": "id string, status string, types array<string>, names array<struct<value: string, types: array<string>>>, locations array<struct<geonames_details: struct<country_code: string, name: string, lat: double, lng: double>>>, links array<struct<type: string, value: string>>, external_ids array<struct<type: string, preferred: string, all: array<string>>>",
@@ -112,11 +121,43 @@ def pages(spark: SparkSession, source: str, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[source]).option("multiLine", True).json(path)
 
 
+def zipped_csv(spark: SparkSession, path: str, member: str, columns: list[str], sep: str = ";") -> DataFrame:
+    """The rows of the member whose base name is ``member`` in each zip file, as text columns; a task reads a file, in
+    pieces. A column that the member doesn't have is null; files without the member give no rows."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in (n for n in z.namelist() if n.rpartition("/")[2] == member):
+                        for part in pd.read_csv(z.open(name), sep=sep, dtype=str, keep_default_na=False, na_values=[""], chunksize=20_000):
+                            yield part.reindex(columns=columns).astype(object).where(lambda x: x.notna(), None)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+
+
+def zipped_json(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The documents of the JSON lists in each zip file, with the schema of ``kind``; a task reads a file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    for name in (n for n in z.namelist() if n.endswith(".json")):
+                        rows = json.load(z.open(name))
+                        yield pd.DataFrame({"j": [json.dumps(r) for r in (rows if isinstance(rows, list) else [rows])]}, dtype=object)
+
+    text_rows = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "j string")
+    return text_rows.select(F.from_json("j", SCHEMAS[kind]).alias("r")).select("r.*")
+
+
 def _each(df: DataFrame, array: str) -> DataFrame:
     return df.select(F.explode(array).alias("a")).select("a.*")
 
 
-def nsf(df: DataFrame) -> DataFrame:
+def nsf(df: DataFrame, others: bool = True) -> DataFrame:
+    """Award pages; without ``others`` (the bulk feed's contract) co-investigators stay out."""
     a = _each(df, "response.award")
     co = F.transform(F.coalesce("coPDPI", F.array().cast("array<string>")), lambda n: person(full_name=blank(F.regexp_replace(n, r"\s+\S+@\S+$", "")), role=F.lit("co-pi")))
     lead = F.array(person(full_name=blank(F.coalesce(blank(F.col("pdPIName")), F.concat_ws(" ", "piFirstName", "piLastName"))), first_name=blank(F.col("piFirstName")), last_name=blank(F.col("piLastName")), role=F.lit("pi")))
@@ -124,7 +165,7 @@ def nsf(df: DataFrame) -> DataFrame:
     topic = F.coalesce(*[blank(F.col(c)) for c in ("orgLongName2", "orgLongName", "divAbbr", "dirAbbr")])
     return records(
         a, "nsf", key=F.col("id"), url=F.concat(F.lit("https://www.nsf.gov/awardsearch/showAward?AWD_ID="), "id"), title=blank(F.col("title")), abstract=blank(F.col("abstractText")), amount=F.coalesce(dates.decimal_point(F.col("estimatedTotalAmt")), dates.decimal_point(F.col("fundsObligatedAmt"))), currency=F.lit("USD"),
-        start_date=dates.us_date(F.col("startDate")), end_date=dates.us_date(F.col("expDate")), program=blank(F.col("fundProgramName")), funders=F.array(funder(["100000001"], "National Science Foundation", "NSF", "US", crossref="100000001")), orgs=named(F.array(at)), people=named(F.concat(lead, co), "full_name"), fields=F.filter(F.array(topic), lambda x: x.isNotNull()),
+        start_date=dates.us_date(F.col("startDate")), end_date=dates.us_date(F.col("expDate")), program=blank(F.col("fundProgramName")), funders=F.array(funder(["100000001"], "National Science Foundation", "NSF", "US", crossref="100000001")), orgs=named(F.array(at)), people=named(F.concat(lead, co) if others else lead, "full_name"), fields=F.filter(F.array(topic), lambda x: x.isNotNull()),
     )
 
 
@@ -135,7 +176,7 @@ def nih(df: DataFrame) -> DataFrame:
     ic = _struct(FUNDER, parts=F.array(F.lit("nih"), F.col("agency_ic_admin.abbreviation")), name=F.col("agency_ic_admin.name"), short_name=F.col("agency_ic_admin.abbreviation"), country_code=F.lit("US"), funder_type=F.lit("government"), awards=F.lit(True))
     at = org(name=F.col("organization.org_name"), role=F.lit("recipient"), country_code=us, city=F.col("organization.org_city"), region=F.col("organization.org_state"), org_type=F.lit("education"))
     return records(
-        a, "nih", key=F.col("project_num"), title=blank(F.col("project_title")), abstract=blank(F.col("abstract_text")), amount=dates.positive(F.col("award_amount")), currency=F.lit("USD"), start_date=dates.first_ten(F.col("project_start_date")), end_date=dates.first_ten(F.col("project_end_date")),
+        a, "nih", key=F.col("project_num"), url=F.concat(F.lit("https://reporter.nih.gov/project-details/"), "project_num"), title=blank(F.col("project_title")), abstract=blank(F.col("abstract_text")), amount=dates.positive(F.col("award_amount")), currency=F.lit("USD"), start_date=dates.first_ten(F.col("project_start_date")), end_date=dates.first_ten(F.col("project_end_date")),
         funders=F.array(funder(["100000002"], "National Institutes of Health", "NIH", "US", crossref="100000002", awards=False), ic), orgs=named(F.array(at)), people=named(pis, "full_name"), fields=F.filter(F.array(F.col("agency_ic_admin.name")), lambda x: x.isNotNull()),
     )
 
@@ -169,19 +210,45 @@ def cordis_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("sep", ";").option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(path)
 
 
-def ukri(df: DataFrame) -> DataFrame:
-    """A council has its own key from its name, since two share a registry number."""
+def _linked(a: DataFrame, pages: DataFrame, roles: dict[str, str], make: Callable[[Column], Column], name: str) -> DataFrame:
+    """``(id, <name>)``: what the links of each project lead to, in the order of the links. A link's relation gives the
+    role, the last part of its address the page's id; links to pages that weren't landed lead nowhere."""
+    link = a.select("id", F.posexplode(F.col("links.link")).alias("at", "l")).withColumn("role", F.try_element_at(F.create_map(*[F.lit(x) for kv in roles.items() for x in kv]), F.upper("l.rel")))
+    asked = link.where("role is not null").select("id", "at", "role", text.last_segment(F.col("l.href")).alias("page"))
+    got = asked.join(pages.where("id is not null").dropDuplicates(["id"]).select(F.col("id").alias("page"), F.struct("*").alias("p")), "page")
+    listed = F.array_sort(F.collect_list(F.struct("at", make(F.col("role")).alias("x"))))
+    return got.groupBy("id").agg(F.transform(listed, lambda x: x["x"]).alias(name))
+
+
+def ukri(df: DataFrame, persons: DataFrame | None = None, organisations: DataFrame | None = None) -> DataFrame:
+    """Project pages, with the landed person and organisation pages that their links name.
+
+    A council has its own key from its name, since two share a registry number. Organisations come from the participants;
+    from the links (lead and participants) where a project has none.
+    """
     a = _each(df, "project")
     members = F.coalesce("participantValues.participant", F.array().cast("array<struct<organisationName: string, role: string, projectCost: double, grantOffer: double>>"))
     offers = F.filter(F.transform(members, lambda m: dates.positive(m["grantOffer"])), lambda v: v.isNotNull())
     costs = F.filter(F.transform(members, lambda m: dates.positive(m["projectCost"])), lambda v: v.isNotNull())
     add = lambda v: F.when(F.size(v) > 0, F.aggregate(v, F.lit(0.0), lambda x, y: x + y))
-    orgs = F.transform(members, lambda m: org(name=blank(m["organisationName"]), role=F.when(F.upper(m["role"]).startswith("LEAD"), "recipient").otherwise("host"), country_code=F.lit("GB")))
+    orgs = named(F.transform(members, lambda m: org(name=blank(m["organisationName"]), role=F.when(F.upper(m["role"]).startswith("LEAD"), "recipient").otherwise("host"), country_code=F.lit("GB"), org_type=F.lit("education"))))
     council = _struct(FUNDER, parts=F.array(F.lit("ukri"), F.col("leadFunder")), name=F.col("leadFunder"), short_name=F.col("leadFunder"), country_code=F.lit("GB"), funder_type=F.lit("government"), awards=F.lit(True))
     topics = F.filter(F.transform(F.col("researchTopics.researchTopic"), lambda t: blank(t["text"])), lambda t: t.isNotNull() & (F.lower(t) != "unclassified"))
+    people = F.array().cast(f"array<{PERSON}>")
+    if persons is not None:
+        full = blank(F.concat_ws(" ", *[blank(F.col(f"p.{n}")) for n in ("firstName", "otherNames", "surname")]))
+        made = lambda role: person(full_name=full, first_name=blank(F.col("p.firstName")), last_name=blank(F.col("p.surname")), role=role, pid=F.col("page"), orcid=blank(F.col("p.orcidId")))
+        a = a.join(_linked(a, persons, {"PI_PER": "pi", "COI_PER": "co-pi"}, made, "linked_people"), "id", "left")
+        people = named(F.coalesce("linked_people", people), "full_name")
+    if organisations is not None:
+        made = lambda role: org(name=blank(F.col("p.name")), role=role, country_code=F.lit("GB"), region=F.get("p.addresses.address", F.lit(0))["region"], org_type=F.lit("education"))
+        a = a.join(_linked(a, organisations, {"LEAD_ORG": "recipient", "PARTICIPANT_ORG": "host"}, made, "linked_orgs"), "id", "left")
+        orgs = F.when(F.size(orgs) > 0, orgs).otherwise(named(F.coalesce("linked_orgs", F.array().cast(f"array<{ORG}>"))))
+    reference = F.get(F.filter(F.transform(F.col("identifiers.identifier"), lambda i: blank(i["value"])), lambda v: v.isNotNull()), F.lit(0))
     return records(
-        a, "ukri", key=F.col("id"), title=blank(F.col("title")), abstract=blank(F.col("abstractText")), amount=F.coalesce(add(offers), add(costs)), currency=F.lit("GBP"), start_date=dates.millis_date(F.col("start")), end_date=dates.millis_date(F.col("end")), program=blank(F.col("grantCategory")),
-        funders=F.array(funder(["100014013"], "UK Research and Innovation", "UKRI", "GB", crossref="100014013", awards=False), council), orgs=named(orgs), fields=topics,
+        a, "ukri", key=F.col("id"), url=F.concat(F.lit("https://gtr.ukri.org/projects?ref="), F.coalesce(reference, "id")), title=blank(F.col("title")), abstract=blank(F.col("abstractText")), amount=F.coalesce(add(offers), add(costs)), currency=F.lit("GBP"),
+        start_date=dates.millis_date(F.col("start")), end_date=dates.millis_date(F.col("end")), program=blank(F.col("grantCategory")),
+        funders=F.array(funder(["100014013"], "UK Research and Innovation", "UKRI", "GB", crossref="100014013", awards=False), council), orgs=orgs, people=people, fields=topics,
     )
 
 
@@ -195,7 +262,7 @@ def dfg(df: DataFrame) -> DataFrame:
     span = dates.term(value("Term"))
     names = lambda c, role: F.transform(F.coalesce(F.filter(F.split(c, r"\s*;\s*"), lambda n: n != ""), F.array().cast("array<string>")), lambda n: person(full_name=blank(F.regexp_replace(n, r"^(?:(?:Professor|Prof|Dr|PD|Privatdozent)(?:in)?\.?,?\s+)+", "")), role=F.lit(role)))
     return records(
-        df, "dfg", key=F.col("key"), title=_between("html", r'<h1 class="facelift">(.*?)</h1>'), start_date=span["start"], end_date=span["end"], status=F.when(span["end"].isNotNull(), "completed").otherwise("active"), program=value("DFG Programme"),
+        df, "dfg", key=F.col("key"), url=F.concat(F.lit("https://gepris.dfg.de/gepris/projekt/"), "key"), title=_between("html", r'<h1 class="facelift">(.*?)</h1>'), start_date=span["start"], end_date=span["end"], status=F.when(span["end"].isNotNull(), "completed").otherwise("active"), program=value("DFG Programme"),
         funders=F.array(funder(["501100001659"], "Deutsche Forschungsgemeinschaft", "DFG", "DE", crossref="501100001659")), orgs=named(F.array(org(name=value("Applicant Institution"), role=F.lit("recipient"), country_code=F.lit("DE"), org_type=F.lit("education")))),
         people=named(F.concat(names(F.coalesce(value("Spokesperson"), value("Applicant")), "pi"), names(value("Participating Researchers"), "co-pi")), "full_name"), fields=F.filter(F.array(value("Subject Area")), lambda x: x.isNotNull()),
     )
@@ -206,25 +273,37 @@ def gates(df: DataFrame) -> DataFrame:
     span = dates.month_span(F.col("DATE COMMITTED"), F.col("DURATION (MONTHS)"))
     where = org(name=blank(F.col("GRANTEE")), role=F.lit("recipient"), country_code=_country("GRANTEE COUNTRY"), city=blank(F.col("GRANTEE CITY")), region=blank(F.col("GRANTEE STATE")), org_type=F.lit("nonprofit"), homepage=blank(F.col("GRANTEE WEBSITE")))
     return records(
-        df, "gates", key=F.col("GRANT ID"), title=blank(F.col("PURPOSE")), amount=dates.decimal_point(F.col("AMOUNT COMMITTED")), currency=F.lit("USD"), start_date=span["start"], end_date=span["end"], program=F.nullif(F.concat_ws(" / ", blank(F.col("DIVISION")), blank(F.col("TOPIC"))), F.lit("")),
+        df, "gates", key=F.col("GRANT ID"), url=F.concat(F.lit("https://www.gatesfoundation.org/about/committed-grants?q="), "GRANT ID"), title=blank(F.col("PURPOSE")), amount=dates.decimal_point(F.col("AMOUNT COMMITTED")), currency=F.lit("USD"), start_date=span["start"], end_date=span["end"], program=F.nullif(F.concat_ws(" / ", blank(F.col("DIVISION")), blank(F.col("TOPIC"))), F.lit("")),
         funders=F.array(funder(["100000865"], "Gates Foundation", "Gates", "US", "foundation", "100000865")), orgs=named(F.array(where)), fields=F.filter(F.array(blank(F.col("TOPIC"))), lambda x: x.isNotNull()),
     )
 
 
+# The columns of the grants file as published.
+GATES_COLUMNS = ("GRANT ID", "GRANTEE", "PURPOSE", "DIVISION", "DATE COMMITTED", "DURATION (MONTHS)", "AMOUNT COMMITTED", "GRANTEE WEBSITE", "GRANTEE CITY", "GRANTEE STATE", "GRANTEE COUNTRY", "REGION SERVED", "TOPIC")
+
+
 def gates_csv(spark: SparkSession, path: str) -> DataFrame:
     """The banner becomes the header of a read without one; the true header is the first row with GRANT ID."""
     raw = spark.read.option("multiLine", True).option("escape", '"').schema(", ".join(f"c{i} string" for i in range(13))).csv(path)
-    head = [x.strip() for x in raw.where("trim(c0) = 'GRANT ID'").first() if x]
+    first = raw.where("trim(c0) = 'GRANT ID'").first()  # one row; the columns as published where a file has no header
+    head = [x.strip() for x in first if x] if first else list(GATES_COLUMNS)
     return raw.where("c0 is not null and trim(c0) <> 'GRANT ID' and c1 is not null").toDF(*head, *[f"x{i}" for i in range(13 - len(head))])
 
 
 # Country codes by name, as the foundations write them.
-_COUNTRY = {"UNITED STATES": "US", "UNITED STATES OF AMERICA": "US", "USA": "US", "UNITED KINGDOM": "GB", "UK": "GB", "ENGLAND": "GB", "SCOTLAND": "GB", "WALES": "GB", "CANADA": "CA", "GERMANY": "DE", "FRANCE": "FR", "SWITZERLAND": "CH", "INDIA": "IN", "KENYA": "KE", "NIGERIA": "NG", "SOUTH AFRICA": "ZA", "AUSTRALIA": "AU", "NETHERLANDS": "NL", "BELGIUM": "BE", "SWEDEN": "SE", "NORWAY": "NO", "DENMARK": "DK", "CHINA": "CN", "JAPAN": "JP", "BRAZIL": "BR", "IRELAND": "IE", "SPAIN": "ES", "ITALY": "IT", "UGANDA": "UG", "ETHIOPIA": "ET", "TANZANIA": "TZ", "GHANA": "GH", "BANGLADESH": "BD", "PAKISTAN": "PK"}
+_COUNTRY = {
+    "argentina": "AR", "australia": "AU", "austria": "AT", "bangladesh": "BD", "belgium": "BE", "brazil": "BR", "burkina faso": "BF", "cameroon": "CM", "canada": "CA", "chile": "CL", "china": "CN", "colombia": "CO",
+    "cote d'ivoire": "CI", "democratic republic of the congo": "CD", "denmark": "DK", "egypt": "EG", "england": "GB", "ethiopia": "ET", "finland": "FI", "france": "FR", "gambia": "GM", "germany": "DE", "ghana": "GH", "india": "IN",
+    "indonesia": "ID", "ireland": "IE", "israel": "IL", "italy": "IT", "japan": "JP", "kenya": "KE", "korea, republic of": "KR", "malawi": "MW", "mali": "ML", "mexico": "MX", "mozambique": "MZ", "myanmar": "MM", "nepal": "NP",
+    "netherlands": "NL", "new zealand": "NZ", "niger": "NE", "nigeria": "NG", "northern ireland": "GB", "norway": "NO", "pakistan": "PK", "peru": "PE", "philippines": "PH", "portugal": "PT", "rwanda": "RW", "scotland": "GB",
+    "senegal": "SN", "singapore": "SG", "south africa": "ZA", "south korea": "KR", "spain": "ES", "sweden": "SE", "switzerland": "CH", "tanzania": "TZ", "thailand": "TH", "uganda": "UG", "uk": "GB", "united kingdom": "GB",
+    "united states": "US", "united states of america": "US", "usa": "US", "vietnam": "VN", "wales": "GB", "zambia": "ZM", "zimbabwe": "ZW",
+}
 _STATES = "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY".split()
 
 
 def _country(column: str) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in _COUNTRY.items() for x in kv]), F.upper(keys.strip(F.col(column))))
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in _COUNTRY.items() for x in kv]), F.lower(keys.strip(F.col(column))))
 
 
 def wellcome(df: DataFrame) -> DataFrame:
@@ -232,9 +311,10 @@ def wellcome(df: DataFrame) -> DataFrame:
     c = lambda n: blank(F.col(f"`{n}`"))
     cur = F.upper(c("Currency"))
     others = F.transform(F.coalesce(F.filter(F.split(c("Other Applicant(s)"), ";"), lambda n: keys.strip(n) != ""), F.array().cast("array<string>")), lambda n: person(full_name=_untitled(n), role=F.lit("co-pi")))
-    where = org(name=c("Recipient Org:Name"), role=F.lit("recipient"), country_code=_country("Recipient Org:Country"), city=c("Recipient Org:City"), region=c("Region"), org_type=F.lit("education"))
+    ror = F.when(F.lower(c("Recipient Org:Identifier")).contains("ror.org/"), c("Recipient Org:Identifier"))
+    where = org(name=c("Recipient Org:Name"), ror=ror, role=F.lit("recipient"), country_code=_country("Recipient Org:Country"), city=c("Recipient Org:City"), region=c("Region"), org_type=F.lit("education"))
     return records(
-        df, "wellcome", key=F.coalesce(c("Identifier"), c("Internal ID")), title=c("Title"), abstract=c("Description"), amount=F.when(cur.isin("GBP", "USD"), dates.decimal_point(F.col("`Amount Awarded`"))), currency=F.when(cur.isin("GBP", "USD"), cur),
+        df, "wellcome", key=F.coalesce(c("Identifier"), c("Internal ID")), url=F.concat(F.lit("https://grantnav.threesixtygiving.org/grant/"), F.coalesce(c("Identifier"), c("Internal ID"))), title=c("Title"), abstract=c("Description"), amount=F.when(cur.isin("GBP", "USD"), dates.decimal_point(F.col("`Amount Awarded`"))), currency=F.when(cur.isin("GBP", "USD"), cur),
         start_date=dates.first_ten(F.col("`Planned Dates:Start Date`")), end_date=dates.first_ten(F.col("`Planned Dates:End Date`")), program=c("Grant Programme:Title"), funders=F.array(funder(["100010269"], "Wellcome Trust", "Wellcome", "GB", "foundation", "100010269")), orgs=named(F.array(where)),
         people=named(F.concat(F.array(person(full_name=_untitled(F.col("Lead Applicant")), role=F.lit("pi"))), others), "full_name"), fields=F.filter(F.array(c("Grant Programme:Title")), lambda x: x.isNotNull()),
     )
@@ -254,7 +334,7 @@ def sloan(df: DataFrame) -> DataFrame:
     pi = F.transform(F.coalesce(F.filter(F.split(label("Investigator"), r"\s*;\s*"), lambda n: n != ""), F.array().cast("array<string>")), lambda n: person(full_name=blank(n), role=F.lit("pi")))
     where = org(name=of("grantee"), role=F.lit("recipient"), city=blank(F.regexp_replace(place, r",\s*[A-Za-z]{2}$", "")), region=F.nullif(state, F.lit("")), country_code=F.when(state.isin(_STATES), "US"), org_type=F.lit("nonprofit"))
     return records(
-        card, "sloan", key=F.regexp_extract("html", r'href="[^"]*grant-detail/([^"/]+)', 1), title=of("brief-description"), amount=dates.decimal_point(of("amount")), currency=F.lit("USD"), start_date=dates.year_start(of("year")), program=label("Program"),
+        card, "sloan", key=F.regexp_extract("html", r'href="[^"]*grant-detail/([^"/]+)', 1), url=F.concat(F.lit("https://sloan.org/grant-detail/"), F.regexp_extract("html", r'href="[^"]*grant-detail/([^"/]+)', 1)), title=of("brief-description"), amount=dates.decimal_point(of("amount")), currency=F.lit("USD"), start_date=dates.year_start(of("year")), program=label("Program"),
         funders=F.array(funder(["100000879"], "Alfred P. Sloan Foundation", "Sloan", "US", "foundation", "100000879")), orgs=named(F.array(where)), people=named(pi, "full_name"), fields=F.filter(F.array(label("Program"), label("Sub-program")), lambda x: x.isNotNull()),
     )
 
@@ -269,7 +349,7 @@ def czi(df: DataFrame) -> DataFrame:
     f = lambda n: blank(F.get_json_object("fields", f"$['{n}']"))
     initiative = F.coalesce(F.from_json(f("Initiative"), "array<string>"), F.filter(F.array(f("Initiative")), lambda x: x.isNotNull()))
     return records(
-        a, "czi", key=F.col("id"), title=f("Grant Purpose"), amount=dates.decimal_point(f("Amount")), currency=F.lit("USD"), start_date=dates.year_start(f("Commitment Year")), funders=F.array(funder(["100014989"], "Chan Zuckerberg Initiative", "CZI", "US", "foundation", "100014989")),
+        a, "czi", key=F.col("id"), url=F.lit("https://chanzuckerberg.com/grants-ventures/grants/"), title=f("Grant Purpose"), amount=dates.decimal_point(f("Amount")), currency=F.lit("USD"), start_date=dates.year_start(f("Commitment Year")), funders=F.array(funder(["100014989"], "Chan Zuckerberg Initiative", "CZI", "US", "foundation", "100014989")),
         orgs=named(F.array(org(name=f("Account Name"), role=F.lit("recipient"), org_type=F.lit("nonprofit"), homepage=f("Account Website (Plaintext)")))), fields=initiative,
     )
 
@@ -299,7 +379,7 @@ def openalex(df: DataFrame, as_of: str) -> dict[str, DataFrame]:
         "field": put("field", node, atlas_id=fid(F.col("f.id")), name=F.col("f.name"), openalex_id=text.last_segment(F.col("f.id")), level=F.col("f.level"), parent_atlas_id=fid(F.col("f.parent"))),
         "work_field": put("work_field", w.where(leaf.isNotNull()), src_id=F.col("wid"), dst_id=fid(leaf), score=t["score"]),
         "award": w.select(F.col("wid").alias("work_id"), F.explode("awards").alias("x")).select("work_id", F.col("x.funder_display_name").alias("funder"), F.col("x.funder_award_id").alias("award")).where("award is not null"),
-        "corpus": w.select(text.last_segment(F.col("id")).alias("work_id"), "title", text.inverted_abstract(F.col("abstract_inverted_index")).alias("abstract"), F.col("publication_year").alias("year"), "cited_by_count", F.col("primary_topic.display_name").alias("topic"), F.filter(F.transform("referenced_works", text.last_segment), lambda x: x.isNotNull()).alias("refs")),
+        "corpus": w.select(text.last_segment(F.col("id")).alias("work_id"), "title", text.inverted_abstract(F.col("abstract_inverted_index")).alias("abstract"), F.col("publication_year").alias("year"), "cited_by_count", F.col("primary_topic.display_name").alias("topic"), F.filter(F.transform("referenced_works", text.last_segment), lambda x: x.isNotNull()).alias("refs")).withColumn("text", text.title_and_abstract(F.col("title"), F.col("abstract"))),
     }
 
 
@@ -317,4 +397,4 @@ def fundref(df: DataFrame) -> DataFrame:
     return x.select(F.explode(F.array_distinct(F.concat(F.filter(F.array("e.preferred"), lambda v: v.isNotNull()), F.coalesce("e.all", F.array().cast("array<string>"))))).alias("fundref"), "id").groupBy("fundref").agg(F.min("id").alias("ror"))
 
 
-CONNECTORS: dict[str, Callable[..., DataFrame]] = {"nsf": nsf, "nsf_bulk": nsf, "nih": nih, "cordis": cordis, "erc": lambda p, o, t=None: cordis(p, o, t, erc_only=True), "ukri": ukri, "dfg": dfg, "gates": gates, "wellcome": wellcome, "sloan": sloan, "czi": czi}
+CONNECTORS: dict[str, Callable[..., DataFrame]] = {"nsf": nsf, "nsf_bulk": lambda df: nsf(df, others=False), "nih": nih, "cordis": cordis, "erc": lambda p, o, t=None: cordis(p, o, t, erc_only=True), "ukri": ukri, "dfg": dfg, "gates": gates, "wellcome": wellcome, "sloan": sloan, "czi": czi}
