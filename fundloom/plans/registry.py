@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fundloom.plans import general, landed, named, people, quality, rankings, studies
+from fundloom.plans import crossfield, general, landed, named, people, quality, rankings, studies
 
-MODULES = (general, named, landed, quality, studies, people, rankings)
+MODULES = (general, named, landed, quality, studies, people, rankings, crossfield)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

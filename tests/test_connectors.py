@@ -96,3 +96,50 @@ def test_stream(spark, land, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         ingest(spark, "nih", str(tmp_path / "nih"), str(tmp_path / "out"), str(tmp_path / "cp"), c.nih, AT).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out" / "grant")).count() == 1
+
+
+def test_status_and_sources_pages(spark, land):
+    """Status by end date on the day of the run, unknown without one; every row says where it is from."""
+    p = lambda k, end: {"project_num": k, "project_end_date": end, "organization": {"org_name": "U"}, "agency_ic_admin": {"abbreviation": "NCI", "name": "Cancer"}}
+    t = c.graph_tables(c.nih(land("nih", {"results": [p("1", "2025-12-31"), p("2", "2026-01-01"), p("3", None)]})), AT)
+    assert [g.status for g in grant(t)] == ["completed", "active", "unknown"]
+    assert all(x.where("source_url is null or source is null or as_of is null").isEmpty() for x in t.values())
+
+
+def test_bulk_feed_has_no_co_investigators(land):
+    a = {"id": "1", "title": "t", "pdPIName": "Ann Bee", "coPDPI": ["Cid Dee"]}
+    df = land("nsf", {"response": {"award": [a]}})
+    roles = lambda f: sorted(r.role for r in c.graph_tables(f(df), AT)["grant_person"].collect())
+    assert roles(c.CONNECTORS["nsf"]) == ["co-pi", "pi"] and roles(c.CONNECTORS["nsf_bulk"]) == ["pi"]
+
+
+def test_linked_people_and_organisations(spark, land):
+    link = lambda rel, href: {"rel": rel, "href": href}
+    project = {"id": "P1", "leadFunder": "EPSRC", "identifiers": {"identifier": [{"value": ""}, {"value": "EP/1"}]}, "links": {"link": [link("PI_PER", "http://g/persons/A"), link("COI_PER", "http://g/persons/B"), link("COI_PER", "http://g/persons/gone"), link("FUND", "http://g/f/1"), link("LEAD_ORG", "http://g/organisations/O"), link("COI_PER", None)]}}
+    bare = {"id": "P2", "leadFunder": "EPSRC"}
+    persons = spark.createDataFrame([("A", "Ann", None, "Bee", None), ("B", "Cid", "D.", "Eff", "0000-1"), ("A", "Ann", None, "Bee", None), (None, "x", None, "y", None)], c.SCHEMAS["ukri_person"])
+    orgs = spark.createDataFrame([("O", "Uni O", None)], c.SCHEMAS["ukri_organisation"])
+    t = c.graph_tables(c.ukri(land("ukri", {"project": [project, bare]}), persons, orgs), AT)
+    assert sorted((p.full_name, p.orcid) for p in t["person"].collect()) == [("Ann Bee", None), ("Cid D. Eff", "0000-1")] and sorted(e.role for e in t["grant_person"].collect()) == ["co-pi", "pi"]
+    assert [o.name for o in t["organization"].collect()] == ["Uni O"] and t["person_org"].count() == 2
+    assert [g.source_url for g in grant(t)] == ["https://gtr.ukri.org/projects?ref=EP/1", "https://gtr.ukri.org/projects?ref=P2"]
+
+
+def test_zip_members(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("deep/project.csv", 'id;title;more\n1;"a; b\nc";x\n2;;y\n')
+        z.writestr("other.csv", "id\n9\n")
+    with zipfile.ZipFile(tmp_path / "r.zip", "w") as z:
+        z.writestr("v2.json", json.dumps([{"id": "r1", "status": "active", "names": [{"value": "X", "types": ["ror_display"]}]}, {"id": "r2", "status": "withdrawn", "names": []}]))
+        z.writestr("readme.txt", "no")
+    got = c.zipped_csv(spark, str(tmp_path / "a.zip"), "project.csv", ["id", "title", "gone"]).collect()
+    assert [tuple(r) for r in got] == [("1", "a; b\nc", None), ("2", None, None)]
+    assert [r.ror for r in c.ror_names(c.zipped_json(spark, str(tmp_path / "r.zip"), "ror")).collect()] == ["r1"]
+
+
+def test_files_without_a_header(spark, tmp_path):
+    (tmp_path / "g.csv").write_text("Banner,,\nG1,Org,do,Health,2020-05,18,10,,,,Mali,,\n")
+    t = c.graph_tables(c.gates(c.gates_csv(spark, str(tmp_path / "g.csv"))), AT)
+    assert [(g.source_id, g.amount_usd) for g in grant(t)] == [("G1", 10.0)] and t["organization"].first().country_code == "ML"

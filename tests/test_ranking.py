@@ -87,3 +87,23 @@ def test_latent_vectors_keep_angles(spark):
     u = m / np.linalg.norm(m, axis=1, keepdims=True)
     assert np.allclose([[v[i] @ v[j] for j in range(20)] for i in range(20)], u @ u.T, atol=1e-6)
     assert rows(r.latent_vectors(d.limit(0))) == []
+
+
+def test_all_ranks_and_blocks(spark):
+    """Every vector is ranked, and blocks of queries change nothing."""
+    rng = np.random.default_rng(3)
+    d = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=4)]) for i in range(40)], "vec_id long, embedding array<double>")
+    q = d.where("vec_id % 4 = 0")
+    whole = rows(r.cosine_topk(d, q, None))
+    assert len(whole) == 10 * 39 and rows(r.cosine_topk(d, q, 3)) == [x for x in whole if x[3] <= 3]
+    least, r.BLOCK_ROWS = r.BLOCK_ROWS, 3
+    try:
+        assert rows(r.cosine_topk(d, q, 3)) == [x for x in whole if x[3] <= 3]
+    finally:
+        r.BLOCK_ROWS = least
+
+
+def test_document_vectors(spark):
+    docs = spark.createDataFrame([(1, "alpha beta beta"), (2, "gamma"), (3, None)], "doc_id long, text string")
+    words = spark.createDataFrame([("alpha", [1.0, 0.0]), ("beta", [0.0, 3.0])], "word string, vector array<double>")
+    assert [(x.doc_id, [round(v, 6) for v in x.embedding]) for x in r.document_vectors(docs, words).collect()] == [(1, [round(1 / 3, 6), 2.0])]

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from fundloom.operators.ranks import concentration, global_order, lorenz, spearman
+from fundloom.operators.ranks import POISSON, concentration, gini_draws, global_order, lorenz, resampled, spearman
 from fundloom.plans.rankings import sign_p
 
 
@@ -42,3 +42,17 @@ def test_spearman_ordinal(spark):
 
 def test_sign():
     assert sign_p(0, 0) == 1 and math.isclose(sign_p(10, 10), 2 / 1024) and sign_p(5, 10) == 1
+
+
+def test_resampling(spark):
+    """Weights are Poisson of mean 1, the same for the same key, and don't depend on the layout."""
+    d = spark.createDataFrame([(f"k{i}", float(i)) for i in range(300)], "k string, x double")
+    w = resampled(d, F.col("k"), 100, 5)
+    total = w.agg(F.sum("w"), F.count("*"), F.max("w")).first()
+    assert abs(total[0] / 30_000 - 1) < 0.03 and abs(total[1] / 30_000 - (1 - math.exp(-1))) < 0.02 and total[2] < 12
+    assert rows(w.repartition(7).groupBy("b").agg(F.sum("w"))) == rows(resampled(d.repartition(5), F.col("k"), 100, 5).groupBy("b").agg(F.sum("w")))
+    assert POISSON[0] == int(2**32 * math.exp(-1)) and len(POISSON) == 11
+    g = [r.gini for r in gini_draws(d, "x", "k", 200, 1).collect()]
+    true = concentration(d, "x", "k").first().gini
+    assert min(g) < true < max(g) and abs(sum(g) / len(g) - true) < 0.02
+    assert gini_draws(d.limit(0), "x", "k", 5, 1).count() == 0

@@ -43,3 +43,9 @@ def test_modal(spark):
     from pyspark.sql import functions as F
 
     assert rows(resolve.modal(d, "k", "v", F.coalesce("f", F.lit(False)))) == [("g", "a", 1), ("h", "x", 1)]
+
+
+def test_an_id_that_is_given_comes_first(spark):
+    idx = resolve.register_index(spark.createDataFrame(NAMES, "ror string, name string, kind string, country string"))
+    o = spark.createDataFrame([("Karlsbad University", "US", "r99"), ("Karlsbad University", "US", " "), ("Nowhere", None, None), (None, None, "r5"), (None, None, None)], "name string, country string, ror_id string")
+    assert rows(resolve.resolve_institutions(o, idx), "name", "given", "ror", "method") == [(None, None, None, None), (None, "r5", "r5", "prematched"), ("Karlsbad University", None, "r1", "exact"), ("Karlsbad University", "r99", "r99", "prematched"), ("Nowhere", None, None, None)]
