@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from fundloom.functions.text import tokenize
 from fundloom.session import cut
 
-#: Query vectors held by a task at once.
-BLOCK_ROWS = 4096
+#: Query vectors, and sparse query documents, held by a task at once.
+BLOCK_ROWS, SPARSE_ROWS = 4096, 256
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, damping: float = 0.85, iterations: int = 200, tol: float = 1e-10, stride: int = 5) -> DataFrame:
@@ -73,13 +73,65 @@ def tfidf(documents: DataFrame, min_df: int = 2, max_features: int = 20_000) ->
     return raw.join(length, "doc_id").select("doc_id", "term", (F.col("w") / F.col("len")).alias("weight"))
 
 
+def _indexed(weights: DataFrame) -> tuple[list[str], DataFrame]:
+    """The terms in order (bounded by VOCAB), and a row per document: ``(doc_id, i, w)`` with the terms' places and weights."""
+    spark = weights.sparkSession
+    terms = [r.term for r in weights.select("term").distinct().orderBy("term").limit(VOCAB + 1).collect()]
+    if len(terms) > VOCAB:
+        raise ValueError(f"more than {VOCAB} terms; lower max_features")
+    index = spark.createDataFrame(list(enumerate(terms)), "j int, term string")
+    return terms, cut(weights.join(F.broadcast(index), "term").groupBy("doc_id").agg(F.collect_list("j").alias("i"), F.collect_list("weight").alias("w")))
+
+
 def sparse_topk(weights: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
-    """``(query, doc_id, score, pos)``: nearest documents of each query document by sparse dot product. Terms meet by
-    equi-join; products are summed map-side first."""
-    w = cut(weights)
-    q = w.join(queries.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("query"), "term", F.col("weight").alias("wq"))
-    s = q.join(w, "term").where("query <> doc_id").groupBy("query", "doc_id").agg(F.round(F.sum(F.col("wq") * F.col("weight")), 6).alias("score"))
-    return _top(s, "query", k, F.desc("score"), F.asc("doc_id"))
+    """``(query, doc_id, score, pos)``: nearest documents of each query document by sparse dot product; documents without
+    a common term take no part, ties are ordered by id.
+
+    Queries go round in blocks of SPARSE_ROWS, of which the driver holds one at a time; a block is a thin matrix over the
+    terms its queries have. A task multiplies its documents with it and keeps the k best per query, so a term that every
+    document holds costs arithmetic but is never shuffled: what is shuffled is k rows per query and batch.
+    """
+    spark = weights.sparkSession
+    terms, docs = _indexed(weights)
+    asked = docs.join(queries.select("doc_id").distinct(), "doc_id", "left_semi")
+    blocks = -(-asked.count() // SPARSE_ROWS)
+    out = None
+    for n in range(blocks):
+        held = (asked.where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == n) if blocks > 1 else asked).collect()
+        if not held:
+            continue
+        used = np.unique(np.concatenate([r.i for r in held]))
+        place = np.full(len(terms), -1, np.int32)
+        place[used] = np.arange(len(used))
+        matrix = np.zeros((len(used), len(held)))
+        for c, r in enumerate(held):
+            matrix[place[r.i], c] = r.w
+        block = spark.sparkContext.broadcast((np.array([r.doc_id for r in held]), place, matrix))
+
+        def run(batches: Iterator[pd.DataFrame], block=block) -> Iterator[pd.DataFrame]:
+            qid, place, matrix = block.value
+            for whole in batches:
+                for at in range(0, len(whole), 500):
+                    b = whole.iloc[at : at + 500]
+                    size = b["i"].map(len).to_numpy()
+                    row, w = place[np.concatenate(b["i"].to_numpy())], np.concatenate(b["w"].to_numpy())
+                    owner = np.repeat(np.arange(len(b)), size)[row >= 0]
+                    if not len(owner):
+                        continue
+                    part = w[row >= 0, None] * matrix[row[row >= 0]]
+                    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+                    vid, s = b["doc_id"].to_numpy()[owner[starts]], np.add.reduceat(part, starts, axis=0).T
+                    s[qid[:, None] == vid[None, :]] = 0
+                    m = min(k, s.shape[1])
+                    edge = -np.partition(-s, m - 1, axis=1)[:, m - 1]
+                    i, j = np.nonzero((s >= edge[:, None] - 1e-6) & (s > 0))
+                    yield pd.DataFrame({"query": qid[i], "doc_id": vid[j], "score": s[i, j]})
+
+        part = docs.mapInPandas(run, "query long, doc_id long, score double")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], "query long, doc_id long, score double, pos int")
+    return _top(out.withColumn("score", F.round("score", 6)), "query", k, F.desc("score"), F.asc("doc_id"))
 
 
 def cosine_topk(vectors: DataFrame, queries: DataFrame, k: int | None = 10) -> DataFrame:
@@ -217,13 +269,9 @@ def latent_vectors(weights: DataFrame, dim: int = 16, iterations: int = 4, seed:
     ``dim + 8``, bounded by the vocabulary of ``tfidf``) and back; partial products are summed by term.
     """
     spark = weights.sparkSession
-    terms = [r.term for r in weights.select("term").distinct().orderBy("term").limit(VOCAB + 1).collect()]
-    if len(terms) > VOCAB:
-        raise ValueError(f"more than {VOCAB} terms; lower max_features")
+    terms, docs = _indexed(weights)
     if not terms:
         return spark.createDataFrame([], "doc_id long, embedding array<double>")
-    index = F.broadcast(spark.createDataFrame(list(enumerate(terms)), "i int, term string"))
-    docs = cut(weights.join(index, "term").groupBy("doc_id").agg(F.collect_list("i").alias("i"), F.collect_list("weight").alias("w")))
     k = min(dim + 8, len(terms))
 
     def round_trip(v: np.ndarray) -> np.ndarray:

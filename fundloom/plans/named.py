@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundloom.operators.pairs import pair_counts
 from fundloom.plans.graph import Graph, with_views
 
 LEVELS = ("domain", "field", "subfield", "topic")
@@ -217,15 +218,10 @@ def _work_funders(g: Graph) -> DataFrame:
 
 
 def cofunding_pairs(g: Graph, limit: int = DEFAULT_LIMIT) -> DataFrame:
-    """Unordered pairs of funders by shared works.
-
-    Works with the same funders are one row: each work's funders become a sorted list (it holds a funder once, so it is no
-    longer than there are funders), lists are counted, and only distinct lists are paired out, inside their row, with
-    their count as weight. Pairs are summed map-side, so what is shuffled is bounded by the pairs of funders there are.
-    """
-    lists = _work_funders(g).groupBy("work_id").agg(F.sort_array(F.collect_list("funder_id")).alias("f")).where(F.size("f") > 1).groupBy("f").agg(F.count("*").alias("works"))
-    first = lists.select("works", "f", F.posexplode("f").alias("i", "fa"))
-    p = first.select("works", "fa", F.explode(F.slice("f", F.col("i") + 2, F.size("f"))).alias("fb")).groupBy("fa", "fb").agg(F.sum("works").alias("shared_works"))
+    """Unordered pairs of funders by shared works. Works with the same funders are one set; pairs are counted by the
+    matrix product of each batch of sets (``pair_counts``), so pairs of a work are never written out."""
+    sets = _work_funders(g).groupBy("work_id").agg(F.sort_array(F.collect_list("funder_id")).alias("members")).where(F.size("members") > 1).groupBy("members").agg(F.count("*").alias("weight"))
+    p = pair_counts(sets).select(F.col("a").alias("fa"), F.col("b").alias("fb"), F.col("n").alias("shared_works"))
     p = p.orderBy(F.desc("shared_works"), "fa", "fb").limit(clamp_limit(limit))
     n = g.funder.select("atlas_id", "short_name")
     named = p.join(n.select(F.col("atlas_id").alias("fa"), F.col("short_name").alias("funder_a")), "fa").join(n.select(F.col("atlas_id").alias("fb"), F.col("short_name").alias("funder_b")), "fb")

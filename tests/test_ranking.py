@@ -107,3 +107,48 @@ def test_document_vectors(spark):
     docs = spark.createDataFrame([(1, "alpha beta beta"), (2, "gamma"), (3, None)], "doc_id long, text string")
     words = spark.createDataFrame([("alpha", [1.0, 0.0]), ("beta", [0.0, 3.0])], "word string, vector array<double>")
     assert [(x.doc_id, [round(v, 6) for v in x.embedding]) for x in r.document_vectors(docs, words).collect()] == [(1, [round(1 / 3, 6), 2.0])]
+
+
+def test_sparse_topk_against_all_products(spark):
+    """Ties, terms that all hold and queries of such terms only are ranked as by all products, in one block or several."""
+    rng, rnd = np.random.default_rng(5), random.Random(5)
+    m = np.zeros((120, 30))
+    for i in range(120):
+        for j in rnd.sample(range(30), 5):
+            m[i, j] = rng.uniform(0.1, 1)
+        m[i, :3] = rng.uniform(0.05, 0.3, 3) if i % 10 else (0.9, 0.1, 0)  # nearly all hold these
+    m[10, 3:] = 0  # a query of common terms only
+    m[33] = m[34]
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    d = spark.createDataFrame([(i, f"t{j:02}", float(m[i, j])) for i in range(120) for j in range(30) if m[i, j] > 0], "doc_id long, term string, weight double")
+    q = spark.createDataFrame([(i,) for i in range(0, 120, 10)] + [(999,)], "doc_id long")
+    s = np.round(m @ m.T, 6)
+    want = [(i, p + 1, j) for i in range(0, 120, 10) for p, j in enumerate(sorted((j for j in range(120) if j != i and s[i, j] > 0), key=lambda j: (-s[i, j], j))[:4])]
+    assert rows(r.sparse_topk(d, q, 4), "query", "pos", "doc_id") == want
+    least, r.SPARSE_ROWS = r.SPARSE_ROWS, 5
+    try:
+        assert rows(r.sparse_topk(d, q, 4), "query", "pos", "doc_id") == want
+    finally:
+        r.SPARSE_ROWS = least
+    assert rows(r.sparse_topk(d.limit(0), q)) == []
+
+
+def test_pair_counts_against_writing_them_out(spark):
+    from collections import Counter
+    from itertools import combinations
+
+    from fundloom.operators import pairs
+
+    rnd = random.Random(3)
+    data = [([rnd.randrange(40) for _ in range(rnd.randrange(12))] + [None] * (i % 2), rnd.randrange(1, 4)) for i in range(80)] + [(None, 1), ([], 2)]
+    want = Counter()
+    for x, w in data:
+        for a, b in combinations(sorted({v for v in x or [] if v is not None}), 2):
+            want[a, b] += w
+    wide = pairs.WIDE
+    try:
+        for pairs.WIDE in (3000, 15):
+            got = pairs.pair_counts(spark.createDataFrame(data, "members array<long>, weight int"))
+            assert {(a, b): n for a, b, n in rows(got)} == want
+    finally:
+        pairs.WIDE = wide
