@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,14 @@ def register_index(register: DataFrame) -> DataFrame:
     return x.select("ror", "kind", "country", "norm", text.expand_abbreviations(F.col("norm")).alias("expanded"), text.name_tokens(F.col("norm")).alias("tokens"), prio.alias("prio"), last.isin(*text.UMBRELLA).alias("umbrella")).distinct()
 
 
-def _picked(cand: DataFrame, need_country: bool = False) -> DataFrame:
-    """``(qid, ror)`` of candidates ``(qid, cc, ror, country, prio)``: those of the query's country if there are any, of
-    these the one of highest priority, nothing on a tie."""
-    best = cand.groupBy("qid", "cc", "ror").agg(F.max("prio").alias("prio"), F.max(F.coalesce(F.col("country") == F.col("cc"), F.lit(False))).alias("here"))
-    w = Window.partitionBy("qid")
-    x = best.withColumn("any_here", F.max("here").over(w))
-    x = x.where("here") if need_country else x.where("here or not any_here or cc is null")
+def _picked(cand: DataFrame) -> DataFrame:
+    """``(qid, ror, t)`` of candidates ``(qid, cc, ror, country, prio, t)``, tier by tier: those of the query's country if
+    there are any (tier 3 takes no others), of these the one of highest priority, nothing on a tie."""
+    best = cand.groupBy("qid", "t", "cc", "ror").agg(F.max("prio").alias("prio"), F.max(F.coalesce(F.col("country") == F.col("cc"), F.lit(False))).alias("here"))
+    w = Window.partitionBy("qid", "t")
+    x = best.where("here or t <> 3").withColumn("any_here", F.max("here").over(w)).where("here or not any_here or cc is null")
     x = x.withColumn("top", F.max("prio").over(w)).where("prio = top").withColumn("tied", F.count("*").over(w)).where("tied = 1")
-    return x.select("qid", "ror")
+    return x.select("qid", "ror", "t")
 
 
 def match_institutions(queries: DataFrame, index: DataFrame, min_fuzzy: float = 0.85) -> DataFrame:
@@ -43,13 +44,15 @@ def match_institutions(queries: DataFrame, index: DataFrame, min_fuzzy: float =
     q = q.select("name", "country", "norm", text.canon_country(F.col("country")).alias("cc"), text.expand_abbreviations(F.col("norm")).alias("expanded"), text.name_tokens(F.col("norm")).alias("tokens"), F.md5(F.concat_ws("\x1f", "name", F.coalesce("country", F.lit("\x00")))).alias("qid"))
     q, index = cut(q), cut(index)
     named = index.where("kind <> 'acronym'")
-    tier = lambda df, on, need=False: _picked(q.join(df.select(F.col(on).alias("key"), "ror", "country", "prio").withColumnRenamed("country", "c2").withColumnRenamed("c2", "country_r"), q["norm" if on != "expanded" else "expanded"] == F.col("key")).select("qid", "cc", "ror", F.col("country_r").alias("country"), "prio"), need)
-    exact = tier(named, "norm").select("qid", "ror", F.lit("exact").alias("method"), F.lit(1.0).alias("score"), F.lit(1).alias("t"))
-    spelt = tier(named, "expanded").select("qid", "ror", F.lit("expanded"), F.lit(0.99), F.lit(2))
-    acro = tier(index.where("kind = 'acronym'").withColumn("prio", F.lit(0)), "norm", True).select("qid", "ror", F.lit("acronym"), F.lit(0.97), F.lit(3))
-    fuzzy = _fuzzy(q, named.where("country is not null"), min_fuzzy).select("qid", "ror", F.lit("fuzzy"), F.round("w", 4), F.lit(4))
-    all_tiers = exact.union(spelt).union(acro).union(fuzzy).groupBy("qid").agg(F.min_by(F.struct("ror", "method", "score"), "t").alias("m"))
-    return q.join(all_tiers, "qid").select("name", "country", "m.ror", "m.method", "m.score")
+    parts = ((named, "norm", "norm", F.col("prio")), (named, "expanded", "expanded", F.col("prio")), (index.where("kind = 'acronym'"), "norm", "norm", F.lit(0)))
+    cand = [q.select("qid", "cc", F.col(mine).alias("key")).join(df.select(F.col(theirs).alias("key"), "ror", "country", prio.alias("prio")), "key").withColumn("t", F.lit(t)) for t, (df, mine, theirs, prio) in enumerate(parts, 1)]
+    tiers = _picked(reduce(DataFrame.unionByName, cand)).groupBy("qid").agg(F.min(F.struct("t", "ror")).alias("m")).select("qid", "m.ror", "m.t")
+    tiers = cut(tiers)
+    method = F.element_at(F.array(F.lit("exact"), F.lit("expanded"), F.lit("acronym")), F.col("t"))
+    score = F.element_at(F.array(F.lit(1.0), F.lit(0.99), F.lit(0.97)), F.col("t"))
+    # Only names that no tier above resolves go on to the last one.
+    fuzzy = _fuzzy(q.join(tiers, "qid", "left_anti"), named.where("country is not null"), min_fuzzy).select("qid", "ror", F.lit("fuzzy").alias("method"), F.round("w", 4).alias("score"))
+    return q.select("qid", "name", "country").join(tiers.select("qid", "ror", method.alias("method"), score.alias("score")).unionByName(fuzzy), "qid").select("name", "country", "ror", "method", "score")
 
 
 def resolve_institutions(orgs: DataFrame, index: DataFrame, min_fuzzy: float = 0.85) -> DataFrame:
