@@ -5,55 +5,78 @@ from __future__ import annotations
 import re
 import unicodedata
 
-# What words of institution names are rewritten to. An empty value drops the word.
-_ORG_WORDS = {
-    "univ": "university universite universitat universitaet universidad universita universiteit universidade univ uni u",
-    "univ hosp": "universitatsklinikum universitaetsklinikum uniklinik uniklinikum chu",
-    "hosp": "hospital hospitals hosp klinikum hopital ospedale",
-    "univ ": "universitario universitaire universitaria",
-    "tech": "technology technol technical technische technique tecnologia tecnica technologie technological",
-    "univ tech": "tu",
-    "inst": "institute institut instituto istituto inst",
-    "research centre": "forschungszentrum",
-    "research": "research res recherche recherches investigacion forschung ricerca",
-    "centre": "centre center ctr centro zentrum",
-    "natl": "national natl nacional nationale nationales nazionale",
-    "lab": "laboratory laboratories laboratoire laboratorio labor lab labs",
-    "fdn": "foundation fdn fondation stiftung fundacion fondazione",
-    "biosci": "biosciences bioscience biosci",
-    "sci": "sciences science sci",
-    "": "ltd limited inc incorporated gmbh ag plc llc corp corporation company sa srl bv nhs trust regents the of de du der des di do da la le les el for fur pour para and und et y e at in uk us usa eu an",
-}
-ORG_WORDS = {w: code.split() for code, ws in _ORG_WORDS.items() for w in ws.split()}
+# What words of institution names are rewritten to; an empty list drops the word.
+ORG_WORDS = {
+    "ag": [], "an": [], "and": [], "at": [], "biosci": ["biosci"], "bioscience": ["biosci"], "biosciences": ["biosci"], "bv": [],
+    "center": ["centre"], "centre": ["centre"], "centro": ["centre"], "chu": ["univ", "hosp"], "company": [], "corp": [], "corporation": [],
+    "ctr": ["centre"], "da": [], "de": [], "der": [], "des": [], "di": [], "do": [], "du": [], "e": [], "el": [], "et": [], "eu": [], "fdn": ["fdn"],
+    "fondation": ["fdn"], "fondazione": ["fdn"], "for": [], "forschung": ["research"], "forschungszentrum": ["research", "centre"],
+    "foundation": ["fdn"], "fundacion": ["fdn"], "fur": [], "gmbh": [], "hopital": ["hosp"], "hosp": ["hosp"], "hospital": ["hosp"],
+    "hospitals": ["hosp"], "in": [], "inc": [], "incorporated": [], "inst": ["inst"], "institut": ["inst"], "institute": ["inst"],
+    "instituto": ["inst"], "investigacion": ["research"], "istituto": ["inst"], "klinikum": ["hosp"], "la": [], "lab": ["lab"], "labor": ["lab"],
+    "laboratoire": ["lab"], "laboratories": ["lab"], "laboratorio": ["lab"], "laboratory": ["lab"], "labs": ["lab"], "le": [], "les": [],
+    "limited": [], "llc": [], "ltd": [], "nacional": ["natl"], "national": ["natl"], "nationale": ["natl"], "nationales": ["natl"], "natl": ["natl"],
+    "nazionale": ["natl"], "nhs": [], "of": [], "ospedale": ["hosp"], "para": [], "plc": [], "pour": [], "recherche": ["research"],
+    "recherches": ["research"], "regents": [], "res": ["research"], "research": ["research"], "ricerca": ["research"], "sa": [], "sci": ["sci"],
+    "science": ["sci"], "sciences": ["sci"], "srl": [], "stiftung": ["fdn"], "technical": ["tech"], "technique": ["tech"], "technische": ["tech"],
+    "technol": ["tech"], "technological": ["tech"], "technologie": ["tech"], "technology": ["tech"], "tecnica": ["tech"], "tecnologia": ["tech"],
+    "the": [], "trust": [], "tu": ["univ", "tech"], "u": ["univ"], "uk": [], "und": [], "uni": ["univ"], "uniklinik": ["univ", "hosp"],
+    "uniklinikum": ["univ", "hosp"], "univ": ["univ"], "universidad": ["univ"], "universidade": ["univ"], "universita": ["univ"],
+    "universitaet": ["univ"], "universitaetsklinikum": ["univ", "hosp"], "universitaire": ["univ"], "universitaria": ["univ"],
+    "universitario": ["univ"], "universitat": ["univ"], "universitatsklinikum": ["univ", "hosp"], "universite": ["univ"], "universiteit": ["univ"],
+    "university": ["univ"], "us": [], "usa": [], "y": [], "zentrum": ["centre"],
+}
 # First words of a unit inside an institution, as in "Department of X, University of Y".
 UNITS = ("laboratory", "lab", "college", "department", "dept", "faculty", "school", "office", "division", "section", "unit", "chair", "graduate")
 # Titles and degrees beside people's names.
 TITLES = frozenset("dr prof professor mr mrs ms miss sir dame phd md msc mphil dphil bsc ma ba jr sr ii iii esq frs".split())
 # Nicknames by given name.
-_NICKNAMES = """alexander: alex sasha sandy xander al alec; alexandra: sandra lexi; andrew: andy drew; anthony: tony; antonio: toni tono; barbara: barb barbie; benjamin: ben benny;
-bjorn: bj; catherine: cathy kitty; charles: charlie chuck chas; charlotte: lotte charlie lottie; christopher: chris kit; christina: tina chris; daniel: dan danny; david: dave davey;
-deborah: deb debbie; dmitri: dima mitya; dorothy: dot dottie dolly dora; edward: ed eddie ned ted; eleanor: ellie nell nora; elizabeth: liz beth betty lizzie eliza betsy libby lisa;
-emeka: chukwuemeka; francis: frank fran; francisco: paco pancho; frederick: fred freddie fritz rick; friedrich: fritz; gabriel: gabe; giovanni: gianni nino vanni; giuseppe: beppe pino; gregory: greg;
-hannelore: hanna hanne lore hanni; heinrich: heinz; helen: nell nellie; henry: harry hank hal; ignacio: nacho; ingrid: inga inge; isabel: isa bella; jacob: jake; james: jim jimmy jamie; jennifer: jen jenny; joanna: jo;
-johann: hans; john: jack johnny jon; jonathan: jon; joseph: joe joey; josephine: josie jo fifi; jose: pepe; joshua: josh; katherine: kate kathy katie kat kit kay; kenneth: ken kenny; lawrence: larry;
-leonard: leo len lenny; ludwig: lutz; margaret: peggy maggie meg marge greta rita daisy; maria: mia; martha: patty; matthew: matt; maximilian: max; mehmet: memo; michael: mike mick mickey misha; mikhail: misha;
-nathaniel: nathan nate nat; nicholas: nick nicky; nikolai: kolya; olivia: liv livvy ollie; pamela: pam; patricia: pat patty tricia; patrick: pat paddy; penelope: penny pen nell; peter: pete; philip: phil; priya: pri;
-rebecca: becky becca; richard: rick dick rich richie; robert: bob rob bobby robbie bert; roberto: beto; ronald: ron ronnie; samantha: sam sammy; samuel: sam sammy; sebastian: seb bastian; stephen: steve;
-susan: sue susie suzy; theodore: ted theo teddy; thomas: tom tommy; timothy: tim; tomas: tom tomasito; ursula: uschi ulla; valentina: val; victor: vic; victoria: vicky tori vic vicki; vladimir: vova volodya; walter: walt wally;
-wilhelm: willi; william: bill will billy willy liam; xenia: xen; yevgenia: zhenya; yevgeny: zhenya; zachary: zach zack zac"""
+SHORT_NAMES = {
+    "alexander": ["alex", "sasha", "sandy", "xander", "al", "alec"], "alexandra": ["sandra", "lexi"], "andrew": ["andy", "drew"], "anthony": ["tony"],
+    "antonio": ["toni", "tono"], "barbara": ["barb", "barbie"], "benjamin": ["ben", "benny"], "bjorn": ["bj"], "catherine": ["cathy", "kitty"],
+    "charles": ["charlie", "chuck", "chas"], "charlotte": ["lotte", "charlie", "lottie"], "christopher": ["chris", "kit"],
+    "christina": ["tina", "chris"], "daniel": ["dan", "danny"], "david": ["dave", "davey"], "deborah": ["deb", "debbie"], "dmitri": ["dima", "mitya"],
+    "dorothy": ["dot", "dottie", "dolly", "dora"], "edward": ["ed", "eddie", "ned", "ted"], "eleanor": ["ellie", "nell", "nora"],
+    "elizabeth": ["liz", "beth", "betty", "lizzie", "eliza", "betsy", "libby", "lisa"], "emeka": ["chukwuemeka"], "francis": ["frank", "fran"],
+    "francisco": ["paco", "pancho"], "frederick": ["fred", "freddie", "fritz", "rick"], "friedrich": ["fritz"], "gabriel": ["gabe"],
+    "giovanni": ["gianni", "nino", "vanni"], "giuseppe": ["beppe", "pino"], "gregory": ["greg"], "hannelore": ["hanna", "hanne", "lore", "hanni"],
+    "heinrich": ["heinz"], "helen": ["nell", "nellie"], "henry": ["harry", "hank", "hal"], "ignacio": ["nacho"], "ingrid": ["inga", "inge"],
+    "isabel": ["isa", "bella"], "jacob": ["jake"], "james": ["jim", "jimmy", "jamie"], "jennifer": ["jen", "jenny"], "joanna": ["jo"],
+    "johann": ["hans"], "john": ["jack", "johnny", "jon"], "jonathan": ["jon"], "joseph": ["joe", "joey"], "josephine": ["josie", "jo", "fifi"],
+    "jose": ["pepe"], "joshua": ["josh"], "katherine": ["kate", "kathy", "katie", "kat", "kit", "kay"], "kenneth": ["ken", "kenny"],
+    "lawrence": ["larry"], "leonard": ["leo", "len", "lenny"], "ludwig": ["lutz"],
+    "margaret": ["peggy", "maggie", "meg", "marge", "greta", "rita", "daisy"], "maria": ["mia"], "martha": ["patty"], "matthew": ["matt"],
+    "maximilian": ["max"], "mehmet": ["memo"], "michael": ["mike", "mick", "mickey", "misha"], "mikhail": ["misha"],
+    "nathaniel": ["nathan", "nate", "nat"], "nicholas": ["nick", "nicky"], "nikolai": ["kolya"], "olivia": ["liv", "livvy", "ollie"],
+    "pamela": ["pam"], "patricia": ["pat", "patty", "tricia"], "patrick": ["pat", "paddy"], "penelope": ["penny", "pen", "nell"], "peter": ["pete"],
+    "philip": ["phil"], "priya": ["pri"], "rebecca": ["becky", "becca"], "richard": ["rick", "dick", "rich", "richie"],
+    "robert": ["bob", "rob", "bobby", "robbie", "bert"], "roberto": ["beto"], "ronald": ["ron", "ronnie"], "samantha": ["sam", "sammy"],
+    "samuel": ["sam", "sammy"], "sebastian": ["seb", "bastian"], "stephen": ["steve"], "susan": ["sue", "susie", "suzy"],
+    "theodore": ["ted", "theo", "teddy"], "thomas": ["tom", "tommy"], "timothy": ["tim"], "tomas": ["tom", "tomasito"], "ursula": ["uschi", "ulla"],
+    "valentina": ["val"], "victor": ["vic"], "victoria": ["vicky", "tori", "vic", "vicki"], "vladimir": ["vova", "volodya"],
+    "walter": ["walt", "wally"], "wilhelm": ["willi"], "william": ["bill", "will", "billy", "willy", "liam"], "xenia": ["xen"],
+    "yevgenia": ["zhenya"], "yevgeny": ["zhenya"], "zachary": ["zach", "zack", "zac"],
+}
 NICKNAMES: dict[str, list[str]] = {}
-for _entry in _NICKNAMES.replace("\n", " ").split(";"):
-    _full, _short = _entry.split(":")
-    for _w in _short.split():
-        NICKNAMES.setdefault(_w, []).append(_full.strip())
-GIVEN = frozenset(e.split(":")[0].strip() for e in _NICKNAMES.replace("\n", " ").split(";"))
-# ISO 3166 alpha-2 codes by the ways a country is written.
-_COUNTRIES = """ar: arg argentina; at: aut austria osterreich; au: aus australia; be: bel belgium belgie belgique; br: bra brazil brasil; ca: can canada; ch: che switzerland schweiz suisse svizzera; cl: chl chile;
-cn: chn china; co: col colombia; cz: cze czechia; de: deu germany deutschland; dk: dnk denmark danmark; eg: egy egypt; es: esp spain espana; fi: fin finland suomi; fr: fra france;
-gb: gbr uk greatbritain unitedkingdom england scotland wales; gh: gha ghana; gr: grc el greece; hu: hun hungary; ie: irl ireland; il: isr israel; in: ind india bharat; it: ita italy italia; jp: jpn japan nippon; ke: ken kenya;
-kr: kor southkorea; mx: mex mexico; ng: nga nigeria; nl: nld netherlands thenetherlands holland nederland; no: nor norway norge; nz: nzl newzealand; pl: pol poland polska; pt: prt portugal; ro: rou romania;
-se: swe sweden sverige; sg: sgp singapore; tr: tur turkey turkiye; ug: uga uganda; us: usa unitedstates unitedstatesofamerica america; za: zaf southafrica"""
-COUNTRIES = {w: e.split(":")[0].strip().upper() for e in _COUNTRIES.replace("\n", " ").split(";") for w in [e.split(":")[0].strip(), *e.split(":")[1].split()]}
+for _full, _short in SHORT_NAMES.items():
+    for _w in _short:
+        NICKNAMES.setdefault(_w, []).append(_full)
+GIVEN = frozenset(SHORT_NAMES)
+# ISO 3166 alpha-2 codes and the ways a country is written, without blanks and accents.
+COUNTRY_NAMES = {
+    "AR": ["arg", "argentina"], "AT": ["aut", "austria", "osterreich"], "AU": ["aus", "australia"], "BE": ["bel", "belgium", "belgie", "belgique"],
+    "BR": ["bra", "brazil", "brasil"], "CA": ["can", "canada"], "CH": ["che", "switzerland", "schweiz", "suisse", "svizzera"], "CL": ["chl", "chile"],
+    "CN": ["chn", "china"], "CO": ["col", "colombia"], "CZ": ["cze", "czechia"], "DE": ["deu", "germany", "deutschland"],
+    "DK": ["dnk", "denmark", "danmark"], "EG": ["egy", "egypt"], "ES": ["esp", "spain", "espana"], "FI": ["fin", "finland", "suomi"],
+    "FR": ["fra", "france"], "GB": ["gbr", "uk", "greatbritain", "unitedkingdom", "england", "scotland", "wales"], "GH": ["gha", "ghana"],
+    "GR": ["grc", "el", "greece"], "HU": ["hun", "hungary"], "IE": ["irl", "ireland"], "IL": ["isr", "israel"], "IN": ["ind", "india", "bharat"],
+    "IT": ["ita", "italy", "italia"], "JP": ["jpn", "japan", "nippon"], "KE": ["ken", "kenya"], "KR": ["kor", "southkorea"], "MX": ["mex", "mexico"],
+    "NG": ["nga", "nigeria"], "NL": ["nld", "netherlands", "thenetherlands", "holland", "nederland"], "NO": ["nor", "norway", "norge"],
+    "NZ": ["nzl", "newzealand"], "PL": ["pol", "poland", "polska"], "PT": ["prt", "portugal"], "RO": ["rou", "romania"],
+    "SE": ["swe", "sweden", "sverige"], "SG": ["sgp", "singapore"], "TR": ["tur", "turkey", "turkiye"], "UG": ["uga", "uganda"],
+    "US": ["usa", "unitedstates", "unitedstatesofamerica", "america"], "ZA": ["zaf", "southafrica"],
+}
+COUNTRIES = {w: code for code, words in COUNTRY_NAMES.items() for w in [code.lower(), *words]}
 STAND_IN = frozenset(("", "not stated", "n a", "na", "none", "null", "nil", "nan", "unknown", "tbd", "tba", "tbc", "not available", "not known", "not specified", "not provided", "unspecified", "to be determined", "pending", "other", "various", "test", "x", "xx", "xxx"))
 
 
