@@ -82,6 +82,30 @@ def landed_erc(s: SparkSession, d: str) -> DataFrame:
     return _cordis(s, d, True)
 
 
+def landed_orgs(s: SparkSession, d: str) -> DataFrame:
+    """Institutions as two sources give them: country notations, kinds of institution, places on the map."""
+    o = _orders(s, d).select("k", "org")
+    g = o.select(F.col("k").alias("projectID"), F.col("org").alias("name"), F.element_at(F.array(F.lit("EL"), F.lit("UK"), F.lit(" fr ")), F.col("k").cast("int") % 3 + 1).alias("country"), F.lit(" ").alias("city"), F.lit("X").alias("nutsCode"), F.element_at(F.array(F.lit("(1.5, 2.5)"), F.lit("1.5"), F.lit("a,b")), F.col("k").cast("int") % 3 + 1).alias("geolocation"), F.lit("").alias("organizationURL"), F.element_at(F.array(F.lit("HES"), F.lit("REC"), F.lit("PRC"), F.lit("PUB"), F.lit("OTH")), F.col("k").cast("int") % 5 + 1).alias("activityType"), F.lit("participant").alias("role"))
+    text = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    p = o.select(F.col("k").alias("id"), *text("title", "objective", "startDate", "endDate", "totalCost", "ecMaxContribution", "status", "fundingScheme"))
+    of = lambda rec: c.graph_tables(rec, AS_OF)["organization"]
+    name = F.concat(F.lit("Org "), "projectID")
+    lands = F.element_at(F.array(F.lit("Burkina Faso"), F.lit(" UNITED STATES "), F.lit("Atlantis")), F.col("k").cast("int") % 3 + 1)
+    gates = o.select(F.col("k").alias("GRANT ID"), F.concat(F.lit("Org "), "k").alias("GRANTEE"), lands.alias("GRANTEE COUNTRY"), *text("PURPOSE", "DIVISION", "DATE COMMITTED", "DURATION (MONTHS)", "AMOUNT COMMITTED", "GRANTEE WEBSITE", "GRANTEE CITY", "GRANTEE STATE", "REGION SERVED", "TOPIC"))
+    both = of(c.cordis(p, g.withColumn("name", name))).unionByName(of(c.gates(gates)))
+    return both.select("source", "atlas_id", "name", "country_code", "city", "org_type", "lat", "lon")
+
+
+def landed_register(s: SparkSession, d: str) -> DataFrame:
+    """Register entries through the register's own documents: a row per name with its kind; withdrawn entries stay out."""
+    r = table(s, d, "registry_org", "reg_id", "legal_name", "other_names", "town", "lat", "lon")
+    kinds = lambda *k: F.array(*[F.lit(x) for x in k])
+    other = F.transform(F.coalesce(F.split("other_names", ";"), F.array().cast("array<string>")), lambda n: F.struct(F.btrim(n).alias("value"), F.when(n.rlike("^ *[A-Z]{2,8} *$"), kinds("acronym")).otherwise(kinds("alias")).alias("types")))
+    place = F.array(F.struct(F.struct(F.lit("CH").alias("country_code"), F.col("town").alias("name"), "lat", F.col("lon").alias("lng")).alias("geonames_details")))
+    docs = _page(r, "ror", id=F.col("reg_id").cast("string"), status=F.when(F.col("reg_id") % 7 == 0, "withdrawn").when(F.col("reg_id") % 7 == 1, None).otherwise("active"), names=F.concat(F.array(F.struct(F.col("legal_name").alias("value"), kinds("ror_display", "label").alias("types"))), other), locations=place)
+    return c.ror_names(docs).where("name is not null").select("ror", "name", "kind", "country", "city", "lat", "lon").distinct()
+
+
 def landed_dfg(s: SparkSession, d: str) -> DataFrame:
     pair = lambda n, v: F.concat(F.lit(f'<div><span class="name">{n}</span><span class="value">'), v, F.lit("</span></div>"))
     html = F.concat(F.lit('<h1 class="facelift">Order &amp; '), "k", F.lit("</h1>"), pair("Term", F.concat(F.lit("from "), F.year("day").cast("string"), F.when(F.col("n") % 2 == 0, F.concat(F.lit(" to "), (F.year("day") + 3).cast("string"))).otherwise(""))), pair("DFG Programme", F.lit("Grants")), pair("Applicant Institution", F.col("org")))
@@ -138,7 +162,7 @@ def wellcome_links(s: SparkSession, d: str) -> DataFrame:
     return out
 
 
-_ALL = (landed_nsf, landed_nsf_people, landed_nih, landed_ukri, landed_cordis, landed_erc, landed_dfg, landed_gates, landed_sloan, landed_czi, landed_openalex, wellcome_grants, wellcome_links)
+_ALL = (landed_nsf, landed_nsf_people, landed_nih, landed_ukri, landed_cordis, landed_erc, landed_orgs, landed_register, landed_dfg, landed_gates, landed_sloan, landed_czi, landed_openalex, wellcome_grants, wellcome_links)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _O = "(SELECT o_orderkey::VARCHAR AS k, o_orderkey AS n, o_orderdate::DATE AS day, round(o_totalprice, 2) AS usd, 'Org ' || o_custkey AS org FROM orders)"
@@ -162,6 +186,10 @@ _SQL = {
     "landed_ukri": _sql("ukri", amount="usd + 1.5", currency="GBP", rate=1.27, url="'https://gtr.ukri.org/projects?ref=EP/' || k", more=", 1::BIGINT AS people, 1::BIGINT AS orgs"),
     "landed_cordis": _sql("cordis", amount=_THIRD.format("7"), currency="EUR", rate=1.08, status="CASE WHEN n % 2 = 0 THEN 'active' ELSE 'completed' END", program="CASE WHEN n % 5 = 0 THEN 'erc-STG' ELSE 'RIA' END", url="'https://cordis.europa.eu/project/id/' || k"),
     "landed_erc": _sql("erc", amount=_THIRD.format("7"), currency="EUR", rate=1.08, status="CASE WHEN n % 2 = 0 THEN 'active' ELSE 'completed' END", program="'erc-STG'", url="'https://cordis.europa.eu/project/id/' || k", where="n % 5 = 0"),
+    "landed_orgs": """SELECT 'cordis' AS source, 'org:' || substr(sha1('organization|cordis|org ' || k), 1, 16) AS atlas_id, 'Org ' || k AS name, ['GR', 'GB', 'FR'][n % 3 + 1] AS country_code, NULL::VARCHAR AS city, ['education', 'facility', 'company', 'government', 'other'][n % 5 + 1] AS org_type, CASE WHEN n % 3 = 0 THEN 1.5::DOUBLE END AS lat, CASE WHEN n % 3 = 0 THEN 2.5::DOUBLE END AS lon FROM (SELECT o_orderkey::VARCHAR AS k, o_orderkey AS n FROM orders)
+      UNION ALL SELECT 'gates', 'org:' || substr(sha1('organization|gates|org ' || k), 1, 16), 'Org ' || k, ['BF', 'US', NULL][n % 3 + 1], NULL, 'nonprofit', NULL, NULL FROM (SELECT o_orderkey::VARCHAR AS k, o_orderkey AS n FROM orders)""",
+    "landed_register": """SELECT DISTINCT reg_id::VARCHAR AS ror, name, kind, 'CH' AS country, town AS city, lat, lon FROM (SELECT reg_id, legal_name AS name, 'display' AS kind, town, lat, lon FROM registry_org UNION ALL
+      SELECT reg_id, trim(n), CASE WHEN regexp_matches(trim(n), '^[A-Z]{2,8}$') THEN 'acronym' ELSE 'alias' END, town, lat, lon FROM (SELECT *, unnest(string_split(other_names, ';')) AS n FROM registry_org)) WHERE reg_id % 7 > 0 AND name IS NOT NULL""",
     "landed_dfg": _sql("dfg", title="'Order & ' || k", amount="NULL", currency="", start="year(day) || '-01-01'", end="CASE WHEN n % 2 = 0 THEN (year(day) + 3) || '-12-31' END", status="CASE WHEN n % 2 = 0 THEN 'completed' ELSE 'active' END", program="'Grants'", url="'https://gepris.dfg.de/gepris/projekt/' || k"),
     "landed_gates": _sql("gates", start="strftime(day, '%Y-%m-01')", end=f"CASE WHEN n % 2 = 0 THEN {_SPAN} END", status=f"CASE WHEN n % 2 = 1 THEN 'unknown' ELSE {_BY_END.format(_SPAN)} END", program="'Health / Malaria'", url="'https://www.gatesfoundation.org/about/committed-grants?q=' || k"),
     "landed_sloan": _sql("sloan", key="'g-' || k", start="year(day) || '-01-01'", url="'https://sloan.org/grant-detail/g-' || k"),

@@ -313,8 +313,35 @@ def top_recipients(g: Graph, limit: int = 20) -> DataFrame:
     return _named(a, g.organization, "org_id", "name").orderBy(F.desc_nulls_last("total_M_usd"), "org_id").limit(clamp_limit(limit)).select("name", "total_M_usd", "grants")
 
 
+def slim_portfolio(g: Graph, funder_id: int = 1, level: str = "topic", limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``funder_portfolio`` from the slim table."""
+    level = level if level in LEVELS else "topic"
+    x = slim_funder_field(g).where(F.col("funder_id") == funder_id).drop("funder_id")
+    return _named(x, g.field.where(F.col("level") == level).withColumnRenamed("name", "field"), "field_id", "field", "level").orderBy(F.desc("works"), "field_id").limit(clamp_limit(limit))
+
+
+def slim_top_funders(g: Graph, field_id: str = "bBrand#12", limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``field_top_funders`` from the slim table."""
+    x = slim_field_funder(g).where(F.col("field_id") == field_id).drop("field_id").withColumnRenamed("funder_id", "atlas_id")
+    return x.orderBy(F.desc("works"), "atlas_id").limit(clamp_limit(limit))
+
+
+def slim_top_works(g: Graph, field_id: str = "bBrand#12", limit: int = DEFAULT_LIMIT) -> DataFrame:
+    """``field_top_works`` from the slim table."""
+    x = slim_field_work(g).where(F.col("field_id") == field_id).drop("field_id").withColumnRenamed("work_id", "atlas_id")
+    return x.orderBy(F.desc("cited_by_count"), "atlas_id").limit(clamp_limit(limit))
+
+
+def slim_output(g: Graph, topic: str = "brand#1", limit: int = 15) -> DataFrame:
+    """``top_funders_by_output`` from the slim table, which has no years: counts are summed over the matching fields, so a
+    work of several fields counts in each."""
+    f = g.field.where(F.lower("name").like(f"%{clean_term(topic).lower()}%")).select(F.col("atlas_id").alias("field_id"))
+    a = slim_field_funder(g).join(f, "field_id", "left_semi").groupBy("funder_id", "funder", "short_name", "country_code").agg(F.sum("works").alias("works"), F.sum("grants").alias("grants"))
+    return a.orderBy(F.desc("works"), "funder_id").limit(clamp_limit(limit)).drop("funder_id")
+
+
 _ALL = (stats, funders, funder_portfolio, field_top_funders, field_top_works, org_summary, search, top_funders_by_output, org_funding_vs_output, rising_fields, rising_falling, cross_funder_orgs, funding_by_country, by_source, by_year, top_funders_usd, top_orgs_usd, field_by_source,
-        org_grant_counts, org_grant_dollars, country_funding, cofunding_pairs, cofunding_distribution, output_rate, domain_composition, topic_rollup, coverage_window, slim_funder, slim_field, slim_work, slim_funder_field, slim_field_funder, slim_field_work, slim_org_summary, slim_cross_funder_orgs, slim_stats, slim_country, top_recipients)
+        org_grant_counts, org_grant_dollars, country_funding, cofunding_pairs, cofunding_distribution, output_rate, domain_composition, topic_rollup, coverage_window, slim_funder, slim_field, slim_work, slim_funder_field, slim_field_funder, slim_field_work, slim_org_summary, slim_cross_funder_orgs, slim_stats, slim_country, slim_portfolio, slim_top_funders, slim_top_works, slim_output, top_recipients)
 QUERIES = {f.__name__: (lambda spark, root, f=f: f(Graph(spark, root))) for f in _ALL}
 
 _FWF = "fg JOIN gw ON fg.dst_id = gw.src_id JOIN work_field wf ON gw.dst_id = wf.src_id"
@@ -363,6 +390,10 @@ _SQL = {
     "topic_rollup": "WITH RECURSIVE up AS (SELECT atlas_id AS topic, parent_atlas_id AS at FROM fields WHERE level = 'topic' UNION ALL SELECT topic, f.parent_atlas_id FROM up JOIN fields f ON f.atlas_id = up.at) SELECT topic, max(CASE WHEN level = 'field' THEN name END) AS field, max(CASE WHEN level = 'domain' THEN name END) AS dom FROM up JOIN fields f ON f.atlas_id = up.at GROUP BY 1",
     "coverage_window": f"SELECT *, round(ror_edges / edges, 6) AS ror_edge_share FROM (SELECT count(DISTINCT g.atlas_id) AS grants, count(DISTINCT o.atlas_id) AS orgs, count(DISTINCT o.atlas_id) FILTER (WHERE ror_id IS NOT NULL) AS ror_orgs, count(*) AS edges, count(ror_id) AS ror_edges {_M})",
     "slim_funder_field": f"SELECT fg.src_id AS funder_id, wf.dst_id AS field_id, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} GROUP BY 1, 2",
+    "slim_portfolio": f"SELECT f.atlas_id AS field_id, f.name AS field, f.level, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN fields f ON wf.dst_id = f.atlas_id WHERE fg.src_id = 1 AND f.level = 'topic' GROUP BY ALL ORDER BY works DESC, field_id LIMIT 25",
+    "slim_top_funders": f"SELECT u.atlas_id, u.name AS funder, u.short_name, u.country_code, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN funder u ON fg.src_id = u.atlas_id WHERE wf.dst_id = 'bBrand#12' GROUP BY ALL ORDER BY works DESC, atlas_id LIMIT 25",
+    "slim_top_works": "SELECT w.atlas_id, title, doi, openalex_id, publication_year, type, cited_by_count, is_oa FROM work w JOIN work_field wf ON w.atlas_id = wf.src_id WHERE wf.dst_id = 'bBrand#12' ORDER BY cited_by_count DESC, atlas_id LIMIT 25",
+    "slim_output": f"SELECT funder, short_name, country_code, works, grants FROM (SELECT funder_id, funder, short_name, country_code, sum(works)::BIGINT AS works, sum(grants)::BIGINT AS grants FROM (SELECT u.atlas_id AS funder_id, u.name AS funder, u.short_name, u.country_code, wf.dst_id, count(DISTINCT gw.dst_id) AS works, count(DISTINCT gw.src_id) AS grants FROM {_FWF} JOIN funder u ON fg.src_id = u.atlas_id JOIN fields f ON f.atlas_id = wf.dst_id WHERE lower(f.name) LIKE '%brand#1%' GROUP BY ALL) GROUP BY 1, 2, 3, 4) ORDER BY works DESC, funder_id LIMIT 15",
     "slim_field_work": "SELECT wf.dst_id AS field_id, w.atlas_id AS work_id, title, doi, openalex_id, publication_year, type, cited_by_count, is_oa FROM work_field wf JOIN work w ON w.atlas_id = wf.src_id",
     "slim_org_summary": f"SELECT o.atlas_id AS org_id, name, ror_id, country_code, city, org_type, homepage, coalesce(grants, 0) AS grants, round(usd, 2) AS usd_funded, coalesce(works, 0) AS works FROM org o LEFT JOIN ({_ORGU}) u ON u.org_id = o.atlas_id LEFT JOIN ({_ORGW}) w ON o.atlas_id = w.org_id WHERE ror_id IS NOT NULL",
     "slim_cross_funder_orgs": "SELECT name, country_code, ror_id, funders, funder_list, grants FROM (SELECT o.atlas_id, o.name, o.country_code, o.ror_id, count(DISTINCT fg.src_id) AS funders, array_to_string(list_sort(list(DISTINCT u.short_name)), ', ') AS funder_list, count(DISTINCT go.src_id) AS grants FROM go JOIN fg ON go.src_id = fg.dst_id JOIN funder u ON u.atlas_id = fg.src_id JOIN org o ON o.atlas_id = go.dst_id WHERE o.ror_id IS NOT NULL GROUP BY ALL HAVING funders >= 2) ORDER BY funders DESC, grants DESC, atlas_id LIMIT 500",

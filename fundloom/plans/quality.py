@@ -83,6 +83,12 @@ def date_parse(s: SparkSession, d: str) -> DataFrame:
     return o.select("o_orderkey", dates.us_date(F.date_format("o_orderdate", "MM/dd/yyyy")).alias("us"), dates.millis_date(F.unix_millis(F.col("o_orderdate").cast("timestamp"))).alias("millis"), span["start"].alias("span_start"), span["end"].alias("span_end"), dates.term(F.concat(F.lit("from "), F.year("o_orderdate").cast("string"), F.lit(" to 2002")))["end"].alias("term_end"), dates.status_by_end(iso, "1998-01-01").alias("status"))
 
 
+def month_plan(s: SparkSession, d: str) -> DataFrame:
+    """The months that the bulk feed asks for, newest first, from the first order to the last."""
+    span = table(s, d, "orders", "o_orderdate").agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"))
+    return span.select(F.posexplode(dates.month_windows(F.col("a"), F.col("b"))).alias("nth", "w")).select("nth", "w.start", "w.end")
+
+
 def json_props(s: SparkSession, d: str) -> DataFrame:
     k = F.from_json("props", "k bigint")["k"]
     return table(s, d, "events").groupBy("event_type").agg(F.sum(k).alias("k_sum"), F.count_distinct(k).alias("k_values"))
@@ -234,7 +240,7 @@ def coverage_soft(s: SparkSession, d: str) -> DataFrame:
     return g.join(o, "source", "left").join(p, "source", "left")
 
 
-_ALL = (surrogate_keys, enforce_schema_grant, partition_years, normalize_names, expand_abbrev, name_tokens, countries, award_keys, person_name_parts, money_parse, date_parse, json_props, html_text, email_guard, emails, contact_choice, titled_text, inverted_abstracts, tokens_by_lang, dedup_entities, dedup_edges, first_wins,
+_ALL = (surrogate_keys, enforce_schema_grant, partition_years, normalize_names, expand_abbrev, name_tokens, countries, award_keys, person_name_parts, money_parse, date_parse, month_plan, json_props, html_text, email_guard, emails, contact_choice, titled_text, inverted_abstracts, tokens_by_lang, dedup_entities, dedup_edges, first_wins,
         canonical_orgs, edge_remap, manifest_summary, pk_unique, orphans, provenance, money_checks, ror_orcid_format, shared_ror, unfunded_grants, coverage_soft)
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -293,6 +299,7 @@ ORACLES = {
       FROM (SELECT DISTINCT source_id, n, lpad(n::VARCHAR, 6, '0') AS d, ['nih', 'nsf', 'ukri', 'other'][n % 4 + 1] AS src FROM (SELECT source_id, regexp_extract(source_id, '(\d+)$', 1)::INT AS n FROM grant_record))""",
     "money_parse": "SELECT o_orderkey, CASE WHEN o_orderkey % 3 < 2 THEN round(o_totalprice, 2) END AS amount FROM orders",
     "date_parse": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS us, strftime(o_orderdate, '%Y-%m-%d') AS millis, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS span_start, strftime(date_trunc('month', o_orderdate) + INTERVAL 18 MONTH, '%Y-%m-%d') AS span_end, '2002-12-31' AS term_end, CASE WHEN o_orderdate >= '1998-01-01' THEN 'active' ELSE 'completed' END AS status FROM orders",
+    "month_plan": "SELECT (row_number() OVER (ORDER BY m DESC) - 1)::INT AS nth, strftime(m, '%Y-%m-%d') AS start, strftime(last_day(m), '%Y-%m-%d') AS end FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH)) AS m FROM orders)",
     "json_props": "SELECT event_type, sum((props::JSON ->> 'k')::BIGINT)::BIGINT AS k_sum, count(DISTINCT props::JSON ->> 'k') AS k_values FROM events GROUP BY 1",
     "html_text": r"SELECT DISTINCT atlas_id, trim(regexp_replace(title, '\s+', ' ', 'g')) || ' & ' || atlas_id AS text FROM grant_record",
     "email_guard": r"SELECT source, count(*) FILTER (WHERE regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS with_email, count(*) AS documents FROM documents GROUP BY 1",
