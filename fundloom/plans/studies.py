@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fundloom.operators.pairs import met_in_blocks
 from fundloom.operators.ranks import concentration, gini_draws, lorenz, resampled, resampled_sql, spearman
 from fundloom.plans.graph import Graph, with_views
-from fundloom.plans.named import _FWF, EARLY, LATE, _ids, _path, org_grant_counts
+from fundloom.plans.named import _FWF, EARLY, LATE, _funders_of_works, _ids, _path, org_grant_counts
 from fundloom.sources.tables import table
 
 def gini_hhi_topshare(s: SparkSession, d: str) -> DataFrame:
@@ -25,8 +28,10 @@ def gini_bootstrap(s: SparkSession, d: str, draws: int = 2000) -> DataFrame:
 
 
 def funder_field_matrix(s: SparkSession, d: str) -> DataFrame:
+    """Works per funder and field. A work's funders are one array until its fields are known; what moves then are counts."""
     g = Graph(s, d)
-    return _path(g).select("funder_id", "work_id", "field_id").distinct().join(g.climb.select(F.col("topic").alias("field_id"), "field"), "field_id").groupBy("funder_id", "field").agg(F.count_distinct("work_id").alias("works"))
+    fields = _ids(g.work_field, "work_id", "topic").join(g.climb.select("topic", "field"), "topic").select("work_id", "field").distinct()
+    return _funders_of_works(g).join(fields, "work_id").select(F.explode("funders").alias("funder_id"), "field").groupBy("funder_id", "field").agg(F.count("*").alias("works"))
 
 
 def _shares(m: DataFrame) -> DataFrame:
@@ -42,13 +47,38 @@ def specialization(s: SparkSession, d: str, least: int = 20) -> DataFrame:
     return named.select("funder_id", "country_code", "works", F.round("h", 6).alias("hhi"), F.col("top.field").alias("top_field"), F.round("top.share", 6).alias("top_share"), "fields")
 
 
+def _vectors(m: DataFrame) -> DataFrame:
+    """``(funder_id, fields, works, norm)``: a row per funder; a field without a name counts in the norm only."""
+    told = F.when(F.col("field").isNotNull(), F.struct("field", "works"))
+    v = m.where("funder_id is not null").groupBy("funder_id").agg(F.array_sort(F.collect_list(told)).alias("x"), F.sqrt(F.sum(F.col("works") * F.col("works"))).alias("norm"))
+    return v.select("funder_id", F.col("x.field").alias("fields"), F.col("x.works").alias("works"), "norm")
+
+
+def _products(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``a`` and ``b`` of the vectors that share a field, smaller id first, and their cosines."""
+    names = sorted({f for x in (a, b) for fields in x["fields"] for f in fields})
+    place = {f: i for i, f in enumerate(names)}
+
+    def dense(x: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(x), len(names)))
+        for row, (fields, works, norm) in enumerate(zip(x["fields"], x["works"], x["norm"], strict=True)):
+            out[row, [place[f] for f in fields]] = np.asarray(works, float) / norm
+        return out
+
+    c = dense(a) @ dense(b).T
+    i, j = np.nonzero((c > 0) & (a["funder_id"].to_numpy()[:, None] < b["funder_id"].to_numpy()[None, :]))
+    return i, j, c[i, j]
+
+
 def funder_cosine(s: SparkSession, d: str) -> DataFrame:
-    """All pairs of funders by cosine of their field vectors; pairs meet on fields, which are few."""
-    m = funder_field_matrix(s, d)
-    norm = m.groupBy("funder_id").agg(F.sqrt(F.sum(F.col("works") * F.col("works"))).alias("n"))
-    x = m.join(norm, "funder_id").select("funder_id", "field", (F.col("works") / F.col("n")).alias("w"))
-    a, b = x.select(F.col("funder_id").alias("a"), "field", F.col("w").alias("wa")), x.select(F.col("funder_id").alias("b"), "field", F.col("w").alias("wb"))
-    return a.join(b, "field").where("a < b").groupBy("a", "b").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("cosine"))
+    """All pairs of funders with a common field by cosine of their field vectors, block by block: pairs are written, never
+    shuffled."""
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        i, j, c = _products(a, b)
+        return pd.DataFrame({"a": a["funder_id"].to_numpy()[i], "b": b["funder_id"].to_numpy()[j], "cosine": c})
+
+    return met_in_blocks(_vectors(funder_field_matrix(s, d)), "funder_id", run, "a long, b long, cosine double").select("a", "b", F.round("cosine", 6).alias("cosine"))
 
 
 def cluster_cosine(s: SparkSession, d: str) -> DataFrame:
