@@ -82,10 +82,20 @@ def funder_cosine(s: SparkSession, d: str) -> DataFrame:
 
 
 def cluster_cosine(s: SparkSession, d: str) -> DataFrame:
-    """Mean cosine between, and within, the types of funders."""
-    t = Graph(s, d).funder.select("atlas_id", "funder_type")
-    c = funder_cosine(s, d).join(t.select(F.col("atlas_id").alias("a"), F.col("funder_type").alias("x")), "a").join(t.select(F.col("atlas_id").alias("b"), F.col("funder_type").alias("y")), "b")
-    return c.groupBy(F.least("x", "y").alias("type_a"), F.greatest("x", "y").alias("type_b")).agg(F.count("*").alias("pairs"), F.round(F.avg("cosine"), 6).alias("mean_cosine"))
+    """Mean cosine between, and within, the types of funders. A block of pairs gives its sums only."""
+    t = Graph(s, d).funder.select(F.col("atlas_id").alias("funder_id"), F.col("funder_type").alias("type"))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        i, j, c = _products(a, b)
+        types, at = np.unique(np.concatenate([a["type"].to_numpy(str), b["type"].to_numpy(str)]), return_inverse=True)
+        x, y = at[: len(a)][i], at[len(a) :][j]
+        kind = np.minimum(x, y) * len(types) + np.maximum(x, y)
+        n, total = np.bincount(kind, minlength=len(types) ** 2), np.bincount(kind, np.round(c, 6), minlength=len(types) ** 2)
+        k = np.flatnonzero(n)
+        return pd.DataFrame({"type_a": types[k // len(types)], "type_b": types[k % len(types)], "pairs": n[k], "total": total[k]})
+
+    sums = met_in_blocks(_vectors(funder_field_matrix(s, d)).join(t, "funder_id"), "funder_id", run, "type_a string, type_b string, pairs long, total double")
+    return sums.groupBy("type_a", "type_b").agg(F.sum("pairs").alias("pairs"), F.round(F.sum("total") / F.sum("pairs"), 6).alias("mean_cosine"))
 
 
 def stability(s: SparkSession, d: str, least: int = 20) -> DataFrame:

@@ -45,3 +45,9 @@ def test_pairs_of_funders_are_not_shuffled(spark):
 def test_co_funding_joins_no_lines(spark):
     plan = named.QUERIES["cofunding_pairs"](spark, ROOT)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey") and plan.count("Join") <= 4  # names and nations of the 25 pairs only
+
+
+@pytest.mark.skipif(not os.path.isdir(ROOT), reason="no test tables")
+def test_types_of_funders_are_summed_by_block(spark):
+    plan = studies.cluster_cosine(spark, ROOT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "FlatMapGroups" in plan
