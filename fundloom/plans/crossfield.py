@@ -7,6 +7,10 @@ the field is ranked, by two methods: cosine of TF-IDF vectors of the titles, and
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +24,8 @@ from fundloom.sources import sinks
 
 #: Fewest queries that a field is evaluated with.
 LEAST = 2
+#: Queries and works of a field that a task compares, and works that it scores at once.
+QUERIES_AT_ONCE, WORKS_AT_ONCE, ROWS = 2000, 20_000, 250
 
 
 def _works(g: Graph) -> DataFrame:
@@ -27,10 +33,28 @@ def _works(g: Graph) -> DataFrame:
     return _ids(g.work_field, "node", "topic").join(g.climb, "topic").select("node", F.col("dom").alias("field"))
 
 
-def _edges(g: Graph) -> DataFrame:
-    """``(field, src, dst)``: references within a field."""
-    f = _works(g)
-    return g.citation.join(f.withColumnRenamed("node", "src"), "src").join(f.select(F.col("node").alias("dst"), F.col("field").alias("there")), "dst").where("field = there").select("field", "src", "dst")
+def _cited(g: Graph, works: DataFrame) -> DataFrame:
+    """``(src, out_refs, fields, inner)``: each work of ``works`` that cites, how many works it cites, its fields in
+    ``works``, and the works of ``works`` that it shares a field with among them, as ``(field, dst)``.
+
+    Lines learn their work's kind (its fields in all and in ``works``, of which there are few) before an order's lines are
+    paired in the row, so references move once, to the work that cites.
+    """
+    kinds = _works(g).groupBy("node").agg(F.sort_array(F.collect_set("field")).alias("fs"))
+    mine = works.groupBy("node").agg(F.sort_array(F.collect_list("field")).alias("ws"), F.lit(True).alias("mine"))
+    none = F.array().cast("array<string>")
+    of = kinds.join(mine, "node", "full").select("node", F.coalesce("fs", none).alias("fs"), F.coalesce("ws", none).alias("ws"), F.coalesce("mine", F.lit(False)).alias("mine")).withColumn("kind", F.xxhash64("fs", "ws", "mine"))
+    kind = F.broadcast(g.spark.createDataFrame(of.select("kind", "fs", "ws", "mine").distinct().collect(), "kind long, fs array<string>, ws array<string>, mine boolean"))
+    lines = g.line.where("l_orderkey is not null").select("l_orderkey", F.col("l_partkey").alias("node"), F.col("l_linenumber").alias("i")).join(of.select("node", "kind"), "node", "left")
+    orders = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1)
+    later = lambda x: F.filter("l", lambda y: (y["i"] > x["i"]) & (y["node"] != x["node"]))
+    pairs = orders.select("l", F.explode("l").alias("x")).where("x.kind is not null").select("x", F.explode(later(F.col("x"))).alias("y"))
+    named = lambda x: kind.select(*[F.col(c).alias(f"{c}_{x}") for c in kind.columns])
+    once = pairs.select(F.col("x.node").alias("src"), F.col("x.kind").alias("kind_s"), F.col("y.node").alias("dst"), F.col("y.kind").alias("kind_d")).repartition("src").distinct()
+    told = once.join(named("s"), "kind_s").where("mine_s").join(named("d"), "kind_d", "left")
+    both = F.when(F.col("mine_d"), F.array_intersect("fs_s", "fs_d")).otherwise(none)
+    inner = F.flatten(F.collect_list(F.transform(both, lambda f: F.struct(f.alias("field"), F.col("dst").alias("dst")))))
+    return told.groupBy("src").agg(F.count("*").alias("out_refs"), F.first("ws_s").alias("fields"), inner.alias("inner"))
 
 
 def _split(edges: DataFrame) -> DataFrame:
@@ -40,20 +64,92 @@ def _split(edges: DataFrame) -> DataFrame:
     return e.select("field", F.col("src").alias("query"), "dst", (F.col("rn") <= F.greatest(F.lit(1), F.bround(F.col("n") * 0.3))).alias("held"))
 
 
+def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """How many of a block's works are ranked above each held-out work of a block's queries, by text and by references."""
+    docs = docs.sort_values("node", kind="stable")
+    nodes, empty = docs["node"].to_numpy(), pd.DataFrame({"query": [], "node": [], "text": [], "graph": []})
+    q, gold, shared, seen = (asked[asked["kind"] == k] for k in range(4))
+    if not len(q) or not len(gold) or not len(nodes):
+        return empty
+    q = q.sort_values("query", kind="stable")
+    ids = q["query"].to_numpy()
+    column = lambda x: np.searchsorted(ids, x["query"].to_numpy())
+    terms = np.unique(np.concatenate([np.zeros(0, int), *q["i"]]).astype(int))
+    weight = np.zeros((len(terms) + 1, len(ids)))  # the last row is for words that no query has
+    for c, (i, w) in enumerate(zip(q["i"], q["w"], strict=True)):
+        weight[np.searchsorted(terms, i), c] = w
+
+    def flat(x: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = x["i"].map(len).to_numpy()
+        i, w = np.concatenate([np.zeros(0, int), *x["i"]]).astype(int), np.concatenate([np.zeros(0), *x["w"]])
+        at = np.minimum(np.searchsorted(terms, i), max(0, len(terms) - 1))
+        return np.where(terms[at] == i, at, len(terms)) if len(terms) else np.zeros(len(i), int), w, np.repeat(np.arange(len(x)), size)
+
+    def summed(part: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        out = np.zeros((n, part.shape[1]))
+        if len(owner):
+            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            out[owner[starts]] = np.add.reduceat(part, starts, axis=0)
+        return np.rint(out * 1e6)
+
+    gc, gt = column(gold), flat(gold)
+    text = summed((gt[1] * weight[gt[0], gc[gt[2]]])[:, None], gt[2], len(gold))[:, 0]
+    graph, before = gold["n"].to_numpy(float), np.searchsorted(nodes, gold["node"].to_numpy())
+    place = lambda x, c: (np.searchsorted(nodes, x[c].to_numpy()), column(x))
+    met, out = (*place(shared, "node"), shared["n"].to_numpy(float)), place(seen, "node")
+    counts = np.zeros((2, len(gold)), np.int64)
+    for lo in range(0, len(nodes), ROWS):
+        some = docs.iloc[lo : lo + ROWS]
+        i, w, owner = flat(some)
+        refs = np.zeros((len(some), len(ids)))
+        here = (met[0] >= lo) & (met[0] < lo + len(some))
+        refs[met[0][here] - lo, met[1][here]] = met[2][here]
+        gone = (out[0] >= lo) & (out[0] < lo + len(some))
+        for m, (score, least) in enumerate(((summed(w[:, None] * weight[i], owner, len(some)), text), (refs, graph))):
+            score[out[0][gone] - lo, out[1][gone]] = -1
+            s = score[:, gc]
+            counts[m] += (s > least).sum(0) + ((s == least) & (np.arange(lo, lo + len(some))[:, None] < before)).sum(0)
+    return pd.DataFrame({"query": gold["query"].to_numpy(), "node": gold["node"].to_numpy(), "text": counts[0], "graph": counts[1]})
+
+
 def _ranked(g: Graph, works: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(field, query, method, ap)``: average precision of the held-out references over all works of the field."""
+    """``(field, query, method, ap)``: average precision of the held-out references over all works of the field.
+
+    Every work of a query's field is scored, but only the places of held-out works are wanted, so scores aren't written:
+    a block of works meets a block of queries, and gives how many works stand above each held-out one.
+    """
     split = cut(_split(edges))
     queries = split.select("field", "query").distinct()
-    cand = queries.join(works, "field").where("query <> node").join(split.where("not held").select("query", F.col("dst").alias("node")), ["query", "node"], "left_anti")
-    w = cut(ranking.tfidf(g.raw("part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text"))))
-    mine = w.join(queries.select(F.col("query").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("query"), "term", F.col("weight").alias("wq"))
-    text = mine.join(w, "term").groupBy("query", F.col("doc_id").alias("node")).agg(F.round(F.sum(F.col("wq") * F.col("weight")), 6).alias("text"))
+    _, docs = ranking._indexed(ranking.tfidf(g.raw("part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text"))))
+    vector = docs.select(F.col("doc_id").alias("node"), "i", "w")
     seen = split.where("not held").select("query", "dst")
-    shared = seen.join(edges.select(F.col("src").alias("node"), "dst"), "dst").where("query <> node").groupBy("query", "node").agg(F.count("*").cast("double").alias("graph"))
-    x = cand.join(text, ["query", "node"], "left").join(shared, ["query", "node"], "left").join(split.where("held").select("query", F.col("dst").alias("node"), F.lit(True).alias("gold")), ["query", "node"], "left")
-    both = x.select("field", "query", "node", "gold", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.coalesce(m, F.lit(0.0)).alias("score")) for m in ("text", "graph")])).alias("s")).select("field", "query", "node", "gold", "s.*")
-    r = both.withColumn("pos", F.row_number().over(Window.partitionBy("query", "method").orderBy(F.desc("score"), "node"))).where("gold")
-    nth = r.withColumn("nth", F.row_number().over(Window.partitionBy("query", "method").orderBy("pos")))
+    shared = cut(seen.join(edges.select(F.col("src").alias("node"), "dst"), "dst").where("query <> node").groupBy("query", "node").agg(F.count("*").cast("double").alias("n")))
+    most = lambda x: x.groupBy("field").count().agg(F.max("count")).first()[0] or 1
+    nq, nd = -(-most(queries) // QUERIES_AT_ONCE), -(-most(works) // WORKS_AT_ONCE)
+    qb, db = (F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in (("query", nq), ("node", nd)))
+    over = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    ints, doubles = F.array().cast("array<int>"), F.array().cast("array<double>")
+    bare = [F.coalesce("i", ints).alias("i"), F.coalesce("w", doubles).alias("w")]
+    theirs = lambda x: x.join(queries, "query").join(works, ["field", "node"])
+    gold = theirs(split.where("held").select("query", F.col("dst").alias("node"))).join(vector, "node", "left").join(shared, ["query", "node"], "left")
+    own = queries.select("query").distinct().select("query", F.col("query").alias("node"))
+    parts = [
+        queries.withColumn("node", F.col("query")).join(vector, "node", "left").select("field", qb.alias("qb"), over(nd).alias("db"), F.lit(0).alias("kind"), "query", "node", *bare, F.lit(0.0).alias("n")),
+        gold.select("field", qb.alias("qb"), over(nd).alias("db"), F.lit(1), "query", "node", *bare, F.coalesce("n", F.lit(0.0))),
+        theirs(shared).select("field", qb.alias("qb"), db.alias("db"), F.lit(2), "query", "node", ints, doubles, "n"),
+        theirs(seen.withColumnRenamed("dst", "node").unionByName(own).distinct()).select("field", qb.alias("qb"), db.alias("db"), F.lit(3), "query", "node", ints, doubles, F.lit(0.0)),
+    ]
+    held = works.join(vector, "node", "left").select("field", over(nq).alias("qb"), db.alias("db"), "node", *bare)
+    keys = ["field", "qb", "db"]
+
+    def run(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        return _above(key, docs, asked).assign(field=key[0])[["field", "query", "node", "text", "graph"]]
+
+    tasks = max(g.spark.sparkContext.defaultParallelism, 4 * nq * nd)  # blocks are small but dear to work on: they aren't packed together
+    above = held.repartition(tasks, *keys).groupBy(*keys).cogroup(reduce(DataFrame.union, parts).repartition(tasks, *keys).groupBy(*keys)).applyInPandas(run, "field string, query long, node long, text long, graph long")
+    place = above.groupBy("field", "query", "node").agg(F.sum("text").alias("text"), F.sum("graph").alias("graph"))
+    both = place.select("field", "query", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), (F.col(m) + 1).alias("pos")) for m in ("text", "graph")])).alias("s")).select("field", "query", "s.*")
+    nth = both.withColumn("nth", F.row_number().over(Window.partitionBy("field", "query", "method").orderBy("pos")))
     return nth.groupBy("field", "query", "method").agg(F.avg(F.col("nth") / F.col("pos")).alias("ap"))
 
 
@@ -70,8 +166,9 @@ def analyze(g: Graph, works: DataFrame, draws: int = 500) -> DataFrame:
     difference, how often it falls to zero or below over resampled queries, and which wins. Fields of fewer than LEAST
     queries have no evaluation."""
     works = cut(works)
-    edges = cut(_edges(g).join(works.select(F.col("node").alias("src")), "src", "left_semi").join(works.select(F.col("node").alias("dst")), "dst", "left_semi"))
-    raw = g.citation.join(works.withColumnRenamed("node", "src"), "src").groupBy("field").agg(F.count("*").alias("out_refs"))
+    refs = cut(_cited(g, works))
+    edges = refs.select("src", F.explode("inner").alias("e")).select("e.field", "src", "e.dst")
+    raw = refs.select(F.explode("fields").alias("field"), "out_refs").groupBy("field").agg(F.sum("out_refs").alias("out_refs"))
     cited = works.join(g.work.select(F.col("atlas_id").alias("node"), "cited_by_count"), "node")
     size = cited.groupBy("field").agg(F.count("*").alias("works"), F.median("cited_by_count").alias("median_cited_by"), F.max("cited_by_count").alias("max_cited_by"))
     within = edges.groupBy("field").agg(F.count("*").alias("edges_in_corpus"))
