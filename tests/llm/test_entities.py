@@ -235,3 +235,12 @@ def test_rows_of_one_key_are_matched_each(spark):
     for n in (1, 3):
         o = spark.createDataFrame(orgs[::-1] if n > 1 else orgs, ORG).repartition(n)
         assert [x[1:3] for x in rows(matching.matches(o, spark.createDataFrame([], PERSON), ro.repartition(n), rp))] == [("o1", 2), ("o2", 1)]
+
+
+def test_surnames_with_letters_left_out_are_not_broadcast(spark):
+    """Each surname has some sixty keys, which the planner doesn't count."""
+    l, r = (spark.createDataFrame([(x, "lutruklisu", "l"), (x + "2", "lutrukilsu", "l"), (x + "3", "paronogi", "u")], "id string, sur string, gi string") for x in "ab")
+    found = matching.people_candidates(l, r)
+    keyed = [x for x in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x and "key#" in x]
+    assert keyed and all("SortMergeJoin" in x for x in keyed)
+    assert len(rows(found)) == 5

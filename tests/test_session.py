@@ -12,3 +12,11 @@ def test_guess_of_size_stays_bounded_in_a_loop(spark):
         f = cut(f.join(f.select(F.col("v").alias("u"), F.col("u").alias("w")), "u").select("v", F.col("w").alias("u")))
     assert f._jdf.queryExecution().analyzed().stats().sizeInBytes().bit_length() <= 64
     assert sorted(map(tuple, f.collect())) == [(i, 0) for i in range(40)]
+
+
+def test_table_that_grew_is_not_broadcast_by_the_size_of_what_it_was_made_from(spark):
+    few = spark.range(10).select(F.col("id").alias("v"), F.explode(F.sequence(F.lit(1), F.lit(50_000))).alias("k"))
+    grown = cut(few)
+    plan = spark.range(10).withColumnRenamed("id", "v").join(grown, "v").join(grown.select("v", F.col("k").alias("j")), "v")._jdf.queryExecution()
+    assert grown.count() == 500_000
+    assert "v#" in plan.sparkPlan().toString() and "BuildRight" not in plan.sparkPlan().toString()
