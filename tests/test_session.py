@@ -20,3 +20,11 @@ def test_table_that_grew_is_not_broadcast_by_the_size_of_what_it_was_made_from(s
     plan = spark.range(10).withColumnRenamed("id", "v").join(grown, "v").join(grown.select("v", F.col("k").alias("j")), "v")._jdf.queryExecution()
     assert grown.count() == 500_000
     assert "v#" in plan.sparkPlan().toString() and "BuildRight" not in plan.sparkPlan().toString()
+
+
+def test_shuffle_files_behind_a_cut_go(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = manager.shuffleStatuses().size()
+    kept = cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    assert manager.shuffleStatuses().size() <= before
+    assert kept.count() == 7
