@@ -239,7 +239,7 @@ def test_rows_of_one_key_are_matched_each(spark):
 
 def test_surnames_with_letters_left_out_are_not_broadcast(spark):
     """Each surname has some sixty keys, which the planner doesn't count."""
-    l, r = (spark.createDataFrame([(x, "lutruklisu", "l"), (x + "2", "lutrukilsu", "l"), (x + "3", "paronogi", "u")], "id string, sur string, gi string") for x in "ab")
+    l, r = (spark.sql(f"select * from values ('{x}', 'lutruklisu', 'l'), ('{x}2', 'lutrukilsu', 'l'), ('{x}3', 'paronogi', 'u') as t(id, sur, gi)") for x in "ab")
     found = matching.people_candidates(l, r)
     keyed = [x for x in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "Join" in x and "key#" in x]
     assert keyed and all("SortMergeJoin" in x for x in keyed)
