@@ -7,11 +7,13 @@ the field is ranked, by two methods: cosine of TF-IDF vectors of the titles, and
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fundloom.operators import ranking
@@ -19,13 +21,18 @@ from fundloom.operators.ranks import resampled, resampled_sql
 from fundloom.plans.graph import Graph, with_views
 from fundloom.plans.named import _ids
 from fundloom.plans.rankings import sign_p
-from fundloom.session import cut
+from fundloom.session import cut, packed
 from fundloom.sources import sinks
 
 #: Fewest queries that a field is evaluated with.
 LEAST = 2
 #: Queries and works of a field that a task compares, and works that it scores at once.
 QUERIES_AT_ONCE, WORKS_AT_ONCE, ROWS = 2000, 20_000, 250
+#: Works of equal text from which on they are scored as one.
+ALIKE = 16
+#: Lines go to their orders in up to SHARES shares, references to their works in as many as have half as many rows as there
+#: are lines; no share need have fewer rows than LEAST_ROWS.
+SHARES, LEAST_ROWS = 4, 4_000_000
 
 
 def _works(g: Graph) -> DataFrame:
@@ -33,28 +40,63 @@ def _works(g: Graph) -> DataFrame:
     return _ids(g.work_field, "node", "topic").join(g.climb, "topic").select("node", F.col("dom").alias("field"))
 
 
-def _cited(g: Graph, works: DataFrame) -> DataFrame:
-    """``(src, out_refs, fields, inner)``: each work of ``works`` that cites, how many works it cites, its fields in
-    ``works``, and the works of ``works`` that it shares a field with among them, as ``(field, dst)``.
+def _kinds(g: Graph, works: DataFrame) -> tuple[DataFrame, list]:
+    """``(node, kind)``, and of each kind (there are few), by number, the fields that its works have in all and in
+    ``works``, None unless they are in ``works``. Those in ``works`` come first."""
+    fields = _works(g).groupBy("node").agg(F.sort_array(F.collect_set("field")).alias("fs"))
+    mine = works.groupBy("node").agg(F.sort_array(F.collect_list("field")).alias("ws"))
+    none = F.array().cast("array<string>")
+    of = fields.join(mine, "node", "full").select("node", F.coalesce("fs", none).alias("fs"), F.coalesce("ws", none).alias("ws"), F.col("ws").isNotNull().alias("mine"))
+    kinds = sorted(of.select("fs", "ws", "mine").distinct().collect(), key=lambda k: (not k.mine, k.fs, k.ws))
+    numbered = g.spark.createDataFrame([(n, *k) for n, k in enumerate(kinds)], "kind int, fs array<string>, ws array<string>, mine boolean")
+    return cut(of.join(F.broadcast(numbered), ["fs", "ws", "mine"]).select("node", "kind")), [(k.fs, k.ws if k.mine else None) for k in kinds]
+
+
+def _orders(g: Graph, of: DataFrame, shares: int) -> Iterator[DataFrame]:
+    """``l``: each order's lines with their works' kinds, -1 for none, in shares of the orders."""
+    lines = g.line.where("l_orderkey is not null and l_partkey is not null and l_linenumber is not null").select("l_orderkey", F.col("l_partkey").alias("node"), F.col("l_linenumber").alias("i"))
+    for n in range(shares):
+        part = lines.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(shares)) == n) if shares > 1 else lines
+        told = part.join(of.hint("shuffle_hash"), "node", "left").withColumn("kind", F.coalesce("kind", F.lit(-1)))
+        yield told.groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1).select("l")
+
 
-    Lines learn their work's kind (its fields in all and in ``works``, of which there are few) before an order's lines are
-    paired in the row, so references move once, to the work that cites.
+def _references(g: Graph, works: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``(field, out_refs)`` and ``(field, edges_in_corpus)``: how many works those of a field cite, and how many of these
+    are in it; ``_split`` of the queries' references and ``_shared`` of the visible ones.
+
+    Of all references only these are wanted, so they are never together on disk: orders are packed with their works'
+    kinds, then references are paired in the row and told apart for a share of the citing works at a time. A pair carries
+    one number for both kinds; what fields it lies in is asked of the few kinds.
     """
-    kinds = _works(g).groupBy("node").agg(F.sort_array(F.collect_set("field")).alias("fs"))
-    mine = works.groupBy("node").agg(F.sort_array(F.collect_list("field")).alias("ws"), F.lit(True).alias("mine"))
-    none = F.array().cast("array<string>")
-    of = kinds.join(mine, "node", "full").select("node", F.coalesce("fs", none).alias("fs"), F.coalesce("ws", none).alias("ws"), F.coalesce("mine", F.lit(False)).alias("mine")).withColumn("kind", F.xxhash64("fs", "ws", "mine"))
-    kind = F.broadcast(g.spark.createDataFrame(of.select("kind", "fs", "ws", "mine").distinct().collect(), "kind long, fs array<string>, ws array<string>, mine boolean"))
-    lines = g.line.where("l_orderkey is not null").select("l_orderkey", F.col("l_partkey").alias("node"), F.col("l_linenumber").alias("i")).join(of.select("node", "kind"), "node", "left")
-    orders = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1)
-    later = lambda x: F.filter("l", lambda y: (y["i"] > x["i"]) & (y["node"] != x["node"]))
-    pairs = orders.select("l", F.explode("l").alias("x")).where("x.kind is not null").select("x", F.explode(later(F.col("x"))).alias("y"))
-    named = lambda x: kind.select(*[F.col(c).alias(f"{c}_{x}") for c in kind.columns])
-    once = pairs.select(F.col("x.node").alias("src"), F.col("x.kind").alias("kind_s"), F.col("y.node").alias("dst"), F.col("y.kind").alias("kind_d")).repartition("src").distinct()
-    told = once.join(named("s"), "kind_s").where("mine_s").join(named("d"), "kind_d", "left")
-    both = F.when(F.col("mine_d"), F.array_intersect("fs_s", "fs_d")).otherwise(none)
-    inner = F.flatten(F.collect_list(F.transform(both, lambda f: F.struct(f.alias("field"), F.col("dst").alias("dst")))))
-    return told.groupBy("src").agg(F.count("*").alias("out_refs"), F.first("ws_s").alias("fields"), inner.alias("inner"))
+    of, kinds = _kinds(g, works)
+    base, mine = len(kinds) + 1, sum(ws is not None for _, ws in kinds)
+    own = F.broadcast(g.spark.createDataFrame([(s, f) for s in range(mine) for f in kinds[s][1]], "s long, field string"))
+    both = F.broadcast(g.spark.createDataFrame([(s * base + d + 1, f) for s in range(mine) for d in range(mine) for f in set(kinds[s][0]) & set(kinds[d][0])], "kk long, field string"))
+
+    def pairs(orders: DataFrame, wanted: Column) -> DataFrame:
+        citing = orders.select("l", F.explode("l").alias("x")).where(F.col("x.kind").between(0, mine - 1)).withColumn("src", F.col("x.node")).where(wanted)
+        later = F.filter("l", lambda y: (y["i"] > F.col("x.i")) & (y["node"] != F.col("src")))
+        y = citing.select("src", F.col("x.kind").alias("s"), F.explode(later).alias("y"))
+        one = y.select("src", F.col("y.node").alias("dst"), (F.col("s") * F.lit(base).cast("long") + F.col("y.kind") + 1).alias("kk"))
+        # Said here, these conditions aren't added for one reader only, and both read the same shuffle.
+        return one.where("src is not null and dst is not null and kk is not null").repartition("src").distinct()
+
+    lines = g.line.count()
+    with packed(_orders(g, of, max(1, min(SHARES, lines // LEAST_ROWS)))) as orders:
+        split = cut(_split(pairs(orders, F.col("src") % 50 == 0).join(both, "kk").select("field", "src", "dst")))
+        most = orders.agg(F.sum(F.size("l") * (F.size("l") - 1) / 2)).first()[0] or 0
+        shares, done = max(1, math.ceil(most / max(LEAST_ROWS, lines / 2))), []
+        for n in range(shares):
+            once = pairs(orders, F.pmod(F.xxhash64("src"), F.lit(shares)) == n)
+            met = _shared(split, once.join(both, "kk").select("src", "dst"))
+            counts = once.groupBy("kk").agg(F.count("*").cast("double").alias("n"))
+            done.append(cut(met.withColumn("kk", F.lit(None).cast("long")).unionByName(counts, allowMissingColumns=True)))
+    found = reduce(DataFrame.unionByName, done)
+    counts = found.where("kk is not null").select("kk", F.col("n").cast("long").alias("n"))
+    raw = counts.withColumn("s", F.floor(F.col("kk") / base)).join(own, "s").groupBy("field").agg(F.sum("n").alias("out_refs"))
+    within = counts.join(both, "kk").groupBy("field").agg(F.sum("n").alias("edges_in_corpus"))
+    return raw, within, split, found.where("kk is null").select("query", "node", "n")
 
 
 def _split(edges: DataFrame) -> DataFrame:
@@ -64,6 +106,12 @@ def _split(edges: DataFrame) -> DataFrame:
     return e.select("field", F.col("src").alias("query"), "dst", (F.col("rn") <= F.greatest(F.lit(1), F.bround(F.col("n") * 0.3))).alias("held"))
 
 
+def _shared(split: DataFrame, edges: DataFrame) -> DataFrame:
+    """``(query, node, n)``: how many of a query's visible references each other work cites too."""
+    seen = split.where("not held").select("query", "dst")
+    return seen.join(edges.select(F.col("src").alias("node"), "dst"), "dst").where("query <> node").groupBy("query", "node").agg(F.count("*").cast("double").alias("n"))
+
+
 def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     """How many of a block's works are ranked above each held-out work of a block's queries, by text and by references."""
     docs = docs.sort_values("node", kind="stable")
@@ -95,35 +143,67 @@ def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     gc, gt = column(gold), flat(gold)
     text = summed((gt[1] * weight[gt[0], gc[gt[2]]])[:, None], gt[2], len(gold))[:, 0]
     graph, before = gold["n"].to_numpy(float), np.searchsorted(nodes, gold["node"].to_numpy())
-    place = lambda x, c: (np.searchsorted(nodes, x[c].to_numpy()), column(x))
-    met, out = (*place(shared, "node"), shared["n"].to_numpy(float)), place(seen, "node")
+    order = np.argsort(gc, kind="stable")
+    first = np.searchsorted(gc[order], np.arange(len(ids) + 1))
+
+    def place(x: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the work stands in the block, the query's column, and the number; each pair once."""
+        at, c = np.searchsorted(nodes, x["node"].to_numpy()), column(x)
+        pair, k = np.unique(at * len(ids) + c, return_index=True)
+        return pair // len(ids), pair % len(ids), x["n"].to_numpy(float)[k]
+
+    def ranked(at: np.ndarray, c: np.ndarray, score: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """Of works that have these scores for these queries, how many stand above each held-out one."""
+        size = first[c + 1] - first[c]
+        x = np.repeat(np.arange(len(c)), size)
+        y = order[np.arange(len(x)) - np.repeat(np.cumsum(size) - size - first[c], size)]
+        return np.bincount(y[(score[x] > least[y]) | ((score[x] == least[y]) & (at[x] < before[y]))], minlength=len(gold))
+
+    met, out = place(shared), place(seen)
+    hidden = np.isin(met[0] * len(ids) + met[1], out[0] * len(ids) + out[1])
+    met, none = tuple(m[~hidden] for m in met), lambda x: np.zeros(len(x[0]))
     counts = np.zeros((2, len(gold)), np.int64)
-    for lo in range(0, len(nodes), ROWS):
-        some = docs.iloc[lo : lo + ROWS]
-        i, w, owner = flat(some)
-        refs = np.zeros((len(some), len(ids)))
-        here = (met[0] >= lo) & (met[0] < lo + len(some))
-        refs[met[0][here] - lo, met[1][here]] = met[2][here]
-        gone = (out[0] >= lo) & (out[0] < lo + len(some))
-        for m, (score, least) in enumerate(((summed(w[:, None] * weight[i], owner, len(some)), text), (refs, graph))):
-            score[out[0][gone] - lo, out[1][gone]] = -1
-            s = score[:, gc]
-            counts[m] += (s > least).sum(0) + ((s == least) & (np.arange(lo, lo + len(some))[:, None] < before)).sum(0)
+    # Most works share nothing with a query and stand in the order of their numbers.
+    counts[1] = np.where(graph == 0, before, 0) - ranked(*out[:2], none(out), graph) - ranked(*met[:2], none(met), graph) + ranked(*met, graph)
+    i, w, owner = flat(docs.iloc[out[0]])
+    counts[0] = -ranked(*out[:2], summed((w * weight[i, out[1][owner]])[:, None], owner, len(out[0]))[:, 0], text)
+    u = pd.factorize(pd.Series([(np.asarray(a).tobytes(), np.asarray(b).tobytes()) for a, b in zip(docs["i"], docs["w"], strict=True)]))[0]
+    size = np.bincount(u)
+    by_text = np.argsort(u, kind="stable")
+    start = np.cumsum(size) - size
+    alone, alike = np.flatnonzero(size[u] < ALIKE), np.flatnonzero(size >= ALIKE)
+    line = u[by_text] * len(nodes) + by_text  # ascending
+    for at in (alone, by_text[start[alike]]):
+        for lo in range(0, len(at), ROWS):
+            here = at[lo : lo + ROWS]
+            i, w, owner = flat(docs.iloc[here])
+            s = summed(w[:, None] * weight[i], owner, len(here))[:, gc]
+            if at is alone:
+                counts[0] += (s > text).sum(0) + ((s == text) & (here[:, None] < before)).sum(0)
+            else:
+                counts[0] += size[u[here]] @ (s > text)
+                x, y = np.nonzero(s == text)
+                k = u[here][x]
+                counts[0] += np.bincount(y, np.searchsorted(line, k * len(nodes) + before[y]) - start[k], len(gold)).astype(np.int64)
     return pd.DataFrame({"query": gold["query"].to_numpy(), "node": gold["node"].to_numpy(), "text": counts[0], "graph": counts[1]})
 
 
 def _ranked(g: Graph, works: DataFrame, edges: DataFrame) -> DataFrame:
+    """``_evaluated`` with all references within fields at hand."""
+    split = cut(_split(edges))
+    return _evaluated(g, works, split, cut(_shared(split, edges)))
+
+
+def _evaluated(g: Graph, works: DataFrame, split: DataFrame, shared: DataFrame) -> DataFrame:
     """``(field, query, method, ap)``: average precision of the held-out references over all works of the field.
 
     Every work of a query's field is scored, but only the places of held-out works are wanted, so scores aren't written:
     a block of works meets a block of queries, and gives how many works stand above each held-out one.
     """
-    split = cut(_split(edges))
     queries = split.select("field", "query").distinct()
     _, docs = ranking._indexed(ranking.tfidf(g.raw("part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text"))))
     vector = docs.select(F.col("doc_id").alias("node"), "i", "w")
     seen = split.where("not held").select("query", "dst")
-    shared = cut(seen.join(edges.select(F.col("src").alias("node"), "dst"), "dst").where("query <> node").groupBy("query", "node").agg(F.count("*").cast("double").alias("n")))
     most = lambda x: x.groupBy("field").count().agg(F.max("count")).first()[0] or 1
     nq, nd = -(-most(queries) // QUERIES_AT_ONCE), -(-most(works) // WORKS_AT_ONCE)
     qb, db = (F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in (("query", nq), ("node", nd)))
@@ -166,13 +246,10 @@ def analyze(g: Graph, works: DataFrame, draws: int = 500) -> DataFrame:
     difference, how often it falls to zero or below over resampled queries, and which wins. Fields of fewer than LEAST
     queries have no evaluation."""
     works = cut(works)
-    refs = cut(_cited(g, works))
-    edges = refs.select("src", F.explode("inner").alias("e")).select("e.field", "src", "e.dst")
-    raw = refs.select(F.explode("fields").alias("field"), "out_refs").groupBy("field").agg(F.sum("out_refs").alias("out_refs"))
+    raw, within, split, shared = _references(g, works)
     cited = works.join(g.work.select(F.col("atlas_id").alias("node"), "cited_by_count"), "node")
     size = cited.groupBy("field").agg(F.count("*").alias("works"), F.median("cited_by_count").alias("median_cited_by"), F.max("cited_by_count").alias("max_cited_by"))
-    within = edges.groupBy("field").agg(F.count("*").alias("edges_in_corpus"))
-    wide = cut(_ranked(g, works, edges).groupBy("field", "query").agg(F.max(F.when(F.col("method") == "text", F.col("ap"))).alias("text"), F.max(F.when(F.col("method") == "graph", F.col("ap"))).alias("graph")).withColumn("diff", F.col("text") - F.col("graph")))
+    wide = cut(_evaluated(g, works, split, shared).groupBy("field", "query").agg(F.max(F.when(F.col("method") == "text", F.col("ap"))).alias("text"), F.max(F.when(F.col("method") == "graph", F.col("ap"))).alias("graph")).withColumn("diff", F.col("text") - F.col("graph")))
     mean = wide.groupBy("field").agg(F.count("*").alias("queries"), F.avg("text").alias("map_text"), F.avg("graph").alias("map_graph"), F.avg("diff").alias("delta")).where(F.col("queries") >= LEAST)
     p = resampled(wide, F.col("query"), draws, 5).groupBy("field", "b").agg((F.sum(F.col("diff") * F.col("w")) / F.sum("w")).alias("m")).groupBy("field").agg(F.round(F.avg((F.col("m") <= 0).cast("double")), 6).alias("p"))
     r = lambda c: F.round(c, 6).alias(c)

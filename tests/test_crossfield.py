@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from fundloom.plans import crossfield
 
@@ -51,3 +52,59 @@ def test_candidates_are_not_written(spark):
     edges = g.citation.join(works.withColumnRenamed("node", "src"), "src").select("field", "src", "dst")
     plan = crossfield._ranked(g, works, edges)._jdf.queryExecution().optimizedPlan().toString()
     assert "CoGroup" in plan and "gold" not in plan
+
+
+def test_references_are_never_shuffled_all_at_once(spark, monkeypatch, tmp_path):
+    """With a low limit no stage writes about as many rows as there are references, or even lines; nothing packed stays
+    behind, and fields come out as they do in one piece."""
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from fundloom.plans.graph import Graph
+
+    rng, lines, parts = np.random.default_rng(5), 6000, 300
+    table = lambda name, **c: pq.write_table(pa.table(c), tmp_path / f"{name}.parquet")
+    table("lineitem", l_orderkey=rng.integers(0, lines // 6, lines), l_partkey=rng.integers(0, parts, lines), l_linenumber=rng.integers(1, 20, lines).astype(np.int32), l_shipdate=np.full(lines, "2020-01-01", "datetime64[us]"))
+    table("part", p_partkey=np.arange(parts), p_name=[f"some w{n % 40} word{n % 7}" for n in range(parts)], p_brand=[f"Brand#{n // 7 % 4}" for n in range(parts)], p_size=np.ones(parts, np.int32), p_type=["t"] * parts)
+    table("nation", n_nationkey=np.arange(25), n_name=[f"n{n}" for n in range(25)], n_regionkey=np.arange(25) % 2)
+    table("region", r_regionkey=np.arange(2), r_name=["a", "b"])
+    g = Graph(spark, str(tmp_path))
+    works = crossfield._works(g)
+    cites = g.citation.join(works.withColumnRenamed("node", "src"), "src").join(works.select(F.col("node").alias("dst"), F.col("field").alias("f")), "dst")
+    want = {r.field: (r.o, r.e) for r in cites.groupBy("field").agg(F.count("*").alias("o"), F.sum((F.col("field") == F.col("f")).cast("long")).alias("e")).collect()}
+    shown = lambda df: sorted(tuple(r) for r in df.collect())
+    text = shown(crossfield._ranked(g, works, cites.where("field = f").select("field", "src", "dst")))
+    monkeypatch.setattr(crossfield, "LEAST_ROWS", 1000, raising=False)
+    jvm, store = spark.sparkContext._jvm, spark.sparkContext._jsc.sc().statusStore()
+    stages = lambda: {x.stageId(): x.shuffleWriteRecords() for x in jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList()))}
+    before = stages()
+    got = crossfield.analyze(g, works, draws=5).collect()
+    written = max(n for k, n in stages().items() if k not in before)
+    assert written <= 0.8 * lines, f"{written} rows in one stage; {sum(o for o, _ in want.values())} references, {lines} lines"
+    assert {r.field: (r.out_refs, r.edges_in_corpus) for r in got} == want
+    assert {(r.field, r.queries or 0) for r in got} == {(f, len({x[1] for x in text if x[0] == f})) for f in want}
+    for m in ("text", "graph"):
+        assert {r.field: r[f"map_{m}"] for r in got} == {f: round(float(np.mean([x[3] for x in text if x[0] == f and x[2] == m])), 6) for f in want}, m
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert os.path.isdir(folder) and not [x for x in os.listdir(folder) if x.startswith("packed")]
+
+
+def test_works_of_equal_text_are_scored_as_one(monkeypatch):
+    """Places are the same whether equal texts are scored together or one by one."""
+    rng, n = np.random.default_rng(8), 400
+    texts = [(np.array([0, 1]), np.array([0.6, 0.8])), (np.array([1, 2]), np.array([0.8, 0.6])), (np.array([2]), np.array([1.0])), (np.zeros(0, int), np.zeros(0))]
+    texts += [(np.array([0, 3 + k]), np.array([0.6, 0.8])) for k in range(20)]
+    of = {x: texts[k] for x, k in enumerate(np.minimum(rng.geometric(0.15, n) - 1, len(texts) - 1))}
+    row = lambda kind, q, x, v=True, m=0.0: {"kind": kind, "query": q, "node": x, "i": of[x][0] if v else [], "w": of[x][1] if v else [], "n": m}
+    docs = pd.DataFrame([{"node": x, "i": i, "w": w} for x, (i, w) in of.items()])
+    asked = [row(0, q, q) for q in (0, 50, 100)] + [row(1, q, (q * 3 + x) % n, m=float(x % 2)) for q in (0, 50, 100) for x in (7, 8, 211)]
+    asked = pd.DataFrame(asked + [row(2, q, x, False, 1.0) for q in (0, 50) for x in range(1, 300, 30)] + [row(3, q, x, False) for q in (0, 50, 100) for x in (q, 31, 40)])
+    out = []
+    for least in (2, 10**6):
+        monkeypatch.setattr(crossfield, "ALIKE", least)
+        monkeypatch.setattr(crossfield, "ROWS", 5)
+        out.append(crossfield._above(("f", 0, 0), docs, asked))
+    pd.testing.assert_frame_equal(*out)
+    assert out[0]["text"].max() > 0
