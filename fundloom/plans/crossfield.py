@@ -58,7 +58,7 @@ def _orders(g: Graph, of: DataFrame, shares: int) -> Iterator[DataFrame]:
     for n in range(shares):
         part = lines.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(shares)) == n) if shares > 1 else lines
         told = part.join(of.hint("shuffle_hash"), "node", "left").withColumn("kind", F.coalesce("kind", F.lit(-1)))
-        yield told.groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1).select("l")
+        yield told.repartition("l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1).select("l")
 
 
 def _references(g: Graph, works: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -75,28 +75,28 @@ def _references(g: Graph, works: DataFrame) -> tuple[DataFrame, DataFrame, DataF
     both = F.broadcast(g.spark.createDataFrame([(s * base + d + 1, f) for s in range(mine) for d in range(mine) for f in set(kinds[s][0]) & set(kinds[d][0])], "kk long, field string"))
 
     def pairs(orders: DataFrame, wanted: Column) -> DataFrame:
-        citing = orders.select("l", F.explode("l").alias("x")).where(F.col("x.kind").between(0, mine - 1)).withColumn("src", F.col("x.node")).where(wanted)
-        later = F.filter("l", lambda y: (y["i"] > F.col("x.i")) & (y["node"] != F.col("src")))
-        y = citing.select("src", F.col("x.kind").alias("s"), F.explode(later).alias("y"))
-        one = y.select("src", F.col("y.node").alias("dst"), (F.col("s") * F.lit(base).cast("long") + F.col("y.kind") + 1).alias("kk"))
+        citing = orders.select("l", F.inline("l").alias("i", "src", "kind")).where(F.col("kind").between(0, mine - 1)).where(wanted)
+        later = citing.select("i", "src", "kind", F.inline("l").alias("j", "dst", "d")).where("j > i and src <> dst")
+        one = later.select("src", "dst", (F.col("kind") * F.lit(base).cast("long") + F.col("d") + 1).alias("kk"))
         # Said here, these conditions aren't added for one reader only, and both read the same shuffle.
-        return one.where("src is not null and dst is not null and kk is not null").repartition("src").distinct()
+        return one.where("src is not null and dst is not null and kk is not null").repartition("src")
 
     lines = g.line.count()
     with packed(_orders(g, of, max(1, min(SHARES, lines // LEAST_ROWS)))) as orders:
-        split = cut(_split(pairs(orders, F.col("src") % 50 == 0).join(both, "kk").select("field", "src", "dst")))
+        within = lambda x: x.join(both, "kk").select("field", "src", "dst").distinct()
+        split = cut(_split(within(pairs(orders, F.col("src") % 50 == 0))))
         most = orders.agg(F.sum(F.size("l") * (F.size("l") - 1) / 2)).first()[0] or 0
         shares, done = max(1, math.ceil(most / max(LEAST_ROWS, lines / 2))), []
         for n in range(shares):
-            once = pairs(orders, F.pmod(F.xxhash64("src"), F.lit(shares)) == n)
-            met = _shared(split, once.join(both, "kk").select("src", "dst"))
-            counts = once.groupBy("kk").agg(F.count("*").cast("double").alias("n"))
+            part = pairs(orders, F.pmod(F.xxhash64("src"), F.lit(shares)) == n)
+            met = _shared(split, within(part))
+            counts = part.distinct().groupBy("kk").agg(F.count("*").cast("double").alias("n"))
             done.append(cut(met.withColumn("kk", F.lit(None).cast("long")).unionByName(counts, allowMissingColumns=True)))
     found = reduce(DataFrame.unionByName, done)
     counts = found.where("kk is not null").select("kk", F.col("n").cast("long").alias("n"))
     raw = counts.withColumn("s", F.floor(F.col("kk") / base)).join(own, "s").groupBy("field").agg(F.sum("n").alias("out_refs"))
-    within = counts.join(both, "kk").groupBy("field").agg(F.sum("n").alias("edges_in_corpus"))
-    return raw, within, split, found.where("kk is null").select("query", "node", "n")
+    inner = counts.join(both, "kk").groupBy("field").agg(F.sum("n").alias("edges_in_corpus"))
+    return raw, inner, split, found.where("kk is null").select("query", "node", "n")
 
 
 def _split(edges: DataFrame) -> DataFrame:
