@@ -1,14 +1,15 @@
 """Held-out citation prediction field by field, what the fields have in common, and runs by tranche that can be resumed.
 
-All fields are worked on at once: the field is a grouping column, not a loop. Queries are the works whose number is
-divisible by 50 with five references or more within their field; three in ten of these are held out. Every other work of
-the field is ranked, by two methods: cosine of TF-IDF vectors of the titles, and shared references.
+All fields are worked on at once: the field is a grouping column, not a loop. Queries are the works with five references
+or more within their field, in ``crossfield`` all of them, in ``analyze_fields`` and tranches those whose number is
+divisible by NTH; three in ten of these references are held out. Every other work of the field is ranked, by two methods: cosine of TF-IDF vectors of the titles, and shared references.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -26,8 +27,10 @@ from fundloom.sources import sinks
 
 #: Fewest queries that a field is evaluated with.
 LEAST = 2
-#: Queries and works of a field that a task compares, and works that it scores at once.
-QUERIES_AT_ONCE, WORKS_AT_ONCE, ROWS = 2000, 20_000, 250
+#: Works of one number in NTH are queries, unless all are.
+NTH = 50
+#: Queries and works of a field that a task is given; queries and texts that it compares at once.
+QUERIES_A_BLOCK, WORKS_AT_ONCE, QUERIES_AT_ONCE, ROWS = 10_000, 250_000, 2000, 250
 #: Works of equal text from which on they are scored as one.
 ALIKE = 16
 #: Lines go to their orders in up to SHARES shares, references to their works in as many as have half as many rows as there
@@ -61,18 +64,21 @@ def _orders(g: Graph, of: DataFrame, shares: int) -> Iterator[DataFrame]:
         yield told.repartition("l_orderkey").groupBy("l_orderkey").agg(F.collect_list(F.struct("i", "node", "kind")).alias("l")).where(F.size("l") > 1).select("l")
 
 
-def _references(g: Graph, works: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+@contextmanager
+def _references(g: Graph, works: DataFrame, nth: int) -> Iterator[tuple[DataFrame, DataFrame, DataFrame, DataFrame]]:
     """``(field, out_refs)`` and ``(field, edges_in_corpus)``: how many works those of a field cite, and how many of these
-    are in it; ``_split`` of the queries' references and ``_shared`` of the visible ones.
+    are in it; ``_split`` of the references within fields and ``_met`` of them. To be used within the block.
 
-    Of all references only these are wanted, so they are never together on disk: orders are packed with their works'
-    kinds, then references are paired in the row and told apart for a share of the citing works at a time. A pair carries
-    one number for both kinds; what fields it lies in is asked of the few kinds.
+    References are never together on disk but as compressed columns: orders are packed with their works' kinds, then
+    references are paired in the row and told apart for a share of the citing works at a time. A pair carries one number
+    for both kinds; what fields it lies in is asked of the few kinds.
     """
     of, kinds = _kinds(g, works)
     base, mine = len(kinds) + 1, sum(ws is not None for _, ws in kinds)
     own = F.broadcast(g.spark.createDataFrame([(s, f) for s in range(mine) for f in kinds[s][1]], "s long, field string"))
-    both = F.broadcast(g.spark.createDataFrame([(s * base + d + 1, f) for s in range(mine) for d in range(mine) for f in set(kinds[s][0]) & set(kinds[d][0])], "kk long, field string"))
+    both = F.broadcast(g.spark.createDataFrame([(s * base + d + 1, s, d, f) for s in range(mine) for d in range(mine) for f in set(kinds[s][0]) & set(kinds[d][0])], "kk long, kind int, its int, field string"))
+    lines = g.line.count()
+    room = max(LEAST_ROWS, lines / 2)
 
     def pairs(orders: DataFrame, wanted: Column) -> DataFrame:
         citing = orders.select("l", F.inline("l").alias("i", "src", "kind")).where(F.col("kind").between(0, mine - 1)).where(wanted)
@@ -81,35 +87,66 @@ def _references(g: Graph, works: DataFrame) -> tuple[DataFrame, DataFrame, DataF
         # Said here, these conditions aren't added for one reader only, and both read the same shuffle.
         return one.where("src is not null and dst is not null and kk is not null").repartition("src")
 
-    lines = g.line.count()
-    with packed(_orders(g, of, max(1, min(SHARES, lines // LEAST_ROWS)))) as orders:
-        within = lambda x: x.join(both, "kk").select("field", "src", "dst").distinct()
-        split = cut(_split(within(pairs(orders, F.col("src") % 50 == 0))))
-        most = orders.agg(F.sum(F.size("l") * (F.size("l") - 1) / 2)).first()[0] or 0
-        shares, done = max(1, math.ceil(most / max(LEAST_ROWS, lines / 2))), []
+    def told() -> Iterator[DataFrame]:
+        with packed(_orders(g, of, max(1, min(SHARES, lines // LEAST_ROWS)))) as orders:
+            most = orders.agg(F.sum(F.size("l") * (F.size("l") - 1) / 2)).first()[0] or 0
+            shares = max(1, math.ceil(most / room))
+            for n in range(shares):
+                part = pairs(orders, F.pmod(F.xxhash64("src"), F.lit(shares)) == n)
+                within = part.join(both, "kk").select("field", "src", "dst", "kind", "its").distinct()
+                counts = part.distinct().groupBy("kk").agg(F.count("*").alias("n"))
+                yield _split(within, nth).withColumn("kk", F.lit(None).cast("long")).unionByName(counts, allowMissingColumns=True)
+
+    with packed(told()) as found:
+        counts = cut(found.where("kk is not null").select("kk", "n"))
+        raw = counts.withColumn("s", F.floor(F.col("kk") / base)).join(own, "s").groupBy("field").agg(F.sum("n").alias("out_refs"))
+        inner = counts.join(both, "kk").groupBy("field").agg(F.sum("n").alias("edges_in_corpus"))
+        edges = found.where("kk is null").drop("kk", "n")
+        with packed(_met(edges, _fields_of(g, kinds), room)) as met:
+            yield raw, inner, edges, met
+
+
+def _fields_of(g: Graph, kinds: list) -> DataFrame:
+    """``(kind, field)``: the fields that works of a kind have in ``works``."""
+    return F.broadcast(g.spark.createDataFrame([(n, f) for n, (_, ws) in enumerate(kinds) for f in sorted(set(ws or [])) if f is not None], "kind int, field string"))
+
+
+def _split(edges: DataFrame, nth: int) -> DataFrame:
+    """``edges`` with ``held``: whether a query's reference is held out, null where the citing work is no query."""
+    w, asked = Window.partitionBy("src"), F.col("src") % nth == 0
+    h = F.when(asked, F.md5(F.concat_ws(":", F.lit("0"), F.col("src").cast("string"), F.col("dst").cast("string"))))
+    e = edges.select("*", F.row_number().over(w.orderBy(h, "dst")).alias("rn"), F.count("*").over(w).alias("of"))
+    return e.withColumn("held", F.when(asked & (F.col("of") >= 5), F.col("rn") <= F.greatest(F.lit(1), F.bround(F.col("of") * 0.3)))).drop("rn", "of")
+
+
+def _cited(edges: DataFrame, room: float) -> Iterator[DataFrame]:
+    """``(dst, by, seen)``: each work with those that cite it, and how many of these are queries that show it; in shares."""
+    shares = max(1, math.ceil(edges.count() / room))
+    for n in range(shares):
+        part = edges.where(F.pmod(F.xxhash64("dst"), F.lit(shares)) == n)
+        yield part.groupBy("dst").agg(F.collect_list(F.struct("src", "kind")).alias("by"), F.count_if(~F.col("held")).alias("seen"))
+
+
+def _met(edges: DataFrame, fields: DataFrame, room: float) -> Iterator[DataFrame]:
+    """``(field, query, node, shares, above)`` of held-out works of some queries at a time: whether the work cites one that
+    the query cites visibly, and of the candidates that do, how many stand above it: those that share more, or as much
+    with a smaller number. Where it shares nothing itself, those of a greater number: with the candidates of a smaller
+    number, that is all above it.
+
+    Works that share something with a query are paired with it where they arrive, and not kept.
+    """
+    with packed(_cited(edges, room)) as cited:
+        most = cited.agg(F.sum(F.size("by") * F.col("seen"))).first()[0] or 0
+        shares = max(1, math.ceil(most / room))
         for n in range(shares):
-            part = pairs(orders, F.pmod(F.xxhash64("src"), F.lit(shares)) == n)
-            met = _shared(split, within(part))
-            counts = part.distinct().groupBy("kk").agg(F.count("*").cast("double").alias("n"))
-            done.append(cut(met.withColumn("kk", F.lit(None).cast("long")).unionByName(counts, allowMissingColumns=True)))
-    found = reduce(DataFrame.unionByName, done)
-    counts = found.where("kk is not null").select("kk", F.col("n").cast("long").alias("n"))
-    raw = counts.withColumn("s", F.floor(F.col("kk") / base)).join(own, "s").groupBy("field").agg(F.sum("n").alias("out_refs"))
-    inner = counts.join(both, "kk").groupBy("field").agg(F.sum("n").alias("edges_in_corpus"))
-    return raw, inner, split, found.where("kk is null").select("query", "node", "n")
-
-
-def _split(edges: DataFrame) -> DataFrame:
-    h = F.md5(F.concat_ws(":", F.lit("0"), F.col("src").cast("string"), F.col("dst").cast("string")))
-    w = Window.partitionBy("src")
-    e = edges.where("src % 50 = 0").select("field", "src", "dst", F.row_number().over(w.orderBy(h, "dst")).alias("rn"), F.count("*").over(w).alias("n")).where("n >= 5")
-    return e.select("field", F.col("src").alias("query"), "dst", (F.col("rn") <= F.greatest(F.lit(1), F.bround(F.col("n") * 0.3))).alias("held"))
-
-
-def _shared(split: DataFrame, edges: DataFrame) -> DataFrame:
-    """``(query, node, n)``: how many of a query's visible references each other work cites too."""
-    seen = split.where("not held").select("query", "dst")
-    return seen.join(edges.select(F.col("src").alias("node"), "dst"), "dst").where("query <> node").groupBy("query", "node").agg(F.count("*").cast("double").alias("n"))
+            asked = edges.where(F.col("held").isNotNull() & (F.pmod(F.xxhash64("src"), F.lit(shares)) == n)).withColumnRenamed("src", "query")
+            met = asked.where(~F.col("held")).select("query", "dst").join(cited.select("dst", "by"), "dst").select("query", F.inline("by").alias("node", "kind")).where("query <> node")
+            theirs = asked.select("query", F.col("dst").alias("node"), F.col("its").alias("kind"), F.when(F.col("held"), 2).otherwise(1).alias("what"))
+            rows = met.withColumn("what", F.lit(0)).unionByName(theirs).repartition("query")
+            each = rows.groupBy("query", "node", "kind").agg(F.count_if(F.col("what") == 0).alias("n"), F.bool_or(F.col("what") == 1).alias("seen"), F.bool_or(F.col("what") == 2).alias("held"))
+            w = Window.partitionBy("query", "field")
+            placed = each.where("not seen").join(fields, "kind").select("field", "query", "node", "n", "held", F.row_number().over(w.orderBy(F.desc("n"), "node")).alias("pos"), F.count_if(F.col("n") > 0).over(w.orderBy(F.desc("node"))).alias("after"))
+            yield placed.where("held").select("field", "query", "node", (F.col("n") > 0).alias("shares"), F.when(F.col("n") > 0, F.col("pos") - 1).otherwise(F.col("after")).alias("above"))
 
 
 def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
@@ -167,7 +204,7 @@ def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     counts[1] = np.where(graph == 0, before, 0) - ranked(*out[:2], none(out), graph) - ranked(*met[:2], none(met), graph) + ranked(*met, graph)
     i, w, owner = flat(docs.iloc[out[0]])
     counts[0] = -ranked(*out[:2], summed((w * weight[i, out[1][owner]])[:, None], owner, len(out[0]))[:, 0], text)
-    u = pd.factorize(pd.Series([(np.asarray(a).tobytes(), np.asarray(b).tobytes()) for a, b in zip(docs["i"], docs["w"], strict=True)]))[0]
+    u = docs["u"].to_numpy() if "u" in docs else pd.factorize(pd.Series([(np.asarray(a).tobytes(), np.asarray(b).tobytes()) for a, b in zip(docs["i"], docs["w"], strict=True)]))[0]
     size = np.bincount(u)
     by_text = np.argsort(u, kind="stable")
     start = np.cumsum(size) - size
@@ -188,47 +225,61 @@ def _above(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"query": gold["query"].to_numpy(), "node": gold["node"].to_numpy(), "text": counts[0], "graph": counts[1]})
 
 
-def _ranked(g: Graph, works: DataFrame, edges: DataFrame) -> DataFrame:
+def _ranked(g: Graph, works: DataFrame, edges: DataFrame, nth: int = NTH) -> DataFrame:
     """``_evaluated`` with all references within fields at hand."""
-    split = cut(_split(edges))
-    return _evaluated(g, works, split, cut(_shared(split, edges)))
+    of, kinds = _kinds(g, works)
+    told = edges.join(of.withColumnRenamed("node", "src"), "src").join(of.select(F.col("node").alias("dst"), F.col("kind").alias("its")), "dst")
+    split = cut(_split(told.select("field", "src", "dst", "kind", "its"), nth))
+    met = reduce(DataFrame.unionByName, [cut(x) for x in _met(split, _fields_of(g, kinds), LEAST_ROWS)])
+    return _evaluated(g, works, split, met)
 
 
-def _evaluated(g: Graph, works: DataFrame, split: DataFrame, shared: DataFrame) -> DataFrame:
+def _evaluated(g: Graph, works: DataFrame, edges: DataFrame, met: DataFrame) -> DataFrame:
     """``(field, query, method, ap)``: average precision of the held-out references over all works of the field.
 
     Every work of a query's field is scored, but only the places of held-out works are wanted, so scores aren't written:
-    a block of works meets a block of queries, and gives how many works stand above each held-out one.
+    a block of works, each text once, meets a block of queries, and gives how many works stand above each held-out one.
+    By references most works stand in the order of their numbers, and ``met`` has what the others change.
     """
+    split = edges.where("held is not null").withColumnRenamed("src", "query")
     queries = split.select("field", "query").distinct()
     _, docs = ranking._indexed(ranking.tfidf(g.raw("part").select(F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("text"))))
     vector = docs.select(F.col("doc_id").alias("node"), "i", "w")
     seen = split.where("not held").select("query", "dst")
     most = lambda x: x.groupBy("field").count().agg(F.max("count")).first()[0] or 1
-    nq, nd = -(-most(queries) // QUERIES_AT_ONCE), -(-most(works) // WORKS_AT_ONCE)
+    nq, nd = -(-most(queries) // QUERIES_A_BLOCK), -(-most(works) // WORKS_AT_ONCE)
     qb, db = (F.pmod(F.xxhash64(c), F.lit(n)).cast("int") for c, n in (("query", nq), ("node", nd)))
     over = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     ints, doubles = F.array().cast("array<int>"), F.array().cast("array<double>")
     bare = [F.coalesce("i", ints).alias("i"), F.coalesce("w", doubles).alias("w")]
     theirs = lambda x: x.join(queries, "query").join(works, ["field", "node"])
-    gold = theirs(split.where("held").select("query", F.col("dst").alias("node"))).join(vector, "node", "left").join(shared, ["query", "node"], "left")
+    gold = theirs(split.where("held").select("query", F.col("dst").alias("node"))).join(vector, "node", "left")
     own = queries.select("query").distinct().select("query", F.col("query").alias("node"))
     parts = [
         queries.withColumn("node", F.col("query")).join(vector, "node", "left").select("field", qb.alias("qb"), over(nd).alias("db"), F.lit(0).alias("kind"), "query", "node", *bare, F.lit(0.0).alias("n")),
-        gold.select("field", qb.alias("qb"), over(nd).alias("db"), F.lit(1), "query", "node", *bare, F.coalesce("n", F.lit(0.0))),
-        theirs(shared).select("field", qb.alias("qb"), db.alias("db"), F.lit(2), "query", "node", ints, doubles, "n"),
+        gold.select("field", qb.alias("qb"), over(nd).alias("db"), F.lit(1), "query", "node", *bare, F.lit(0.0)),
         theirs(seen.withColumnRenamed("dst", "node").unionByName(own).distinct()).select("field", qb.alias("qb"), db.alias("db"), F.lit(3), "query", "node", ints, doubles, F.lit(0.0)),
     ]
-    held = works.join(vector, "node", "left").select("field", over(nq).alias("qb"), db.alias("db"), "node", *bare)
+    texts = works.join(vector, "node", "left").groupBy("field", db.alias("db"), *bare).agg(F.collect_list("node").alias("nodes"))
+    held = texts.select("field", over(nq).alias("qb"), "db", "nodes", "i", "w")
     keys = ["field", "qb", "db"]
 
-    def run(key: tuple, docs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return _above(key, docs, asked).assign(field=key[0])[["field", "query", "node", "text", "graph"]]
+    def run(key: tuple, texts: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query": [], "node": [], "text": [], "graph": []})]
+        if len(texts) and len(asked):
+            u = np.repeat(np.arange(len(texts)), texts["nodes"].map(len))
+            docs = pd.DataFrame({"node": np.concatenate(list(texts["nodes"])), "i": texts["i"].to_numpy()[u], "w": texts["w"].to_numpy()[u], "u": u}).sort_values("node", kind="stable")
+            asked = asked.sort_values("query", kind="stable")
+            ids = np.unique(asked["query"])
+            at = np.searchsorted(asked["query"], [*ids[::QUERIES_AT_ONCE], ids[-1] + 1])
+            out += [_above(key, docs, asked.iloc[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+        return pd.concat(out, ignore_index=True).assign(field=key[0])[["field", "query", "node", "text", "graph"]]
 
     tasks = max(g.spark.sparkContext.defaultParallelism, 4 * nq * nd)  # blocks are small but dear to work on: they aren't packed together
     above = held.repartition(tasks, *keys).groupBy(*keys).cogroup(reduce(DataFrame.union, parts).repartition(tasks, *keys).groupBy(*keys)).applyInPandas(run, "field string, query long, node long, text long, graph long")
-    place = above.groupBy("field", "query", "node").agg(F.sum("text").alias("text"), F.sum("graph").alias("graph"))
-    both = place.select("field", "query", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), (F.col(m) + 1).alias("pos")) for m in ("text", "graph")])).alias("s")).select("field", "query", "s.*")
+    place = above.groupBy("field", "query", "node").agg(F.sum("text").alias("text"), F.sum("graph").alias("least")).join(met, ["field", "query", "node"], "left")
+    graph = F.coalesce("above", F.lit(0)) + F.when(F.coalesce("shares", F.lit(False)), 0).otherwise(F.col("least"))
+    both = place.withColumn("graph", graph).select("field", "query", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), (F.col(m) + 1).alias("pos")) for m in ("text", "graph")])).alias("s")).select("field", "query", "s.*")
     nth = both.withColumn("nth", F.row_number().over(Window.partitionBy("field", "query", "method").orderBy("pos")))
     return nth.groupBy("field", "query", "method").agg(F.avg(F.col("nth") / F.col("pos")).alias("ap"))
 
@@ -241,15 +292,16 @@ def _gini(df: DataFrame, value: str) -> DataFrame:
     return a.select("field", F.round(F.try_divide(F.col("t") - F.col("n") * F.col("s"), F.col("n") * F.col("s")), 6).alias("citation_gini"))
 
 
-def analyze(g: Graph, works: DataFrame, draws: int = 500) -> DataFrame:
+def analyze(g: Graph, works: DataFrame, draws: int = 500, nth: int = NTH) -> DataFrame:
     """A row per field of ``works``: size, references, concentration, both methods' mean average precision, their
     difference, how often it falls to zero or below over resampled queries, and which wins. Fields of fewer than LEAST
-    queries have no evaluation."""
+    queries have no evaluation. Queries are the works whose number is divisible by ``nth``: with 1 all works."""
     works = cut(works)
-    raw, within, split, shared = _references(g, works)
     cited = works.join(g.work.select(F.col("atlas_id").alias("node"), "cited_by_count"), "node")
     size = cited.groupBy("field").agg(F.count("*").alias("works"), F.median("cited_by_count").alias("median_cited_by"), F.max("cited_by_count").alias("max_cited_by"))
-    wide = cut(_evaluated(g, works, split, shared).groupBy("field", "query").agg(F.max(F.when(F.col("method") == "text", F.col("ap"))).alias("text"), F.max(F.when(F.col("method") == "graph", F.col("ap"))).alias("graph")).withColumn("diff", F.col("text") - F.col("graph")))
+    with _references(g, works, nth) as (raw, within, edges, met):
+        raw, within = cut(raw), cut(within)
+        wide = cut(_evaluated(g, works, edges, met).groupBy("field", "query").agg(F.max(F.when(F.col("method") == "text", F.col("ap"))).alias("text"), F.max(F.when(F.col("method") == "graph", F.col("ap"))).alias("graph")).withColumn("diff", F.col("text") - F.col("graph")))
     mean = wide.groupBy("field").agg(F.count("*").alias("queries"), F.avg("text").alias("map_text"), F.avg("graph").alias("map_graph"), F.avg("diff").alias("delta")).where(F.col("queries") >= LEAST)
     p = resampled(wide, F.col("query"), draws, 5).groupBy("field", "b").agg((F.sum(F.col("diff") * F.col("w")) / F.sum("w")).alias("m")).groupBy("field").agg(F.round(F.avg((F.col("m") <= 0).cast("double")), 6).alias("p"))
     r = lambda c: F.round(c, 6).alias(c)
@@ -275,7 +327,9 @@ def generalisation(fields: DataFrame) -> DataFrame:
 
 
 def crossfield(s: SparkSession, d: str) -> DataFrame:
-    return generalisation(cut(analyze_fields(s, d)))
+    """Every work with five references or more within its field is a query."""
+    g = Graph(s, d)
+    return generalisation(cut(analyze(g, _works(g), nth=1)))
 
 
 def run_tranches(s: SparkSession, d: str, out: str, tranches: tuple[int, ...] = (30, 100, 400)) -> DataFrame:
@@ -299,8 +353,8 @@ def run_tranches(s: SparkSession, d: str, out: str, tranches: tuple[int, ...] =
 QUERIES = {f.__name__: f for f in (analyze_fields, crossfield)}
 
 _TOK = r"regexp_extract_all(lower(p_name), '[a-z][a-z0-9\-]+')"
-_FIELDS = rf"""ff AS (SELECT wf.src_id AS node, dom AS field FROM work_field wf JOIN climb ON topic = wf.dst_id), ee AS (SELECT a.field, src, dst FROM citation JOIN ff a ON a.node = src JOIN ff b ON b.node = dst WHERE a.field = b.field),
-  sp AS (SELECT field, src AS query, dst, rn <= greatest(1, round_even(n * 0.3, 0)) AS held FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY md5('0:' || src || ':' || dst), dst) AS rn, count(*) OVER (PARTITION BY src) AS n FROM ee WHERE src % 50 = 0) WHERE n >= 5),
+_FIELDS = lambda only: rf"""ff AS (SELECT wf.src_id AS node, dom AS field FROM work_field wf JOIN climb ON topic = wf.dst_id), ee AS (SELECT a.field, src, dst FROM citation JOIN ff a ON a.node = src JOIN ff b ON b.node = dst WHERE a.field = b.field),
+  sp AS (SELECT field, src AS query, dst, rn <= greatest(1, round_even(n * 0.3, 0)) AS held FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY md5('0:' || src || ':' || dst), dst) AS rn, count(*) OVER (PARTITION BY src) AS n FROM ee{only}) WHERE n >= 5),
   qq AS (SELECT DISTINCT field, query FROM sp), ca AS (SELECT qq.field, query, node FROM qq JOIN ff ON ff.field = qq.field AND node <> query WHERE NOT EXISTS (SELECT 1 FROM sp WHERE sp.query = qq.query AND sp.dst = node AND NOT held)),
   tf AS (SELECT p_partkey AS doc, term, count(*) AS tf FROM (SELECT p_partkey, unnest({_TOK}) AS term FROM part) GROUP BY 1, 2), vo AS (SELECT term, ln((1 + (SELECT count(*) FROM part)) / (1 + count(*))) + 1 AS idf FROM tf GROUP BY 1 HAVING count(*) >= 2 ORDER BY count(*) DESC, term LIMIT 20000),
   xx AS (SELECT doc, term, tf * idf AS w FROM tf JOIN vo USING (term)), nn AS (SELECT doc, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc)) AS w FROM xx),
@@ -311,10 +365,10 @@ _FIELDS = rf"""ff AS (SELECT wf.src_id AS node, dom AS field FROM work_field wf
   me AS (SELECT field, count(*) AS queries, avg(text) AS map_text, avg(graph) AS map_graph, avg(diff) AS delta FROM ap GROUP BY 1 HAVING queries >= {LEAST}), pp AS (SELECT field, round(avg((m <= 0)::INT), 6) AS p FROM (SELECT field, b, sum(diff * w) / sum(w) AS m FROM {resampled_sql("ap", "query", 500, 5)} GROUP BY 1, 2) GROUP BY 1),
   ci AS (SELECT field, cited_by_count AS x, row_number() OVER (PARTITION BY field ORDER BY cited_by_count, node) AS i, count(*) OVER (PARTITION BY field) AS n FROM ff JOIN work ON atlas_id = node),
   af AS (SELECT field, works, median_cited_by, max_cited_by, coalesce(out_refs, 0) AS out_refs, coalesce(edges, 0) AS edges_in_corpus, citation_gini, queries, round(map_text, 6) AS map_text, round(map_graph, 6) AS map_graph, round(delta, 6) AS delta, p, delta > 0 AS text_wins
-    FROM (SELECT field, count(*) AS works, median(x) AS median_cited_by, max(x) AS max_cited_by, round(sum((2 * i - n - 1) * x) / (max(n) * sum(x)), 6) AS citation_gini FROM ci GROUP BY 1) LEFT JOIN (SELECT field, count(*) AS out_refs FROM citation JOIN ff ON node = src GROUP BY 1) USING (field) LEFT JOIN (SELECT field, count(*) AS edges FROM ee GROUP BY 1) USING (field) LEFT JOIN (me JOIN pp USING (field)) USING (field))"""
+    FROM (SELECT field, count(*) AS works, median(x) AS median_cited_by, max(x) AS max_cited_by, round(sum((2 * i - n - 1) * x) / (max(n) * sum(x)), 6) AS citation_gini FROM ci GROUP BY 1) LEFT JOIN (SELECT field, count(*) AS out_refs FROM citation JOIN ff ON node = src GROUP BY 1) USING (field) LEFT JOIN (SELECT field, count(*) AS edges FROM ee GROUP BY 1) USING (field) LEFT JOIN (me JOIN pp USING (field)) USING (field))"""
 _SQL = {
-    "analyze_fields": f"WITH {_FIELDS} SELECT * FROM af",
-    "crossfield": f"""WITH {_FIELDS}, ev AS (SELECT * FROM af WHERE delta IS NOT NULL), dr AS (SELECT b, sum(delta * w) / sum(w) AS m FROM {resampled_sql("ev", "field", 2000, 9)} GROUP BY 1)
+    "analyze_fields": f"WITH {_FIELDS(' WHERE src % 50 = 0')} SELECT * FROM af",
+    "crossfield": f"""WITH {_FIELDS('')}, ev AS (SELECT * FROM af WHERE delta IS NOT NULL), dr AS (SELECT b, sum(delta * w) / sum(w) AS m FROM {resampled_sql("ev", "field", 2000, 9)} GROUP BY 1)
       SELECT n, wins, mean_delta, round(least(1, 2 * (SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2))) FROM range(0, 1 + least(wins, n - wins)) t(i))), 6) AS sign_p, lo, hi, p, least_gini, most_gini FROM (SELECT count(*) AS n, count(*) FILTER (WHERE text_wins) AS wins, round(avg(delta), 6) AS mean_delta FROM ev),
         (SELECT round(quantile_cont(m, 0.025), 6) AS lo, round(quantile_cont(m, 0.975), 6) AS hi, round(avg((abs(m - obs) >= abs(obs))::INT), 6) AS p FROM dr, (SELECT avg(delta) AS obs FROM ev)), (SELECT min(citation_gini) AS least_gini, max(citation_gini) AS most_gini FROM af)""",
 }

@@ -108,3 +108,26 @@ def test_works_of_equal_text_are_scored_as_one(monkeypatch):
         out.append(crossfield._above(("f", 0, 0), docs, asked))
     pd.testing.assert_frame_equal(*out)
     assert out[0]["text"].max() > 0
+
+
+def test_every_work_is_a_query(spark, tmp_path):
+    """No number here is divisible by 50, so a sample by numbers would have no query; the row equals that of the SQL."""
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng, lines, parts = np.random.default_rng(6), 700, 49
+    table = lambda name, **c: pq.write_table(pa.table(c), tmp_path / f"{name}.parquet")
+    table("lineitem", l_orderkey=rng.integers(0, lines // 5, lines), l_partkey=rng.integers(1, parts + 1, lines), l_linenumber=rng.integers(1, 20, lines).astype(np.int32), l_shipdate=np.full(lines, "2020-01-01", "datetime64[us]"))
+    keys = np.arange(1, parts + 1)
+    table("part", p_partkey=keys, p_name=[f"some w{n % 11} word{n % 7}" for n in keys], p_brand=[f"Brand#{n // 3 % 4}" for n in keys], p_size=np.ones(parts, np.int32), p_type=["t"] * parts)
+    table("nation", n_nationkey=np.arange(25), n_name=[f"n{n}" for n in range(25)], n_regionkey=np.arange(25) % 2)
+    table("region", r_regionkey=np.arange(2), r_name=["a", "b"])
+    got = crossfield.crossfield(spark, str(tmp_path)).first()
+    duck = duckdb.connect()
+    for name in ("lineitem", "part", "nation", "region"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = duck.execute(crossfield.ORACLES["crossfield"])
+    want = dict(zip([c[0] for c in want.description], want.fetchone(), strict=True))
+    assert got.n == 2
+    assert {k: round(float(v), 5) for k, v in got.asDict().items()} == {k: round(float(v), 5) for k, v in want.items()}
